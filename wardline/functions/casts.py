@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # What counts as a number, and the timestamp layout of the feeds.
 # ``\z`` and not ``$``: the latter would let a trailing line break through.
 DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-SPECIAL_TEXT = r"^([+-]?(inf|infinity|Inf|Infinity|INF|INFINITY)|nan|NaN|NAN)\z"
+SPECIAL_TEXT = r"^([+-]?(?i:inf|infinity)|(?i:nan))\z"
 INTEGER_TEXT = r"^[+-]?[0-9]+\z"
 ZIP_TEXT = r"^[0-9]{5}(-?[0-9]{4})?\z"
 TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS"
