@@ -24,8 +24,8 @@ def snap_half_even(degrees: Column, steps: int = 1000) -> Column:
 
 
 def estimated_cases(share_positive: Column, tests: Column) -> Column:
-    """Share of positive tests times tests, to the nearest whole case."""
-    return round_half_away(share_positive * tests).cast("bigint")
+    """Share of positive tests times tests, to the nearest whole case; NULL if not a finite count."""
+    return round_half_away(share_positive * tests).try_cast("bigint")
 
 
 def coordinate_key(latitude: Column, longitude: Column) -> Column:
