@@ -61,6 +61,8 @@ def lookup_join(
 ) -> DataFrame:
     """Left join with a dimension that is unique on its key.
 
+    The caller decides about broadcasting once per dimension, with
+    :func:`broadcast_if_small`; the hint stays in force for every join with it.
     ``outputs`` maps a new column to (dimension column, default without a match).
     ``unknown`` is a key value that stands for "no zone" and never matches.
     """
@@ -69,7 +71,7 @@ def lookup_join(
     ).filter(F.col("_key").isNotNull())
     if unknown is not None:
         picked = picked.filter(F.col("_key") != F.lit(unknown))
-    joined = df.join(broadcast_if_small(picked), df[df_key] == F.col("_key"), "left").drop("_key")
+    joined = df.join(picked, df[df_key] == F.col("_key"), "left").drop("_key")
     filled = {
         name: F.coalesce(F.col(name), F.lit(default)) for name, (_, default) in outputs.items() if default is not None
     }

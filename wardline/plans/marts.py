@@ -39,7 +39,7 @@ from wardline.operators.filters import (
 )
 from wardline.operators.forecast import daily_counts, rolling_forecast
 from wardline.operators.keyed import keyed_first
-from wardline.operators.lookups import in_any, last_match, lookup_join
+from wardline.operators.lookups import broadcast_if_small, in_any, last_match, lookup_join
 from wardline.operators.mapping import SAMPLE_SIZE, zip_by_vote
 from wardline.operators.spatial import ZoneIndex, locate
 
@@ -179,7 +179,7 @@ def airport_trips(
 def _neighborhood_per_zip(mapping: DataFrame) -> DataFrame:
     """One neighborhood per zip; of several the last name in the alphabet."""
     typed = mapping.select(zip_number(F.col("zipcode")).alias("zip"), "pri_neigh")
-    return last_match(typed, "zip", F.col("pri_neigh"))
+    return broadcast_if_small(last_match(typed, "zip", F.col("pri_neigh")))
 
 
 def vulnerability_per_zip(ccvi: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def vulnerability_per_zip(ccvi: DataFrame) -> DataFrame:
         F.col("ccvi_category").alias("category"),
         "ingest_seq",
     )
-    return last_match(typed, "zip", F.col("ingest_seq")).drop("ingest_seq")
+    return broadcast_if_small(last_match(typed, "zip", F.col("ingest_seq")).drop("ingest_seq"))
 
 
 def ccvi_alerts(
@@ -317,7 +317,7 @@ def low_income_zips(health: DataFrame, community_zips: DataFrame, income: int =
     """Zips of the communities below the income limit."""
     poor = below(health, "percapitaincome", income).select(lenient_long(F.col("communityarea")).alias("area"))
     mapping = community_zips.select(F.col("areanum").cast("bigint").alias("areanum"), "zipcode")
-    per_area = last_match(mapping, "areanum", F.col("zipcode"))
+    per_area = broadcast_if_small(last_match(mapping, "areanum", F.col("zipcode")))
     mapped = lookup_join(poor, per_area, "area", "areanum", {"zone": ("zipcode", "")})
     return mapped.select(zip_number(F.col("zone")).alias("zip")).filter(F.col("zip") != 0)
 
