@@ -21,6 +21,7 @@ from wardline.operators.lookups import BROADCAST_LIMIT_BYTES, broadcast_if_small
 from wardline.session import stable
 
 _CELL_SPAN = 2**31  # cell numbers stay below half of this in both directions
+_EDGE = ("lo_x", "lo_y", "hi_x", "hi_y")
 
 
 # ---------------------------------------------------------------- outlines
@@ -117,8 +118,8 @@ class ZoneIndex:
     """Zone outlines cut into cells.
 
     ``pieces`` has one row per cell, zone and edge that points of the cell must be
-    tested against, plus one per cell and zone that says whether an odd number of
-    further edges lies to the right of the whole cell.
+    tested against, plus one without an edge where an odd number of further edges
+    lies to the right of the whole cell.
     """
 
     pieces: DataFrame
@@ -149,34 +150,30 @@ def build_zone_index(
         cell_size = (extents.agg(F.avg("extent")).first()[0] or 4.0) / 4
 
     left, right = F.least("lo_x", "hi_x"), F.greatest("lo_x", "hi_x")
+    left_col, low_row, high_row = _cell_number(left, cell_size), _cell_number(F.col("lo_y"), cell_size), _cell_number(
+        F.col("hi_y"), cell_size
+    )
+    row, col = F.col("row"), F.col("col")
+    # Spans the full height of the cell row and lies right of the cell: every point
+    # of the cell crosses it, no test needed, so it is kept without its ends.
+    whole = (low_row < row) & (row < high_row) & (col < left_col)
     spans = (
         ring_edges(vertices, zone)
         .join(extents.select("zone", "zone_left"), "zone")
-        .withColumn("left_col", _cell_number(left, cell_size))
-        .withColumn("low_row", _cell_number(F.col("lo_y"), cell_size))
-        .withColumn("high_row", _cell_number(F.col("hi_y"), cell_size))
-        .withColumn("row", F.explode(F.sequence("low_row", "high_row")))
+        .withColumn("row", F.explode(F.sequence(low_row, high_row)))
         .withColumn(
             "col",
             F.explode(F.sequence(_cell_number(F.col("zone_left"), cell_size), _cell_number(right, cell_size))),
         )
-        # Spans the full height of the cell row and lies right of the cell: every
-        # point of the cell crosses it, no test needed.
-        .withColumn(
-            "whole",
-            (F.col("low_row") < F.col("row")) & (F.col("row") < F.col("high_row")) & (F.col("col") < F.col("left_col")),
-        )
-        .withColumn("cell", _cell_key(F.col("col"), F.col("row")))
+        .select(_cell_key(col, row).alias("cell"), "zone", *[F.when(~whole, F.col(c)).alias(c) for c in _EDGE])
     )
-    tested = spans.filter(~F.col("whole")).select("cell", "zone", "lo_x", "lo_y", "hi_x", "hi_y")
-    always = (
-        spans.filter("whole")
-        .groupBy("cell", "zone")
+    # Equal pieces of one zone cancel in pairs: only an odd count changes the answer.
+    pieces = stable(
+        spans.groupBy("cell", "zone", *_EDGE)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") % 2 == 1)
-        .select("cell", "zone", *[F.lit(None).cast("double").alias(c) for c in ("lo_x", "lo_y", "hi_x", "hi_y")])
+        .drop("n")
     )
-    pieces = stable(tested.unionByName(always))
     size = pieces.agg(F.sum(F.octet_length("zone") + F.lit(64)).alias("n")).first()["n"] or 0
     return ZoneIndex(pieces, cell_size, size <= broadcast_limit)
 
@@ -193,7 +190,7 @@ def _cell_directory(index: ZoneIndex) -> DataFrame:
 
     Only built for an index below the broadcast limit, which bounds every array.
     """
-    edge = F.struct("lo_x", "lo_y", "hi_x", "hi_y")
+    edge = F.struct(*_EDGE)
     has_edge = F.col("lo_x").isNotNull()
     per_zone = index.pieces.groupBy("cell", "zone").agg(
         F.count(F.when(~has_edge, 1)).cast("int").alias("always"),
@@ -240,7 +237,7 @@ def zone_of_points(points: DataFrame, index: ZoneIndex) -> DataFrame:
     keyed = points.withColumn("cell", _point_cell(index, F.col("lon"), F.col("lat"))).filter(F.col("cell").isNotNull())
     pieces = index.pieces.withColumnRenamed("cell", "piece_cell")
     crossing = F.col("lo_x").isNull() | _right_of(
-        {c: F.col(c) for c in ("lo_x", "lo_y", "hi_x", "hi_y")}, F.col("lon"), F.col("lat")
+        {c: F.col(c) for c in _EDGE}, F.col("lon"), F.col("lat")
     )
     return (
         keyed.join(pieces, (F.col("cell") == F.col("piece_cell")) & crossing)

@@ -126,6 +126,7 @@ def trip_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
+        "l_suppkey",
         _degrees(plon).alias("plon"),
         _degrees(plat).alias("plat"),
         _degrees(dlon).alias("dlon"),

@@ -54,7 +54,7 @@ def _take(df: DataFrame, limit: int | None, key: str) -> DataFrame:
     return df if limit is None else df.orderBy(key).limit(limit)
 
 
-def _trip_points(trips: DataFrame, snap=None) -> DataFrame:
+def trip_points(trips: DataFrame, snap=None) -> DataFrame:
     """Trip identity, lenient start time and the four coordinates, NULL where not a number."""
 
     def point(name: str) -> Column:
@@ -79,8 +79,8 @@ def _zero_coordinates(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.coalesce(F.col(name), F.lit(0.0)) for name in names})
 
 
-def _ends(index_column: str = "zip") -> Mapping[str, tuple[str, str]]:
-    return {f"{end}{index_column}": (f"{end}longitude", f"{end}latitude") for end in ENDS}
+def point_columns(suffix: str = "zip") -> Mapping[str, tuple[str, str]]:
+    return {f"{end}{suffix}": (f"{end}longitude", f"{end}latitude") for end in ENDS}
 
 
 def zip_number(zone: Column) -> Column:
@@ -112,8 +112,8 @@ def covid_taxi_trips(
 
     ``strict_zip`` keeps long zips as they are, which then are rejected; by default they are cut to five digits.
     """
-    points = _trip_points(_take(trips, limit, "tripid"), snap_half_away)
-    located = _zero_coordinates(locate(points, zips, _ends("zipcode")))
+    points = trip_points(_take(trips, limit, "tripid"), snap_half_away)
+    located = _zero_coordinates(locate(points, zips, point_columns("zipcode")))
     for end in ENDS:
         zone = null_to_blank(F.col(f"{end}zipcode"))
         located = located.withColumn(f"{end}zipcode", zone if strict_zip else five_digit_zip(zone))
@@ -157,7 +157,7 @@ def airport_trips(
 
     The cheap place lookup and its filter come first; only airport trips get a zip.
     """
-    points = _trip_points(_take(trips, limit, "tripid"))
+    points = trip_points(_take(trips, limit, "tripid"))
     named = locate(points, places, {"pickuplocationname": ("pickuplongitude", "pickuplatitude")})
     picked = one_of(named, "pickuplocationname", airports)
     located = locate(picked, zips, {"dropoffzip": ("dropofflongitude", "dropofflatitude")})
@@ -197,7 +197,7 @@ def ccvi_alerts(
     trips: DataFrame, ccvi: DataFrame, neighborhood_of_zip: DataFrame, zips: ZoneIndex, limit: int | None = None
 ) -> DataFrame:
     """Trips with vulnerability score, category and neighborhood of both ends."""
-    located = locate(_trip_points(_take(trips, limit, "tripid")), zips, _ends("zone"))
+    located = locate(trip_points(_take(trips, limit, "tripid")), zips, point_columns("zone"))
     df = _zero_coordinates(located)
     scores, names = vulnerability_per_zip(ccvi), _neighborhood_per_zip(neighborhood_of_zip)
     for end in ENDS:
@@ -229,7 +229,7 @@ def typed_trips(trips: DataFrame, zips: ZoneIndex) -> DataFrame:
         strict(F.col("tripmiles"), "double").alias("tripmiles"),
         *[snap_half_even(strict(F.col(source), "double")).alias(name) for name, source in coordinates.items()],
     )
-    located = locate(typed, zips, _ends("zip"))
+    located = locate(typed, zips, point_columns("zip"))
     return located.select(
         "tripid",
         "taxiid",
