@@ -119,12 +119,13 @@ class ZoneIndex:
 
     ``pieces`` has one row per cell, zone and edge that points of the cell must be
     tested against, plus one without an edge where an odd number of further edges
-    lies to the right of the whole cell.
+    lies to the right of the whole cell. ``directory``, the same with one row per
+    cell, exists only where the pieces together stay below the broadcast limit.
     """
 
-    pieces: DataFrame
     cell_size: float
-    small: bool
+    pieces: DataFrame
+    directory: DataFrame | None
 
 
 def _cell_number(value: Column, size: float) -> Column:
@@ -150,32 +151,48 @@ def build_zone_index(
         cell_size = (extents.agg(F.avg("extent")).first()[0] or 4.0) / 4
 
     left, right = F.least("lo_x", "hi_x"), F.greatest("lo_x", "hi_x")
-    left_col, low_row, high_row = _cell_number(left, cell_size), _cell_number(F.col("lo_y"), cell_size), _cell_number(
-        F.col("hi_y"), cell_size
-    )
-    row, col = F.col("row"), F.col("col")
-    # Spans the full height of the cell row and lies right of the cell: every point
-    # of the cell crosses it, no test needed, so it is kept without its ends.
-    whole = (low_row < row) & (row < high_row) & (col < left_col)
-    spans = (
+    edges = (
         ring_edges(vertices, zone)
         .join(extents.select("zone", "zone_left"), "zone")
-        .withColumn("row", F.explode(F.sequence(low_row, high_row)))
-        .withColumn(
-            "col",
-            F.explode(F.sequence(_cell_number(F.col("zone_left"), cell_size), _cell_number(right, cell_size))),
+        .withColumns(
+            {
+                "low_row": _cell_number(F.col("lo_y"), cell_size),
+                "high_row": _cell_number(F.col("hi_y"), cell_size),
+                "first_col": _cell_number(F.col("zone_left"), cell_size),
+                "left_col": _cell_number(left, cell_size),
+                "last_col": _cell_number(right, cell_size),
+            }
+        )
+    )
+    cells = (F.col("high_row") - F.col("low_row") + 1) * (F.col("last_col") - F.col("first_col") + 1)
+    bytes_bound = edges.agg(F.sum(cells * (F.octet_length("zone") + F.lit(64)))).first()[0] or 0
+
+    # An edge that spans the full height of the cell row and lies right of the cell
+    # is crossed by every point of the cell: no test needed, so its ends are dropped.
+    whole = (
+        (F.col("low_row") < F.col("row"))
+        & (F.col("row") < F.col("high_row"))
+        & (F.col("col") < F.col("left_col"))
+    )
+    listed = (
+        edges.withColumn("row", F.explode(F.sequence("low_row", "high_row")))
+        .withColumn("col", F.explode(F.sequence("first_col", "last_col")))
+        .select(
+            _cell_key(F.col("col"), F.col("row")).alias("cell"),
+            "zone",
+            *[F.when(~whole, F.col(c)).alias(c) for c in _EDGE],
         )
-        .select(_cell_key(col, row).alias("cell"), "zone", *[F.when(~whole, F.col(c)).alias(c) for c in _EDGE])
     )
     # Equal pieces of one zone cancel in pairs: only an odd count changes the answer.
-    pieces = stable(
-        spans.groupBy("cell", "zone", *_EDGE)
+    pieces = (
+        listed.groupBy("cell", "zone", *_EDGE)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") % 2 == 1)
         .drop("n")
     )
-    size = pieces.agg(F.sum(F.octet_length("zone") + F.lit(64)).alias("n")).first()["n"] or 0
-    return ZoneIndex(pieces, cell_size, size <= broadcast_limit)
+    if bytes_bound <= broadcast_limit:
+        return ZoneIndex(cell_size, pieces, stable(_cell_directory(pieces)))
+    return ZoneIndex(cell_size, stable(pieces), None)
 
 
 def _point_cell(index: ZoneIndex, x: Column, y: Column) -> Column:
@@ -185,14 +202,14 @@ def _point_cell(index: ZoneIndex, x: Column, y: Column) -> Column:
     return F.when(usable, _cell_key(_cell_number(x, index.cell_size), _cell_number(y, index.cell_size)))
 
 
-def _cell_directory(index: ZoneIndex) -> DataFrame:
+def _cell_directory(pieces: DataFrame) -> DataFrame:
     """One row per cell: its candidate zones in name order with the edges to test.
 
-    Only built for an index below the broadcast limit, which bounds every array.
+    Only built where all pieces stay below the broadcast limit, which bounds every array.
     """
     edge = F.struct(*_EDGE)
     has_edge = F.col("lo_x").isNotNull()
-    per_zone = index.pieces.groupBy("cell", "zone").agg(
+    per_zone = pieces.groupBy("cell", "zone").agg(
         F.count(F.when(~has_edge, 1)).cast("int").alias("always"),
         F.collect_list(F.when(has_edge, edge)).alias("edges"),
     )
@@ -217,7 +234,7 @@ def _holds(x: Column, y: Column):
 
 def _locate_in_place(df: DataFrame, index: ZoneIndex, points: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Small index: every row finds its cell's candidates by a map-side join, nothing is shuffled."""
-    directory = F.broadcast(_cell_directory(index))
+    directory = F.broadcast(index.directory)
     for out, (lon, lat) in points.items():
         x, y = F.col(lon), F.col(lat)
         matched = df.withColumn("_cell", _point_cell(index, x, y)).join(
@@ -274,7 +291,7 @@ def locate(df: DataFrame, index: ZoneIndex, points: Mapping[str, tuple[str, str]
 
     ``points`` maps the new column to its (longitude, latitude) columns.
     """
-    if index.small:
+    if index.directory is not None:
         return _locate_in_place(df, index, points)
     found = stable(zone_of_points(distinct_points(df, *points.values()), index))
     return attach_zones(df, found, points)
