@@ -1,7 +1,7 @@
 """Hand-made pages of every feed, small enough to work out the marts by hand.
 
 Zips are squares of one degree side by side: 60601 from longitude 0 to 1, 60602 from
-1 to 2, the zip+4 60666-1234 from 2 to 3; 60700 covers the right half of 60602 again.
+1 to 2, the zip+4 60666-1234 from 2 to 3; 60500 covers the lower right quarter of 60602 again.
 """
 
 import json
@@ -40,7 +40,7 @@ PAGES = {
     "taxi_trips": [
         [
             trip("t1", ("0.5", "0.5"), ("1.25", "0.5")),
-            trip("t2", ("1.75", "0.5"), ("2.5", "0.5"), start="bad"),
+            trip("t2", ("1.75", "0.25"), ("2.5", "0.5"), start="bad", trip_miles=""),
             trip("t3", ("9.0", "9.0"), ("0.0", "0.0"), pickup_community_area=""),
             trip("t4", None, ("0.25", "0.25"), dropoff_community_area="7"),
             trip("t5", ("0.5", "0.5"), ("0.5", "0.5"), trip_seconds=""),
@@ -97,8 +97,9 @@ PAGES = {
         [
             {"the_geom": square(0.25, 0.25, 0.5), "area_numbe": "1", "community": "LOW", "shape_area": "4"},
             {"the_geom": square(1.1, 0.1, 0.3), "area_numbe": "2", "community": "LIMIT"},
-            # Two corners in each of two zips; the fifth vertex closes the ring on the left.
-            {"the_geom": square(0.5, 0.25, 0.75), "area_numbe": "3", "community": "TIE"},
+            # One corner in each of two zips, the first and closing one outside.
+            {"the_geom": {"type": "MultiPolygon", "coordinates": [[[[-1, 0.5], [0.5, 0.25], [1.25, 0.25], [-1, 0.5]]]]},
+             "area_numbe": "3", "community": "TIE"},
         ]
     ],
     "neighborhoods": [
@@ -113,7 +114,7 @@ PAGES = {
             {"the_geom": square(0.0, 0.0), "objectid": "1", "zip": "60601"},
             {"the_geom": square(1.0, 0.0), "objectid": "2", "zip": "60602"},
             {"the_geom": square(2.0, 0.0), "objectid": "3", "zip": "60666-1234"},
-            {"the_geom": square(1.5, 0.0, 0.5), "objectid": "4", "zip": "60700"},
+            {"the_geom": square(1.5, 0.0, 0.5), "objectid": "4", "zip": "60500"},
         ]
     ],
     "places": [

@@ -1,0 +1,213 @@
+"""Landed pages through the lake to every mart, against values worked out by hand."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.city import AIRPORT, PAGES, land
+from wardline.operators.keyed import DuplicateKeyError
+from wardline.operators.spatial import build_zone_index
+from wardline.plans import marts
+from wardline.plans.jobs import build_lake, build_marts
+from wardline.sources.pages import read_pages, read_snapshot, to_lake_rows, write_snapshot
+from wardline.sources.schemas import FEEDS, MART_SCHEMAS
+from wardline.sources.tables import lake_table, mart_schema, mart_table, read_checked, refresh_lake_table
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("city")
+    build_lake(spark, land(root / "pages"), str(root / "lake"))
+    return str(root / "lake")
+
+
+@pytest.fixture(scope="module")
+def mart(spark, lake, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("mart"))
+    build_marts(spark, lake, root)
+    return root
+
+
+def rows(df, *columns, by=None):
+    order = by or columns[0]
+    return [tuple(r) for r in df.select(*columns).orderBy(order).collect()]
+
+
+# ---------------------------------------------------------------- lake
+
+def test_lake_columns(spark, lake):
+    counts = {name: len(feed.lake_schema.names) - 1 for name, feed in FEEDS.items() if not feed.geometry}
+    assert counts == {"building_permits": 26, "taxi_trips": 21, "daily_covid_cases": 37, "weekly_covid_by_zip": 18,
+                      "covid_vulnerability": 18, "community_health": 5}
+    for name in FEEDS:
+        assert lake_table(spark, lake, name).columns == FEEDS[name].lake_schema.names
+
+
+def test_first_page_wins_and_missing_text_is_blank(spark, lake):
+    trips = lake_table(spark, lake, "taxi_trips")
+    assert rows(trips, "tripid", "dropoffcentroidlongitude", "company") == [
+        ("t1", "1.25", ""), ("t2", "2.5", ""), ("t3", "0.0", ""), ("t4", "0.25", ""), ("t5", "0.5", ""), ("t6", "0.5", "")]
+    assert rows(lake_table(spark, lake, "community_health"), "communityarea", "communityareaname") == [("1", "Low"), ("2", "Limit")]
+
+
+def test_either_spelling_is_read(spark, lake):
+    permits = lake_table(spark, lake, "building_permits").filter("ward <> ''")
+    assert rows(permits, "id", "ward", "permit_num") == [("007", "12", "100"), ("7", "13", "101")]
+    daily = lake_table(spark, lake, "daily_covid_cases")
+    assert rows(daily, "casestotal", "casesethunk", "deathsage_80_yrs") == [("5", "2", ""), ("6", "3", "1")]
+
+
+def test_points(spark, lake):
+    weekly = lake_table(spark, lake, "weekly_covid_by_zip")
+    assert rows(weekly, "rowid", "longitude", "latitude") == [("a", "-87.5", "41.5"), ("b", "0", "0")]
+    ccvi = lake_table(spark, lake, "covid_vulnerability")
+    assert rows(ccvi, "ccvi_score", "longitude", "location_type") == [
+        ("10.5", "-87.5", "Point"), ("55.5", None, "Point"), ("99", None, "")]
+
+
+def test_outlines_keep_every_vertex(spark, lake):
+    areas = lake_table(spark, lake, "community_boundaries").groupBy("areanum").count()
+    assert rows(areas, "areanum", "count") == [("1", 5), ("2", 5), ("3", 4)]
+    first = lake_table(spark, lake, "zipcodes").filter("zip = '60602' AND seq = 1").first()
+    assert (first["longitude"], first["latitude"], first["geotype"]) == (2.0, 0.0, "MultiPolygon")
+
+
+def test_duplicate_row_id_fails_the_load(spark, tmp_path):
+    pages = {"weekly_covid_by_zip": [[{"row_id": "a"}], [{"row_id": "a"}]]}
+    with pytest.raises(DuplicateKeyError, match="rowid"):
+        refresh_lake_table(spark, "weekly_covid_by_zip", land(tmp_path / "p", pages) + "/weekly_covid_by_zip", str(tmp_path / "lake"))
+
+
+def test_values_of_the_wrong_shape_do_not_stop_a_page(spark, tmp_path):
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    records = [{"row_id": "a", "zip_code_location": "n/a"}, {"row_id": "b", "population": "5"}]
+    (folder / "p.json").write_text("\n".join(json.dumps(r) for r in records))
+    feed = FEEDS["weekly_covid_by_zip"]
+    got = to_lake_rows(read_pages(spark, feed, str(folder), multiline=False), feed)
+    assert rows(got, "rowid", "population", "latitude") == [("a", "", "0"), ("b", "5", "0")]
+
+
+def test_source_limit_takes_the_first_rows(spark, tmp_path):
+    pages = {"community_health": [[{"community_area": str(i)} for i in range(p * 10, p * 10 + 10)] for p in range(3)]}
+    path = land(tmp_path / "p", pages) + "/community_health"
+    got = read_pages(spark, FEEDS["community_health"], path, limit=13)
+    assert sorted(int(r["community_area"]) for r in got.collect()) == list(range(13))
+
+
+def test_snapshot(spark, lake, tmp_path):
+    trips = lake_table(spark, lake, "taxi_trips")
+    back = read_snapshot(spark, trips.schema, write_snapshot(trips, str(tmp_path / "s")))
+    assert sorted(back.collect()) == sorted(trips.collect())
+
+
+# ---------------------------------------------------------------- marts
+
+def test_mart_columns(spark, mart):
+    for name in MART_SCHEMAS:
+        assert mart_table(spark, mart, name).schema.simpleString() == mart_schema(name).simpleString(), name
+
+
+def test_area_maps(spark, mart):
+    assert rows(mart_table(spark, mart, "comm_zips"), "areanum", "zipcode", "community") == [
+        (1, "60601", "LOW"), (2, "60602", "LIMIT"), (3, "60601", "TIE")]
+    assert rows(mart_table(spark, mart, "neighborhood_zips"), "pri_neigh", "zipcode") == [
+        ("Alpha", "60601"), ("Beta", "60601"), ("Gamma", "60666-1234")]
+
+
+def test_covid_trips(spark, lake, mart):
+    got = mart_table(spark, mart, "requirement_1_taxi_trips")
+    assert rows(got, "tripid", "pickupzipcode", "dropoffzipcode", "pickuplongitude") == [
+        ("t1", "60601", "60602", 0.5), ("t2", "60500", "60666", 1.75), ("t3", "", "60601", 9.0),
+        ("t4", "", "60601", 0.0), ("t5", "60601", "60601", 0.5), ("t6", "60602", "60601", 1.0)]
+    starts = got.select("tripid", F.date_format("tripstarttimestamp", "yyyy-MM-dd HH").alias("s"))
+    assert rows(starts.filter("tripid IN ('t1', 't2')"), "tripid", "s") == [("t1", "2023-01-02 10"), ("t2", "0001-01-01 00")]
+    zips = build_zone_index(lake_table(spark, lake, "zipcodes"), "zip")
+    strict = marts.covid_taxi_trips(lake_table(spark, lake, "taxi_trips"), zips, strict_zip=True).filter("reject_reason IS NOT NULL")
+    assert rows(strict, "tripid", "dropoffzipcode", "reject_reason") == [("t2", "60666-1234", "dropoffzipcode longer than 6")]
+
+
+def test_covid_reports(spark, mart):
+    good = mart_table(spark, mart, "requirement_1_covid_reports")
+    assert rows(good, "zipcode", "testsweekly", "pctpos", "population", "cases") == [("60601", 25, 0.1, 1000, 3)]
+    bad = read_checked(spark, f"{mart}/requirement_1_covid_reports", rejects=True)
+    assert rows(bad, "zipcode", "testsweekly", "population", "reject_reason") == [
+        ("60602", 0, None, "population does not fit 32 bits")]
+
+
+def test_airport_trips(spark, mart):
+    got = mart_table(spark, mart, "requirement_2_airport_trips")
+    assert rows(got, "tripid", "pickuplocationname", "dropoffzipcode", "dropoffneighborhood") == [
+        ("t1", AIRPORT, 60602, None), ("t5", AIRPORT, 60601, "Beta")]
+
+
+def test_ccvi_alerts(spark, mart):
+    got = mart_table(spark, mart, "requirement_3_ccvi_alerts")
+    columns = ["tripid"] + [f"{e}{c}" for e in marts.ENDS for c in ("zipcode", "ccviscore", "ccvicategory", "neighborhood")]
+    in_601, none, gamma = (60601, 55.5, "HIGH", "Beta"), (0, 0.0, "", ""), (60666, 0.0, "", "Gamma")
+    assert rows(got, *columns) == [
+        ("t1", *in_601, 60602, 0.0, "", ""), ("t2", 60500, 0.0, "", "", *gamma), ("t3", *none, *in_601),
+        ("t4", *none, *in_601), ("t5", *in_601, *in_601), ("t6", *in_601, *in_601)]
+
+
+def test_typed_trips_and_forecast(spark, mart):
+    got = mart_table(spark, mart, "requirement_4_taxi_trips")
+    assert rows(got, "tripid", "pickupzip", "dropoffzip", "pickupcoords", "dropoffcoords", "tripmiles", "tripweekday") == [
+        ("t1", "60601", "60602", "0.5,0.5", "0.5,1.25", 2.5, 0), ("t3", None, "60601", "9.0,9.0", "0.0,0.0", 2.5, 0),
+        ("t6", "60602", "60601", "0.5,1.0", "0.5,0.5", 2.5, 0)]
+    forecast = mart_table(spark, mart, "requirement_4_taxi_trips_forecast")
+    assert rows(forecast, "zip", "trips", "pred_next_day", "pred_next_week") == [
+        ("60601", 3, 3.0, 3.0 * 0.90 * 7), ("60602", 2, 2.0, 2.0 * 0.90 * 7)]
+    area = mart_table(spark, mart, "requirement_9_area_forecast")
+    assert rows(area, "area", "trips", "pred_next_day") == [("Beta", 3, 3.0)]
+
+
+def test_community_stats(spark, mart):
+    got = mart_table(spark, mart, "requirement_5_commhealthstats")
+    assert rows(got, *got.columns) == [(1, "Low", 10.5, 20000, 3.5), (2, "Limit", 9.0, 30000, 2.0)]
+
+
+def test_one_bad_statistic_fails(spark, lake):
+    health = lake_table(spark, lake, "community_health").withColumn("percapitaincome", F.lit("12.0"))
+    with pytest.raises(Exception, match="not a valid int"):
+        marts.community_health_stats(health).collect()
+
+
+def test_fee_waiver(spark, lake, mart):
+    got = mart_table(spark, mart, "requirement_5_buildingpermitfeewaiver")
+    assert rows(got, "id", "contact_zip", "permit_type") == [("7", "606010001", "PERMIT - NEW CONSTRUCTION")]
+    literal = marts.fee_waiver_permits(lake_table(spark, lake, "building_permits"), blank_as_null=False)
+    assert rows(literal, "id") == [("10",), ("7",), ("8",), ("9",)]
+    assert marts.fee_waiver_permits(lake_table(spark, lake, "building_permits"), False, limit=2).count() == 2
+
+
+def test_new_construction(spark, mart):
+    got = mart_table(spark, mart, "requirement_6_new_construction")
+    assert rows(got, *got.columns) == [("007", 100, "PERMIT - NEW CONSTRUCTION", 0.5, 0.5, 60601)]
+    bad = read_checked(spark, f"{mart}/requirement_6_new_construction", rejects=True)
+    assert rows(bad, "id", "permitnum", "reject_reason") == [("9", None, "permitnum does not fit 32 bits")]
+
+
+def test_trips_by_area(spark, lake, mart):
+    got = mart_table(spark, mart, "requirement_9_txneighzip")
+    assert rows(got, "tripid", "pickupcommunityarea", "dropoffcommunityarea") == [
+        ("t1", "1", ""), ("t2", "1", ""), ("t4", "1", "7"), ("t5", "1", ""), ("t6", "1", "")]
+    assert marts.trips_by_area(lake_table(spark, lake, "taxi_trips"), blank_as_null=False).count() == 6
+
+
+def test_community_forecast(spark, lake):
+    trips = lake_table(spark, lake, "taxi_trips").filter("tripid <> 't2'")
+    assert rows(marts.community_forecast(trips), "area", "trips") == [("1", 4), ("7", 1)]
+
+
+def test_marts_do_not_depend_on_the_broadcast_path(spark, lake, mart):
+    """The same vulnerability mart with every zone lookup shuffled."""
+    zips = build_zone_index(lake_table(spark, lake, "zipcodes"), "zip", broadcast_limit=0)
+    assert zips.directory is None
+    again = marts.ccvi_alerts(
+        lake_table(spark, lake, "taxi_trips"), lake_table(spark, lake, "covid_vulnerability"),
+        mart_table(spark, mart, "neighborhood_zips"), zips)
+    written = mart_table(spark, mart, "requirement_3_ccvi_alerts").drop("tripstarttimestamp")
+    assert rows(again, *written.columns) == rows(written, *written.columns)
+    assert len(PAGES) == len(FEEDS)

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType
 
 from wardline.operators.keyed import keyed_first
 from wardline.operators.lookups import broadcast_if_small
@@ -17,7 +18,7 @@ BATCH = "ingest_batch"
 
 def _loaded_before(spark: SparkSession, feed: Feed, table: str, number: int) -> DataFrame | None:
     """What earlier batches have written, or None before the first one."""
-    schema = feed.lake_schema.add(BATCH, "int")
+    schema = feed.lake_schema.add(BATCH, IntegerType())
     try:
         return spark.read.schema(schema).parquet(table).filter(F.col(BATCH) < number)
     except AnalysisException as error:
