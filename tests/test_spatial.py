@@ -56,7 +56,7 @@ def test_against_brute_force(spark, limit):
 
 
 @pytest.mark.parametrize("limit", [10**9, 0], ids=["in place", "shuffled"])
-@pytest.mark.parametrize("cell", [0.1, 0.7, 100.0])
+@pytest.mark.parametrize("cell", [(0.1, 0.3), (0.7, 0.05), (100.0, 100.0)])
 def test_cell_size_does_not_matter(spark, limit, cell):
     ring = star(0.0, 0.0, 3.0, 40, 5)
     index = build_zone_index(ring_vertices(shapes(spark, {"a": [[ring]]})), "zone", cell, limit)
@@ -75,7 +75,7 @@ def test_shared_borders_have_one_owner(spark):
 @pytest.mark.parametrize("limit", [10**9, 0], ids=["in place", "shuffled"])
 def test_unusable_points_have_no_zone(spark, limit):
     ring = [[-5.0, -5.0], [5.0, -5.0], [5.0, 5.0], [-5.0, 5.0], [-5.0, -5.0]]
-    index = build_zone_index(ring_vertices(shapes(spark, {"a": [[ring]]})), "zone", 1.0, limit)
+    index = build_zone_index(ring_vertices(shapes(spark, {"a": [[ring]]})), "zone", (1.0, 1.0), limit)
     points = [(None, 1.0), (1.0, None), (float("nan"), 0.0), (0.0, float("inf")), (1e300, 0.0), (0.0, 0.0)]
     assert answers(spark, index, points) == [None] * 5 + ["a"]
 
@@ -90,6 +90,18 @@ def test_holes_and_islands(spark):
     assert answers(spark, build_zone_index(ring_vertices(df, all_rings=True), "zone"), points) == ["a", None, "a"]
 
 
+@pytest.mark.parametrize("limit", [10**9, 0], ids=["in place", "shuffled"])
+def test_two_outlines_of_one_zone(spark, limit):
+    """Two records with the same zip: apart from each other, and over each other."""
+    sq = lambda x: [[[[x, 0.0], [x + 2, 0.0], [x + 2, 2.0], [x, 2.0], [x, 0.0]]]]
+    records = [("a", 1, sq(0.0)), ("a", 2, sq(10.0)), ("a", 3, sq(1.0)), ("b", 4, sq(11.0))]
+    schema = T.StructType([SHAPES["zone"], T.StructField("ingest_seq", T.IntegerType()), SHAPES["the_geom"]])
+    df = spark.createDataFrame([(z, i, ("MultiPolygon", c)) for z, i, c in records], schema)
+    index = build_zone_index(ring_vertices(df), "zone", None, limit)
+    got = answers(spark, index, [(0.5, 1.0), (1.5, 1.0), (2.5, 1.0), (10.5, 1.0), (11.5, 1.0), (12.5, 1.0), (3.5, 1.0)])
+    assert got == ["a", "a", "a", "a", "a", "b", None]
+
+
 def test_rings_there_and_back(spark):
     ring = star(0.0, 0.0, 1.0, 25, 3)
     vertices = ring_vertices(shapes(spark, {"a": [[ring]], "none": None}))
@@ -108,7 +120,7 @@ def test_plan_has_no_pairwise_join_and_no_python(spark):
     ring = star(0.0, 0.0, 1.0, 9, 3)
     points = spark.range(1000).select((F.col("id") / 500).alias("x"), (F.col("id") / 900).alias("y"))
     for limit in (10**9, 0):
-        index = build_zone_index(ring_vertices(shapes(spark, {"a": [[ring]]})), "zone", 0.5, limit)
+        index = build_zone_index(ring_vertices(shapes(spark, {"a": [[ring]]})), "zone", (0.5, 0.5), limit)
         plan = locate(points, index, {"zone": ("x", "y")})._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
             assert word not in plan

@@ -15,14 +15,22 @@ SAMPLE_SIZE = 20
 
 
 def sample_per_group(
-    df: DataFrame, group: Sequence[str], identity: Sequence[str], size: int = SAMPLE_SIZE, seed: int = 42
+    df: DataFrame,
+    group: Sequence[str],
+    identity: Sequence[str],
+    size: int = SAMPLE_SIZE,
+    seed: int = 42,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """At most ``size`` rows per group in seeded random order, the same on every run.
 
+    ``identity`` names a row for the draw; rows that share one are ordered by ``ties``.
+
     The rank filter plans as a group limit before the shuffle, so a large group
     sends ``size`` rows per task.
     """
-    shuffled = Window.partitionBy(*group).orderBy(seeded_order(seed, *[F.col(c) for c in identity]), *identity)
+    order = [seeded_order(seed, *[F.col(c) for c in identity]), *identity, *ties]
+    shuffled = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("_draw", F.row_number().over(shuffled)).filter(F.col("_draw") <= size).drop("_draw")
 
 
@@ -48,6 +56,6 @@ def zip_by_vote(
     vertices: DataFrame, group: Sequence[str], zip_index: ZoneIndex, size: int = SAMPLE_SIZE, seed: int = 42
 ) -> DataFrame:
     """Sampled outline points of each area, their zips, and the winning zip."""
-    drawn = sample_per_group(vertices, group, [*group, "part", "ring", "seq"], size, seed)
+    drawn = sample_per_group(vertices, group, [*group, "part", "ring", "seq"], size, seed, ("longitude", "latitude"))
     located = locate(drawn, zip_index, {"zipcode": ("longitude", "latitude")}).filter(F.col("zipcode").isNotNull())
     return majority_vote(located, group, "zipcode")

@@ -5,7 +5,7 @@ a zone when a ray to the right crosses its outline an odd number of times; left
 and lower borders count as inside, right and upper ones do not, so neighbours
 that share a border never both own it. Where zones overlap the smallest name wins.
 
-The plane is cut into square cells and every edge is listed in the cells whose
+The plane is cut into rectangular cells and every edge is listed in the cells whose
 points it can matter for. Points and edges then meet by an equi-join on the cell.
 """
 
@@ -77,10 +77,15 @@ def ring_edges(vertices: DataFrame, zone: str) -> DataFrame:
     A vertex starts the edge of its own number and ends the one before. Grouping
     by edge pairs them up with no ring held in one piece. Both neighbours of a
     shared border get the very same edge, hence the very same arithmetic.
+
+    Several outlines may carry one zone name; ``ingest_seq``, where present, tells
+    them apart as ``shape``.
     """
+    shape = F.col("ingest_seq") if "ingest_seq" in vertices.columns else F.lit(0)
     point = F.struct(F.col("latitude").alias("y"), F.col("longitude").alias("x"))
     halves = vertices.select(
         F.col(zone).alias("zone"),
+        shape.alias("shape"),
         "part",
         "ring",
         F.explode(
@@ -92,11 +97,12 @@ def ring_edges(vertices: DataFrame, zone: str) -> DataFrame:
     )
     pairs = (
         halves.filter(F.col("zone").isNotNull())
-        .groupBy("zone", "part", "ring", "h.edge")
+        .groupBy("zone", "shape", "part", "ring", "h.edge")
         .agg(F.min("h.p").alias("lo"), F.max("h.p").alias("hi"), F.count(F.lit(1)).alias("ends"))
     )
     return pairs.filter((F.col("ends") == 2) & (F.col("lo.y") < F.col("hi.y"))).select(
         "zone",
+        "shape",
         F.col("lo.x").alias("lo_x"),
         F.col("lo.y").alias("lo_y"),
         F.col("hi.x").alias("hi_x"),
@@ -117,13 +123,14 @@ def _right_of(edge, x: Column, y: Column) -> Column:
 class ZoneIndex:
     """Zone outlines cut into cells.
 
-    ``pieces`` has one row per cell, zone and edge that points of the cell must be
+    ``pieces`` has one row per cell, outline and edge that points of the cell must be
     tested against, plus one without an edge where an odd number of further edges
     lies to the right of the whole cell. ``directory``, the same with one row per
     cell, exists only where the pieces together stay below the broadcast limit.
     """
 
-    cell_size: float
+    cell_width: float
+    cell_height: float
     pieces: DataFrame
     directory: DataFrame | None
 
@@ -136,31 +143,44 @@ def _cell_key(column: Column, row: Column) -> Column:
     return column * F.lit(_CELL_SPAN) + row
 
 
+def _fitting_cells(extents: DataFrame) -> tuple[float, float]:
+    """Cell width and height for these outlines.
+
+    A point is tested against the edges that share its cell row, so rows get
+    narrower with the number of vertices: about eight vertices to a row. Every edge
+    is listed once per column to its left, so there are four columns to an outline.
+    """
+    mean = extents.agg(F.avg("extent").alias("extent"), F.avg("vertices").alias("vertices")).first()
+    extent = mean["extent"] or 1.0
+    return extent / 4, extent / min(max((mean["vertices"] or 0) / 8, 4), 512)
+
+
 def build_zone_index(
     vertices: DataFrame,
     zone: str,
-    cell_size: float | None = None,
+    cell: tuple[float, float] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> ZoneIndex:
-    """Cut the outlines into cells. Without a cell size, a quarter of the mean zone extent."""
-    extents = vertices.groupBy(F.col(zone).alias("zone")).agg(
-        F.min("longitude").alias("zone_left"),
+    """Cut the outlines into cells of the given (width, height), or of a fitting one."""
+    shape = F.col("ingest_seq") if "ingest_seq" in vertices.columns else F.lit(0)
+    extents = vertices.groupBy(F.col(zone).alias("zone"), shape.alias("shape")).agg(
+        F.min("longitude").alias("outline_left"),
         ((F.max("longitude") - F.min("longitude") + F.max("latitude") - F.min("latitude")) / 2).alias("extent"),
+        F.count(F.lit(1)).alias("vertices"),
     )
-    if cell_size is None:
-        cell_size = (extents.agg(F.avg("extent")).first()[0] or 4.0) / 4
+    width, height = cell or _fitting_cells(extents)
 
     left, right = F.least("lo_x", "hi_x"), F.greatest("lo_x", "hi_x")
     edges = (
         ring_edges(vertices, zone)
-        .join(extents.select("zone", "zone_left"), "zone")
+        .join(extents.select("zone", "shape", "outline_left"), ["zone", "shape"])
         .withColumns(
             {
-                "low_row": _cell_number(F.col("lo_y"), cell_size),
-                "high_row": _cell_number(F.col("hi_y"), cell_size),
-                "first_col": _cell_number(F.col("zone_left"), cell_size),
-                "left_col": _cell_number(left, cell_size),
-                "last_col": _cell_number(right, cell_size),
+                "low_row": _cell_number(F.col("lo_y"), height),
+                "high_row": _cell_number(F.col("hi_y"), height),
+                "first_col": _cell_number(F.col("outline_left"), width),
+                "left_col": _cell_number(left, width),
+                "last_col": _cell_number(right, width),
             }
         )
     )
@@ -180,46 +200,47 @@ def build_zone_index(
         .select(
             _cell_key(F.col("col"), F.col("row")).alias("cell"),
             "zone",
+            "shape",
             *[F.when(~whole, F.col(c)).alias(c) for c in _EDGE],
         )
     )
-    # Equal pieces of one zone cancel in pairs: only an odd count changes the answer.
+    # Equal pieces of one outline cancel in pairs: only an odd count changes the answer.
     pieces = (
-        listed.groupBy("cell", "zone", *_EDGE)
+        listed.groupBy("cell", "zone", "shape", *_EDGE)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") % 2 == 1)
         .drop("n")
     )
     if bytes_bound <= broadcast_limit:
-        return ZoneIndex(cell_size, pieces, stable(_cell_directory(pieces)))
-    return ZoneIndex(cell_size, stable(pieces), None)
+        return ZoneIndex(width, height, pieces, stable(_cell_directory(pieces)))
+    return ZoneIndex(width, height, stable(pieces), None)
 
 
 def _point_cell(index: ZoneIndex, x: Column, y: Column) -> Column:
     """Cell of a point; NULL for a missing, non-finite or absurdly far one."""
-    bound = F.lit(index.cell_size * (_CELL_SPAN // 4))
-    usable = (F.abs(x) < bound) & (F.abs(y) < bound)
-    return F.when(usable, _cell_key(_cell_number(x, index.cell_size), _cell_number(y, index.cell_size)))
+    bound = _CELL_SPAN // 4
+    usable = (F.abs(x) < F.lit(index.cell_width * bound)) & (F.abs(y) < F.lit(index.cell_height * bound))
+    return F.when(usable, _cell_key(_cell_number(x, index.cell_width), _cell_number(y, index.cell_height)))
 
 
 def _cell_directory(pieces: DataFrame) -> DataFrame:
-    """One row per cell: its candidate zones in name order with the edges to test.
+    """One row per cell: its candidate outlines in name order with the edges to test.
 
     Only built where all pieces stay below the broadcast limit, which bounds every array.
     """
     edge = F.struct(*_EDGE)
     has_edge = F.col("lo_x").isNotNull()
-    per_zone = pieces.groupBy("cell", "zone").agg(
+    per_outline = pieces.groupBy("cell", "zone", "shape").agg(
         F.count(F.when(~has_edge, 1)).cast("int").alias("always"),
         F.collect_list(F.when(has_edge, edge)).alias("edges"),
     )
-    return per_zone.groupBy("cell").agg(
+    return per_outline.groupBy("cell").agg(
         F.sort_array(F.collect_list(F.struct("zone", "always", "edges"))).alias("candidates")
     )
 
 
 def _holds(x: Column, y: Column):
-    """Test whether a candidate zone holds the point."""
+    """Test whether a candidate outline holds the point."""
 
     def test(candidate: Column) -> Column:
         crossings = F.aggregate(
@@ -249,16 +270,14 @@ def zone_of_points(points: DataFrame, index: ZoneIndex) -> DataFrame:
     """Shuffled way: ``lon, lat`` rows (distinct) to ``lon, lat, zone`` for those inside one.
 
     Edges meet points on the cell; the join emits true crossings only, which are
-    counted per point and zone on the map side. Adaptive execution splits a crowded cell.
+    counted per point and outline on the map side. Adaptive execution splits a crowded cell.
     """
     keyed = points.withColumn("cell", _point_cell(index, F.col("lon"), F.col("lat"))).filter(F.col("cell").isNotNull())
     pieces = index.pieces.withColumnRenamed("cell", "piece_cell")
-    crossing = F.col("lo_x").isNull() | _right_of(
-        {c: F.col(c) for c in _EDGE}, F.col("lon"), F.col("lat")
-    )
+    crossing = F.col("lo_x").isNull() | _right_of({c: F.col(c) for c in _EDGE}, F.col("lon"), F.col("lat"))
     return (
         keyed.join(pieces, (F.col("cell") == F.col("piece_cell")) & crossing)
-        .groupBy("lon", "lat", "zone")
+        .groupBy("lon", "lat", "zone", "shape")
         .agg(F.count(F.lit(1)).alias("crossings"))
         .filter(F.col("crossings") % 2 == 1)
         .groupBy("lon", "lat")

@@ -23,7 +23,7 @@ from wardline.functions.numbers import (
     snap_half_even,
 )
 from wardline.functions.text import without_dashes
-from wardline.operators.checks import cast_audit, flag_rejects, load_audit
+from wardline.operators.checks import REASON, cast_audit, flag_rejects, load_audit
 from wardline.operators.filters import below, drop_blank, either_present, equals
 from wardline.operators.forecast import daily_counts, direction_counts, rolling_forecast, summed_counts
 from wardline.operators.indexing import with_row_index
@@ -372,7 +372,7 @@ def duplicate_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "constraint_split",
     sql="""SELECT o_orderkey, o_orderpriority,
         CASE WHEN length(o_orderpriority) > 8 THEN 'priority longer than 8'
-             WHEN o_totalprice * 10000 > 2147483647 THEN 'price does not fit 32 bits' END AS reject_reason FROM orders""",
+             WHEN o_totalprice * 10000 > 2147483647 THEN 'price does not fit 32 bits' ELSE '' END AS reject_reason FROM orders""",
 )
 def constraint_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
@@ -383,7 +383,7 @@ def constraint_split(spark: SparkSession, sf_dir: str) -> DataFrame:
             "price does not fit 32 bits": F.col("o_totalprice") * 10000 <= 2147483647,
         },
     )
-    return flagged.drop("o_totalprice")
+    return flagged.drop("o_totalprice").withColumn(REASON, F.coalesce(REASON, F.lit("")))
 
 
 _AUDITED = {

@@ -20,6 +20,7 @@ from wardline.operators.spatial import (
 from wardline.plans import marts
 from wardline.plans.basic_queries import ROLLING_SQL, TRIP_STEPS_SQL, trip_coordinates
 from wardline.plans.city_tables import (
+    COLUMNS,
     SOUTH,
     STEPS,
     WEST,
@@ -56,13 +57,13 @@ def _moments_as_text(df: DataFrame) -> DataFrame:
 
 ZIPS_SQL = f"""
     zips AS (
-        SELECT n_nationkey AS n, '606' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0')
-                   || CASE WHEN n_nationkey = 7 THEN '-1234' ELSE '' END AS zip,
-               CAST({WEST} + n_nationkey % 5 * {ZONE} AS DOUBLE) / {STEPS} AS x0,
-               CAST({WEST} + n_nationkey % 5 * {ZONE} + {ZONE} AS DOUBLE) / {STEPS} AS x1,
-               CAST({SOUTH} + n_nationkey // 5 * {ZONE} AS DOUBLE) / {STEPS} AS y0,
-               CAST({SOUTH} + n_nationkey // 5 * {ZONE} + {ZONE} AS DOUBLE) / {STEPS} AS y1
-        FROM nation)
+        SELECT s_suppkey AS n, '6' || lpad(CAST(s_suppkey % 10000 AS VARCHAR), 4, '0')
+                   || CASE WHEN s_suppkey % 25 = 7 THEN '-1234' ELSE '' END AS zip,
+               CAST({WEST} + s_suppkey % {COLUMNS} * {ZONE} AS DOUBLE) / {STEPS} AS x0,
+               CAST({WEST} + s_suppkey % {COLUMNS} * {ZONE} + {ZONE} AS DOUBLE) / {STEPS} AS x1,
+               CAST({SOUTH} + s_suppkey // {COLUMNS} * {ZONE} AS DOUBLE) / {STEPS} AS y0,
+               CAST({SOUTH} + s_suppkey // {COLUMNS} * {ZONE} + {ZONE} AS DOUBLE) / {STEPS} AS y1
+        FROM supplier)
 """
 
 TRIPS_SQL = f"""
@@ -97,21 +98,21 @@ def _outline_sql(west: int, south: int, side: int, steps: int) -> str:
     stride = side // steps
     return f"""
         outline AS (
-            SELECT n_nationkey AS n, n_name, n_regionkey, seq,
-                   {WEST} + n_nationkey % 5 * {ZONE} + {west} + CASE seq // {steps}
+            SELECT s_suppkey AS n, s_name, s_nationkey, seq,
+                   {WEST} + s_suppkey % {COLUMNS} * {ZONE} + {west} + CASE seq // {steps}
                        WHEN 0 THEN seq % {steps} * {stride} WHEN 1 THEN {side}
                        WHEN 2 THEN {side} - seq % {steps} * {stride} ELSE 0 END AS lon4,
-                   {SOUTH} + n_nationkey // 5 * {ZONE} + {south} + CASE seq // {steps}
+                   {SOUTH} + s_suppkey // {COLUMNS} * {ZONE} + {south} + CASE seq // {steps}
                        WHEN 1 THEN seq % {steps} * {stride} WHEN 2 THEN {side}
                        WHEN 3 THEN {side} - seq % {steps} * {stride} ELSE 0 END AS lat4
-            FROM nation, range({4 * steps + 1}) t(seq))
+            FROM supplier, range({4 * steps + 1}) t(seq))
     """
 
 
 def _vote_sql(west: int, south: int, side: int, steps: int, group: str) -> str:
     """Sampled outline points, their zones, and the winner per area."""
     return f"""{_outline_sql(west, south, side, steps)},
-        corners AS (SELECT *, CAST(n + 1 AS VARCHAR) AS areanum, 'SIDE ' || n_regionkey AS side_name,
+        corners AS (SELECT *, CAST(n + 1 AS VARCHAR) AS areanum, 'SIDE ' || s_nationkey AS side_name,
                          CAST(lon4 AS DOUBLE) / {STEPS} AS lon, CAST(lat4 AS DOUBLE) / {STEPS} AS lat FROM outline),
         drawn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {group}
             ORDER BY md5(concat_ws('|', {group}, 0, 0, seq, '42'))) AS draw FROM corners) WHERE draw <= 20),
@@ -121,10 +122,10 @@ def _vote_sql(west: int, south: int, side: int, steps: int, group: str) -> str:
             FROM votes) WHERE place = 1)"""
 
 
-COMM_VOTE_SQL = _vote_sql(300, 400, ZONE, 10, "areanum, n_name")
-NEIGH_VOTE_SQL = _vote_sql(600, 200, 600, 3, "n_name, side_name")
+COMM_VOTE_SQL = _vote_sql(150, 200, ZONE, 10, "areanum, s_name")
+NEIGH_VOTE_SQL = _vote_sql(300, 100, 300, 3, "s_name, side_name")
 NEIGH_PER_ZIP_SQL = """
-    neigh AS (SELECT CAST(left(zip, 5) AS INTEGER) AS zipnum, max(n_name) AS pri_neigh FROM voted GROUP BY ALL)
+    neigh AS (SELECT CAST(left(zip, 5) AS INTEGER) AS zipnum, max(s_name) AS pri_neigh FROM voted GROUP BY ALL)
 """
 
 
@@ -132,8 +133,8 @@ NEIGH_PER_ZIP_SQL = """
 
 @query(
     "ring_vertices",
-    sql=f"""WITH {_outline_sql(300, 400, ZONE, 10)}
-        SELECT CAST(n + 1 AS VARCHAR) AS areanum, n_name AS community, 0 AS part, 0 AS ring, CAST(seq AS INTEGER) AS seq,
+    sql=f"""WITH {_outline_sql(150, 200, ZONE, 10)}
+        SELECT CAST(n + 1 AS VARCHAR) AS areanum, s_name AS community, 0 AS part, 0 AS ring, CAST(seq AS INTEGER) AS seq,
                CAST(lon4 AS DOUBLE) / {STEPS} AS longitude, CAST(lat4 AS DOUBLE) / {STEPS} AS latitude FROM outline""",
 )
 def ring_vertices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +144,7 @@ def ring_vertices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ring_assembly",
-    sql=f"""WITH {_outline_sql(300, 400, ZONE, 10)}
+    sql=f"""WITH {_outline_sql(150, 200, ZONE, 10)}
         SELECT CAST(n + 1 AS VARCHAR) AS areanum, count(*) AS vertices,
                CAST(list_extract(list(lon4 ORDER BY seq), 12) AS DOUBLE) / {STEPS} AS twelfth_x,
                CAST(list_extract(list(lat4 ORDER BY seq), 12) AS DOUBLE) / {STEPS} AS twelfth_y
@@ -210,8 +211,8 @@ def coord_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polygon_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones with a hole and, inside the hole, a second polygon."""
     key = F.col("n_nationkey")
-    west, south = F.lit(WEST) + key % 5 * ZONE, F.lit(SOUTH) + F.floor(key / F.lit(5)) * ZONE
-    frame = [square_ring(west, south, ZONE, 1), square_ring(west + 200, south + 200, 600, 1)]
+    west, south = F.lit(WEST) + key % 5 * 1000, F.lit(SOUTH) + F.floor(key / F.lit(5)) * 1000
+    frame = [square_ring(west, south, 1000, 1), square_ring(west + 200, south + 200, 600, 1)]
     island = [square_ring(west + 400, south + 400, 200, 1)]
     shapes = table(spark, sf_dir, "nation").select("n_name", multipolygon(frame, island))
     index = build_zone_index(ring_vertices(shapes, all_rings=True), "n_name")
@@ -223,7 +224,7 @@ def polygon_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "comm_zips",
-    sql=f"WITH {ZIPS_SQL}, {COMM_VOTE_SQL} SELECT zip AS zipcode, CAST(areanum AS INTEGER) AS areanum, n_name AS community FROM voted",
+    sql=f"WITH {ZIPS_SQL}, {COMM_VOTE_SQL} SELECT zip AS zipcode, CAST(areanum AS INTEGER) AS areanum, s_name AS community FROM voted",
 )
 def comm_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.comm_zips(lake_rows(spark, sf_dir, "community_boundaries"), zip_index(spark, sf_dir))
@@ -231,7 +232,7 @@ def comm_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "neighborhood_zips",
-    sql=f"WITH {ZIPS_SQL}, {NEIGH_VOTE_SQL} SELECT zip AS zipcode, n_name AS pri_neigh, side_name AS sec_neigh FROM voted",
+    sql=f"WITH {ZIPS_SQL}, {NEIGH_VOTE_SQL} SELECT zip AS zipcode, s_name AS pri_neigh, side_name AS sec_neigh FROM voted",
 )
 def neighborhood_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.neighborhood_zips(lake_rows(spark, sf_dir, "neighborhoods"), zip_index(spark, sf_dir))
@@ -329,10 +330,10 @@ def airport_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SCORES_SQL = """
-    scores AS (SELECT CAST('606' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS INTEGER) AS zipnum,
-        max_by(CAST(s_suppkey % 100 || '.' || s_suppkey % 10 AS DOUBLE), s_suppkey) AS score,
-        max_by(['LOW', 'MEDIUM', 'HIGH'][s_suppkey % 3 + 1], s_suppkey) AS category
-        FROM supplier WHERE s_suppkey % 4 <> 3 GROUP BY ALL)
+    scores AS (SELECT CAST('6' || lpad(CAST(c_custkey // 15 % 10000 AS VARCHAR), 4, '0') AS INTEGER) AS zipnum,
+        max_by(CAST(c_custkey % 100 || '.' || c_custkey % 10 AS DOUBLE), c_custkey) AS score,
+        max_by(['LOW', 'MEDIUM', 'HIGH'][c_custkey % 3 + 1], c_custkey) AS category
+        FROM customer WHERE c_custkey % 4 <> 3 GROUP BY ALL)
 """
 
 
@@ -437,12 +438,13 @@ def trips_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- communities and permits
 
-@query(
-    "community_health_stats",
-    sql="""SELECT CAST(n_nationkey + 1 AS INTEGER) AS communityarea, n_name AS communityareaname,
-        n_nationkey + CAST(0.5 AS DOUBLE) AS belowpoverty, CAST(n_nationkey * 1000 + 20000 AS INTEGER) AS percapitaincome,
-        n_nationkey % 20 + CAST(0.25 AS DOUBLE) AS unemployment FROM nation""",
-)
+HEALTH_SQL = """SELECT CAST(s_suppkey + 1 AS INTEGER) AS communityarea, s_name AS communityareaname,
+    s_suppkey % 100 + CAST(0.5 AS DOUBLE) AS belowpoverty,
+    CAST(s_suppkey * 1000 % 20000 + 20000 AS INTEGER) AS percapitaincome,
+    s_suppkey % 20 + CAST(0.25 AS DOUBLE) AS unemployment FROM supplier"""
+
+
+@query("community_health_stats", sql=HEALTH_SQL)
 def community_health_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.community_health_stats(lake_rows(spark, sf_dir, "community_health"))
 
@@ -466,7 +468,7 @@ def fee_waiver_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     "new_construction",
     sql=f"""WITH {ZIPS_SQL}, {COMM_VOTE_SQL},
         poor AS (SELECT DISTINCT CAST(left(zip, 5) AS INTEGER) AS zipnum FROM voted
-                 WHERE (CAST(areanum AS INTEGER) - 1) * 1000 + 20000 < 30000),
+                 WHERE (CAST(areanum AS INTEGER) - 1) * 1000 % 20000 + 20000 < 30000),
         permits AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_partkey AS k,
                            CAST({WEST} - 500 + p_partkey * 331 % 6000 AS DOUBLE) / {STEPS} AS lon,
                            CAST({SOUTH} - 500 + p_partkey * 257 % 6000 AS DOUBLE) / {STEPS} AS lat

@@ -1,8 +1,8 @@
 """The warehouse tables reshaped into the layouts of the city feeds.
 
 Trips come from ``lineitem``, permits from ``part``, weekly reports from
-``orders``, vulnerability records from ``supplier``, daily reports from
-``customer``, area outlines and statistics from ``nation``, places from ``region``.
+``orders``, vulnerability records and daily reports from ``customer``, zip and area
+outlines and area statistics from ``supplier``, places from ``region``.
 All numbers are whole-number arithmetic on keys, so that any engine gets the same
 text. Coordinates are counted in steps of 0.0001° until they become text.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.filters import AIRPORT_PLACES, NEW_CONSTRUCTION
+from wardline.session import spread
 from wardline.sources.pages import load_rows, to_lake_rows
 from wardline.sources.schemas import (
     BUILDING_PERMITS,
@@ -30,7 +31,8 @@ from wardline.sources.schemas import (
 
 STEPS = 10000  # coordinate steps per degree
 WEST, SOUTH = -880000, 416000  # lower left corner of the zone grid
-ZONE = 1000  # side of a zone square; nations sit on a grid of five by five
+ZONE = 500  # side of a zone square
+COLUMNS = 10  # zone squares to a row of the grid
 AIRPORT_LON, AIRPORT_LAT = -879036, 419796  # where a third of all pickups happen
 
 
@@ -76,7 +78,7 @@ def dropoff_steps() -> tuple[Column, Column]:
 
 def trip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as trip records; one in fourteen has no pickup coordinates."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     no_pickup = (F.col("l_linenumber") == 7) & (F.col("l_linestatus") == "F")
     pickup_lon, pickup_lat = pickup_steps()
     dropoff_lon, dropoff_lat = dropoff_steps()
@@ -177,15 +179,15 @@ def daily_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vulnerability_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``supplier`` as vulnerability records: several per zip, one in four for a community area."""
-    key = F.col("s_suppkey")
+    """``customer`` as vulnerability records: 15 per zip, one in four for a community area."""
+    key = F.col("c_custkey")
     category = F.element_at(F.array(F.lit("LOW"), F.lit("MEDIUM"), F.lit("HIGH")), (key % 3 + 1).cast("int"))
     lon = degrees_text(key * 13 % 5000 + F.lit(WEST))
     lat = degrees_text(key * 29 % 5000 + F.lit(SOUTH))
-    return table(spark, sf_dir, "supplier").select(
+    return table(spark, sf_dir, "customer").select(
         F.when(key % 4 == 3, F.lit("CA")).otherwise(F.lit("ZIP")).alias("geography_type"),
-        F.concat(F.lit("606"), _padded(F.col("s_nationkey"), 2)).alias("community_area_or_zip"),
-        F.col("s_name").alias("community_area_name"),
+        five_digits(F.floor(key / F.lit(15))).alias("community_area_or_zip"),
+        F.col("c_name").alias("community_area_name"),
         F.concat(text(key % 100), F.lit("."), text(key % 10)).alias("ccvi_score"),
         category.alias("ccvi_category"),
         text(key % 77).alias("rank_age_65_plus"),
@@ -195,12 +197,12 @@ def vulnerability_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def health_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").select(
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
         text(key + 1).alias("community_area"),
-        F.col("n_name").alias("community_area_name"),
-        F.concat(text(key), F.lit(".5")).alias("below_poverty_level"),
-        text(key * 1000 + 20000).alias("per_capita_income"),
+        F.col("s_name").alias("community_area_name"),
+        F.concat(text(key % 100), F.lit(".5")).alias("below_poverty_level"),
+        text(key * 1000 % 20000 + 20000).alias("per_capita_income"),
         F.concat(text(key % 20), F.lit(".25")).alias("unemployment"),
         F.struct(key.alias("k")).alias("ingest_seq"),
     )
@@ -233,21 +235,24 @@ def multipolygon(*polygons: list[Column]) -> Column:
     ).alias("the_geom")
 
 
-def _grid(key: Column) -> tuple[Column, Column]:
-    return F.lit(WEST) + key % 5 * ZONE, F.lit(SOUTH) + F.floor(key / F.lit(5)) * ZONE
+def grid_corner(key: Column) -> tuple[Column, Column]:
+    """Lower left corner of the zone square of a key."""
+    return F.lit(WEST) + key % COLUMNS * ZONE, F.lit(SOUTH) + F.floor(key / F.lit(COLUMNS)) * ZONE
 
 
-def zip_name(key: Column) -> Column:
-    """``606`` and two digits; zone 7 carries a nine-digit zip."""
-    return F.concat(F.lit("606"), _padded(key, 2), F.when(key == 7, F.lit("-1234")).otherwise(F.lit("")))
+def five_digits(key: Column) -> Column:
+    """Zip text of a zone key: ``6`` and four digits."""
+    return F.concat(F.lit("6"), _padded(key % 10000, 4))
 
 
 def zip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    west, south = _grid(key)
-    return table(spark, sf_dir, "nation").select(
+    """One zone square per supplier; one in 25 carries a nine-digit zip."""
+    key = F.col("s_suppkey")
+    west, south = grid_corner(key)
+    suffix = F.when(key % 25 == 7, F.lit("-1234")).otherwise(F.lit(""))
+    return table(spark, sf_dir, "supplier").select(
         text(key).alias("objectid"),
-        zip_name(key).alias("zip"),
+        F.concat(five_digits(key), suffix).alias("zip"),
         F.lit(str(ZONE * ZONE)).alias("shape_area"),
         F.lit(str(4 * ZONE)).alias("shape_len"),
         multipolygon([square_ring(west, south, ZONE, 1)]),
@@ -257,28 +262,28 @@ def zip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def boundary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Community areas: zone squares moved off the zone grid, with 40 vertices each."""
-    key = F.col("n_nationkey")
-    west, south = _grid(key)
-    return table(spark, sf_dir, "nation").select(
+    key = F.col("s_suppkey")
+    west, south = grid_corner(key)
+    return table(spark, sf_dir, "supplier").select(
         text(key + 1).alias("area_numbe"),
-        F.col("n_name").alias("community"),
+        F.col("s_name").alias("community"),
         F.lit(str(ZONE * ZONE)).alias("shape_area"),
         F.lit(str(4 * ZONE)).alias("shape_len"),
-        multipolygon([square_ring(west + 300, south + 400, ZONE, 10)]),
+        multipolygon([square_ring(west + 150, south + 200, ZONE, 10)]),
         F.struct(key.alias("k")).alias("ingest_seq"),
     )
 
 
 def neighborhood_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighborhoods: smaller squares with 12 vertices, fewer than a full sample."""
-    key = F.col("n_nationkey")
-    west, south = _grid(key)
-    return table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("pri_neigh"),
-        F.concat(F.lit("SIDE "), text("n_regionkey")).alias("sec_neigh"),
-        F.lit("360000").alias("shape_area"),
-        F.lit("2400").alias("shape_len"),
-        multipolygon([square_ring(west + 600, south + 200, 600, 3)]),
+    key = F.col("s_suppkey")
+    west, south = grid_corner(key)
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("pri_neigh"),
+        F.concat(F.lit("SIDE "), text("s_nationkey")).alias("sec_neigh"),
+        F.lit("90000").alias("shape_area"),
+        F.lit("1200").alias("shape_len"),
+        multipolygon([square_ring(west + 300, south + 100, 300, 3)]),
         F.struct(key.alias("k")).alias("ingest_seq"),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators.checks import REASON
 from wardline.plans import marts
-from wardline.plans.city_queries import TRIPS_SQL, ZIPS_SQL, _outline_sql
+from wardline.plans.city_queries import HEALTH_SQL, TRIPS_SQL, ZIPS_SQL, _outline_sql
 from wardline.plans.city_tables import PAGES, SOUTH, STEPS, WEST, ZONE, lake_rows, table
 from wardline.plans.registry import query
 from wardline.session import scratch_path
@@ -116,15 +116,15 @@ def lake_weekly_covid_by_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "lake_covid_vulnerability",
-    sql=f"""SELECT CASE WHEN s_suppkey % 4 = 3 THEN 'CA' ELSE 'ZIP' END AS geo_type,
-        '606' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS community_area_or_zip, s_name AS community_area_name,
-        s_suppkey % 100 || '.' || s_suppkey % 10 AS ccvi_score, ['LOW', 'MEDIUM', 'HIGH'][s_suppkey % 3 + 1] AS ccvi_category,
-        CAST(s_suppkey % 77 AS VARCHAR) AS rank_age_65_plus, 'Point' AS location_type,
-        printf('%.4f', CAST({SOUTH} + s_suppkey * 29 % 5000 AS DOUBLE) / {STEPS}) AS latitude,
-        printf('%.4f', CAST({WEST} + s_suppkey * 13 % 5000 AS DOUBLE) / {STEPS}) AS longitude,
+    sql=f"""SELECT CASE WHEN c_custkey % 4 = 3 THEN 'CA' ELSE 'ZIP' END AS geo_type,
+        '6' || lpad(CAST(c_custkey // 15 % 10000 AS VARCHAR), 4, '0') AS community_area_or_zip, c_name AS community_area_name,
+        c_custkey % 100 || '.' || c_custkey % 10 AS ccvi_score, ['LOW', 'MEDIUM', 'HIGH'][c_custkey % 3 + 1] AS ccvi_category,
+        CAST(c_custkey % 77 AS VARCHAR) AS rank_age_65_plus, 'Point' AS location_type,
+        printf('%.4f', CAST({SOUTH} + c_custkey * 29 % 5000 AS DOUBLE) / {STEPS}) AS latitude,
+        printf('%.4f', CAST({WEST} + c_custkey * 13 % 5000 AS DOUBLE) / {STEPS}) AS longitude,
         {_blank('''rank_socioeconomic_status rank_household_composition rank_adults_no_pcp rank_cumulative_mobility_ratio
                 rank_frontline_essential_workers rank_comorbid_conditions rank_covid_incidence_rate
-                rank_covid_hospital_admission_rate rank_covid_crude_mortality_rate''')} FROM supplier""",
+                rank_covid_hospital_admission_rate rank_covid_crude_mortality_rate''')} FROM customer""",
 )
 def lake_covid_vulnerability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, "covid_vulnerability")
@@ -132,9 +132,9 @@ def lake_covid_vulnerability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "lake_community_health",
-    sql="""SELECT CAST(n_nationkey + 1 AS VARCHAR) AS communityarea, n_name AS communityareaname,
-        n_nationkey || '.5' AS belowpoverty, CAST(n_nationkey * 1000 + 20000 AS VARCHAR) AS percapitaincome,
-        n_nationkey % 20 || '.25' AS unemployment FROM nation""",
+    sql="""SELECT CAST(s_suppkey + 1 AS VARCHAR) AS communityarea, s_name AS communityareaname,
+        s_suppkey % 100 || '.5' AS belowpoverty, CAST(s_suppkey * 1000 % 20000 + 20000 AS VARCHAR) AS percapitaincome,
+        s_suppkey % 20 || '.25' AS unemployment FROM supplier""",
 )
 def lake_community_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, "community_health")
@@ -146,8 +146,8 @@ _VERTEX = f"""0 AS part, 0 AS ring, CAST(seq AS INTEGER) AS seq, CAST(lon4 AS DO
 
 @query(
     "lake_community_boundaries",
-    sql=f"""WITH {_outline_sql(300, 400, ZONE, 10)} SELECT CAST(n + 1 AS VARCHAR) AS areanum, n_name AS community,
-        '1000000' AS shapearea, '4000' AS shapelen, {_VERTEX} FROM outline""",
+    sql=f"""WITH {_outline_sql(150, 200, ZONE, 10)} SELECT CAST(n + 1 AS VARCHAR) AS areanum, s_name AS community,
+        '250000' AS shapearea, '2000' AS shapelen, {_VERTEX} FROM outline""",
 )
 def lake_community_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, "community_boundaries")
@@ -155,8 +155,8 @@ def lake_community_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "lake_neighborhoods",
-    sql=f"""WITH {_outline_sql(600, 200, 600, 3)} SELECT n_name AS pri_neigh, 'SIDE ' || n_regionkey AS sec_neigh,
-        '360000' AS shape_area, '2400' AS shape_len, 'MultiPolygon' AS geotype, {_VERTEX} FROM outline""",
+    sql=f"""WITH {_outline_sql(300, 100, 300, 3)} SELECT s_name AS pri_neigh, 'SIDE ' || s_nationkey AS sec_neigh,
+        '90000' AS shape_area, '1200' AS shape_len, 'MultiPolygon' AS geotype, {_VERTEX} FROM outline""",
 )
 def lake_neighborhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, "neighborhoods")
@@ -165,7 +165,7 @@ def lake_neighborhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "lake_zipcodes",
     sql=f"""WITH {ZIPS_SQL}, {_outline_sql(0, 0, ZONE, 1)} SELECT CAST(outline.n AS VARCHAR) AS objectid, zip,
-        '1000000' AS shape_area, '4000' AS shape_len, 'MultiPolygon' AS geotype, {_VERTEX}
+        '250000' AS shape_area, '2000' AS shape_len, 'MultiPolygon' AS geotype, {_VERTEX}
         FROM outline JOIN zips ON outline.n = zips.n""",
 )
 def lake_zipcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,12 +208,7 @@ def checked_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.drop("weekstart", "weekend").withColumn("population", F.coalesce("population", F.lit(0)))
 
 
-@query(
-    "full_refresh",
-    sql="""SELECT CAST(n_nationkey + 1 AS INTEGER) AS communityarea, n_name AS communityareaname,
-        n_nationkey + CAST(0.5 AS DOUBLE) AS belowpoverty, CAST(n_nationkey * 1000 + 20000 AS INTEGER) AS percapitaincome,
-        n_nationkey % 20 + CAST(0.25 AS DOUBLE) AS unemployment FROM nation""",
-)
+@query("full_refresh", sql=HEALTH_SQL)
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart rebuilt twice over itself with its declared schema."""
     name, mart = "requirement_5_commhealthstats", scratch_path(spark, "mart")

@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode. A stage whose
+    # generated loop would be larger runs its operators one by one instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -28,6 +31,8 @@ def local_session(app: str = "wardline", cores: str = "*", partitions: int = 8)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        # No call-site capture for every column expression built in Python.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in RUNTIME_SETTINGS.items():
@@ -64,6 +69,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out to all cores.
+
+    Meant for work that is heavy per row on a file that comes in fewer splits than
+    there are cores. With as many splits as cores, the rows stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

@@ -79,14 +79,15 @@ def to_lake_rows(pages: DataFrame, feed: Feed, all_rings: bool = False) -> DataF
     if feed.geometry:
         kinds = [null_to_blank(F.col(feed.geometry)["type"]).alias(name) for name in feed.extra]
         outlines = pages.select(*columns, *kinds, "ingest_seq", feed.geometry)
+        # The key rule goes by outline: its vertices stay or go together.
+        outlines = _apply_key_rule(outlines, feed)
         vertices = ring_vertices(outlines, feed.geometry, all_rings)
         return vertices.select(*feed.lake_schema.names)
 
     return pages.select(*columns, "ingest_seq")
 
 
-def load_rows(rows: DataFrame, feed: Feed) -> DataFrame:
-    """Apply the key rule of the table: first row wins, refuse duplicates, or keep all."""
+def _apply_key_rule(rows: DataFrame, feed: Feed) -> DataFrame:
     if feed.on_duplicate == "first":
         return keyed_first(rows, feed.key, ["ingest_seq"])
     if feed.on_duplicate == "fail":
@@ -94,6 +95,14 @@ def load_rows(rows: DataFrame, feed: Feed) -> DataFrame:
     return rows
 
 
+def load_rows(rows: DataFrame, feed: Feed) -> DataFrame:
+    """Apply the key rule of the table: first row wins, refuse duplicates, or keep all.
+
+    Vertex tables have it applied already, per outline.
+    """
+    return rows if feed.geometry else _apply_key_rule(rows, feed)
+
+
 def write_snapshot(df: DataFrame, path: str) -> str:
     """JSON snapshot of a frame, one object per line."""
     df.write.mode("overwrite").json(path)

@@ -246,7 +246,7 @@ COMMUNITY_HEALTH = Feed(
 
 COMMUNITY_BOUNDARIES = Feed(
     table="community_boundaries",
-    key=("areanum", "part", "ring", "seq"),
+    key=("areanum",),
     on_duplicate="first",
     geometry="the_geom",
     columns={
