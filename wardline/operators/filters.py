@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.text import is_blank
-
 # Categories the feeds use.
 NEW_CONSTRUCTION = "PERMIT - NEW CONSTRUCTION"
 ZIP_GEOGRAPHY = "ZIP"
@@ -27,21 +25,28 @@ def equals(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.filter(F.col(column) == value)
 
 
+def filled(column: str | Column) -> Column:
+    """Neither missing nor empty, in a form the Parquet scan can check itself."""
+    c = F.col(column) if isinstance(column, str) else column
+    return c.isNotNull() & (c != "")
+
+
 def drop_blank(df: DataFrame, *columns: str) -> DataFrame:
     """Drop a row as soon as one of the columns is empty or missing."""
-    blank = F.lit(False)
     for name in columns:
-        blank = blank | is_blank(F.col(name))
-    return df.filter(~blank)
+        df = df.filter(filled(name))
+    return df
 
 
-def either_present(df: DataFrame, first: str, second: str) -> DataFrame:
-    return df.filter(F.col(first).isNotNull() | F.col(second).isNotNull())
+def either_present(df: DataFrame, first: str, second: str, blank_as_null: bool = False) -> DataFrame:
+    present = filled if blank_as_null else (lambda name: F.col(name).isNotNull())
+    return df.filter(present(first) | present(second))
 
 
-def contact_or_area(contact_zip: Column, area: Column) -> Column:
-    """A permit with a usable contact zip, or with a community area."""
-    return (F.coalesce(contact_zip, F.lit("0")) != "0") | area.isNotNull()
+def contact_or_area(contact_zip: str, area: str, blank_as_null: bool = False) -> Column:
+    """A permit with a contact zip other than ``0``, or with a community area."""
+    present = filled if blank_as_null else (lambda name: F.col(name).isNotNull())
+    return (present(contact_zip) & (F.col(contact_zip) != "0")) | present(area)
 
 
 def below(df: DataFrame, column: str, limit: int) -> DataFrame:

@@ -296,8 +296,7 @@ def fee_waiver_permits(permits: DataFrame, blank_as_null: bool = True, limit: in
     Blank text counts as missing; ``blank_as_null=False`` takes the condition literally.
     The id is cast strictly, so ``7`` and ``007`` meet and the first one stays.
     """
-    seen = blank_to_null if blank_as_null else (lambda c: c)
-    wanted = permits.filter(contact_or_area(seen(F.col("contact_zip")), seen(F.col("community_area"))))
+    wanted = permits.filter(contact_or_area("contact_zip", "community_area", blank_as_null))
     rows = _take(wanted, limit, "id").select(
         strict(F.col("id"), "bigint").cast("string").alias("id"),
         "permit_type",
@@ -346,11 +345,8 @@ def new_construction(
 
 def trips_by_area(trips: DataFrame, blank_as_null: bool = True, limit: int | None = None) -> DataFrame:
     """Trips that carry at least one community area."""
-    areas = {f"{end}communityarea": F.col(f"{end}communityarea") for end in ENDS}
-    kept = trips
-    if blank_as_null:
-        kept = trips.withColumns({name: blank_to_null(column) for name, column in areas.items()})
-    kept = either_present(kept, *areas)
+    areas = [f"{end}communityarea" for end in ENDS]
+    kept = either_present(trips, *areas, blank_as_null=blank_as_null)
     return _take(kept, limit, "tripid").select(
         "tripid",
         "tripmiles",
