@@ -239,7 +239,8 @@ def neighborhood_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _neighborhoods(spark: SparkSession, sf_dir: str, zips: ZoneIndex) -> DataFrame:
-    return marts.neighborhood_zips(lake_rows(spark, sf_dir, "neighborhoods"), zips)
+    """The neighborhood map as other marts find it: written, then read."""
+    return stable(marts.neighborhood_zips(lake_rows(spark, sf_dir, "neighborhoods"), zips))
 
 
 # ---------------------------------------------------------------- marts on trips
@@ -484,7 +485,7 @@ def fee_waiver_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def new_construction(spark: SparkSession, sf_dir: str) -> DataFrame:
     zips = zip_index(spark, sf_dir)
-    community_zips = marts.comm_zips(lake_rows(spark, sf_dir, "community_boundaries"), zips)
+    community_zips = stable(marts.comm_zips(lake_rows(spark, sf_dir, "community_boundaries"), zips))
     permits = marts.new_construction(
         lake_rows(spark, sf_dir, "building_permits"), lake_rows(spark, sf_dir, "community_health"), community_zips, zips
     )

@@ -55,13 +55,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only where the setting is missing (tests, one-machine runs) a temporary
     folder is made, once per session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="wardline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
