@@ -69,7 +69,8 @@ ZIPS_SQL = f"""
 TRIPS_SQL = f"""
     raw_steps AS (SELECT *, {TRIP_STEPS_SQL} FROM lineitem),
     trips AS (
-        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS tripid, 'taxi' || l_suppkey AS taxiid,
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                         CAST(round(l_extendedprice * 100) AS BIGINT)) AS tripid, 'taxi' || l_suppkey AS taxiid,
                l_shipdate + to_seconds(CAST(l_partkey * 37 % 86400 AS INTEGER)) AS started,
                CASE WHEN NOT (l_linenumber = 7 AND l_linestatus = 'F') THEN CAST(plon4 AS DOUBLE) / {STEPS} END AS plon,
                CASE WHEN NOT (l_linenumber = 7 AND l_linestatus = 'F') THEN CAST(plat4 AS DOUBLE) / {STEPS} END AS plat,

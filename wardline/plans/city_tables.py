@@ -84,12 +84,13 @@ def trip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     dropoff_lon, dropoff_lat = dropoff_steps()
     start = F.col("l_shipdate") + F.make_dt_interval(secs=(F.col("l_partkey") * 37 % 86400).cast("decimal(18,6)"))
     quantity = F.col("l_quantity").cast("bigint")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
 
     def unless(condition: Column, value: Column) -> Column:
         return F.when(~condition, value)
 
     return li.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("trip_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("trip_id"),
         F.concat(F.lit("taxi"), text("l_suppkey")).alias("taxi_id"),
         _moment_text(start).alias("trip_start_timestamp"),
         _moment_text(start + F.expr("INTERVAL 10 MINUTES")).alias("trip_end_timestamp"),
