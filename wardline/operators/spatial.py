@@ -297,11 +297,23 @@ def distinct_points(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
 
 
 def attach_zones(df: DataFrame, lookup: DataFrame, points: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Left join a (lon, lat, zone) lookup back on each coordinate pair."""
+    """Left join a (lon, lat, zone) lookup back on each coordinate pair.
+
+    Rows without a point match nothing. They get a key made from their own content,
+    which deals them out over all partitions instead of meeting in the one for NULL.
+    """
     lookup = broadcast_if_small(lookup)
     for out, (lon, lat) in points.items():
         side = lookup.select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), F.col("zone").alias(out))
-        df = df.join(side, (F.col(lon) == F.col("_lon")) & (F.col(lat) == F.col("_lat")), "left").drop("_lon", "_lat")
+        missing = F.col(lon).isNull() | F.col(lat).isNull()
+        keyed = df.withColumns(
+            {
+                "_x": F.when(missing, F.xxhash64(*df.columns).cast("double")).otherwise(F.col(lon)),
+                "_y": F.when(missing, F.lit(float("inf"))).otherwise(F.col(lat)),
+            }
+        )
+        joined = keyed.join(side, (F.col("_x") == F.col("_lon")) & (F.col("_y") == F.col("_lat")), "left")
+        df = joined.drop("_x", "_y", "_lon", "_lat")
     return df
 
 
