@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +32,9 @@ def word_count(text: Column) -> Column:
 def unit(hashed: Column) -> Column:
     """A number strictly between 0 and 1 from a 64-bit hash."""
     return (F.shiftrightunsigned(hashed, 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+def column_bytes(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
+    """The texts of a column in UTF-8, one at a time; null is empty."""
+    for value in batch.column(name):
+        yield value.as_buffer().to_pybytes() if value.is_valid else b""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import table
 from wardline.llm.mixing import mix_sources
+from wardline.llm.simhash import simhash_groups
 from wardline.llm.urls import Rule, judge_urls
 from wardline.plans.registry import query
 
@@ -38,6 +39,12 @@ FROM fits
 """
 
 
+@query("op5_simhash_near_dedup")
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document: 4-word shingles, links at 4 or fewer differing bits."""
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 @query("op8_url_filters", URL_SQL)
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url, by longest rule held in a Bloom filter cascade."""
