@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wardline.llm.common import table
 from wardline.llm.mixing import mix_sources
+from wardline.llm.packing import pack_documents
 from wardline.llm.simhash import simhash_groups
 from wardline.llm.urls import Rule, judge_urls
 from wardline.plans.registry import query
@@ -39,6 +40,16 @@ FROM fits
 """
 
 
+#: The ranks of the vocabulary byte_bpe_50k.json: the same ids, made in a quarter of the time.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op1_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, window=1024)
+
+
 @query("op5_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document: 4-word shingles, links at 4 or fewer differing bits."""
