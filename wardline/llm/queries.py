@@ -10,8 +10,18 @@ from wardline.llm.mixing import mix_sources
 from wardline.llm.packing import pack_documents
 from wardline.llm.simhash import simhash_groups
 from wardline.llm.urls import Rule, judge_urls
+from wardline.llm.warc import archive_pages
 from wardline.plans.registry import query
 
+ARCHIVE_SQL = """
+WITH hashed AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first_id FROM hashed GROUP BY payload_digest)
+SELECT page_id, octet_length(payload) AS payload_bytes, payload_digest,
+       CASE WHEN octet_length(payload) >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN octet_length(payload) >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM hashed JOIN firsts USING (payload_digest)
+"""
+
 URL_RULES = (
     Rule("allow", "com", "/"),
     Rule("block", "example.com", "/en/"),
@@ -56,6 +66,12 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+@query("op6_warc_bundles", ARCHIVE_SQL)
+def warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the bundles it was written to."""
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
 @query("op8_url_filters", URL_SQL)
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url, by longest rule held in a Bloom filter cascade."""
