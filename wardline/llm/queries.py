@@ -9,6 +9,7 @@ from wardline.llm.common import table
 from wardline.llm.mixing import mix_sources
 from wardline.llm.packing import pack_documents
 from wardline.llm.simhash import simhash_groups
+from wardline.llm.topk import exact_top_k
 from wardline.llm.urls import Rule, judge_urls
 from wardline.llm.warc import archive_pages
 from wardline.plans.registry import query
@@ -82,3 +83,22 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when sources are mixed 1 : 2 : 3 with at most three passes."""
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+TOP_SQL = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 20
+"""
+
+
+@query("op10_exact_top_k", TOP_SQL)
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors by inner product of every vector whose id is divisible by 20."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
