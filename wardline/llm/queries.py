@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardline.llm.common import table
 from wardline.llm.mixing import mix_sources
 from wardline.llm.packing import pack_documents
+from wardline.llm.quality import judge_quality
 from wardline.llm.simhash import simhash_groups
 from wardline.llm.topk import exact_top_k
 from wardline.llm.urls import Rule, judge_urls
@@ -73,6 +74,12 @@ def warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+@query("op7_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document by a network learned from the labels of the other four folds."""
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_url_filters", URL_SQL)
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url, by longest rule held in a Bloom filter cascade."""
