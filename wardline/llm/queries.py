@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm.common import table
 from wardline.llm.mixing import mix_sources
+from wardline.llm.fingerprints import fingerprint_documents
 from wardline.llm.packing import pack_documents
 from wardline.llm.quality import judge_quality
 from wardline.llm.simhash import simhash_groups
@@ -62,6 +63,12 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, window=1024)
 
 
+@query("op4_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled fingerprint of every document and of its edited text, and how alike they are."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op5_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document: 4-word shingles, links at 4 or fewer differing bits."""
