@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardline.llm.common import table
 from wardline.llm.mixing import mix_sources
 from wardline.llm.fingerprints import fingerprint_documents
+from wardline.llm.licenses import scan_licenses
 from wardline.llm.packing import pack_documents
 from wardline.llm.quality import judge_quality
 from wardline.llm.simhash import simhash_groups
@@ -63,6 +64,12 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, window=1024)
 
 
+@query("op3_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in every document."""
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
 @query("op4_document_fingerprints")
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sampled fingerprint of every document and of its edited text, and how alike they are."""
