@@ -38,3 +38,23 @@ def column_bytes(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
     """The texts of a column in UTF-8, one at a time; null is empty."""
     for value in batch.column(name):
         yield value.as_buffer().to_pybytes() if value.is_valid else b""
+
+
+def match_places(text: Column, pattern: Column) -> Column:
+    """``start, stop, value`` of the leftmost non-overlapping matches of a pattern that matches no empty text.
+
+    Offsets count code points from 0. Built from the lengths of what lies between the matches and of the matches.
+    """
+    kind = "array<struct<start:int,stop:int,value:string>>"
+    values = F.regexp_extract_all(text, pattern, F.lit(0))
+    gaps = F.slice(F.transform(F.split(text, pattern), F.length), F.lit(1), F.size(values))
+    steps = F.zip_with(gaps, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
+
+    def step(done: Column, x: Column) -> Column:
+        start = done["at"] + x["gap"]
+        stop = start + F.length(x["value"])
+        one = F.struct(start.alias("start"), stop.alias("stop"), x["value"].alias("value"))
+        return F.struct(stop.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    return F.aggregate(steps, first, step, lambda done: done["out"])

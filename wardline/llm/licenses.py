@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import ascii_lower
+from wardline.llm.common import ascii_lower, match_places
 from wardline.llm.license_rules import CONFIDENCE, RULES, Rule
 
 #: Everything that is no part of a word: ASCII but digits and letters.
@@ -55,17 +55,10 @@ def _base_places(words: Column) -> list[tuple[Column, Column, Column]]:
 
 def _spans(words: Column, rule: Column) -> Column:
     """The places of one rule: character offsets into the padded words."""
-    gaps = F.transform(F.split(words, rule["pattern"]), F.length)
-    sizes = F.transform(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), F.length)
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(sizes)), sizes, lambda g, s: F.struct(g.alias("gap"), s.alias("size")))
-
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        one = F.struct(start.alias("start"), (start + x["size"]).alias("stop"), rule["priority"], rule["label"])
-        return F.struct((start + x["size"]).alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
-
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(_DETECTION).alias("out"))
-    return F.aggregate(steps, first, step, lambda done: done["out"])
+    return F.transform(
+        match_places(words, rule["pattern"]),
+        lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), rule["priority"].alias("priority"), rule["label"].alias("label")),
+    )
 
 
 def _resolve(found: Column) -> Column:

@@ -10,6 +10,7 @@ from wardline.llm.mixing import mix_sources
 from wardline.llm.fingerprints import fingerprint_documents
 from wardline.llm.licenses import scan_licenses
 from wardline.llm.packing import pack_documents
+from wardline.llm.pii import find_identifiers
 from wardline.llm.quality import judge_quality
 from wardline.llm.simhash import simhash_groups
 from wardline.llm.topk import exact_top_k
@@ -64,6 +65,12 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, window=1024)
 
 
+@query("op2_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return find_identifiers(table(spark, sf_dir, "documents")).drop("found")
+
+
 @query("op3_license_scan")
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses named in every document."""
