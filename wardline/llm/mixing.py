@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import unit, word_count
+from wardline.llm.common import NOT_SPACES, SPACES, unit, word_count
 from wardline.operators.lookups import broadcast_if_small
 from wardline.session import stable
 
@@ -130,6 +130,17 @@ def mix_sources(
     )
 
 
+def _leading_words(text: Column, number: Column) -> Column:
+    """The text up to the end of its ``number``-th word."""
+
+    def characters(pieces: Column) -> Column:
+        sizes = F.transform(F.slice(pieces, F.lit(1), number), F.length)
+        return F.aggregate(sizes, F.lit(0), lambda done, size: done + size)
+
+    words = F.filter(F.split(text, SPACES), lambda word: word != "")
+    return F.substring(text, F.lit(1), characters(words) + characters(F.split(text, NOT_SPACES)))
+
+
 def apply_mix(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The documents themselves in the mix: one row per whole copy, and the leading words of a part that is taken.
 
@@ -143,7 +154,7 @@ def apply_mix(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")),
     )
     taken = numbered.join(plan.select("_row", F.explode(copies).alias("_words")), "_row")
-    leading = F.expr(r"regexp_extract(text, concat('^([ \\t-\\r]*+(?:[^ \\t-\\r]++[ \\t-\\r]*+){', _words, '})'), 1)")
+    leading = _leading_words(F.col("text"), F.col("_words"))
     taken = taken.withColumn("text", F.when(F.col("_words") > 0, leading).otherwise(F.col("text")))
     if "n_chars" in columns:
         taken = taken.withColumn("n_chars", F.length("text").cast("long"))
