@@ -93,8 +93,8 @@ php-3.01 | php | this product includes php software freely available from
 python-2.0 | python | python software foundation license version 2
 json | evil | the software shall be used for good not evil
 beerware | beer | you can buy me a beer in return
-sspl-1.0 | mongodb | server side public license version 1 october 16 2018
-busl-1.1 | business | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use
+sspl-1.0 | server | server side public license version 1 october 16 2018
+busl-1.1 | licen | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use
 elastic-2.0 | hosted | you may not provide the software to third parties as a hosted or managed service
 unicode-3.0 | unicode | https? www unicode org copyright html
 w3c | w3c | by obtaining and or copying this work you the licensee agree that you have read understood
