@@ -48,7 +48,7 @@ apache-2.0 | basis | distributed under the license is distributed on an as is ba
 apache-1.1 | apache | this product includes software developed by the apache software foundation
 gpl | redistribute | you can redistribute it and or modify it under the terms of the gnu general public license
 gpl | gnu | you should have received a copy of the gnu general public license
-gpl | gnu | published by the free software foundation either version \d of the license or at your option any later version
+gpl | published | published by the free software foundation either version \d of the license or at your option any later version
 gpl | merchantability | without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license
 gpl | copyleft | the gnu general public license is a free copyleft license
 gpl | gnu | https? www gnu org licenses (?:old licenses )?gpl(?: \d 0)?(?: txt| html)?
@@ -76,7 +76,7 @@ unlicense | unlicense | https? (?:www )?unlicense org
 wtfpl | fuck | do what the fuck you want to public license
 ofl-1.1 | font | this font software is licensed under the sil open font license version 1 1
 ofl-1.1 | sil | https? scripts sil org ofl
-cc0-1.0 | domain | to the extent possible under law .{1,120} waived all copyright and related or neighboring rights
+cc0-1.0 | neighboring | to the extent possible under law .{1,120} waived all copyright and related or neighboring rights
 cc0-1.0 | creativecommons | https? creativecommons org publicdomain zero 1 0
 cc-by | creativecommons | https? creativecommons org licenses by \d \d
 cc-by-sa | creativecommons | https? creativecommons org licenses by sa \d \d
@@ -97,8 +97,8 @@ sspl-1.0 | server | server side public license version 1 october 16 2018
 busl-1.1 | licen | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use
 elastic-2.0 | hosted | you may not provide the software to third parties as a hosted or managed service
 unicode-3.0 | unicode | https? www unicode org copyright html
-w3c | w3c | by obtaining and or copying this work you the licensee agree that you have read understood
-curl | curl | copyright .{1,60} daniel stenberg
+w3c | licen | by obtaining and or copying this work you the licensee agree that you have read understood
+curl | stenberg | copyright .{1,60} daniel stenberg
 """
 
 #: Names with a version.
@@ -234,7 +234,7 @@ public-domain | public | (?:in|into|to) the public domain
 #: Terms that apply without naming a license.
 HINTS = r"""
 all-rights-reserved | rights | all rights reserved
-all-rights-reserved | rights | no part of this (?:publication|book|work) may be reproduced
+all-rights-reserved | reproduced | no part of this (?:publication|book|work) may be reproduced
 proprietary | proprietary | proprietary and confidential
 proprietary | licen | proprietary licen[sc]e
 non-commercial | commercial | for (?:personal and )?non ?commercial use only
