@@ -26,7 +26,7 @@ BUCKET_ROWS = 4096
 def quality_weight(text: Column) -> Column:
     """1 for plain prose, falling to 0.05 as ASCII punctuation takes up more of the text; null and empty text: 1."""
     kept = F.length(F.regexp_replace(text, r"[!-/:-@\[-`{-~]+", ""))
-    share = F.lit(1.0) - kept / F.length(text)
+    share = F.lit(1.0) - F.try_divide(kept, F.length(text))
     return F.coalesce(F.greatest(F.lit(0.05), F.lit(1.0) - share * 4), F.lit(1.0))
 
 
@@ -90,9 +90,7 @@ def mix_sources(
     drawn = unit(F.xxhash64("doc_id", "text", F.lit(seed)))
     sized = stable(
         docs.select(
-            "doc_id",
-            *keep,
-            "source",
+            *dict.fromkeys(["doc_id", *keep, "source"]),
             word_count(text).alias("size"),
             F.greatest(weight, F.lit(1e-6)).alias("weight"),
             drawn.alias("drawn"),

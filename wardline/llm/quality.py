@@ -227,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     # Rows that repeat an id teach once.
     rows = taught.mapInArrow(features, schema).groupBy("doc_id").agg(F.min(F.struct("features", "quality")).alias("r"))
     rows = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", "r.*").orderBy("h", "doc_id").collect()
-    x = np.array([np.frombuffer(r["features"], np.float32) for r in rows]).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r["features"], np.float32) for r in rows])
     return vectors, train(x, np.array([r["quality"] for r in rows], np.int64))
 
 
