@@ -126,3 +126,31 @@ def test_plan_has_no_pairwise_join_and_no_python(spark):
             assert word not in plan
         if limit:
             assert "Exchange hashpartitioning" not in plan
+
+
+def test_pieces_grow_with_vertices_whatever_the_sizes(spark):
+    """One outline 10,000 times as large as the others, with few and with many corners."""
+    small = {f"s{i:03d}": [[star(i % 20 * 0.01, i // 20 * 0.01, 0.004, 12, i)]] for i in range(200)}
+    for corners in (5, 400):
+        df = shapes(spark, {**small, "z": [[star(0.0, 0.0, 40.0, corners, 9)]]})
+        index = build_zone_index(ring_vertices(df), "zone")
+        vertices = 200 * 13 + corners + 1
+        assert index.pieces.count() < 40 * vertices
+        assert len(index.levels) <= 4
+        limited = build_zone_index(ring_vertices(df), "zone", None, 0)
+        rng = random.Random(4)
+        points = [(rng.uniform(-0.01, 0.2), rng.uniform(-0.01, 0.1)) for _ in range(200)]
+        points += [(rng.uniform(-40, 40), rng.uniform(-40, 40)) for _ in range(200)]
+        rings = {k: v[0][0] for k, v in small.items()} | {"z": star(0.0, 0.0, 40.0, corners, 9)}
+        expected = [next((n for n in sorted(rings) if inside(rings[n], x, y)), None) for x, y in points]
+        assert answers(spark, index, points) == answers(spark, limited, points) == expected
+
+
+@pytest.mark.parametrize("limit", [10**9, 0], ids=["in place", "shuffled"])
+def test_open_rings_are_closed(spark, limit):
+    closed = star(0.0, 0.0, 3.0, 9, 5)
+    for ring in (closed, closed[:-1]):
+        index = build_zone_index(ring_vertices(shapes(spark, {"a": [[ring]]})), "zone", None, limit)
+        rng = random.Random(6)
+        points = [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(200)]
+        assert answers(spark, index, points) == ["a" if inside(closed, x, y) else None for x, y in points]

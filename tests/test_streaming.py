@@ -1,8 +1,14 @@
 import json
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from tests.city import PAGES
-from wardline.sources.schemas import TAXI_TRIPS
-from wardline.streaming.refresh import read_refreshed, refresh_stream
+from wardline.sources.schemas import FEEDS, TAXI_TRIPS, WEEKLY_COVID
+from wardline.sources.tables import lake_table, refresh_lake_table
+from wardline.streaming.refresh import BATCH, BUCKET, BUCKETS, compact_refreshed, known_keys, read_refreshed, refresh_stream
 
 
 def refresh(spark, root, **options):
@@ -42,3 +48,84 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     for name in ("1", ".1.crc"):
         (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
     assert refresh(spark, tmp_path) == before
+
+
+@pytest.mark.parametrize("name", sorted(FEEDS))
+def test_every_feed_streams_to_what_a_full_load_gives(spark, tmp_path, name):
+    """The pages arrive one by one, the first of them twice under another name where the rule allows it."""
+    feed, pages = FEEDS[name], tmp_path / "pages"
+    pages.mkdir()
+    landed = list(PAGES[name])
+    if feed.on_duplicate != "fail":
+        landed.append(landed[0])
+    for number, records in enumerate(landed):
+        (pages / f"page-{number + 1}.json").write_text(json.dumps(records))
+        os.utime(pages / f"page-{number + 1}.json", (1000 + number, 1000 + number))
+        refresh_stream(spark, feed, str(pages), str(tmp_path / "table"), str(tmp_path / "state")).awaitTermination()
+    refresh_lake_table(spark, name, str(pages), str(tmp_path / "lake"))
+    rows = [
+        sorted((tuple(r) for r in df.drop("ingest_seq").collect()), key=repr)
+        for df in (read_refreshed(spark, feed, str(tmp_path / "table")), lake_table(spark, str(tmp_path / "lake"), name))
+    ]
+    assert rows[0] == rows[1] and rows[0]
+
+
+def test_a_key_loaded_before_fails_where_duplicates_are_refused(spark, tmp_path):
+    pages = tmp_path / "pages"
+    pages.mkdir()
+
+    def land_weekly(number, row_id):
+        (pages / f"page-{number}.json").write_text(json.dumps([{"row_id": row_id, "zip_code": "60601"}]))
+        refresh_stream(spark, WEEKLY_COVID, str(pages), str(tmp_path / "table"), str(tmp_path / "state")).awaitTermination()
+
+    land_weekly(1, "a")
+    land_weekly(2, "b")
+    with pytest.raises(StreamingQueryException, match="loaded before"):
+        land_weekly(3, "a")
+    assert read_refreshed(spark, WEEKLY_COVID, str(tmp_path / "table")).count() == 2
+
+
+def test_a_batch_reads_the_folders_of_its_keys_only(spark, tmp_path):
+    table = str(tmp_path / "table")
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("tripid"))
+    for name in TAXI_TRIPS.lake_schema.names:
+        if name not in ("tripid", "ingest_seq"):
+            rows = rows.withColumn(name, F.lit(""))
+    rows = rows.withColumn("ingest_seq", F.lit(None).cast(TAXI_TRIPS.lake_schema["ingest_seq"].dataType))
+    bucket = F.pmod(F.xxhash64("tripid"), F.lit(BUCKETS)).cast("int")
+    rows = rows.withColumn(BUCKET, bucket).withColumn(BATCH, F.lit(0))
+    rows.write.partitionBy(BUCKET, BATCH).parquet(table)
+    batch = spark.createDataFrame([("7",), ("new",)], "tripid string").withColumn(BUCKET, bucket)
+    known = known_keys(batch, spark.read.parquet(table), ["tripid"])
+    assert [r["tripid"] for r in known.collect()] == ["7"]
+    scan = next(line for line in known._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in line and "IN (" in line)
+    assert BUCKET in scan and "ReadSchema: struct<tripid:string>" in known._jdf.queryExecution().toString()
+
+
+def test_compaction_keeps_rows_and_later_batches_see_them(spark, tmp_path):
+    for number in (0, 1):
+        land(tmp_path, number)
+        before = refresh(spark, tmp_path)
+    target = compact_refreshed(spark, TAXI_TRIPS, str(tmp_path / "table"), str(tmp_path / "compact"))
+    assert sorted((r["tripid"], r["dropoffcentroidlongitude"]) for r in read_refreshed(spark, TAXI_TRIPS, target).collect()) == before
+    (tmp_path / "pages" / "page-9.json").write_text(json.dumps(PAGES["taxi_trips"][1]))
+    refresh_stream(spark, TAXI_TRIPS, str(tmp_path / "pages"), target, str(tmp_path / "state")).awaitTermination()
+    assert read_refreshed(spark, TAXI_TRIPS, target).count() == len(before)
+
+
+def test_pages_count_in_landing_order(spark, tmp_path):
+    """Ten pages and more: neither names nor their alphabet decide, but the time of landing, then the number."""
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    for number in range(1, 13):
+        path = pages / f"page-{number}.json"
+        path.write_text(json.dumps([{"trip_id": "t", "company": str(number)}, {"trip_id": f"t{number}", "company": str(number)}]))
+        os.utime(path, (5000, 5000))
+    os.utime(pages / "page-7.json", (4000, 4000))
+    refresh_lake_table(spark, "taxi_trips", str(pages), str(tmp_path / "lake"))
+    kept = {r["tripid"]: r["company"] for r in lake_table(spark, str(tmp_path / "lake"), "taxi_trips").collect()}
+    assert kept["t"] == "7" and len(kept) == 13
+    os.utime(pages / "page-7.json", (5000, 5000))
+    refresh_lake_table(spark, "taxi_trips", str(pages), str(tmp_path / "lake"))
+    again = {r["tripid"]: r["company"] for r in lake_table(spark, str(tmp_path / "lake"), "taxi_trips").collect()}
+    assert again["t"] == "1"

@@ -55,7 +55,12 @@ def majority_vote(df: DataFrame, group: Sequence[str], candidate: str, votes: st
 def zip_by_vote(
     vertices: DataFrame, group: Sequence[str], zip_index: ZoneIndex, size: int = SAMPLE_SIZE, seed: int = 42
 ) -> DataFrame:
-    """Sampled outline points of each area, their zips, and the winning zip."""
-    drawn = sample_per_group(vertices, group, [*group, "part", "ring", "seq"], size, seed, ("longitude", "latitude"))
+    """Sampled outline points of each area, their zips, and the winning zip.
+
+    Points are drawn from the outer rings of all its polygons; the border of a hole is
+    the border of something else.
+    """
+    outer = vertices.filter(F.col("ring") == 0)
+    drawn = sample_per_group(outer, group, [*group, "part", "ring", "seq"], size, seed, ("longitude", "latitude"))
     located = locate(drawn, zip_index, {"zipcode": ("longitude", "latitude")}).filter(F.col("zipcode").isNotNull())
     return majority_vote(located, group, "zipcode")

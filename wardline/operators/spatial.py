@@ -7,6 +7,9 @@ that share a border never both own it. Where zones overlap the smallest name win
 
 The plane is cut into rectangular cells and every edge is listed in the cells whose
 points it can matter for. Points and edges then meet by an equi-join on the cell.
+Outlines of different size use different grids (levels): an outline is at most four
+times as large as the others of its level, so it never covers more than a few columns,
+and a point probes its cell on each level in use.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ def ring_vertices(df: DataFrame, geometry: str = "the_geom", all_rings: bool = F
     """One row per vertex with ``part``, ``ring``, ``seq``, ``longitude``, ``latitude``.
 
     By default the outer ring of the first polygon only; ``all_rings`` keeps every
-    polygon and every hole.
+    polygon and every hole, which is what a zone lookup needs.
     """
     others = [c for c in df.columns if c != geometry]
     polygons = F.col(f"{geometry}.coordinates")
@@ -99,8 +102,25 @@ def ring_edges(vertices: DataFrame, zone: str) -> DataFrame:
         halves.filter(F.col("zone").isNotNull())
         .groupBy("zone", "shape", "part", "ring", "h.edge")
         .agg(F.min("h.p").alias("lo"), F.max("h.p").alias("hi"), F.count(F.lit(1)).alias("ends"))
+        .filter(F.col("ends") == 2)
+        .select("zone", "shape", "lo", "hi")
     )
-    return pairs.filter((F.col("ends") == 2) & (F.col("lo.y") < F.col("hi.y"))).select(
+    # A ring whose last vertex is not its first one is closed by an edge between the two.
+    ends = (
+        vertices.filter(F.col(zone).isNotNull())
+        .groupBy(F.col(zone).alias("zone"), shape.alias("shape"), "part", "ring")
+        .agg(F.min_by(point, "seq").alias("first"), F.max_by(point, "seq").alias("last"))
+        .filter(F.col("first") != F.col("last"))
+        .select("zone", "shape", F.least("first.y", "last.y").alias("low"), "first", "last")
+    )
+    first_lower = F.col("first.y") == F.col("low")
+    closing = ends.select(
+        "zone",
+        "shape",
+        F.when(first_lower, F.col("first")).otherwise(F.col("last")).alias("lo"),
+        F.when(first_lower, F.col("last")).otherwise(F.col("first")).alias("hi"),
+    )
+    return pairs.unionByName(closing).filter(F.col("lo.y") < F.col("hi.y")).select(
         "zone",
         "shape",
         F.col("lo.x").alias("lo_x"),
@@ -123,36 +143,40 @@ def _right_of(edge, x: Column, y: Column) -> Column:
 class ZoneIndex:
     """Zone outlines cut into cells.
 
-    ``pieces`` has one row per cell, outline and edge that points of the cell must be
-    tested against, plus one without an edge where an odd number of further edges
+    ``levels`` maps the number of each level in use to the (width, height) of its cells.
+    ``pieces`` has one row per level, cell, outline and edge that points of the cell must
+    be tested against, plus one without an edge where an odd number of further edges
     lies to the right of the whole cell. ``directory``, the same with one row per
     cell, exists only where the pieces together stay below the broadcast limit.
     """
 
-    cell_width: float
-    cell_height: float
+    levels: Mapping[int, tuple[float, float]]
     pieces: DataFrame
     directory: DataFrame | None
 
 
-def _cell_number(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(size))
+def _cell_number(value: Column, size: Column | float) -> Column:
+    return F.floor(value / (F.lit(size) if isinstance(size, float) else size))
 
 
 def _cell_key(column: Column, row: Column) -> Column:
     return column * F.lit(_CELL_SPAN) + row
 
 
-def _fitting_cells(extents: DataFrame) -> tuple[float, float]:
-    """Cell width and height for these outlines.
+def _fitting_levels(extents: DataFrame) -> dict[int, tuple[float, float]]:
+    """Cell width and height for the outlines of each level.
 
     A point is tested against the edges that share its cell row, so rows get
     narrower with the number of vertices: about eight vertices to a row. Every edge
-    is listed once per column to its left, so there are four columns to an outline.
+    is listed once per column to its left, so there are about four columns to an outline.
+    One row per level comes to the driver: as many as the sizes have powers of four.
     """
-    mean = extents.agg(F.avg("extent").alias("extent"), F.avg("vertices").alias("vertices")).first()
-    extent = mean["extent"] or 1.0
-    return extent / 4, extent / min(max((mean["vertices"] or 0) / 8, 4), 512)
+    means = extents.groupBy("level").agg(F.avg("extent").alias("extent"), F.avg("vertices").alias("vertices")).collect()
+    levels = {}
+    for row in means:
+        extent = row["extent"] or 1.0
+        levels[row["level"]] = (extent / 4, extent / max((row["vertices"] or 0) / 8, 4))
+    return levels
 
 
 def build_zone_index(
@@ -161,26 +185,41 @@ def build_zone_index(
     cell: tuple[float, float] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> ZoneIndex:
-    """Cut the outlines into cells of the given (width, height), or of a fitting one."""
+    """Cut the outlines into cells of the given (width, height), or of fitting ones.
+
+    An edge of an outline gives pieces in proportion to the columns to its left and the
+    rows it spans. Its outline is no more than a few times wider than the mean of its level,
+    and the edges of a ring together span about as many rows as it has vertices: the
+    pieces grow with the vertices, however different the outlines are.
+    """
     shape = F.col("ingest_seq") if "ingest_seq" in vertices.columns else F.lit(0)
     extents = vertices.groupBy(F.col(zone).alias("zone"), shape.alias("shape")).agg(
         F.min("longitude").alias("outline_left"),
         ((F.max("longitude") - F.min("longitude") + F.max("latitude") - F.min("latitude")) / 2).alias("extent"),
         F.count(F.lit(1)).alias("vertices"),
     )
-    width, height = cell or _fitting_cells(extents)
+    size = F.when(F.col("extent") > 0, F.floor(F.log(4.0, "extent"))).otherwise(F.lit(0))
+    extents = extents.withColumn("level", F.lit(0) if cell else F.coalesce(size, F.lit(0)).cast("int"))
+    levels = {0: cell} if cell else _fitting_levels(extents)
+    if not levels:
+        levels = {0: (1.0, 1.0)}
+
+    def per_level(n: int) -> Column:
+        sizes = [F.when(F.col("level") == level, F.lit(float(cells[n]))) for level, cells in levels.items()]
+        return F.coalesce(*sizes)
 
     left, right = F.least("lo_x", "hi_x"), F.greatest("lo_x", "hi_x")
     edges = (
         ring_edges(vertices, zone)
-        .join(extents.select("zone", "shape", "outline_left"), ["zone", "shape"])
+        .join(extents.select("zone", "shape", "outline_left", "level"), ["zone", "shape"])
+        .withColumns({"width": per_level(0), "height": per_level(1)})
         .withColumns(
             {
-                "low_row": _cell_number(F.col("lo_y"), height),
-                "high_row": _cell_number(F.col("hi_y"), height),
-                "first_col": _cell_number(F.col("outline_left"), width),
-                "left_col": _cell_number(left, width),
-                "last_col": _cell_number(right, width),
+                "low_row": _cell_number(F.col("lo_y"), F.col("height")),
+                "high_row": _cell_number(F.col("hi_y"), F.col("height")),
+                "first_col": _cell_number(F.col("outline_left"), F.col("width")),
+                "left_col": _cell_number(left, F.col("width")),
+                "last_col": _cell_number(right, F.col("width")),
             }
         )
     )
@@ -198,6 +237,7 @@ def build_zone_index(
         edges.withColumn("row", F.explode(F.sequence("low_row", "high_row")))
         .withColumn("col", F.explode(F.sequence("first_col", "last_col")))
         .select(
+            "level",
             _cell_key(F.col("col"), F.col("row")).alias("cell"),
             "zone",
             "shape",
@@ -206,37 +246,44 @@ def build_zone_index(
     )
     # Equal pieces of one outline cancel in pairs: only an odd count changes the answer.
     pieces = (
-        listed.groupBy("cell", "zone", "shape", *_EDGE)
+        listed.groupBy("level", "cell", "zone", "shape", *_EDGE)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") % 2 == 1)
         .drop("n")
     )
     if bytes_bound <= broadcast_limit:
-        return ZoneIndex(width, height, pieces, stable(_cell_directory(pieces)))
-    return ZoneIndex(width, height, stable(pieces), None)
+        return ZoneIndex(levels, pieces, stable(_cell_directory(pieces)))
+    return ZoneIndex(levels, stable(pieces), None)
 
 
-def _point_cell(index: ZoneIndex, x: Column, y: Column) -> Column:
+def _point_cell(cells: tuple[float, float], x: Column, y: Column) -> Column:
     """Cell of a point; NULL for a missing, non-finite or absurdly far one."""
+    width, height = map(float, cells)
     bound = _CELL_SPAN // 4
-    usable = (F.abs(x) < F.lit(index.cell_width * bound)) & (F.abs(y) < F.lit(index.cell_height * bound))
-    return F.when(usable, _cell_key(_cell_number(x, index.cell_width), _cell_number(y, index.cell_height)))
+    usable = (F.abs(x) < F.lit(width * bound)) & (F.abs(y) < F.lit(height * bound))
+    return F.when(usable, _cell_key(_cell_number(x, width), _cell_number(y, height)))
 
 
 def _cell_directory(pieces: DataFrame) -> DataFrame:
     """One row per cell: its candidate outlines in name order with the edges to test.
 
-    Only built where all pieces stay below the broadcast limit, which bounds every array.
+    Most cells lie wholly inside one zone: ``owner`` is the first zone that holds all of the
+    cell, and only candidates that come before it need a test. Only built where all pieces
+    stay below the broadcast limit, which bounds every array.
     """
     edge = F.struct(*_EDGE)
     has_edge = F.col("lo_x").isNotNull()
-    per_outline = pieces.groupBy("cell", "zone", "shape").agg(
+    per_outline = pieces.groupBy("level", "cell", "zone", "shape").agg(
         F.count(F.when(~has_edge, 1)).cast("int").alias("always"),
         F.collect_list(F.when(has_edge, edge)).alias("edges"),
     )
-    return per_outline.groupBy("cell").agg(
-        F.sort_array(F.collect_list(F.struct("zone", "always", "edges"))).alias("candidates")
+    covers = (F.size("edges") == 0) & (F.col("always") % 2 == 1)
+    cells = per_outline.groupBy("level", "cell").agg(
+        F.min(F.when(covers, F.col("zone"))).alias("owner"),
+        F.sort_array(F.collect_list(F.when(F.size("edges") > 0, F.struct("zone", "always", "edges")))).alias("candidates"),
     )
+    tested = F.filter("candidates", lambda c: F.col("owner").isNull() | (c["zone"] < F.col("owner")))
+    return cells.select("level", "cell", "owner", tested.alias("candidates"))
 
 
 def _holds(x: Column, y: Column):
@@ -255,28 +302,40 @@ def _holds(x: Column, y: Column):
 
 def _locate_in_place(df: DataFrame, index: ZoneIndex, points: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Small index: every row finds its cell's candidates by a map-side join, nothing is shuffled."""
-    directory = F.broadcast(index.directory)
     for out, (lon, lat) in points.items():
         x, y = F.col(lon), F.col(lat)
-        matched = df.withColumn("_cell", _point_cell(index, x, y)).join(
-            directory.withColumnRenamed("cell", "_cell"), "_cell", "left"
-        )
-        owners = F.filter("candidates", _holds(x, y))
-        df = matched.withColumn(out, F.get(owners, F.lit(0))["zone"]).drop("_cell", "candidates")
+        found = []
+        for level, cells in index.levels.items():
+            cell, answer = f"_cell{len(found)}", f"_zone{len(found)}"
+            side = index.directory.filter(F.col("level") == level).drop("level").withColumnRenamed("cell", cell)
+            df = df.withColumn(cell, _point_cell(cells, x, y)).join(F.broadcast(side), cell, "left")
+            tested = F.get(F.filter("candidates", _holds(x, y)), F.lit(0))["zone"]
+            first = F.when(F.size("candidates") > 0, F.coalesce(tested, F.col("owner"))).otherwise(F.col("owner"))
+            df = df.withColumn(answer, first).drop(cell, "owner", "candidates")
+            found.append(answer)
+        df = df.withColumn(out, F.least(*found) if len(found) > 1 else F.col(found[0])).drop(*found)
     return df
 
 
 def zone_of_points(points: DataFrame, index: ZoneIndex) -> DataFrame:
     """Shuffled way: ``lon, lat`` rows (distinct) to ``lon, lat, zone`` for those inside one.
 
-    Edges meet points on the cell; the join emits true crossings only, which are
+    Edges meet points on level and cell; the join emits true crossings only, which are
     counted per point and outline on the map side. Adaptive execution splits a crowded cell.
     """
-    keyed = points.withColumn("cell", _point_cell(index, F.col("lon"), F.col("lat"))).filter(F.col("cell").isNotNull())
-    pieces = index.pieces.withColumnRenamed("cell", "piece_cell")
+    probes = F.array(
+        *[
+            F.struct(F.lit(level).alias("level"), _point_cell(cells, F.col("lon"), F.col("lat")).alias("cell"))
+            for level, cells in index.levels.items()
+        ]
+    )
+    keyed = points.withColumn("_probe", F.explode(probes)).select(*points.columns, "_probe.level", "_probe.cell")
+    keyed = keyed.filter(F.col("cell").isNotNull())
+    pieces = index.pieces.withColumnsRenamed({"cell": "piece_cell", "level": "piece_level"})
     crossing = F.col("lo_x").isNull() | _right_of({c: F.col(c) for c in _EDGE}, F.col("lon"), F.col("lat"))
+    same_cell = (F.col("cell") == F.col("piece_cell")) & (F.col("level") == F.col("piece_level"))
     return (
-        keyed.join(pieces, (F.col("cell") == F.col("piece_cell")) & crossing)
+        keyed.join(pieces, same_cell & crossing)
         .groupBy("lon", "lat", "zone", "shape")
         .agg(F.count(F.lit(1)).alias("crossings"))
         .filter(F.col("crossings") % 2 == 1)

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.filters import AIRPORT_PLACES, NEW_CONSTRUCTION
-from wardline.session import spread
-from wardline.sources.pages import load_rows, to_lake_rows
+from wardline.sources.pages import first_rows, flat_rows, parsed_rows
 from wardline.sources.schemas import (
     BUILDING_PERMITS,
     COMMUNITY_BOUNDARIES,
@@ -78,7 +77,7 @@ def dropoff_steps() -> tuple[Column, Column]:
 
 def trip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as trip records; one in fourteen has no pickup coordinates."""
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     no_pickup = (F.col("l_linenumber") == 7) & (F.col("l_linestatus") == "F")
     pickup_lon, pickup_lat = pickup_steps()
     dropoff_lon, dropoff_lat = dropoff_steps()
@@ -326,8 +325,8 @@ def _with_missing_fields(pages: DataFrame, feed: Feed) -> DataFrame:
     return pages.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else pages
 
 
-def lake_rows(spark: SparkSession, sf_dir: str, name: str, keyed: bool = False) -> DataFrame:
-    """The table as it would stand in the lake. Keys are unique by construction; ``keyed`` applies the key rule anyway."""
+def lake_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as it would stand in the lake. Keys of tables without outlines are unique by construction."""
     feed, pages = PAGES[name]
-    rows = to_lake_rows(_with_missing_fields(pages(spark, sf_dir), feed), feed)
-    return load_rows(rows, feed) if keyed else rows
+    rows = parsed_rows(_with_missing_fields(pages(spark, sf_dir), feed), feed)
+    return flat_rows(first_rows(rows, feed) if feed.geometry else rows, feed)

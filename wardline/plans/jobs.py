@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
+from wardline.operators.indexing import with_row_index
 from wardline.operators.spatial import build_zone_index
 from wardline.plans import marts
 from wardline.sources.schemas import FEEDS
@@ -17,14 +19,21 @@ from wardline.sources.tables import (
 )
 
 
-def build_lake(spark: SparkSession, pages: str, lake: str, multiline: bool = True, all_rings: bool = False) -> None:
-    """Rebuild every lake table from ``pages/<table>``."""
+def build_lake(spark: SparkSession, pages: str, lake: str, multiline: bool = True, all_rings: bool = True) -> None:
+    """Rebuild every lake table from ``pages/<table>``, with rejects and audits beside them.
+
+    Outline tables hold every polygon and every hole, which the zone lookups of the
+    marts need. ``all_rings=False`` cuts them to the outer ring of the first polygon.
+    """
     for table in FEEDS:
         refresh_lake_table(spark, table, f"{pages}/{table}", lake, multiline, all_rings)
 
 
-def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42) -> None:
-    """Rebuild every mart table. Marts that feed others are written first and read back."""
+def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42, row_index: bool = False) -> None:
+    """Rebuild every mart table. Marts that feed others are written first and read back.
+
+    ``row_index`` gives the typed trips and their forecast a leading ``index`` column.
+    """
 
     def read(table: str):
         return lake_table(spark, lake, table)
@@ -32,6 +41,13 @@ def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42) -> No
     def write(table: str, df) -> None:
         refresh(df, mart_schema(table), f"{mart}/{table}")
 
+    def write_indexed(table: str, df, order: list[str]) -> None:
+        if row_index:
+            schema = T.StructType([T.StructField("index", T.LongType()), *mart_schema(table).fields])
+            refresh(with_row_index(df, order), schema, f"{mart}/{table}")
+        else:
+            write(table, df)
+
     def write_checked(table: str, df) -> None:
         refresh_checked(df, mart_schema(table), f"{mart}/{table}")
 
@@ -51,8 +67,9 @@ def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42) -> No
         "requirement_3_ccvi_alerts",
         marts.ccvi_alerts(trips, read("covid_vulnerability"), neighborhood_of_zip, zips),
     )
-    write("requirement_4_taxi_trips", marts.typed_trips(trips, zips))
-    write("requirement_4_taxi_trips_forecast", marts.trip_forecast(mart_table(spark, mart, "requirement_4_taxi_trips")))
+    write_indexed("requirement_4_taxi_trips", marts.typed_trips(trips, zips), ["tripid"])
+    typed = mart_table(spark, mart, "requirement_4_taxi_trips")
+    write_indexed("requirement_4_taxi_trips_forecast", marts.trip_forecast(typed), ["tripdate", "zip"])
     write("requirement_5_commhealthstats", marts.community_health_stats(health))
     write("requirement_5_buildingpermitfeewaiver", marts.fee_waiver_permits(permits))
     write_checked("requirement_6_new_construction", marts.new_construction(permits, health, community_zips, zips))
@@ -61,3 +78,4 @@ def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42) -> No
         "requirement_9_area_forecast",
         marts.area_forecast(mart_table(spark, mart, "requirement_4_taxi_trips_forecast"), neighborhood_of_zip),
     )
+    write("requirement_9_community_forecast", marts.community_forecast(trips))

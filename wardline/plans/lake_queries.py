@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from wardline.operators.checks import REASON
 from wardline.plans import marts
+from wardline.operators.spatial import build_zone_index, locate, ring_vertices
+from wardline.plans.basic_queries import TRIP_STEPS_SQL, trip_coordinates
 from wardline.plans.city_queries import HEALTH_SQL, TRIPS_SQL, ZIPS_SQL, _outline_sql
-from wardline.plans.city_tables import PAGES, SOUTH, STEPS, WEST, ZONE, lake_rows, table
+from wardline.plans.city_tables import PAGES, SOUTH, STEPS, WEST, ZONE, five_digits, lake_rows, multipolygon, square_ring, table
 from wardline.plans.registry import query
 from wardline.session import scratch_path
-from wardline.sources.pages import read_pages, read_snapshot, to_lake_rows, write_snapshot
-from wardline.sources.schemas import DAILY_COVID, FEEDS, TAXI_TRIPS
+from wardline.sources.pages import read_pages, read_snapshot, to_lake_rows, write_array_pages, write_snapshot
+from wardline.sources.schemas import COMMUNITY_BOUNDARIES, DAILY_COVID, FEEDS, TAXI_TRIPS, Feed
 from wardline.sources.tables import (
+    lake_audit,
+    lake_rejects,
     lake_table,
     mart_schema,
     mart_table,
@@ -25,16 +29,17 @@ from wardline.sources.tables import (
 from wardline.streaming.refresh import read_refreshed, refresh_stream
 
 
-def _land(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Write one table as JSON pages, one object per line; NULL fields are left out."""
+def _land(spark: SparkSession, sf_dir: str, name: str, arrays: bool = False) -> str:
+    """Write one table as JSON pages, one object per line or as arrays; NULL fields are left out."""
     _, pages = PAGES[name]
-    return write_snapshot(pages(spark, sf_dir).drop("ingest_seq"), scratch_path(spark, f"pages-{name}"))
+    write = write_array_pages if arrays else write_snapshot
+    return write(pages(spark, sf_dir).drop("ingest_seq"), scratch_path(spark, f"pages-{name}"))
 
 
-def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def loaded(spark: SparkSession, sf_dir: str, name: str, arrays: bool = False) -> DataFrame:
     """Land, load with the table's key rule, and read the lake table."""
-    pages, lake = _land(spark, sf_dir, name), scratch_path(spark, "lake")
-    refresh_lake_table(spark, name, pages, lake, multiline=False)
+    pages, lake = _land(spark, sf_dir, name, arrays), scratch_path(spark, "lake")
+    refresh_lake_table(spark, name, pages, lake, multiline=arrays)
     return lake_table(spark, lake, name).drop("ingest_seq")
 
 
@@ -44,9 +49,7 @@ def _blank(columns: str) -> str:
 
 # ---------------------------------------------------------------- the nine feeds
 
-@query(
-    "lake_building_permits",
-    sql=f"""SELECT CAST(p_partkey AS VARCHAR) AS id,
+_PERMITS_SQL = f"""SELECT CAST(p_partkey AS VARCHAR) AS id,
         CASE p_partkey % 50 WHEN 1 THEN 'B' || p_partkey WHEN 2 THEN '30000' || lpad(CAST(p_partkey AS VARCHAR), 6, '0')
             ELSE CAST(p_partkey + 100000 AS VARCHAR) END AS permit_num,
         CASE WHEN p_type = 'ECONOMY' THEN 'PERMIT - NEW CONSTRUCTION' ELSE 'PERMIT - ' || p_type END AS permit_type,
@@ -59,12 +62,20 @@ def _blank(columns: str) -> str:
         printf('%.4f', CAST({SOUTH} - 500 + p_partkey * 257 % 6000 AS DOUBLE) / {STEPS}) AS latitude,
         printf('%.4f', CAST({WEST} - 500 + p_partkey * 331 % 6000 AS DOUBLE) / {STEPS}) AS longitude,
         {_blank('''application_start_date issue_date street_num street_direction street_name street_suffix contact_type
-                contact_name contact_city contact_state census_tract x_coordinate y_coordinate''')} FROM part""",
-)
+                contact_name contact_city contact_state census_tract x_coordinate y_coordinate''')} FROM part"""
+
+
+@query("lake_building_permits", sql=_PERMITS_SQL)
 def lake_building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, "building_permits")
 
 
+@query("lake_array_pages", sql=_PERMITS_SQL)
+def lake_array_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from pages that hold one JSON array each, the form in which the feeds deliver them."""
+    return loaded(spark, sf_dir, "building_permits", arrays=True)
+
+
 _STAMP = "strftime({0}, '%Y-%m-%dT%H:%M:%S') || '.000'"
 
 
@@ -86,12 +97,12 @@ def lake_taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 _COUNT_COLUMNS = [c for c in DAILY_COVID.columns if c != "labreportdate"]
 
 
-@query(
-    "lake_daily_covid_cases",
-    sql=f"""SELECT strftime(DATE '2020-03-01' + CAST(c_custkey % 1000 AS INTEGER), '%Y-%m-%d') || 'T00:00:00.000'
+_DAILY_SQL = f"""SELECT strftime(DATE '2020-03-01' + CAST(c_custkey % 1000 AS INTEGER), '%Y-%m-%d') || 'T00:00:00.000'
         AS labreportdate, {", ".join(f"CAST(c_custkey * {i + 1} % 97 AS VARCHAR) AS {c}" for i, c in enumerate(_COUNT_COLUMNS))}
-        FROM customer""",
-)
+        FROM customer"""
+
+
+@query("lake_daily_covid_cases", sql=_DAILY_SQL)
 def lake_daily_covid_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, "daily_covid_cases")
 
@@ -144,11 +155,11 @@ _VERTEX = f"""0 AS part, 0 AS ring, CAST(seq AS INTEGER) AS seq, CAST(lon4 AS DO
     CAST(lat4 AS DOUBLE) / {STEPS} AS latitude"""
 
 
-@query(
-    "lake_community_boundaries",
-    sql=f"""WITH {_outline_sql(150, 200, ZONE, 10)} SELECT CAST(n + 1 AS VARCHAR) AS areanum, s_name AS community,
-        '250000' AS shapearea, '2000' AS shapelen, {_VERTEX} FROM outline""",
-)
+_BOUNDARIES_SQL = f"""WITH {_outline_sql(150, 200, ZONE, 10)} SELECT CAST(n + 1 AS VARCHAR) AS areanum, s_name AS community,
+        '250000' AS shapearea, '2000' AS shapelen, {_VERTEX} FROM outline"""
+
+
+@query("lake_community_boundaries", sql=_BOUNDARIES_SQL)
 def lake_community_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir, "community_boundaries")
 
@@ -273,3 +284,183 @@ def first_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = FEEDS["building_permits"]
     pages = read_pages(spark, feed, path, multiline=False, limit=50)
     return to_lake_rows(pages, feed).select("id", "review_type")
+
+
+# ---------------------------------------------------------------- landing order, incremental loads, accounts
+
+_LANDINGS = 12
+
+
+def _land_page(spark: SparkSession, orders: DataFrame, root: str, number: int) -> None:
+    """One page: the orders whose key, modulo the number of pages, is below its number."""
+    write_snapshot(
+        orders.filter(F.col("o_orderkey") % _LANDINGS < number)
+        .coalesce(1)
+        .select(
+            F.col("o_orderkey").cast("string").alias("trip_id"),
+            F.concat(F.lit("taxi"), F.col("o_custkey").cast("string")).alias("taxi_id"),
+            F.lit(str(number)).alias("company"),
+            (F.col("o_custkey") * number).cast("string").alias("fare"),
+        ),
+        f"{root}/page-{number}",
+    )
+
+
+_LANDING_SQL = f"""SELECT CAST(o_orderkey AS VARCHAR) AS tripid, 'taxi' || o_custkey AS taxiid,
+    CAST(o_orderkey % {_LANDINGS} + 1 AS VARCHAR) AS company,
+    CAST(o_custkey * (o_orderkey % {_LANDINGS} + 1) AS VARCHAR) AS fare FROM orders"""
+
+
+@query("landing_order", sql=_LANDING_SQL)
+def landing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve pages, whose names sort otherwise than they were landed: of each trip the page landed first stays."""
+    orders, root, lake = table(spark, sf_dir, "orders"), scratch_path(spark, "landings"), scratch_path(spark, "lake")
+    for number in range(1, _LANDINGS + 1):
+        _land_page(spark, orders, root, number)
+    refresh_lake_table(spark, "taxi_trips", root, lake, multiline=False)
+    return lake_table(spark, lake, "taxi_trips").select("tripid", "taxiid", "company", "fare")
+
+
+@query("stream_landing_order", sql=_LANDING_SQL)
+def stream_landing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same incrementally: three pages landed before the first run, the others before the second."""
+    orders, root = table(spark, sf_dir, "orders"), scratch_path(spark, "landings")
+    lake, state = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-state")
+    for numbers in (range(1, 4), range(4, _LANDINGS + 1)):
+        for number in numbers:
+            _land_page(spark, orders, root, number)
+        refresh_stream(spark, TAXI_TRIPS, root, lake, state, multiline=False).awaitTermination()
+    return read_refreshed(spark, TAXI_TRIPS, lake).select("tripid", "taxiid", "company", "fare")
+
+
+def _streamed(spark: SparkSession, feed: Feed, halves: list[DataFrame]) -> DataFrame:
+    root, lake, state = (scratch_path(spark, name) for name in ("pages", "stream-table", "stream-state"))
+    for number, half in enumerate(halves):
+        write_snapshot(half.drop("ingest_seq"), f"{root}/page-{number}")
+        refresh_stream(spark, feed, root, lake, state, multiline=False).awaitTermination()
+    return read_refreshed(spark, feed, lake).drop("ingest_seq")
+
+
+@query("stream_unkeyed", sql=_DAILY_SQL)
+def stream_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed without a key, loaded in two runs: every row is added."""
+    reports = PAGES["daily_covid_cases"][1](spark, sf_dir)
+    early = F.col("lab_report_date") < "2021"
+    return _streamed(spark, DAILY_COVID, [reports.filter(early), reports.filter(~early)])
+
+
+@query("stream_outlines", sql=_BOUNDARIES_SQL)
+def stream_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlines in two runs; the second brings all areas again, moved, of which only the new ones stay."""
+    areas = PAGES["community_boundaries"][1](spark, sf_dir)
+    odd = F.col("area_numbe").cast("bigint") % 2 == 1
+    moved = F.transform(
+        F.col("the_geom.coordinates"), lambda p: F.transform(p, lambda r: F.transform(r, lambda v: F.transform(v, lambda x: x + 1)))
+    )
+    again = areas.filter(odd).withColumn("the_geom", F.struct(F.col("the_geom.type").alias("type"), moved.alias("coordinates")))
+    return _streamed(spark, COMMUNITY_BOUNDARIES, [areas.filter(odd), again.unionByName(areas.filter(~odd))])
+
+
+def _two_page_lake(spark: SparkSession, sf_dir: str) -> str:
+    lake = scratch_path(spark, "lake")
+    refresh_lake_table(spark, "taxi_trips", _land_two_pages(spark, sf_dir), lake, multiline=False)
+    return lake
+
+
+@query(
+    "lake_load_audit",
+    sql="""SELECT 'taxi_trips' AS table_name, count(*) + count(*) FILTER (o_orderstatus IN ('F', 'P')) AS rows_in,
+        count(*) AS rows_kept, count(*) FILTER (o_orderstatus IN ('F', 'P')) AS duplicate_rows,
+        CAST(0 AS BIGINT) AS blank_values FROM orders""",
+)
+def lake_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account a load leaves: rows in are those kept and those that lost to an earlier one."""
+    return lake_audit(spark, _two_page_lake(spark, sf_dir), ["taxi_trips"])
+
+
+@query(
+    "duplicate_rejects",
+    sql="""SELECT CAST(o_orderkey AS VARCHAR) AS tripid, 'second' AS company, CAST(o_custkey * 2 AS VARCHAR) AS fare
+        FROM orders WHERE o_orderstatus IN ('F', 'P')""",
+)
+def duplicate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows a load leaves out, as it writes them."""
+    return lake_rejects(spark, _two_page_lake(spark, sf_dir), "taxi_trips").select("tripid", "company", "fare")
+
+
+@query(
+    "limited_trips",
+    sql=f"""WITH {TRIPS_SQL} SELECT tripid, CAST(total AS VARCHAR) AS triptotal FROM trips
+        WHERE parea IS NOT NULL OR darea IS NOT NULL ORDER BY tripid LIMIT 500""",
+)
+def limited_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart under a row limit, which counts after its filter and in key order."""
+    return marts.trips_by_area(lake_rows(spark, sf_dir, "taxi_trips"), limit=500).select("tripid", "triptotal")
+
+
+# ---------------------------------------------------------------- whole outlines
+
+@query(
+    "multi_part_zips",
+    sql=f"""WITH points AS (SELECT l_orderkey, l_linenumber, l_suppkey, {TRIP_STEPS_SQL} FROM lineitem),
+        spots AS (SELECT *, dlon4 - ({WEST}) AS x, dlat4 - ({SOUTH}) AS y FROM points),
+        cells AS (SELECT *, CAST(floor(x / 1000.0) AS INTEGER) AS cx, CAST(floor(y / 1000.0) AS INTEGER) AS cy FROM spots),
+        inside AS (SELECT *, x - cx * 1000 AS dx, y - cy * 1000 AS dy FROM cells)
+        SELECT l_orderkey, l_linenumber, l_suppkey,
+               CASE WHEN cx BETWEEN 0 AND 4 AND cy BETWEEN 0 AND 4
+                     AND (dx < 600 AND dy < 600 AND NOT (dx >= 100 AND dx < 300 AND dy >= 100 AND dy < 300)
+                          OR dx >= 700 AND dx < 900 AND dy >= 700 AND dy < 900)
+                    THEN '6' || lpad(CAST(cx + 5 * cy AS VARCHAR), 4, '0') ELSE '' END AS zip
+        FROM inside""",
+)
+def multi_part_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zips with a hole and a second polygon, from the landed page through the lake table to the trips."""
+    key = F.col("n_nationkey")
+    west, south = F.lit(WEST) + key % 5 * 1000, F.lit(SOUTH) + F.floor(key / F.lit(5)) * 1000
+    land = [square_ring(west, south, 600, 1), square_ring(west + 100, south + 100, 200, 1)]
+    island = [square_ring(west + 700, south + 700, 200, 1)]
+    zips = table(spark, sf_dir, "nation").select(five_digits(key).alias("zip"), multipolygon(land, island))
+    pages, lake = write_snapshot(zips, scratch_path(spark, "pages")), scratch_path(spark, "lake")
+    refresh_lake_table(spark, "zipcodes", pages, lake, multiline=False)
+    index = build_zone_index(lake_table(spark, lake, "zipcodes"), "zip")
+    located = locate(trip_coordinates(spark, sf_dir), index, {"zip": ("dlon", "dlat")})
+    return located.select("l_orderkey", "l_linenumber", "l_suppkey", F.coalesce("zip", F.lit("")).alias("zip"))
+
+
+# Corners of a concave outline, in steps from the corner of its zone square; every third zone is a large one.
+_ARROW = ((0, 0), (350, 50), (250, 200), (400, 450), (150, 300), (0, 450), (100, 200))
+
+
+@query(
+    "slanted_zones",
+    sql=f"""WITH corners AS (SELECT * FROM (VALUES {", ".join(f"({n}, {x}, {y})" for n, (x, y) in enumerate(_ARROW))}) v(seq, dx, dy)),
+        sized AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 4 ELSE 1 END AS grow FROM supplier WHERE s_suppkey < 100),
+        vertices AS (SELECT k, seq, CAST({WEST} + k % 10 * {ZONE} + dx * grow AS DOUBLE) / {STEPS} AS x,
+                            CAST({SOUTH} + k // 10 * {ZONE} + dy * grow AS DOUBLE) / {STEPS} AS y FROM sized, corners),
+        walks AS (SELECT k, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2,
+                         coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2 FROM vertices WINDOW w AS (PARTITION BY k ORDER BY seq)),
+        edges AS (SELECT k, CASE WHEN y < y2 THEN x ELSE x2 END AS lx, least(y, y2) AS ly,
+                         CASE WHEN y < y2 THEN x2 ELSE x END AS hx, greatest(y, y2) AS hy FROM walks WHERE y <> y2),
+        steps AS (SELECT l_orderkey, l_linenumber, l_suppkey, {TRIP_STEPS_SQL} FROM lineitem),
+        spots AS (SELECT DISTINCT dlon4, dlat4, CAST(dlon4 AS DOUBLE) / {STEPS} AS px, CAST(dlat4 AS DOUBLE) / {STEPS} AS py FROM steps),
+        crossed AS (SELECT dlon4, dlat4, k, count(*) AS n FROM spots JOIN edges ON ly <= py AND py < hy
+                        AND px < greatest(least(lx, hx), least(lx + (py - ly) * (hx - lx) / (hy - ly), greatest(lx, hx))) GROUP BY ALL),
+        owned AS (SELECT dlon4, dlat4, min(lpad(CAST(k AS VARCHAR), 4, '0')) AS zone FROM crossed WHERE n % 2 = 1 GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, l_suppkey, coalesce(zone, '') AS zone FROM steps LEFT JOIN owned USING (dlon4, dlat4)""",
+)
+def slanted_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concave outlines with slanted edges, of two sizes, over each other; many trips end on their edges and corners."""
+    key = F.col("s_suppkey")
+    grow = F.when(key % 3 == 0, 4).otherwise(1)
+    west, south = F.lit(WEST) + key % 10 * ZONE, F.lit(SOUTH) + F.floor(key / F.lit(10)) * ZONE
+    scale = F.lit(float(STEPS))
+    # The last corner is not the first one again: the index closes the ring.
+    ring = F.array(
+        *[F.array((west + x * grow).cast("double") / scale, (south + y * grow).cast("double") / scale) for x, y in _ARROW]
+    )
+    zones = table(spark, sf_dir, "supplier").filter(key < 100).select(
+        F.lpad(key.cast("string"), 4, "0").alias("zone"), multipolygon([ring])
+    )
+    index = build_zone_index(ring_vertices(zones, all_rings=True), "zone")
+    located = locate(trip_coordinates(spark, sf_dir), index, {"area": ("dlon", "dlat")})
+    return located.select("l_orderkey", "l_linenumber", "l_suppkey", F.coalesce("area", F.lit("")).alias("zone"))

@@ -21,6 +21,7 @@ from wardline.functions.casts import (
     lenient_timestamp,
     strict,
     strict_timestamp,
+    timestamp_or_null,
 )
 from wardline.functions.dates import monday_based_weekday, trip_date
 from wardline.functions.numbers import coordinate_key, estimated_cases, snap_half_away, snap_half_even
@@ -267,11 +268,14 @@ def area_forecast(zip_counts: DataFrame, neighborhood_of_zip: DataFrame) -> Data
 
 
 def community_forecast(trips: DataFrame) -> DataFrame:
-    """The forecast per community area, straight from the areas the trips carry."""
+    """The forecast per community area, straight from the areas the trips carry.
+
+    A trip whose start cannot be read has no date and is not counted.
+    """
     dated = trips.select(
-        trip_date(strict_timestamp(F.col("tripstarttimestamp"))).alias("tripdate"),
+        trip_date(timestamp_or_null(F.col("tripstarttimestamp"))).alias("tripdate"),
         *[blank_to_null(F.col(f"{end}communityarea")).alias(end) for end in ENDS],
-    )
+    ).filter(F.col("tripdate").isNotNull())
     return rolling_forecast(daily_counts(dated, "tripdate", *ENDS)).withColumnRenamed("zip", "area")
 
 

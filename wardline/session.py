@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,13 +25,13 @@ RUNTIME_SETTINGS = {
 }
 
 
-def local_session(app: str = "wardline", cores: str = "*", partitions: int = 8) -> SparkSession:
-    """A session for tests and benches on one machine."""
+def local_session(app: str = "wardline", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+    """A session for tests and benches on one machine; ``memory`` is the heap of its only process."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
         # No call-site capture for every column expression built in Python.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -52,31 +53,27 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (tests, one-machine runs) a temporary
-    folder is made, once per session.
+    Where the setting is missing, a temporary folder is made once per session, but only if the executors are threads
+    of this process. Anywhere else each machine would write to a disk of its own, so the setting is required there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {context.master} share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-"))
     return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder.
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input out to all cores.
-
-    Meant for work that is heavy per row on a file that comes in fewer splits than
-    there are cores. With as many splits as cores, the rows stay where they are.
+    It lies in a folder named after the application. Nothing in there outlives the application's own results: the
+    owner of the shared folder may drop the folder of every application that has ended.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def stable(df: DataFrame) -> DataFrame:

@@ -6,10 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions.text import null_to_blank
-from wardline.operators.keyed import keyed_first, require_unique
+from wardline.operators.keyed import keyed_first
 from wardline.operators.spatial import ring_vertices
 from wardline.sources.schemas import Feed
 
+_PLACE = ("_landed", "_file", "_split")
+
+
+def file_columns() -> list[Column]:
+    """When and where the file of a row was landed; for :func:`with_ingest_seq`."""
+    return [
+        F.col("_metadata.file_modification_time").alias("_landed"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+    ]
+
 
 def read_pages(
     spark: SparkSession,
@@ -25,8 +36,8 @@ def read_pages(
     the schema leaves out are never parsed into columns. A value that does not
     fit its field becomes NULL and the rest of its record is kept.
 
-    ``ingest_seq`` records file, split and position. ``limit`` keeps the first
-    rows in that order.
+    ``ingest_seq`` records landing time, file, split and position. ``limit`` keeps
+    the first rows in that order.
     """
     rows = (
         spark.read.schema(feed.page_schema)
@@ -34,26 +45,29 @@ def read_pages(
         .option("mode", "PERMISSIVE")
         .option("recursiveFileLookup", True)
         .json(path)
-        .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"))
+        .select("*", *file_columns())
     )
     rows = with_ingest_seq(rows)
     return rows.orderBy("ingest_seq").limit(limit) if limit is not None else rows
 
 
 def with_ingest_seq(rows: DataFrame) -> DataFrame:
-    """Turn ``_file`` and ``_split`` into ``ingest_seq``. Call it right on the scan.
+    """Turn :func:`file_columns` into ``ingest_seq``. Call it right on the scan.
 
-    A split is read by one task from front to back, so the increasing row id
-    orders the rows inside it.
+    Files count in the order they were landed in; those of one moment by the first
+    number in their names, then by path. A split is read by one task from front to
+    back, so the increasing row id orders the rows inside it.
     """
     return rows.withColumn(
         "ingest_seq",
         F.struct(
+            F.col("_landed").alias("landed"),
+            F.regexp_extract("_file", r"^(?:.*/)?[^/0-9]*([0-9]{1,18})[^/]*$", 1).try_cast("bigint").alias("page"),
             F.col("_file").alias("file"),
             F.col("_split").alias("split"),
             F.monotonically_increasing_id().alias("row"),
         ),
-    ).drop("_file", "_split")
+    ).drop(*_PLACE)
 
 
 def _field(source: str | tuple[str, ...]) -> Column:
@@ -63,8 +77,8 @@ def _field(source: str | tuple[str, ...]) -> Column:
     return null_to_blank(F.coalesce(*[F.when(F.col(s) != "", F.col(s)) for s in source]))
 
 
-def to_lake_rows(pages: DataFrame, feed: Feed, all_rings: bool = False) -> DataFrame:
-    """Rename fields, blank out missing text, unnest points and outlines."""
+def parsed_rows(pages: DataFrame, feed: Feed) -> DataFrame:
+    """Rename fields, blank out missing text, unnest points. Outlines stay whole, one row each."""
     columns = [_field(source).alias(name) for name, source in feed.columns.items()]
 
     if feed.point:
@@ -78,29 +92,33 @@ def to_lake_rows(pages: DataFrame, feed: Feed, all_rings: bool = False) -> DataF
 
     if feed.geometry:
         kinds = [null_to_blank(F.col(feed.geometry)["type"]).alias(name) for name in feed.extra]
-        outlines = pages.select(*columns, *kinds, "ingest_seq", feed.geometry)
-        # The key rule goes by outline: its vertices stay or go together.
-        outlines = _apply_key_rule(outlines, feed)
-        vertices = ring_vertices(outlines, feed.geometry, all_rings)
-        return vertices.select(*feed.lake_schema.names)
+        return pages.select(*columns, *kinds, "ingest_seq", feed.geometry)
 
     return pages.select(*columns, "ingest_seq")
 
 
-def _apply_key_rule(rows: DataFrame, feed: Feed) -> DataFrame:
-    if feed.on_duplicate == "first":
-        return keyed_first(rows, feed.key, ["ingest_seq"])
-    if feed.on_duplicate == "fail":
-        return require_unique(rows, feed.key, feed.table)
+def flat_rows(rows: DataFrame, feed: Feed, all_rings: bool = True) -> DataFrame:
+    """Parsed rows as the table holds them: outlines become one row per vertex."""
+    if feed.geometry:
+        return ring_vertices(rows, feed.geometry, all_rings).select(*feed.lake_schema.names)
     return rows
 
 
-def load_rows(rows: DataFrame, feed: Feed) -> DataFrame:
-    """Apply the key rule of the table: first row wins, refuse duplicates, or keep all.
+def first_rows(rows: DataFrame, feed: Feed) -> DataFrame:
+    """Parsed rows without those that lose to an earlier one of their key.
 
-    Vertex tables have it applied already, per outline.
+    The rule goes by outline: its vertices stay or go together. Tables without a
+    key keep everything, and so do those that refuse duplicates, whose loader checks.
     """
-    return rows if feed.geometry else _apply_key_rule(rows, feed)
+    return keyed_first(rows, feed.key, ["ingest_seq"]) if feed.on_duplicate == "first" else rows
+
+
+def to_lake_rows(pages: DataFrame, feed: Feed, all_rings: bool = True) -> DataFrame:
+    """Pages as rows of the table, under its key rule.
+
+    ``all_rings=False`` keeps the outer ring of the first polygon only.
+    """
+    return flat_rows(first_rows(parsed_rows(pages, feed), feed), feed, all_rings)
 
 
 def write_snapshot(df: DataFrame, path: str) -> str:
@@ -109,5 +127,15 @@ def write_snapshot(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_array_pages(df: DataFrame, path: str, page_rows: int = 1000) -> str:
+    """The same as pages of the array form: files of one JSON array, of at most ``page_rows`` objects each."""
+    line = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    numbered = df.select(line.alias("line"), F.floor(F.monotonically_increasing_id() / F.lit(page_rows)).alias("page"))
+    array = F.concat(F.lit("["), F.array_join(F.collect_list("line"), ",\n"), F.lit("]"))
+    pages = numbered.groupBy("page").agg(array.alias("value")).select("value")
+    pages.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 def read_snapshot(spark: SparkSession, schema, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path)

@@ -22,10 +22,13 @@ MULTIPOLYGON = T.StructType(
     ]
 )
 
-# Where a row came from: file, split of the file, position in the split. Ordering
-# by it is the order the pages were landed in, however the read was partitioned.
+# Where a row came from: when its file was landed, the number and name of the file,
+# split of the file, position in the split. Ordering by it is the order the pages were
+# landed in, however the read was partitioned; the number parts files landed at once.
 INGEST_SEQ = T.StructType(
     [
+        T.StructField("landed", T.TimestampType()),
+        T.StructField("page", T.LongType()),
         T.StructField("file", T.StringType()),
         T.StructField("split", T.LongType()),
         T.StructField("row", T.LongType()),
@@ -343,4 +346,7 @@ MART_SCHEMAS = {
     "requirement_9_area_forecast": (
         "tripdate date, area string, trips bigint, pred_next_day double, pred_next_week double"
     ),
+    "requirement_9_community_forecast": (
+        "tripdate date, area string, trips bigint, pred_next_day double, pred_next_week double"
+    ),
 }

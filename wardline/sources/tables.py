@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.operators.checks import REASON
-from wardline.sources.pages import load_rows, read_pages, to_lake_rows
-from wardline.sources.schemas import FEEDS, MART_SCHEMAS
+from wardline.operators.keyed import keyed_rejects, require_unique
+from wardline.sources.pages import first_rows, flat_rows, parsed_rows, read_pages
+from wardline.session import stable
+from wardline.sources.schemas import FEEDS, MART_SCHEMAS, Feed
+
+AUDIT_SCHEMA = "table_name string, rows_in bigint, rows_kept bigint, duplicate_rows bigint, blank_values bigint"
 
 
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -32,12 +37,19 @@ def refresh_checked(flagged: DataFrame, schema: T.StructType | str, path: str) -
     """Rebuild a table whose rows carry ``reject_reason``.
 
     Good and rejected rows go out in the same pass, below ``rejected=false`` and
-    ``rejected=true``, so the input is computed once. Values that do not fit their
-    column are NULL in a rejected row; the reason says which.
+    ``rejected=true``, so the input is computed once. A value that does not fit its
+    column is NULL, and its row is a rejected one: the reason says which column,
+    unless a rule had one already. No row is accepted with a value lost.
     """
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    columns = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in declared.fields]
-    flagged.select(*columns, REASON, F.col(REASON).isNotNull().alias("rejected")).write.mode("overwrite").partitionBy(
+    fitted = {f.name: F.col(f.name).try_cast(f.dataType) for f in declared.fields}
+    lost = [
+        F.when(F.col(f.name).isNotNull() & fitted[f.name].isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+        for f in declared.fields
+    ]
+    checked = flagged.withColumn(REASON, F.coalesce(F.col(REASON), *lost))
+    columns = [column.alias(name) for name, column in fitted.items()]
+    checked.select(*columns, REASON, F.col(REASON).isNotNull().alias("rejected")).write.mode("overwrite").partitionBy(
         "rejected"
     ).parquet(path)
     return path
@@ -50,12 +62,65 @@ def read_checked(spark: SparkSession, path: str, rejects: bool = False) -> DataF
 
 
 def refresh_lake_table(
-    spark: SparkSession, table: str, pages: str, lake: str, multiline: bool = True, all_rings: bool = False
+    spark: SparkSession, table: str, pages: str, lake: str, multiline: bool = True, all_rings: bool = True
 ) -> str:
-    """Landed pages of one feed to its lake table."""
+    """Landed pages of one feed to its lake table, with every row accounted for.
+
+    The pages are parsed once, into the shared folder. From there the rows that stay
+    go to ``<lake>/<table>``, those that lose to an earlier row of their key to
+    ``<lake>/_rejects/<table>``, and the counts of both to ``<lake>/_audit/<table>``.
+    A table that refuses duplicates fails before anything of it is replaced.
+    """
     feed = FEEDS[table]
-    rows = to_lake_rows(read_pages(spark, feed, pages, multiline), feed, all_rings)
-    return refresh(load_rows(rows, feed), feed.lake_schema, f"{lake}/{table}")
+    parsed = stable(parsed_rows(read_pages(spark, feed, pages, multiline), feed))
+    if feed.on_duplicate == "fail":
+        require_unique(parsed, feed.key, feed.table)
+    path = refresh(flat_rows(first_rows(parsed, feed), feed, all_rings), feed.lake_schema, f"{lake}/{table}")
+    if feed.on_duplicate == "first":
+        keyed_rejects(parsed, feed.key, "ingest_seq").write.mode("overwrite").parquet(f"{lake}/_rejects/{table}")
+    _audit(spark, feed, parsed, path, lake).write.mode("overwrite").parquet(f"{lake}/_audit/{table}")
+    return path
+
+
+def _audit(spark: SparkSession, feed: Feed, parsed: DataFrame, path: str, lake: str) -> DataFrame:
+    """Rows in, kept and duplicate, counted where they stand; outlines count once, whatever their vertices.
+
+    ``blank_values`` counts blanks in the key.
+    """
+    kept = spark.read.schema(feed.lake_schema).parquet(path)
+    outlines = F.count_distinct("ingest_seq") if feed.geometry else F.count(F.lit(1))
+    rows_kept = kept.agg(outlines.alias("rows_kept"))
+    blanks = sum((F.count(F.when(F.col(c) == "", 1)) for c in feed.key), F.lit(0))
+    rows_in = parsed.agg(F.count(F.lit(1)).alias("rows_in"), blanks.cast("bigint").alias("blank_values"))
+    if feed.on_duplicate == "first":
+        rejects = spark.read.schema(parsed.schema).parquet(f"{lake}/_rejects/{feed.table}")
+        duplicates = rejects.agg(F.count(F.lit(1)).alias("duplicate_rows"))
+    else:
+        duplicates = spark.range(1).select(F.lit(0).cast("bigint").alias("duplicate_rows"))
+    # Three frames of one row each.
+    one = F.lit(1).alias("_one")
+    joined = rows_in.select("*", one).join(rows_kept.select("*", one), "_one").join(duplicates.select("*", one), "_one")
+    return joined.select(F.lit(feed.table).alias("table_name"), "rows_in", "rows_kept", "duplicate_rows", "blank_values")
+
+
+def lake_audit(spark: SparkSession, lake: str, tables: Sequence[str] = tuple(FEEDS)) -> DataFrame:
+    """The audits of the last load of each table, one row per table."""
+    return spark.read.schema(AUDIT_SCHEMA).parquet(*[f"{lake}/_audit/{table}" for table in tables])
+
+
+def lake_rejects(spark: SparkSession, lake: str, table: str) -> DataFrame:
+    """Rows that lost to an earlier one of their key in the last load."""
+    return spark.read.parquet(f"{lake}/_rejects/{table}")
+
+
+def mart_audit(spark: SparkSession, mart: str, tables: Sequence[str] = tuple(MART_SCHEMAS)) -> DataFrame:
+    """Rows kept and rejected in each mart table, by reason."""
+    audits = []
+    for table in tables:
+        df = spark.read.parquet(f"{mart}/{table}")
+        reason = F.coalesce(F.col(REASON), F.lit("")) if REASON in df.columns else F.lit("")
+        audits.append(df.groupBy(reason.alias(REASON)).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table).alias("table_name"), REASON, "rows"))
+    return reduce(DataFrame.unionByName, audits)
 
 
 def lake_table(spark: SparkSession, lake: str, table: str) -> DataFrame:

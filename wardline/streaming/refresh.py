@@ -1,24 +1,33 @@
-"""Keyed lake table kept up to date from a folder of landed pages."""
+"""Lake table kept up to date from a folder of landed pages, under the key rule of its feed."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType
 
-from wardline.operators.keyed import keyed_first
+from wardline.operators.keyed import DuplicateKeyError, require_unique
 from wardline.operators.lookups import broadcast_if_small
-from wardline.sources.pages import to_lake_rows, with_ingest_seq
+from wardline.session import stable
+from wardline.sources.pages import file_columns, first_rows, flat_rows, parsed_rows, with_ingest_seq
 from wardline.sources.schemas import Feed
 
-BATCH = "ingest_batch"
+BUCKET, BATCH = "key_bucket", "ingest_batch"
+
+# Fixed per table: keys are looked up in the folders of their buckets only.
+BUCKETS = 64
+
+
+def _bucket(feed: Feed) -> Column:
+    """Folder of a row: by its key; rows without a key go by the file they came from."""
+    return F.pmod(F.xxhash64(*(feed.key or ("ingest_seq.file",))), F.lit(BUCKETS)).cast("int")
 
 
 def _loaded_before(spark: SparkSession, feed: Feed, table: str, number: int) -> DataFrame | None:
     """What earlier batches have written, or None before the first one."""
-    schema = feed.lake_schema.add(BATCH, IntegerType())
+    schema = feed.lake_schema.add(BUCKET, IntegerType()).add(BATCH, IntegerType())
     try:
         return spark.read.schema(schema).parquet(table).filter(F.col(BATCH) < number)
     except AnalysisException as error:
@@ -27,15 +36,17 @@ def _loaded_before(spark: SparkSession, feed: Feed, table: str, number: int) ->
         raise
 
 
-def unseen(batch: DataFrame, loaded: DataFrame, key: list[str]) -> DataFrame:
-    """Rows whose key the table does not hold yet.
+def known_keys(batch: DataFrame, loaded: DataFrame, key: list[str]) -> DataFrame:
+    """Keys of the batch that the table holds already.
 
-    The batch is the small side: its keys go to the executors, the table's key
-    columns are scanned once without a shuffle, and only keys found there come back.
+    Only the folders of the batch's own buckets are read, of these only the key
+    columns, and without a shuffle where the batch's keys are few. At most ``BUCKETS``
+    numbers come to the driver.
     """
-    wanted = batch.select(*key).distinct()
-    known = loaded.select(*key).join(broadcast_if_small(wanted), key, "left_semi").distinct()
-    return batch.join(known, key, "left_anti")
+    wanted = batch.select(BUCKET, *key).distinct()
+    touched = [row[0] for row in wanted.select(BUCKET).distinct().collect()]
+    read = loaded.filter(F.col(BUCKET).isin(touched)).select(BUCKET, *key)
+    return read.join(broadcast_if_small(wanted), [BUCKET, *key], "left_semi").select(*key).distinct()
 
 
 def refresh_stream(
@@ -46,10 +57,15 @@ def refresh_stream(
     checkpoint: str,
     multiline: bool = True,
     files_per_batch: int | None = None,
+    all_rings: bool = True,
 ) -> StreamingQuery:
-    """Load pages that arrived since the last run; the first row of a key stays for good.
+    """Load pages that arrived since the last run, with the outcome of a full load of them all.
 
-    Every batch writes its own partition and compares itself with earlier ones only,
+    By the rule of the feed the first row of a key stays for good, a key that repeats
+    within the batch or from an earlier one fails it, or every row is added. Outlines
+    are kept or left out whole.
+
+    Every batch writes folders of its own and compares itself with earlier ones only,
     so a batch that is repeated after a failure replaces what it had written.
     """
     reader = (
@@ -59,19 +75,27 @@ def refresh_stream(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    source = reader.json(pages).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split")
-    )
+    source = reader.json(pages).select("*", *file_columns())
+    key = list(feed.key)
 
     def load(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        rows = keyed_first(to_lake_rows(with_ingest_seq(batch), feed), list(feed.key), ["ingest_seq"]).persist()
-        try:
-            loaded = _loaded_before(session, feed, table, number)
-            fresh = rows if loaded is None else unseen(rows, loaded, list(feed.key))
-            fresh.write.mode("overwrite").parquet(f"{table}/{BATCH}={number}")
-        finally:
-            rows.unpersist()
+        # Parsed once and written, so that neither the check nor a lost executor parses it again.
+        rows = stable(first_rows(parsed_rows(with_ingest_seq(batch), feed), feed).withColumn(BUCKET, _bucket(feed)))
+        if feed.on_duplicate == "fail":
+            require_unique(rows, key, feed.table)
+        loaded = _loaded_before(session, feed, table, number) if key else None
+        if loaded is not None:
+            known = known_keys(rows, loaded, key)
+            if feed.on_duplicate == "fail":
+                repeated = known.limit(5).collect()
+                if repeated:
+                    shown = ", ".join(str(row.asDict()) for row in repeated)
+                    raise DuplicateKeyError(f"{feed.table}: loaded before: {shown}")
+            else:
+                rows = rows.join(known, key, "left_anti")
+        flat = flat_rows(rows, feed, all_rings).withColumn(BUCKET, _bucket(feed)).withColumn(BATCH, F.lit(number))
+        flat.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH).parquet(table)
 
     return (
         source.writeStream.foreachBatch(load)
@@ -82,4 +106,20 @@ def refresh_stream(
 
 
 def read_refreshed(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
-    return spark.read.parquet(table).select(*feed.lake_schema.names)
+    return spark.read.schema(feed.lake_schema.add(BUCKET, IntegerType()).add(BATCH, IntegerType())).parquet(table).select(
+        *feed.lake_schema.names
+    )
+
+
+def compact_refreshed(spark: SparkSession, feed: Feed, table: str, target: str) -> str:
+    """Write the table anew below ``target`` with one batch folder per bucket instead of one for every batch.
+
+    Point the loader at ``target`` afterwards, between two runs: its rows carry the
+    number of the last batch, which later batches count as earlier.
+    """
+    schema = feed.lake_schema.add(BUCKET, IntegerType()).add(BATCH, IntegerType())
+    rows = spark.read.schema(schema).parquet(table)
+    last = rows.agg(F.max(BATCH)).first()[0] or 0
+    merged = rows.withColumn(BATCH, F.lit(last)).repartition(BUCKET, F.pmod(F.xxhash64("ingest_seq"), F.lit(8)))
+    merged.write.mode("overwrite").partitionBy(BUCKET, BATCH).parquet(target)
+    return target
