@@ -6,10 +6,9 @@ Zips are squares of one degree side by side: 60601 from longitude 0 to 1, 60602
 
 import json
 
-AIRPORT = (
-    "O'Hare International Airport, 10000, Perimeter Road, O'Hare, Chicago, Jefferson Township, Cook County, "
-    "Illinois, 60666, United States"
-)
+from wardline.operators.filters import AIRPORT_PLACES
+
+AIRPORT = AIRPORT_PLACES[0]
 
 
 def square(west, south, side=1.0, *more):

@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def is_blank(text: Column) -> Column:
-    """True for an empty or a missing text, never NULL."""
-    return F.coalesce(text, F.lit("")) == ""
-
-
 def blank_to_null(text: Column) -> Column:
     return F.when(text != "", text)
 

@@ -13,10 +13,8 @@ ZIP_GEOGRAPHY = "ZIP"
 
 # Full place names that count as an airport pickup.
 AIRPORT_PLACES = (
-    "O'Hare International Airport, 10000, Perimeter Road, O'Hare, Chicago, Jefferson Township, "
-    "Cook County, Illinois, 60666, United States",
-    "Lot A, O'Hare Commercial Departure, O'Hare, Chicago, Jefferson Township, Cook County, Illinois, "
-    "60666, United States",
+    "O'Hare International Airport, 10000, Perimeter Road, O'Hare, Chicago, Jefferson Township, Cook County, Illinois, 60666, United States",
+    "Lot A, O'Hare Commercial Departure, O'Hare, Chicago, Jefferson Township, Cook County, Illinois, 60666, United States",
     "Chicago Midway International Airport, 5700, South Cicero Avenue, Chicago, Illinois, 60638, United States",
 )
 
