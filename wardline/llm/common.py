@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.session import stable
+
 #: White space of the word rules: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 NOT_SPACES = r"[^\x20\x09-\x0D]+"
@@ -24,6 +27,26 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
+#: Two numbers that tell the rows of a frame apart.
+PLACE = ("place_file", "place_row")
+
+
+def with_place(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns with ``PLACE``, the same in every job, whatever executors there are and however files are split.
+
+    The place is the file and the position in it. A frame that is not read straight from files, or in which a row of a
+    file occurs more than once, is written to the shared folder first.
+    """
+    place = [F.xxhash64("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1])]
+    try:
+        placed = df.select(*columns, *place)
+        if placed.groupBy(*PLACE).count().where("count > 1").isEmpty():
+            return placed
+    except AnalysisException:  # no metadata: not read from files
+        pass
+    return stable(df.select(*columns)).select(*columns, *place)
+
+
 def word_count(text: Column) -> Column:
     """Number of runs of characters that are not white space; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(NOT_SPACES)), F.lit(0)).cast("long")

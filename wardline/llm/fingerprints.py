@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import SPACES
+from wardline.llm.common import PLACE, SPACES, with_place
 from wardline.session import stable
 
 SAMPLES = 32
@@ -88,8 +88,8 @@ def following(rows: DataFrame) -> DataFrame:
 
 
 def fingerprint_pairs(texts: DataFrame, columns: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``row``, and for each of the text ``columns`` its fingerprint as ``<column>_fingerprint``; ``texts`` must be
-    dealt out by ``row`` for the words to stay in place."""
+    """``PLACE``, and for each of the text ``columns`` its fingerprint as ``<column>_fingerprint``; ``texts`` must be
+    dealt out by ``PLACE`` for the words to stay where they are."""
     sides = F.array(
         *[
             F.struct(*[F.lit(int(c == d)).alias(f"in_{d}") for d in columns], F.split(F.col(c), SPACES).alias("terms"))
@@ -97,15 +97,15 @@ def fingerprint_pairs(texts: DataFrame, columns: list[str], samples: int = SAMPL
         ]
     )
     counts = [f"in_{c}" for c in columns]
-    terms = texts.select("row", F.explode(sides).alias("side")).select("row", "side.*")
-    terms = terms.select("row", *counts, F.explode("terms").alias("word")).where("word <> ''")
-    terms = terms.select("row", *counts, F.xxhash64("word").alias("term"))
-    weights = terms.groupBy("row", "term").agg(*[F.log(F.sum(c).cast("double")).alias(c) for c in counts])
+    terms = texts.select(*PLACE, F.explode(sides).alias("side")).select(*PLACE, "side.*")
+    terms = terms.select(*PLACE, *counts, F.explode("terms").alias("word")).where("word <> ''")
+    terms = terms.select(*PLACE, *counts, F.xxhash64("word").alias("term"))
+    weights = terms.groupBy(*PLACE, "term").agg(*[F.log(F.sum(c).cast("double")).alias(c) for c in counts])
     draws = _draws(F.col("term"), [F.col(c) for c in counts], samples)
-    drawn = weights.groupBy("row").agg(*[draw.alias(f"s{n}") for n, draw in enumerate(draws)])
+    drawn = weights.groupBy(*PLACE).agg(*[draw.alias(f"s{n}") for n, draw in enumerate(draws)])
     step = len(columns)
     return drawn.select(
-        "row",
+        *PLACE,
         *[
             _fingerprint([F.col(f"s{n}") for n in range(at, samples * step, step)]).alias(f"{c}_fingerprint")
             for at, c in enumerate(columns)
@@ -121,21 +121,25 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     their place, so repeated rows and ids are documents of their own; with a single row it is its own next one. An empty
     table gives an empty result; columns other than ``doc_id`` and ``text`` are not looked at.
     """
-    numbered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
-    sizes = stable(numbered.select("doc_id", "row", F.length("text").cast("long").alias("n_chars")))
+    placed = with_place(docs, ["doc_id", "text"]).withColumn("text", F.coalesce("text", F.lit("")))
+    sizes = placed.select("doc_id", *PLACE, F.length("text").cast("long").alias("n_chars"))
+    sizes = stable(sizes.withColumn("row", F.monotonically_increasing_id()))
     pairs = stable(following(sizes).join(sizes.select("row", "n_chars"), "row"))
-    wanted = pairs.select(F.col("next_row").alias("row"), F.col("row").alias("for_row"), F.expr("n_chars div 3").alias("cut"))
-    dealt = numbered.select("row", "text").repartition("row")
-    heads = dealt.join(wanted, "row").select(
-        F.col("for_row").alias("row"), "cut", F.expr("substring(text, 1, cast(cut as int))").alias("head")
+    places = sizes.select("row", *PLACE)
+    owners = places.select("row", *[F.col(c).alias(f"for_{c}") for c in PLACE])
+    wanted = pairs.select("row", "next_row", F.expr("n_chars div 3").alias("cut")).join(owners, "row")
+    wanted = wanted.join(places.withColumnRenamed("row", "next_row"), "next_row").drop("next_row")
+    dealt = placed.select(*PLACE, "text").repartition(*PLACE)
+    heads = dealt.join(wanted, list(PLACE)).select(
+        *[F.col(f"for_{c}").alias(c) for c in PLACE], "row", "cut", F.expr("substring(text, 1, cast(cut as int))").alias("head")
     )
     edited = F.concat(F.expr("substring(text, 1, cast(length(text) - cut as int))"), F.col("head"))
-    texts = dealt.join(heads, "row").select("row", F.col("text").alias("plain"), edited.alias("edited"))
+    texts = dealt.join(heads, list(PLACE)).select(*PLACE, "row", F.col("text").alias("plain"), edited.alias("edited"))
     # Both sides read the same shuffled texts; nothing of their size is written.
     prints = fingerprint_pairs(texts, ["plain", "edited"], samples)
-    hashed = texts.select("row", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    hashed = texts.select(*PLACE, "row", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     found = stable(
-        hashed.join(prints, "row", "left").select(
+        hashed.join(prints, list(PLACE), "left").select(
             "row",
             "edited_sha256",
             F.coalesce("plain_fingerprint", F.lit(BLANK)).alias("fingerprint"),
