@@ -54,7 +54,7 @@ def word_count(text: Column) -> Column:
 
 def unit(hashed: Column) -> Column:
     """A number strictly between 0 and 1 from a 64-bit hash."""
-    return (F.shiftrightunsigned(hashed, 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+    return (F.shiftrightunsigned(hashed, 12).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 def column_bytes(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
