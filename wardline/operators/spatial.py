@@ -209,10 +209,10 @@ def build_zone_index(
         return F.coalesce(*sizes)
 
     left, right = F.least("lo_x", "hi_x"), F.greatest("lo_x", "hi_x")
+    # Written once: the size check and the cutting both start from here.
+    whole_edges = stable(ring_edges(vertices, zone).join(extents.select("zone", "shape", "outline_left", "level"), ["zone", "shape"]))
     edges = (
-        ring_edges(vertices, zone)
-        .join(extents.select("zone", "shape", "outline_left", "level"), ["zone", "shape"])
-        .withColumns({"width": per_level(0), "height": per_level(1)})
+        whole_edges.withColumns({"width": per_level(0), "height": per_level(1)})
         .withColumns(
             {
                 "low_row": _cell_number(F.col("lo_y"), F.col("height")),
