@@ -127,28 +127,26 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     pairs = stable(following(sizes).join(sizes.select("row", "n_chars"), "row"))
     places = sizes.select("row", *PLACE)
     owners = places.select("row", *[F.col(c).alias(f"for_{c}") for c in PLACE])
-    wanted = pairs.select("row", "next_row", F.expr("n_chars div 3").alias("cut")).join(owners, "row")
+    wanted = pairs.select("row", "next_row", F.expr("n_chars div 3").alias("cut")).join(owners, "row").drop("row")
     wanted = wanted.join(places.withColumnRenamed("row", "next_row"), "next_row").drop("next_row")
     dealt = placed.select(*PLACE, "text").repartition(*PLACE)
     heads = dealt.join(wanted, list(PLACE)).select(
-        *[F.col(f"for_{c}").alias(c) for c in PLACE], "row", "cut", F.expr("substring(text, 1, cast(cut as int))").alias("head")
+        *[F.col(f"for_{c}").alias(c) for c in PLACE], "cut", F.expr("substring(text, 1, cast(cut as int))").alias("head")
     )
     edited = F.concat(F.expr("substring(text, 1, cast(length(text) - cut as int))"), F.col("head"))
-    texts = dealt.join(heads, list(PLACE)).select(*PLACE, "row", F.col("text").alias("plain"), edited.alias("edited"))
-    # Both sides read the same shuffled texts; nothing of their size is written.
+    texts = dealt.join(heads, list(PLACE)).select(*PLACE, F.col("text").alias("plain"), edited.alias("edited"))
+    # Both sides need the same columns of the shuffled texts and heads, so they read one shuffle of each.
     prints = fingerprint_pairs(texts, ["plain", "edited"], samples)
-    hashed = texts.select(*PLACE, "row", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    found = stable(
-        hashed.join(prints, list(PLACE), "left").select(
-            "row",
-            "edited_sha256",
-            F.coalesce("plain_fingerprint", F.lit(BLANK)).alias("fingerprint"),
-            F.coalesce("edited_fingerprint", F.lit(BLANK)).alias("edited_fingerprint"),
-        )
+    hashed = texts.select(*PLACE, F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    found = hashed.join(prints, list(PLACE), "left").select(
+        *PLACE,
+        "edited_sha256",
+        F.coalesce("plain_fingerprint", F.lit(BLANK)).alias("fingerprint"),
+        F.coalesce("edited_fingerprint", F.lit(BLANK)).alias("edited_fingerprint"),
     )
+    found = stable(found).join(sizes.select(*PLACE, "row", "doc_id"), list(PLACE))
     nexts = found.select(F.col("row").alias("next_row"), F.col("fingerprint").alias("next_fingerprint"))
-    ids = sizes.select("row", "doc_id").join(pairs, "row")
-    return found.join(ids, "row").join(nexts, "next_row").select(
+    return found.join(pairs, "row").join(nexts, "next_row").select(
         "doc_id",
         "n_chars",
         "edited_sha256",
