@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import NOT_SPACES, SPACES, unit, word_count
+from wardline.llm.common import NOT_SPACES, PLACE, SPACES, unit, with_place, word_count
 from wardline.operators.lookups import broadcast_if_small
 from wardline.session import stable
 
@@ -144,14 +144,14 @@ def apply_mix(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     ``n_chars``, where asked for, follows the text. A document that is taken for no word has no row.
     """
-    numbered = stable(docs.select(*columns).withColumn("_row", F.monotonically_increasing_id()))
-    plan = mix_sources(numbered, keep=("_row",)).where("taken > 0").select("_row", "size", "taken")
+    placed = with_place(docs, columns)
+    plan = mix_sources(placed, keep=PLACE).where("taken > 0").select(*PLACE, "size", "taken")
     whole, part = F.floor(F.col("taken") / F.col("size")), (F.col("taken") % F.col("size")).cast("int")
     copies = F.concat(
         F.when(whole > 0, F.array_repeat(F.lit(0), whole.cast("int"))).otherwise(F.array().cast("array<int>")),
         F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")),
     )
-    taken = numbered.join(plan.select("_row", F.explode(copies).alias("_words")), "_row")
+    taken = placed.join(plan.select(*PLACE, F.explode(copies).alias("_words")), list(PLACE))
     leading = _leading_words(F.col("text"), F.col("_words"))
     taken = taken.withColumn("text", F.when(F.col("_words") > 0, leading).otherwise(F.col("text")))
     if "n_chars" in columns:

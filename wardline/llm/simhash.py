@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import column_bytes
+from wardline.llm.common import PLACE, column_bytes, with_place
 from wardline.llm.graphs import components
 from wardline.session import stable
 
@@ -174,10 +174,11 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, keep: Seq
 
 def keep_one_of_each(docs: DataFrame, columns: Sequence[str], shingle: int = 4, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group that with the smallest id stays (one of them, if repeated)."""
-    numbered = stable(docs.select(*columns).withColumn("_row", F.monotonically_increasing_id()))
-    groups = simhash_groups(numbered, shingle, radius, keep=("_row",))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    placed = with_place(docs, columns)
+    groups = simhash_groups(placed, shingle, radius, keep=PLACE)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *PLACE)
     # A group without any id is told apart by its fingerprint.
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), "fingerprint"))
-    first = groups.groupBy(group.alias("_group")).agg(F.min(order).alias("first")).select(F.col("first._row").alias("_row"))
-    return numbered.join(first, "_row", "left_semi").select(*columns)
+    first = groups.groupBy(group.alias("_group")).agg(F.min(order).alias("first"))
+    first = first.select(*[F.col(f"first.{c}").alias(c) for c in PLACE])
+    return placed.join(first, list(PLACE), "left_semi").select(*columns)
