@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.city import PAGES, land, square, trip
 from wardline.operators.checks import REASON
 from wardline.operators.keyed import DuplicateKeyError
-from wardline.plans.jobs import build_lake, build_marts
+from wardline.plans.jobs import build_lake, build_marts, look_back
 from wardline.sources.schemas import FEEDS
 from wardline.sources.tables import (
     lake_audit,
@@ -75,6 +75,21 @@ def test_mart_rows_by_reason(spark, city):
     assert counts["requirement_1_taxi_trips", ""] == mart_table(spark, mart, "requirement_1_taxi_trips").count()
 
 
+def test_defaults_of_lenient_casts_are_counted(spark, city):
+    lake, mart = city
+    counts = {(r["table_name"], r["column_name"]): (r["rows_in"], r["defaulted"]) for r in spark.read.parquet(f"{mart}/_cast_audit").collect()}
+    trips = lake_table(spark, lake, "taxi_trips").count()
+    assert counts["taxi_trips", "tripstarttimestamp"] == (trips, 1)
+    assert counts["weekly_covid_by_zip", "testsweekly"] == (2, 1)
+    assert counts["weekly_covid_by_zip", "pctpositiveweekly"] == (2, 1)
+    assert len(counts) == 15
+
+
+def test_a_look_after_the_load(spark, city):
+    seen = look_back(spark, city[0], rows=2)
+    assert set(seen) == set(FEEDS) and sorted(seen["weekly_covid_by_zip"]) == ["a", "b"]
+
+
 def test_forecast_marts_may_carry_an_index(spark, city):
     _, mart = city
     for table, order in (("requirement_4_taxi_trips", "tripid"), ("requirement_4_taxi_trips_forecast", "tripdate")):

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.functions.casts import double_or_null, long_or_null, timestamp_or_null
+from wardline.operators.checks import cast_audit
 from wardline.operators.indexing import with_row_index
 from wardline.operators.spatial import build_zone_index
 from wardline.plans import marts
@@ -13,12 +18,45 @@ from wardline.sources.tables import (
     lake_table,
     mart_schema,
     mart_table,
+    read_back,
     refresh,
     refresh_checked,
     refresh_lake_table,
 )
 
 
+# Columns of lake tables that marts cast leniently, with their nullable parse.
+LENIENT = {
+    "taxi_trips": {
+        "tripstarttimestamp": timestamp_or_null,
+        **{f"{end}centroid{axis}": double_or_null for end in marts.ENDS for axis in ("latitude", "longitude")},
+    },
+    "weekly_covid_by_zip": {
+        "weekstart": timestamp_or_null,
+        "weekend": timestamp_or_null,
+        "testsweekly": long_or_null,
+        "pctpositiveweekly": double_or_null,
+        "population": long_or_null,
+    },
+    "covid_vulnerability": {"community_area_or_zip": long_or_null, "ccvi_score": double_or_null},
+    "building_permits": {"permit_num": long_or_null, "latitude": double_or_null, "longitude": double_or_null},
+}
+
+
+def audit_casts(spark: SparkSession, lake: str, mart: str) -> None:
+    """Write to ``<mart>/_cast_audit`` how many values of each column the marts turn into a default."""
+    audits = []
+    for table, parses in LENIENT.items():
+        counted = cast_audit(lake_table(spark, lake, table), {name: parse(F.col(name)) for name, parse in parses.items()})
+        audits.append(counted.select(F.lit(table).alias("table_name"), *counted.columns))
+    reduce(DataFrame.unionByName, audits).write.mode("overwrite").parquet(f"{mart}/_cast_audit")
+
+
+def look_back(spark: SparkSession, lake: str, rows: int = 10) -> dict[str, list]:
+    """A few values of the first column of every lake table, for a look after a load."""
+    return {table: read_back(lake_table(spark, lake, table), feed.lake_schema.names[0], rows) for table, feed in FEEDS.items()}
+
+
 def build_lake(spark: SparkSession, pages: str, lake: str, multiline: bool = True, all_rings: bool = True) -> None:
     """Rebuild every lake table from ``pages/<table>``, with rejects and audits beside them.
 
@@ -31,6 +69,7 @@ def build_lake(spark: SparkSession, pages: str, lake: str, multiline: bool = Tru
 
 def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42, row_index: bool = False) -> None:
     """Rebuild every mart table. Marts that feed others are written first and read back.
+    The values that lenient casts replace are counted in ``_cast_audit``.
 
     ``row_index`` gives the typed trips and their forecast a leading ``index`` column.
     """
@@ -79,3 +118,4 @@ def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42, row_i
         marts.area_forecast(mart_table(spark, mart, "requirement_4_taxi_trips_forecast"), neighborhood_of_zip),
     )
     write("requirement_9_community_forecast", marts.community_forecast(trips))
+    audit_casts(spark, lake, mart)
