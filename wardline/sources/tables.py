@@ -77,7 +77,10 @@ def refresh_lake_table(
         require_unique(parsed, feed.key, feed.table)
     path = refresh(flat_rows(first_rows(parsed, feed), feed, all_rings), feed.lake_schema, f"{lake}/{table}")
     if feed.on_duplicate == "first":
-        keyed_rejects(parsed, feed.key, "ingest_seq").write.mode("overwrite").parquet(f"{lake}/_rejects/{table}")
+        # Both counts come from Parquet footers; as many rows kept as parsed means that none lost.
+        all_kept = not feed.geometry and parsed.count() == spark.read.parquet(path).count()
+        rejects = parsed.limit(0) if all_kept else keyed_rejects(parsed, feed.key, "ingest_seq")
+        rejects.write.mode("overwrite").parquet(f"{lake}/_rejects/{table}")
     _audit(spark, feed, parsed, path, lake).write.mode("overwrite").parquet(f"{lake}/_audit/{table}")
     return path
 
