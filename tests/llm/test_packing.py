@@ -81,6 +81,24 @@ def test_ranks_and_file_give_the_same_ids(spark):
     assert a == b
 
 
+ADDED = [
+    "end <|endoftext|> start",
+    "<|endoftext|>",
+    "a<|endoftext|><|endoftext|> b",
+    "  <|endoftext|>  \n it's <|endoftext|",
+    "<|endoftext|>" * 600 + "x <|endoftext|>y日本語 <|ENDOFTEXT|>",
+]
+
+
+@pytest.mark.parametrize("path", [RANKS, FILE])
+def test_added_tokens_have_the_ids_of_a_plain_encode(spark, path):
+    rows = token_pieces(documents(spark, [(n, text, "s") for n, text in enumerate(ADDED)]), path).collect()
+    for n, text in enumerate(ADDED):
+        pieces = sorted((r["start"], r["ids"]) for r in rows if r["doc_id"] == n)
+        assert np.frombuffer(b"".join(ids for _, ids in pieces), "<u4").tolist() == expected_ids(text)
+    assert expected_ids(ADDED[0]) == [437, 220, 50256, 923, 0]
+
+
 def test_empty_table(spark):
     df = pack_documents(documents(spark, []), RANKS)
     assert df.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

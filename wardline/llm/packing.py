@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,22 +35,36 @@ STEPS = 300
 ROUND = 0.5
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a file of the tokenizers library that are cut out of a text wherever they occur."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    for token in tokens:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} takes in what stands around it")
+    return {token["content"]: token["id"] for token in tokens}
+
+
 @functools.cache
 def encoder(path: str):
     """A function from texts to lists of ids. ``.json``: a file of the tokenizers library; ``.tiktoken``: ranks of a
-    byte-level vocabulary, which give the same ids as the file of the same name several times faster."""
+    byte-level vocabulary, which with the added tokens of the ``.json`` file of the same name give its ids several times
+    faster. Added tokens that occur in a text get their own ids, as ``Tokenizer.encode`` has it."""
     if path.endswith(".tiktoken"):
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
-        encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [encoding.encode_ordinary(text) for text in texts]
+        added = added_tokens(path.removesuffix(".tiktoken") + ".json")
+        encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        return lambda texts: [
+            encoding.encode(text, allowed_special="all") if any(token in text for token in added) else encoding.encode_ordinary(text)
+            for text in texts
+        ]
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda texts: [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
