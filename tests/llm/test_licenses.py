@@ -1,4 +1,5 @@
 import re
+from re import _parser as parser
 
 import pytest
 
@@ -75,5 +76,45 @@ def test_hundreds_of_rules_that_compile_and_need_their_keyword():
         assert not plain or rule.keyword in rule.pattern.replace(" ", "") or rule.keyword in rule.pattern, rule
 
 
+def wordings(parsed):
+    """Texts of a parsed pattern: every alternative, every optional part with and without, the least repeats."""
+    done = [""]
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            more = [chr(value)]
+        elif kind == "ANY":
+            more = ["~"]
+        elif kind == "IN":
+            more = [chr(x) if str(k) == "LITERAL" else "0" for k, x in value]
+        elif kind == "BRANCH":
+            more = [text for branch in value[1] for text in wordings(branch)]
+        elif kind == "SUBPATTERN":
+            more = wordings(value[-1])
+        elif kind == "MAX_REPEAT":
+            least, most, inner = value
+            more = [text * n for n in sorted({least, min(most, least + 1)}) for text in wordings(inner)]
+        else:
+            raise NotImplementedError(kind)
+        done = [a + b for a in done for b in more]
+    return done
+
+
+def test_every_alternative_of_every_rule_holds_its_keyword():
+    assert set(wordings(parser.parse("(?:a|b)c?[sd]"))) == {"as", "ad", "acs", "acd", "bs", "bd", "bcs", "bcd"}
+    missing = []
+    for rule in RULES:
+        texts = wordings(parser.parse(rule.pattern))
+        assert all(re.fullmatch(rule.pattern, text) for text in texts), rule
+        missing += [(rule, text) for text in texts if rule.keyword not in text]
+    assert not missing
+
+
+@pytest.mark.parametrize("verb", ["Licensed", "Released", "distributed"])
+@pytest.mark.parametrize("name", ["under the MIT.", "under MIT terms"])
+def test_mit_without_the_word_license(spark, verb, name):
+    assert found(spark, f"{verb} {name}")[:2] == ({"mit"}, 0.75)
+
+
 def test_empty_table(spark):
     assert scan_licenses(documents(spark, [])).collect() == []

@@ -180,7 +180,7 @@ cecill-2.1 | cecill | cecill(?: free software licen[sc]e agreement)?(?: v| versi
 #: Names without a version.
 NAMES = r"""
 mit | licen | mit licen[sc]e
-mit | licen | (?:licensed|released|distributed) under (?:the )?mit
+mit | mit | (?:licensed|released|distributed) under (?:the )?mit
 expat | expat | expat licen[sc]e
 x11 | x11 | x11 licen[sc]e
 apache | apache | apache licen[sc]e
