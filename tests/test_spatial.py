@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardline.operators.spatial import assemble_rings, build_zone_index, locate, ring_edges, ring_vertices
+from wardline.plans.city_tables import SOUTH, STEPS, WEST
+from wardline.plans.lake_queries import _ARROW, slanted_outlines, slanted_zones
 from wardline.sources.schemas import MULTIPOLYGON
 from pyspark.sql import types as T
 
@@ -154,3 +156,36 @@ def test_open_rings_are_closed(spark, limit):
         rng = random.Random(6)
         points = [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(200)]
         assert answers(spark, index, points) == ["a" if inside(closed, x, y) else None for x, y in points]
+
+
+def test_slanted_zones_of_every_supplier(spark, tmp_path):
+    """Against every outline, one edge at a time, also of suppliers beyond the first hundred."""
+    suppliers, rows = range(120), [(n, 1 + n % 7, n * 31 % 997, n * 17 % 211, "N") for n in range(4000)]
+    spark.createDataFrame([(k,) for k in suppliers], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    lines = "l_orderkey long, l_linenumber long, l_suppkey long, l_partkey long, l_returnflag string"
+    spark.createDataFrame(rows, lines).write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def holds(k, x, y):
+        grow = 4 if k % 3 == 0 else 1
+        west, south = WEST + k % 10 * 500, SOUTH + k // 10 * 500
+        ring = [((west + dx * grow) / STEPS, (south + dy * grow) / STEPS) for dx, dy in _ARROW]
+        odd = False
+        for a, b in zip(ring, [*ring[1:], ring[0]]):
+            (lx, ly), (hx, hy) = (a, b) if a[1] < b[1] else (b, a)
+            if ly <= y < hy and x < max(min(lx, hx), min(lx + (y - ly) * (hx - lx) / (hy - ly), max(lx, hx))):
+                odd = not odd
+        return odd
+
+    expected = {}
+    for order, line, supplier, part, _ in rows:
+        x, y = ((order * 59 + part) % 6000 - 880500) / STEPS, ((order * 97 + supplier) % 6000 + 415500) / STEPS
+        expected[(order, line, supplier)] = next((f"{k:04d}" for k in suppliers if holds(k, x, y)), "")
+    got = {(r["l_orderkey"], r["l_linenumber"], r["l_suppkey"]): r["zone"] for r in slanted_zones(spark, str(tmp_path)).collect()}
+    assert got == expected
+    assert sum(zone >= "0100" for zone in expected.values()) > 20
+
+
+def test_no_two_suppliers_share_a_slanted_zone(spark):
+    keys = spark.createDataFrame([(k,) for k in (7, 999, 1000, 9999, 10000, 100001)], "s_suppkey long")
+    names = [r["zone"] for r in slanted_outlines(keys).collect()]
+    assert sorted(names) == sorted(["0007", "0999", "1000", "9999", "10000", "100001"])

@@ -10,7 +10,19 @@ from wardline.plans import marts
 from wardline.operators.spatial import build_zone_index, locate, ring_vertices
 from wardline.plans.basic_queries import TRIP_STEPS_SQL, trip_coordinates
 from wardline.plans.city_queries import HEALTH_SQL, TRIPS_SQL, ZIPS_SQL, _outline_sql
-from wardline.plans.city_tables import PAGES, SOUTH, STEPS, WEST, ZONE, five_digits, lake_rows, multipolygon, square_ring, table
+from wardline.plans.city_tables import (
+    PAGES,
+    SOUTH,
+    STEPS,
+    WEST,
+    ZONE,
+    five_digits,
+    grid_corner,
+    lake_rows,
+    multipolygon,
+    square_ring,
+    table,
+)
 from wardline.plans.registry import query
 from wardline.session import scratch_path
 from wardline.sources.pages import read_pages, read_snapshot, to_lake_rows, write_array_pages, write_snapshot
@@ -431,6 +443,21 @@ def multi_part_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ARROW = ((0, 0), (350, 50), (250, 200), (400, 450), (150, 300), (0, 450), (100, 200))
 
 
+def slanted_outlines(suppliers: DataFrame) -> DataFrame:
+    """``zone, the_geom``: the concave outline of every supplier, open rings on the grid of the other outlines."""
+    key = F.col("s_suppkey")
+    grow = F.when(key % 3 == 0, 4).otherwise(1)
+    west, south = grid_corner(key)
+    scale = F.lit(float(STEPS))
+    # The last corner is not the first one again: the index closes the ring.
+    ring = F.array(
+        *[F.array((west + x * grow).cast("double") / scale, (south + y * grow).cast("double") / scale) for x, y in _ARROW]
+    )
+    # Four digits at least: a longer number is not cut to them, or two suppliers would share a zone.
+    name = key.cast("string")
+    return suppliers.select(F.when(key < 10000, F.lpad(name, 4, "0")).otherwise(name).alias("zone"), multipolygon([ring]))
+
+
 @query(
     "slanted_zones",
     sql=f"""WITH corners AS (SELECT * FROM (VALUES {", ".join(f"({n}, {x}, {y})" for n, (x, y) in enumerate(_ARROW))}) v(seq, dx, dy)),
@@ -450,17 +477,7 @@ _ARROW = ((0, 0), (350, 50), (250, 200), (400, 450), (150, 300), (0, 450), (100,
 )
 def slanted_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concave outlines with slanted edges, of two sizes, over each other; many trips end on their edges and corners."""
-    key = F.col("s_suppkey")
-    grow = F.when(key % 3 == 0, 4).otherwise(1)
-    west, south = F.lit(WEST) + key % 10 * ZONE, F.lit(SOUTH) + F.floor(key / F.lit(10)) * ZONE
-    scale = F.lit(float(STEPS))
-    # The last corner is not the first one again: the index closes the ring.
-    ring = F.array(
-        *[F.array((west + x * grow).cast("double") / scale, (south + y * grow).cast("double") / scale) for x, y in _ARROW]
-    )
-    zones = table(spark, sf_dir, "supplier").filter(key < 100).select(
-        F.lpad(key.cast("string"), 4, "0").alias("zone"), multipolygon([ring])
-    )
+    zones = slanted_outlines(table(spark, sf_dir, "supplier"))
     index = build_zone_index(ring_vertices(zones, all_rings=True), "zone")
     located = locate(trip_coordinates(spark, sf_dir), index, {"area": ("dlon", "dlat")})
     return located.select("l_orderkey", "l_linenumber", "l_suppkey", F.coalesce("area", F.lit("")).alias("zone"))
