@@ -81,6 +81,61 @@ def test_ranks_and_file_give_the_same_ids(spark):
     assert a == b
 
 
+HOT = [{600: 50}, {520: 1000, 900: 3}, {700: 900, 1024: 5}, {1000: 10**9, 3: 7, 400: 10**6}, {n: 1 + n % 5 for n in range(500, 1024)}]
+
+
+@pytest.mark.parametrize("counts", HOT)
+def test_cut_rests_fill_every_window_but_the_last(counts):
+    plan, left = plan_windows(counts, cut=True), Counter(counts)
+    for times, parts in plan:
+        filled = 0
+        for n, k, *size in parts:
+            left[n] -= times * k
+            filled += size[0] if size else n * k
+            assert left[n] >= 0
+            if size:
+                left[n - size[0]] += times
+        assert filled <= 1024
+    assert not any(left.values()) and len(plan) < 5000
+    least = -(-sum(n * k for n, k in counts.items()) // 1024)
+    assert sum(times for times, _ in plan) <= least * 1.01 + 1
+
+
+def test_parts_of_cut_pieces_fill_the_sequences():
+    counts = {600: 50, 700: 31, 1000: 3}
+    places = lay_out(plan_windows(counts, cut=True))
+    length = np.repeat(list(counts), list(counts.values()))
+    rank = np.concatenate([np.arange(k) for k in counts.values()])
+    row, begin, size, sequence, offset = places.parts(length, rank)
+    for at in range(len(length)):
+        own = sorted(zip(begin[row == at].tolist(), size[row == at].tolist()))
+        assert [b for b, _ in own] == np.cumsum([0, *[n for _, n in own]])[:-1].tolist() and sum(n for _, n in own) == length[at]
+    taken = [sorted(zip(offset[sequence == n].tolist(), size[sequence == n].tolist())) for n in range(sequence.max() + 1)]
+    for own in taken:
+        assert [b for b, _ in own] == np.cumsum([0, *[n for _, n in own]])[:-1].tolist()
+    assert [sum(n for _, n in own) for own in taken[:-1]] == [1024] * (len(taken) - 1)
+
+
+def test_a_hot_length_is_cut_to_fill(spark):
+    """Copies of one text of 600 tokens would fill 59 % whole."""
+    text = " one" * 599
+    docs = documents(spark, [(n, text, "s") for n in range(60)] + [(90, " two" * 700, "s"), (91, None, "s")])
+    texts = {n: text for n in range(60)} | {90: " two" * 700, 91: ""}
+    placed = pack_pieces(token_pieces(docs, RANKS), 1024)
+    sequences = {r["sequence_id"]: r for r in packed_sequences(placed).collect()}
+    ids = {n: [] for n in texts}
+    for r in sorted(placed.collect(), key=lambda r: (r["doc_id"], r["start"])):
+        own = np.frombuffer(r["ids"], "<u4").tolist()
+        assert len(own) == r["length"] and r["start"] == len(ids[r["doc_id"]])
+        assert sequences[r["sequence_id"]]["ids"][r["offset"] : r["offset"] + r["length"]] == own
+        ids[r["doc_id"]] += own
+    assert ids == {n: expected_ids(t) for n, t in texts.items()}
+    assert len(sequences) == -(-sum(map(len, ids.values())) // 1024)
+    for r in pack_documents(docs, RANKS).collect():
+        own = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes()
+        assert (r["length"], r["ids_crc32"], r["doc_tokens"]) == (len(own) // 4, zlib.crc32(own), len(ids[r["doc_id"]]))
+
+
 ADDED = [
     "end <|endoftext|> start",
     "<|endoftext|>",

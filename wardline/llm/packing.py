@@ -6,9 +6,12 @@
    number of times each is used, by least squares against the histogram (a piece left over weighs more the longer it
    is). The solution is rounded, never using more pieces than there are.
 4. Pieces left over are packed greedily, longest first, each window filled with the longest pieces that still fit.
-   Where nothing fits a gap, the window is closed with padding.
+   Where nothing fits a gap, the window is closed with padding. If padding then takes more windows than ``PADDING``
+   allows, the longest piece is cut at the gap instead, and what is left of it is a piece like any other: of these
+   windows only the last is padded.
 5. The plan says which pieces of each length go where, as ranges of their number within the length. Numbers are
    made from counts of each (partition, length), so a length shared by a third of all pieces is numbered in parallel.
+   What is left of a cut piece is numbered behind the pieces that have its length from the start.
 
 The plan's size depends on the window alone (some 90,000 combinations for 1024), not on the data.
 """
@@ -18,6 +21,7 @@ from __future__ import annotations
 import base64
 import functools
 import json
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +37,8 @@ from wardline.session import stable
 END = 0
 STEPS = 300
 ROUND = 0.5
+#: Part of the windows, and one more, that padding may take before rests are cut.
+PADDING = 0.01
 
 
 def added_tokens(path: str) -> dict[str, int]:
@@ -142,8 +148,38 @@ def repeat_counts(histogram: np.ndarray, patterns: np.ndarray, steps: int = STEP
     return x
 
 
-def plan_windows(counts: dict[int, int], window: int = 1024) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
-    """``(times, ((length, number), ...))``: windows with these pieces, that many times; every piece is used once."""
+def pack_left(left: np.ndarray, window: int, cut: bool) -> list[tuple[int, tuple[tuple[int, ...], ...]]]:
+    """A plan for ``left[length]`` pieces of each length, longest first; ``left`` is used up."""
+    plan = []
+    while left.any():
+        parts, room = [], window
+        free = left.copy()
+        while room and (fits := np.flatnonzero(free[: room + 1])).size:
+            n = int(fits[-1])
+            k = min(int(free[n]), room // n)
+            parts.append((n, k))
+            free[n] -= k
+            room -= n * k
+        if cut and room and (longer := np.flatnonzero(free)).size:
+            parts.append((int(longer[-1]), 1, room))
+        need: dict[int, int] = {}
+        for n, k, *_ in parts:
+            need[n] = need.get(n, 0) + k
+        times = min(int(left[n]) // k for n, k in need.items())
+        plan.append((times, tuple(parts)))
+        for n, k, *size in parts:
+            left[n] -= times * k
+            if size:
+                left[n - size[0]] += times
+    return plan
+
+
+def plan_windows(counts: dict[int, int], window: int = 1024, cut: bool = False) -> list[tuple[int, tuple[tuple[int, ...], ...]]]:
+    """``(times, ((length, number), ...))``: windows with these pieces, that many times; every piece is used once.
+
+    With ``cut``, ``(length, 1, size)`` is a piece of which the first ``size`` ids are placed and the others are a piece
+    of length - size from there on.
+    """
     left = np.zeros(window + 1, np.int64)
     for length, number in counts.items():
         left[length] = number
@@ -165,54 +201,79 @@ def plan_windows(counts: dict[int, int], window: int = 1024) -> list[tuple[int,
                 plan.append((times, parts))
                 for n, k in parts:
                     left[n] -= times * k
-    while left.any():
-        parts, room = [], window
-        free = left.copy()
-        while room and (fits := np.flatnonzero(free[: room + 1])).size:
-            n = int(fits[-1])
-            k = min(int(free[n]), room // n)
-            parts.append((n, k))
-            free[n] -= k
-            room -= n * k
-        times = min(int(left[n]) // k for n, k in parts)
-        plan.append((times, tuple(parts)))
-        for n, k in parts:
-            left[n] -= times * k
-    return plan
+    rest = pack_left(left.copy(), window, False)
+    least = -(-sum(n * k for n, k in counts.items()) // window)
+    if cut and sum(times for times, _ in plan + rest) > least * (1 + PADDING) + 1:
+        rest = pack_left(left, window, True)
+    return plan + rest
 
 
 @dataclass(frozen=True)
 class Places:
-    """Ranges of piece numbers within a length, in order of ``key`` = length * 2^44 + first number of the range."""
+    """Ranges of piece numbers within a length, in order of ``key`` = length * 2^44 + first number of the range.
+
+    ``size`` ids are placed; ``tail`` is the key of what is left of the first piece of the range.
+    """
 
     key: np.ndarray
     sequence: np.ndarray
     offset: np.ndarray
     number: np.ndarray
+    size: np.ndarray
+    tail: np.ndarray
 
-    def find(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.key, (length << 44) + rank, "right") - 1
-        inside = (length << 44) + rank - self.key[at]
+    def _at(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.key, key, "right") - 1
+        inside = key - self.key[at]
         times, which = np.divmod(inside, self.number[at])
-        return self.sequence[at] + times, self.offset[at] + which * length
+        return self.sequence[at] + times, self.offset[at] + which * self.size[at], self.size[at], self.tail[at] + inside
 
-
-def lay_out(plan: list[tuple[int, tuple[tuple[int, int], ...]]]) -> Places:
-    key, sequence, offset, number = [], [], [], []
+    def find(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sequence and offset, of a cut piece those of its first part."""
+        return self._at((length << 44) + rank)[:2]
+
+    def parts(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``row, begin, size, sequence, offset`` of every part of the pieces; ``begin`` counts ids of the piece."""
+        row, key = np.arange(len(length)), (length << 44) + rank
+        begin, done = np.zeros(len(length), np.int64), []
+        while len(row):
+            sequence, offset, size, tail = self._at(key)
+            done.append((row, begin, size, sequence, offset))
+            more = size < key >> 44
+            row, begin, key = row[more], (begin + size)[more], tail[more]
+        return tuple(np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int64),) * 5
+
+    def cut_lengths(self) -> list[int]:
+        """Lengths of which a piece is cut."""
+        length = self.key >> 44
+        return np.unique(length[self.size < length]).tolist()
+
+
+def lay_out(plan: list[tuple[int, tuple[tuple[int, ...], ...]]]) -> Places:
+    rows = []
     used: dict[int, int] = {}
+    tails: dict[int, int] = {}  # numbers of the first tails: behind the pieces that are there from the start
+    for times, parts in plan:
+        for n, k, *size in parts:
+            tails[n] = tails.get(n, 0) + times * k
+    for times, parts in plan:
+        for n, _, *size in parts:
+            if size:
+                tails[n - size[0]] -= times
     first = 0
     for times, parts in plan:
         at = 0
-        for n, k in parts:
-            key.append((n << 44) + used.get(n, 0))
-            sequence.append(first)
-            offset.append(at)
-            number.append(k)
+        for n, k, *size in parts:
+            placed, tail = size[0] if size else n, 0
+            if size:
+                tail = (n - placed << 44) + tails[n - placed]
+                tails[n - placed] += times
+            rows.append(((n << 44) + used.get(n, 0), first, at, k, placed, tail))
             used[n] = used.get(n, 0) + times * k
-            at += n * k
+            at += placed * k
         first += times
-    order = np.argsort(np.array(key, np.int64), kind="stable")
-    return Places(*(np.array(x, np.int64)[order] for x in (key, sequence, offset, number)))
+    rows.sort()
+    return Places(*(np.array(x, np.int64) for x in zip(*rows))) if rows else Places(*[np.zeros(0, np.int64)] * 6)
 
 
 def pack_pieces(pieces: DataFrame, window: int = 1024) -> DataFrame:
@@ -220,6 +281,8 @@ def pack_pieces(pieces: DataFrame, window: int = 1024) -> DataFrame:
 
     Sequences are numbered from 0, the pieces of one lie next to each other from offset 0, and none exceeds the window.
     Rows of the same length are interchangeable, so repeated rows are all placed. An empty table gives an empty result.
+    Where whole pieces would leave much padding, those with ``start`` and ``ids`` are cut: a row for each part, with its
+    own ``start``, ``length``, ``ids`` and, where there is one, ``ids_crc32``. Pieces without those columns stay whole.
     """
     spark = pieces.sparkSession
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
@@ -227,7 +290,11 @@ def pack_pieces(pieces: DataFrame, window: int = 1024) -> DataFrame:
     part = F.shiftright("_row", 33).alias("_part")
     numbers = stable(placed.groupBy(part, "length").agg(F.count("*").alias("number")))
     counts = {r["length"]: r["number"] for r in numbers.groupBy("length").agg(F.sum("number").alias("number")).collect()}
-    places = spark.sparkContext.broadcast(lay_out(plan_windows(counts, window)))
+    laid = lay_out(plan_windows(counts, window, {"start", "ids"} <= set(columns)))
+    places = spark.sparkContext.broadcast(laid)
+    if "ids" in columns and "ids_crc32" in columns:  # the ids are only there to be cut
+        needed = F.when(F.col("length").isin(laid.cut_lengths()), F.col("ids")) if laid.cut_lengths() else F.lit(None).cast("binary")
+        placed = placed.withColumn("ids", needed)
     earlier = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = numbers.select("_part", "length", F.coalesce(F.sum("number").over(earlier), F.lit(0)).alias("_base"))
     within = Window.partitionBy("_part", "length").orderBy("_row")
@@ -236,9 +303,23 @@ def pack_pieces(pieces: DataFrame, window: int = 1024) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sequence, offset = places.value.find(batch.column("length").to_numpy(), batch.column("_rank").to_numpy())
-            kept = [batch.column(name) for name in columns]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=[*columns, "sequence_id", "offset"])
+            length = batch.column("length").to_numpy()
+            row, begin, size, sequence, offset = places.value.parts(length, batch.column("_rank").to_numpy())
+            kept = {name: batch.column(name) for name in columns}
+            if len(row) > batch.num_rows or (size < length[row]).any():
+                kept = {name: column.take(pa.array(row)) for name, column in kept.items()}
+                cut = np.flatnonzero(size < length[row])
+                ids = kept["ids"].to_pylist()
+                for at in cut:
+                    ids[at] = ids[at][4 * begin[at] : 4 * (begin[at] + size[at])]
+                kept["ids"] = pa.array(ids, kept["ids"].type)
+                kept["start"] = pa.array(kept["start"].to_numpy() + begin, kept["start"].type)
+                kept["length"] = pa.array(size, kept["length"].type)
+                if "ids_crc32" in kept:
+                    sums = kept["ids_crc32"].to_numpy().copy()
+                    sums[cut] = [zlib.crc32(ids[at]) for at in cut]
+                    kept["ids_crc32"] = pa.array(sums, kept["ids_crc32"].type)
+            yield pa.RecordBatch.from_arrays([*kept.values(), pa.array(sequence), pa.array(offset)], names=[*columns, "sequence_id", "offset"])
 
     schema = pieces.select(*columns, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
     return ranked.mapInArrow(run, schema)
@@ -261,9 +342,9 @@ def packed_sequences(placed: DataFrame, window: int = 1024, pad: int = END) -> D
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = 1024) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` of every piece of ``docs``.
 
-    The ids themselves go no further than their checksum; take ``token_pieces``, ``pack_pieces`` and
+    The ids themselves go no further than their checksum and the cuts; take ``token_pieces``, ``pack_pieces`` and
     ``packed_sequences`` for the sequences.
     """
     pieces = token_pieces(docs, tokenizer, window)
-    checked = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return pack_pieces(checked, window)
+    checked = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "ids")
+    return pack_pieces(checked, window).drop("ids")
