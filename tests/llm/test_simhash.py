@@ -7,7 +7,7 @@ import xxhash
 from tests.llm.cases import DOCS, ascii_lower, documents, prose, spaced_words
 from wardline.llm import simhash
 from wardline.llm.graphs import components
-from wardline.llm.simhash import covering_masks, keep_one_of_each, near_links, simhash_groups
+from wardline.llm.simhash import covering_masks, keep_one_of_each, midpoint_links, near_links, simhash_groups
 
 
 def expected_fingerprint(text):
@@ -93,3 +93,34 @@ def test_one_of_each_group_stays(spark):
 def test_empty_table(spark):
     assert simhash_groups(documents(spark, [])).collect() == []
     assert keep_one_of_each(documents(spark, []), ["doc_id", "text"]).collect() == []
+
+
+def joined(members, pairs):
+    """The sets of members that the pairs join."""
+    root = {m: m for m in members}
+
+    def top(m):
+        while root[m] != m:
+            m = root[m]
+        return m
+
+    for a, b in pairs:
+        root[top(a)] = top(b)
+    groups = {}
+    for m in members:
+        groups.setdefault(top(m), set()).add(m)
+    return sorted(map(sorted, groups.values()))
+
+
+#: 12 and 13 are one bit apart, and each has a smaller one next to it that the other is two bits from.
+BRIDGE = [12, 13, 4, 9]
+
+
+@pytest.mark.parametrize(("radius", "members"), [(1, BRIDGE), (1, None), (3, None), (2, None)])
+def test_midpoints_join_what_steps_join(spark, radius, members):
+    members = members or random.Random(radius).sample(range(1 << (9 + 3 * radius)), 150)
+    rows = spark.createDataFrame([(m,) for m in members], "fingerprint long")
+    links = [(r["a"], r["b"]) for r in midpoint_links(rows, radius).collect()]
+    assert all((a ^ b).bit_count() <= radius for a, b in links)
+    near = [(a, b) for a in members for b in members if a < b and (a ^ b).bit_count() <= radius]
+    assert near and joined(members, links) == joined(members, near)

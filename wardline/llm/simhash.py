@@ -119,7 +119,11 @@ def bucket_links(rows: DataFrame, radius: int) -> DataFrame:
 
 
 def midpoint_links(rows: DataFrame, radius: int) -> DataFrame:
-    """Links among the ``fingerprint`` of ``rows`` over all points within half the radius."""
+    """Links among the ``fingerprint`` of ``rows`` over all points within half the radius.
+
+    Two members that an odd radius parts have a point that is nearer to one of them: the smallest of the nearer members
+    of a point is linked to all others, which are within the radius of it.
+    """
     flips = [0]
     for n in range(1, (radius + 1) // 2 + 1):
         for bits in itertools.combinations(range(BITS), n):
@@ -128,7 +132,10 @@ def midpoint_links(rows: DataFrame, radius: int) -> DataFrame:
     patterns = F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")
     points = rows.select("fingerprint", F.explode(patterns).alias("flip"))
     points = points.select("fingerprint", F.col("fingerprint").bitwiseXOR(F.col("flip")).alias("point"))
-    least = points.groupBy("point").agg(F.min("fingerprint").alias("b"), F.max("fingerprint").alias("most")).where("b < most")
+    bits = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("point")))
+    nearer = F.when(bits <= radius // 2, F.col("fingerprint")) if radius % 2 else F.col("fingerprint")
+    ends = [F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most")]
+    least = points.groupBy("point").agg(F.min(nearer).alias("b"), *ends).where("b IS NOT NULL AND least < most")
     links = points.join(least.select("point", "b"), "point").where("fingerprint <> b")
     return links.where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("b"))) <= radius).select(
         F.col("fingerprint").alias("a"), "b"
