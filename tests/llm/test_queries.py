@@ -32,7 +32,7 @@ def test_one_query_for_each_operator():
 def test_against_sql(spark, name):
     df = entry.queries()[name](spark, SF_DIR)
     connection = duckdb.connect()
-    for table in ("pages", "embeddings", "documents"):
+    for table in ("pages", "embeddings", "documents", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = connection.sql(entry.oracle_sql()[name])
     columns = sorted(df.columns)
@@ -52,10 +52,13 @@ CONTRACT = {
     "op8": "page_id host path rule verdict",
     "op9": "doc_id size source_size target taken",
     "op10": "query_id rank vec_id score",
+    "op11": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op12": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13": "vec_id component n deviation whitened explained identity_error",
 }
-INTEGERS = {"rank": "int", "predicted": "int"}
-OTHERS = dict.fromkeys(("score", "target", "near_edited", "near_next"), "double") | {"held_out": "boolean"}
-TEXTS = "base_sha256 spans base_labels labels edited_sha256 fingerprint edited_fingerprint payload_digest record_type host path rule verdict"
+INTEGERS = {"rank": "int", "predicted": "int", "component": "int"}
+OTHERS = dict.fromkeys("score base_score target near_edited near_next whitened explained identity_error".split(), "double") | {"held_out": "boolean"}
+TEXTS = "base_sha256 spans base_labels labels edited_sha256 fingerprint edited_fingerprint payload_digest record_type host path rule verdict ends_sha256"
 
 
 @pytest.mark.parametrize("name", OWN)

@@ -11,11 +11,13 @@ from wardline.llm.fingerprints import fingerprint_documents
 from wardline.llm.licenses import scan_licenses
 from wardline.llm.packing import pack_documents
 from wardline.llm.pii import find_identifiers
+from wardline.llm.prefixes import conversation_trie
 from wardline.llm.quality import judge_quality
 from wardline.llm.simhash import simhash_groups
 from wardline.llm.topk import exact_top_k
 from wardline.llm.urls import Rule, judge_urls
 from wardline.llm.warc import archive_pages
+from wardline.llm.whitening import whiten_embeddings
 from wardline.plans.registry import query
 
 ARCHIVE_SQL = """
@@ -130,3 +132,46 @@ FROM scores QUALIFY rank <= 20
 def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best vectors by inner product of every vector whose id is divisible by 20."""
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+# CRC-32 bit by bit: a byte is mixed in, then eight steps follow (-1).
+TRIE_SQL = """
+WITH own AS (
+    SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+    SELECT *, xor(list_reduce(
+        [4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295) % 6 AS h
+    FROM own
+), rebuilt AS (
+    SELECT o.conv_id, coalesce(b.turns[1:o.h], []) || o.turns[o.h + 1:] AS turns
+    FROM heads o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), members AS (
+    SELECT conv_id, d, turns[1:d] AS node, len(turns) = d AS last FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(node[d].text), 0) AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+    FROM members GROUP BY node, d
+), children AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), tops AS (
+    SELECT node[1:k] AS node, count(*) FILTER (n IS NULL) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT nodes.node, saved, n, unnest(range(0, d + 1)) AS k FROM nodes LEFT JOIN children ON children.node = nodes.node) GROUP BY ALL
+)
+SELECT nodes.conv_id, CAST(nodes.d AS BIGINT) AS depth, above.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN tops ON tops.node = nodes.node LEFT JOIN children ON children.node = nodes.node
+LEFT JOIN nodes above ON above.d = nodes.d - 1 AND above.node = nodes.node[1:nodes.d - 1]
+"""
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whitened components of every vector, fitted on distinct vectors."""
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
