@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm.common import table
+from wardline.llm.contexts import score_texts
 from wardline.llm.mixing import mix_sources
 from wardline.llm.fingerprints import fingerprint_documents
 from wardline.llm.licenses import scan_licenses
@@ -134,6 +135,12 @@ def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+@query("op11_context_tree")
+def context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every text by context-tree weighting, and by the counts of its words."""
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 # CRC-32 bit by bit: a byte is mixed in, then eight steps follow (-1).
 TRIE_SQL = """
 WITH own AS (
