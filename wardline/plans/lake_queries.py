@@ -307,7 +307,6 @@ def _land_page(spark: SparkSession, orders: DataFrame, root: str, number: int) -
     """One page: the orders whose key, modulo the number of pages, is below its number."""
     write_snapshot(
         orders.filter(F.col("o_orderkey") % _LANDINGS < number)
-        .coalesce(1)
         .select(
             F.col("o_orderkey").cast("string").alias("trip_id"),
             F.concat(F.lit("taxi"), F.col("o_custkey").cast("string")).alias("taxi_id"),
@@ -383,7 +382,7 @@ def _two_page_lake(spark: SparkSession, sf_dir: str) -> str:
     "lake_load_audit",
     sql="""SELECT 'taxi_trips' AS table_name, count(*) + count(*) FILTER (o_orderstatus IN ('F', 'P')) AS rows_in,
         count(*) AS rows_kept, count(*) FILTER (o_orderstatus IN ('F', 'P')) AS duplicate_rows,
-        CAST(0 AS BIGINT) AS blank_values FROM orders""",
+        CAST(0 AS BIGINT) AS bad_records, CAST(0 AS BIGINT) AS blank_values FROM orders""",
 )
 def lake_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The account a load leaves: rows in are those kept and those that lost to an earlier one."""
@@ -461,7 +460,7 @@ def slanted_outlines(suppliers: DataFrame) -> DataFrame:
 @query(
     "slanted_zones",
     sql=f"""WITH corners AS (SELECT * FROM (VALUES {", ".join(f"({n}, {x}, {y})" for n, (x, y) in enumerate(_ARROW))}) v(seq, dx, dy)),
-        sized AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 4 ELSE 1 END AS grow FROM supplier WHERE s_suppkey < 100),
+        sized AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 4 ELSE 1 END AS grow FROM supplier),
         vertices AS (SELECT k, seq, CAST({WEST} + k % 10 * {ZONE} + dx * grow AS DOUBLE) / {STEPS} AS x,
                             CAST({SOUTH} + k // 10 * {ZONE} + dy * grow AS DOUBLE) / {STEPS} AS y FROM sized, corners),
         walks AS (SELECT k, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2,
@@ -472,7 +471,7 @@ def slanted_outlines(suppliers: DataFrame) -> DataFrame:
         spots AS (SELECT DISTINCT dlon4, dlat4, CAST(dlon4 AS DOUBLE) / {STEPS} AS px, CAST(dlat4 AS DOUBLE) / {STEPS} AS py FROM steps),
         crossed AS (SELECT dlon4, dlat4, k, count(*) AS n FROM spots JOIN edges ON ly <= py AND py < hy
                         AND px < greatest(least(lx, hx), least(lx + (py - ly) * (hx - lx) / (hy - ly), greatest(lx, hx))) GROUP BY ALL),
-        owned AS (SELECT dlon4, dlat4, min(lpad(CAST(k AS VARCHAR), 4, '0')) AS zone FROM crossed WHERE n % 2 = 1 GROUP BY ALL)
+        owned AS (SELECT dlon4, dlat4, min(CASE WHEN k < 10000 THEN lpad(CAST(k AS VARCHAR), 4, '0') ELSE CAST(k AS VARCHAR) END) AS zone FROM crossed WHERE n % 2 = 1 GROUP BY ALL)
         SELECT l_orderkey, l_linenumber, l_suppkey, coalesce(zone, '') AS zone FROM steps LEFT JOIN owned USING (dlon4, dlat4)""",
 )
 def slanted_zones(spark: SparkSession, sf_dir: str) -> DataFrame:

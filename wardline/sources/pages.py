@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,11 @@ from wardline.sources.schemas import Feed
 
 _PLACE = ("_landed", "_file", "_split")
 
+#: Of rows in which no field could be read, and of lines that are no JSON the line itself.
+UNREAD, LINE = "_unread", "_line"
+BAD_SCHEMA = "path string, reason string, bytes bigint, record string"
+PAGE_SCHEMA = "path string, landed timestamp, bytes bigint, rows bigint, bad_records bigint"
+
 
 def file_columns() -> list[Column]:
     """When and where the file of a row was landed; for :func:`with_ingest_seq`."""
@@ -37,20 +46,93 @@ def read_pages(
     fit its field becomes NULL and the rest of its record is kept.
 
     ``ingest_seq`` records landing time, file, split and position. ``limit`` keeps
-    the first rows in that order.
+    the first rows in that order. ``_unread`` marks rows without any field; those that
+    are no JSON are among them, see :func:`bad_records`.
     """
     rows = (
-        spark.read.schema(feed.page_schema)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", True)
+        json_options(spark.read, feed, multiline)
         .json(path)
         .select("*", *file_columns())
     )
-    rows = with_ingest_seq(rows)
+    rows = with_ingest_seq(mark_unread(rows, feed, multiline))
     return rows.orderBy("ingest_seq").limit(limit) if limit is not None else rows
 
 
+def json_options(reader, feed: Feed, multiline: bool):
+    """A batch or stream reader for the pages of a feed.
+
+    A line that is no JSON is kept as text. Of an array page Spark would keep the whole page, anew for every record
+    with a field of another type, so there it is left out; :func:`bad_records` looks at the few pages in question.
+    """
+    schema = feed.page_schema if multiline else feed.page_schema.add(LINE, "string")
+    reader = reader.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", LINE).option("recursiveFileLookup", True)
+
+
+def mark_unread(rows: DataFrame, feed: Feed, multiline: bool) -> DataFrame:
+    """Add ``_unread`` and, for array pages, an empty ``_line``. Lines that can be read in part are read."""
+    nothing = reduce(lambda a, b: a & b, [F.col(name).isNull() for name in feed.page_schema.names])
+    if multiline:
+        return rows.withColumns({UNREAD: nothing, LINE: F.lit(None).cast("string")})
+    return rows.withColumn(UNREAD, nothing & F.col(LINE).isNotNull()).withColumn(LINE, F.when(F.col(UNREAD), F.col(LINE)))
+
+
+def _pages_that_are_no_json(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Of these pages, read as text, those that hold neither an array nor an object."""
+    # Names may hold characters that stand for others in a path pattern.
+    exact = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(path)) for path in paths]
+    pages = spark.read.option("wholetext", True).text(exact).select(F.col("_metadata.file_path").alias("path"), "value")
+    bad = pages.where(F.json_array_length("value").isNull() & F.json_object_keys("value").isNull())
+    ends = F.rlike(F.col("value"), F.lit(r"[\]}]\s*\z"))
+    reason = F.when(F.trim("value") == "", "page is empty").when(ends, "page is no JSON").otherwise("page is cut off")
+    return bad.select("path", reason.alias("reason"), F.octet_length("value").cast("bigint").alias("bytes"), F.left("value", F.lit(200)).alias("record"))
+
+
+def page_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, landed, bytes`` of every page there is; contents are not read. Files of no bytes are not listed by Spark."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("landed"), F.col("length").alias("bytes"))
+
+
+def bad_records(spark: SparkSession, parsed: DataFrame, multiline: bool, files: DataFrame | None = None) -> DataFrame:
+    """What could not be parsed: one row for each broken page, or for each broken line, with the reason.
+
+    ``parsed`` has been written. A page that is no JSON gives one row without any field; so does a page whose only
+    record names no known field, so these pages are read once more, as text, and with them the ones of ``files`` that
+    gave no row. Their names come to the driver, where the scan's own list of files is already.
+    """
+    if not multiline:
+        lines = parsed.where(UNREAD).select(F.col("ingest_seq.file").alias("path"), LINE)
+        return lines.select("path", F.lit("line is no JSON").alias("reason"), F.octet_length(LINE).cast("bigint").alias("bytes"), F.col(LINE).alias("record"))
+    per_page = parsed.where(UNREAD).groupBy(F.col("ingest_seq.file").alias("path")).agg(F.count("*").alias("unread"))
+    asked = per_page.where("unread = 1").select("path")
+    if files is not None:
+        asked = asked.unionByName(files.select("path").join(parsed.select(F.col("ingest_seq.file").alias("path")), "path", "left_anti"))
+    suspects = [r["path"] for r in asked.collect()]
+    return _pages_that_are_no_json(spark, suspects) if suspects else spark.createDataFrame([], BAD_SCHEMA)
+
+
+def good_rows(parsed: DataFrame, bad: DataFrame, multiline: bool) -> DataFrame:
+    """Parsed rows without those that stand for a broken page or line."""
+    if not multiline:
+        return parsed.where(~F.col(UNREAD)).drop(UNREAD, LINE)
+    # Rows with a field are never looked up.
+    blank = parsed.where(UNREAD).join(bad.select(F.col("path").alias("_path")), F.col("ingest_seq.file") == F.col("_path"), "left_anti")
+    return parsed.where(~F.col(UNREAD)).unionByName(blank).drop(UNREAD, LINE)
+
+
+def landed_pages(files: DataFrame, parsed: DataFrame, bad: DataFrame) -> DataFrame:
+    """Every page there is with its size, the rows read from it and the records that could not be; empty ones too.
+
+    ``parsed`` without the bad records.
+    """
+    rows = parsed.groupBy(F.col("ingest_seq.file").alias("path")).agg(F.count("*").alias("_rows"))
+    broken = bad.groupBy("path").agg(F.count("*").alias("_bad"))
+    listed = files.join(rows, "path", "left").join(broken, "path", "left")
+    counts = [F.coalesce("_rows", F.lit(0)).alias("rows"), F.coalesce("_bad", F.lit(0)).alias("bad_records")]
+    return listed.select("path", "landed", "bytes", *counts)
+
+
 def with_ingest_seq(rows: DataFrame) -> DataFrame:
     """Turn :func:`file_columns` into ``ingest_seq``. Call it right on the scan.
 
@@ -77,9 +159,13 @@ def _field(source: str | tuple[str, ...]) -> Column:
     return null_to_blank(F.coalesce(*[F.when(F.col(s) != "", F.col(s)) for s in source]))
 
 
-def parsed_rows(pages: DataFrame, feed: Feed) -> DataFrame:
-    """Rename fields, blank out missing text, unnest points. Outlines stay whole, one row each."""
+def parsed_rows(pages: DataFrame, feed: Feed, marked: bool = False) -> DataFrame:
+    """Rename fields, blank out missing text, unnest points. Outlines stay whole, one row each.
+
+    ``marked`` keeps the columns that tell which rows could not be read.
+    """
     columns = [_field(source).alias(name) for name, source in feed.columns.items()]
+    marks = [UNREAD, LINE] if marked else []
 
     if feed.point:
         coordinates = F.col(feed.point)["coordinates"]
@@ -92,9 +178,9 @@ def parsed_rows(pages: DataFrame, feed: Feed) -> DataFrame:
 
     if feed.geometry:
         kinds = [null_to_blank(F.col(feed.geometry)["type"]).alias(name) for name in feed.extra]
-        return pages.select(*columns, *kinds, "ingest_seq", feed.geometry)
+        return pages.select(*columns, *kinds, "ingest_seq", feed.geometry, *marks)
 
-    return pages.select(*columns, "ingest_seq")
+    return pages.select(*columns, "ingest_seq", *marks)
 
 
 def flat_rows(rows: DataFrame, feed: Feed, all_rings: bool = True) -> DataFrame:

@@ -1,21 +1,40 @@
-"""Lake and mart tables: full refresh, reading, read-back."""
+"""Lake and mart tables: full refresh, reading, read-back.
+
+Every refresh writes a new version of its tables and moves the pointer when all of them are there (``versions``).
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.operators.checks import REASON
 from wardline.operators.keyed import keyed_rejects, require_unique
-from wardline.sources.pages import first_rows, flat_rows, parsed_rows, read_pages
 from wardline.session import stable
+from wardline.sources.pages import (
+    BAD_SCHEMA,
+    LINE,
+    PAGE_SCHEMA,
+    UNREAD,
+    bad_records,
+    first_rows,
+    flat_rows,
+    good_rows,
+    landed_pages,
+    page_files,
+    parsed_rows,
+    read_pages,
+)
 from wardline.sources.schemas import FEEDS, MART_SCHEMAS, Feed
+from wardline.sources.versions import current, current_path, new_version, publish, split_path
 
-AUDIT_SCHEMA = "table_name string, rows_in bigint, rows_kept bigint, duplicate_rows bigint, blank_values bigint"
+AUDIT_SCHEMA = (
+    "table_name string, rows_in bigint, rows_kept bigint, duplicate_rows bigint, bad_records bigint, blank_values bigint"
+)
 
 
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -25,12 +44,18 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
 
 
 def refresh(df: DataFrame, schema: T.StructType | str, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Rebuild a table from scratch with its declared schema, in one distributed write."""
-    writer = conform(df, schema).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
+    """Rebuild a table from scratch with its declared schema, in one distributed write; returns the new version's folder.
+
+    Readers see the old rows until all new ones are written.
+    """
+    return _replace(df.sparkSession, path, conform(df, schema), partition_by)
+
+
+def _replace(spark: SparkSession, path: str, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
+    root, name = split_path(path)
+    folder = new_version(name)
+    df.write.partitionBy(*partition_by).parquet(f"{root}/{folder}")
+    return publish(spark, root, {name: folder})[name]
 
 
 def refresh_checked(flagged: DataFrame, schema: T.StructType | str, path: str) -> str:
@@ -49,90 +74,128 @@ def refresh_checked(flagged: DataFrame, schema: T.StructType | str, path: str) -
     ]
     checked = flagged.withColumn(REASON, F.coalesce(F.col(REASON), *lost))
     columns = [column.alias(name) for name, column in fitted.items()]
-    checked.select(*columns, REASON, F.col(REASON).isNotNull().alias("rejected")).write.mode("overwrite").partitionBy(
-        "rejected"
-    ).parquet(path)
-    return path
+    rows = checked.select(*columns, REASON, F.col(REASON).isNotNull().alias("rejected"))
+    return _replace(flagged.sparkSession, path, rows, ["rejected"])
 
 
 def read_checked(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """Good rows of a checked table, or its rejected ones with their reasons."""
-    rows = spark.read.parquet(path).filter(F.col("rejected") == F.lit(rejects)).drop("rejected")
+    rows = spark.read.parquet(current_path(spark, path)).filter(F.col("rejected") == F.lit(rejects)).drop("rejected")
     return rows if rejects else rows.drop(REASON)
 
 
 def refresh_lake_table(
     spark: SparkSession, table: str, pages: str, lake: str, multiline: bool = True, all_rings: bool = True
 ) -> str:
-    """Landed pages of one feed to its lake table, with every row accounted for.
+    """Landed pages of one feed to its lake table, with every row accounted for; returns the new version's folder.
 
-    The pages are parsed once, into the shared folder. From there the rows that stay
-    go to ``<lake>/<table>``, those that lose to an earlier row of their key to
-    ``<lake>/_rejects/<table>``, and the counts of both to ``<lake>/_audit/<table>``.
-    A table that refuses duplicates fails before anything of it is replaced.
+    The pages are parsed once, into the shared folder. From there go the rows that stay to the table, those that lose
+    to an earlier row of their key to ``_rejects/<table>``, pages and lines that are no JSON to ``_bad_pages/<table>``,
+    the list of pages with their rows to ``_pages/<table>`` and the counts of all to ``_audit/<table>``. The five are
+    replaced together, after the last has been written. A table that refuses duplicates fails before that.
     """
     feed = FEEDS[table]
-    parsed = stable(parsed_rows(read_pages(spark, feed, pages, multiline), feed))
+    marked, seen = observed(parsed_rows(read_pages(spark, feed, pages, multiline), feed, marked=True), _landing_counts(feed))
+    marked, files = stable(marked), page_files(spark, pages)
+    bad = stable(bad_records(spark, marked, multiline, files))
+    some_bad = bool(seen.get["unread"])
+    parsed = good_rows(marked, bad, multiline) if some_bad else marked.drop(UNREAD, LINE)
     if feed.on_duplicate == "fail":
         require_unique(parsed, feed.key, feed.table)
-    path = refresh(flat_rows(first_rows(parsed, feed), feed, all_rings), feed.lake_schema, f"{lake}/{table}")
-    if feed.on_duplicate == "first":
-        # Both counts come from Parquet footers; as many rows kept as parsed means that none lost.
-        all_kept = not feed.geometry and parsed.count() == spark.read.parquet(path).count()
-        rejects = parsed.limit(0) if all_kept else keyed_rejects(parsed, feed.key, "ingest_seq")
-        rejects.write.mode("overwrite").parquet(f"{lake}/_rejects/{table}")
-    _audit(spark, feed, parsed, path, lake).write.mode("overwrite").parquet(f"{lake}/_audit/{table}")
-    return path
-
+    names = [table, f"_rejects/{table}", f"_bad_pages/{table}", f"_pages/{table}", f"_audit/{table}"]
+    folders = {name: new_version(name) for name in names}
+    paths = [f"{lake}/{folder}" for folder in folders.values()]
+    rows, kept = observed(conform(flat_rows(first_rows(parsed, feed), feed, all_rings), feed.lake_schema), {"rows_kept": F.count(F.lit(1))})
+    rows.write.parquet(paths[0])
+    counts = seen.get if not some_bad else parsed.agg(*[c.alias(n) for n, c in _landing_counts(feed).items() if n != "unread"]).first().asDict()
+    rows_kept = kept.get["rows_kept"]
+    if feed.geometry:
+        # Vertices were counted above; outlines are what the rule goes by.
+        rows_kept = spark.read.schema(feed.lake_schema).parquet(paths[0]).agg(F.count_distinct("ingest_seq")).first()[0]
+    all_kept = feed.on_duplicate != "first" or (not feed.geometry and rows_kept == counts["rows_parsed"])
+    rejects = parsed.limit(0) if all_kept else keyed_rejects(parsed, feed.key, "ingest_seq")
+    rejects, lost = observed(rejects, {"duplicate_rows": F.count(F.lit(1))})
+    rejects.write.parquet(paths[1])
+    bad, broken = observed(bad, {"bad_records": F.count(F.lit(1))})
+    bad.write.parquet(paths[2])
+    landed_pages(files, parsed, bad).write.parquet(paths[3])
+    audit = {
+        "rows_in": counts["rows_parsed"] + broken.get["bad_records"],
+        "rows_kept": rows_kept,
+        **lost.get,
+        **broken.get,
+        "blank_values": counts["blank_values"],
+    }
+    one = spark.range(1).select(F.lit(table).alias("table_name"), *[F.lit(n).cast("bigint").alias(name) for name, n in audit.items()])
+    one.write.parquet(paths[4])
+    return publish(spark, lake, folders)[table]
+
+
+def observed(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """A frame that counts while it is written, right before the write, so that no task counts twice."""
+    observation = Observation()
+    return df.observe(observation, *[count.alias(name) for name, count in counts.items()]), observation
+
+
+def _landing_counts(feed: Feed) -> dict[str, Column]:
+    """What is counted of parsed rows; ``blank_values`` are blanks in the key."""
+    blanks = sum((F.count(F.when(F.col(c) == "", 1)) for c in feed.key), F.lit(0))
+    unread = F.count(F.when(F.col(UNREAD), 1))
+    return {"rows_parsed": F.count(F.lit(1)), "blank_values": blanks.cast("bigint"), "unread": unread}
 
-def _audit(spark: SparkSession, feed: Feed, parsed: DataFrame, path: str, lake: str) -> DataFrame:
-    """Rows in, kept and duplicate, counted where they stand; outlines count once, whatever their vertices.
 
-    ``blank_values`` counts blanks in the key.
-    """
-    kept = spark.read.schema(feed.lake_schema).parquet(path)
-    outlines = F.count_distinct("ingest_seq") if feed.geometry else F.count(F.lit(1))
-    rows_kept = kept.agg(outlines.alias("rows_kept"))
-    blanks = sum((F.count(F.when(F.col(c) == "", 1)) for c in feed.key), F.lit(0))
-    rows_in = parsed.agg(F.count(F.lit(1)).alias("rows_in"), blanks.cast("bigint").alias("blank_values"))
-    if feed.on_duplicate == "first":
-        rejects = spark.read.schema(parsed.schema).parquet(f"{lake}/_rejects/{feed.table}")
-        duplicates = rejects.agg(F.count(F.lit(1)).alias("duplicate_rows"))
-    else:
-        duplicates = spark.range(1).select(F.lit(0).cast("bigint").alias("duplicate_rows"))
-    # Three frames of one row each.
-    one = F.lit(1).alias("_one")
-    joined = rows_in.select("*", one).join(rows_kept.select("*", one), "_one").join(duplicates.select("*", one), "_one")
-    return joined.select(F.lit(feed.table).alias("table_name"), "rows_in", "rows_kept", "duplicate_rows", "blank_values")
+def _lake_parts(spark: SparkSession, lake: str, kind: str, schema: str, tables: Sequence[str]) -> DataFrame:
+    folders = current(spark, lake, *[f"{kind}/{table}" for table in tables])
+    parts = [
+        spark.read.schema(schema).parquet(folders[f"{kind}/{table}"]).select(F.lit(table).alias("table_name"), *[p.split()[0] for p in schema.split(", ")])
+        for table in tables
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def lake_audit(spark: SparkSession, lake: str, tables: Sequence[str] = tuple(FEEDS)) -> DataFrame:
     """The audits of the last load of each table, one row per table."""
-    return spark.read.schema(AUDIT_SCHEMA).parquet(*[f"{lake}/_audit/{table}" for table in tables])
+    folders = current(spark, lake, *[f"_audit/{table}" for table in tables])
+    return spark.read.schema(AUDIT_SCHEMA).parquet(*folders.values())
 
 
 def lake_rejects(spark: SparkSession, lake: str, table: str) -> DataFrame:
     """Rows that lost to an earlier one of their key in the last load."""
-    return spark.read.parquet(f"{lake}/_rejects/{table}")
+    name = f"_rejects/{table}"
+    return spark.read.parquet(current(spark, lake, name)[name])
+
+
+def lake_bad_pages(spark: SparkSession, lake: str, tables: Sequence[str] = tuple(FEEDS)) -> DataFrame:
+    """``table_name, path, reason, bytes, record`` of the pages and lines that the last loads could not parse.
+
+    ``record`` is the line, or the beginning of the page.
+    """
+    return _lake_parts(spark, lake, "_bad_pages", BAD_SCHEMA, tables)
+
+
+def lake_pages(spark: SparkSession, lake: str, tables: Sequence[str] = tuple(FEEDS)) -> DataFrame:
+    """``table_name, path, landed, bytes, rows, bad_records`` of every page of the last loads."""
+    return _lake_parts(spark, lake, "_pages", PAGE_SCHEMA, tables)
 
 
 def mart_audit(spark: SparkSession, mart: str, tables: Sequence[str] = tuple(MART_SCHEMAS)) -> DataFrame:
     """Rows kept and rejected in each mart table, by reason."""
     audits = []
+    folders = current(spark, mart, *tables)
     for table in tables:
-        df = spark.read.parquet(f"{mart}/{table}")
+        df = spark.read.parquet(folders[table])
         reason = F.coalesce(F.col(REASON), F.lit("")) if REASON in df.columns else F.lit("")
         audits.append(df.groupBy(reason.alias(REASON)).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table).alias("table_name"), REASON, "rows"))
     return reduce(DataFrame.unionByName, audits)
 
 
 def lake_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
-    return spark.read.schema(FEEDS[table].lake_schema).parquet(f"{lake}/{table}")
+    return spark.read.schema(FEEDS[table].lake_schema).parquet(current_path(spark, f"{lake}/{table}"))
 
 
 def mart_table(spark: SparkSession, mart: str, table: str) -> DataFrame:
     """A mart table without its rejected rows."""
-    df = spark.read.parquet(f"{mart}/{table}")
+    df = spark.read.parquet(current_path(spark, f"{mart}/{table}"))
     if "rejected" in df.columns:
         df = df.filter(~F.col("rejected")).drop("rejected", REASON)
     return df
