@@ -5,10 +5,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.cases import DOCS, ascii_lower, documents, prose, spaced_words
-from wardline.llm.contexts import codes_of, lgamma, pieces, score_texts, words_of
+from wardline.llm.contexts import Slots, chunks, codes_of, lgamma, lowered, merged, score_texts, words_of
 
 
 def training(doc_id):
@@ -123,25 +124,52 @@ def test_texts_of_the_corpus_are_likelier_than_their_words_in_disorder(spark):
     assert min(per_byte) > max(got[i]["score"] / 300 for i, *_ in noise if not training(i))
 
 
-def test_pieces_of_long_texts(monkeypatch):
-    import wardline.llm.contexts as contexts
+def strings(text, depth):
+    data = b"\xff" * depth + text + b"\xff"
+    return [int.from_bytes(bytes([*data[at - depth : at][::-1], data[at]]), "big") for at in range(depth, len(data))]
+
+
+@pytest.mark.parametrize("depth", [2, 5, 6])
+def test_strings_of_texts(depth):
+    texts = ["", "é", "plain text", "", "日本" * 40, "x"]
+    codes, starts = codes_of(pa.array(texts, pa.large_string()), depth)
+    assert codes.tolist() == [c for t in texts for c in strings(t.encode(), depth)]
+    assert starts.tolist() == [0, *np.cumsum([len(t.encode()) + 1 for t in texts])[:-1].tolist()]
+    assert codes_of(pa.array(texts, pa.large_string()).slice(2, 3), depth)[0].tolist() == [c for t in texts[2:5] for c in strings(t.encode(), depth)]
+
 
-    text = bytes(random.Random(1).randrange(256) for _ in range(1000))
-    whole = codes_of(list(pieces(text, 4)), 4)[0].tolist()
-    monkeypatch.setattr(contexts, "CHUNK", 100)
-    cut, starts = codes_of(list(pieces(text, 4)), 4)
-    assert cut.tolist() == whole and len(whole) == 1001 and starts.tolist() == list(range(0, 1001, 100))
-    two = codes_of([*pieces(text, 4), *pieces(b"", 4), *pieces(b"x", 4)], 4)[0].tolist()
-    assert two == whole + codes_of(list(pieces(b"", 4)), 4)[0].tolist() + codes_of(list(pieces(b"x", 4)), 4)[0].tolist()
+def test_words_and_letters():
+    texts = ["a\tb\x0b\x0c\r\nc É x\x85y  \x1cz ", "", " \n", None, "Z" * 65 + " " + "Q" * 64]
+    low = lowered(pa.array(texts))
+    words, owner = words_of(low)
+    for n, text in enumerate(texts):
+        found = [w for w, o in zip(words.to_pylist(), owner) if o == n]
+        plain = re.findall(rb"[^\x20\x09-\x0D]+", ascii_lower(text or "").encode())
+        assert found[-1] == b" " and [w if len(w) <= 64 else None for w in found[:-1]] == [w if len(w) <= 64 else None for w in plain]
+    assert len(words[len(words) - len(texts) - 2].as_py()) == 65
 
 
-def test_words_and_gamma(monkeypatch):
+def test_rows_are_taken_together(monkeypatch):
     import wardline.llm.contexts as contexts
 
-    text = "a\tb\x0b\x0c\r\nc é x  y \x1cz ".encode()
-    assert list(words_of(text)) == [*re.findall(rb"[^\x20\x09-\x0D]+", text), b" "]
-    monkeypatch.setattr(contexts, "LONG_TEXT", 3)
-    assert list(words_of(text)) == [*re.findall(rb"[^\x20\x09-\x0D]+", text), b" "]
+    monkeypatch.setattr(contexts, "CHUNK", 10)
+    texts = pa.array(["a" * 4, "b" * 4, "c" * 30, "", "d", "e" * 9], pa.large_string())
+    parts = [c.to_pylist() for c in chunks(texts)]
+    assert [t for p in parts for t in p] == texts.to_pylist() and all(len(p) == 1 or sum(map(len, p[:-1])) <= 10 for p in parts)
+
+
+def test_tables_of_numbers():
+    draw = np.random.default_rng(2)
+    codes = np.unique(draw.integers(0, 1 << 48, 5000))
+    values = draw.normal(size=len(codes))
+    slots = Slots(np.concatenate([codes, codes[:50]]), np.concatenate([values, values[:50]]))
+    asked = draw.integers(0, len(codes), 20_000)
+    assert (slots[codes[asked]] == values[asked]).all()
+    both, n = merged([codes[:100], codes[50:200], codes[:0]], [np.ones(100, int), np.full(150, 2), np.ones(0, int)])
+    assert both.tolist() == codes[:200].tolist() and n.tolist() == [1] * 50 + [3] * 50 + [2] * 100
+
+
+def test_gamma():
     x = np.array([0.5, 1.0, 1.5, 2.0, 3.7, 50.0, 1e6, 1e12])
     assert lgamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-11, abs=1e-11)
 

@@ -23,76 +23,100 @@ Texts are lower-cased (A-Z) bytes of UTF-8 between two edges, which count as a b
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import column_bytes, with_place
+from wardline.llm.common import with_place
 from wardline.session import stable
 
 DEPTH = 5
 TOP = 2
 EDGE = b"\xff"
 BLOCK_BYTES = 32 << 20
-#: Texts are cut into pieces and gathered to chunks of about so many bytes; distinct strings are given out beyond HELD.
+#: Texts are taken together to about so many bytes; what was gathered is given out beyond HELD rows.
 CHUNK = 1 << 21
 HELD = 3_000_000
 GROUP_ROWS = 500_000
 FOLDS, HELD_OUT = 7, 2
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 END = b" "
 LONG_WORD = 64
-LONG_TEXT = 1 << 23
 
 
-def _short(word: bytes) -> bytes:
-    """A long word goes by its hash, which no short one can be."""
-    return word if len(word) <= LONG_WORD else b"#" + hashlib.sha512(word).digest()
+def lowered(texts: pa.Array) -> pa.Array:
+    """Texts with A-Z in lower case; null is empty."""
+    filled = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, data = filled.buffers()
+    ends = np.frombuffer(offsets, np.int64)[filled.offset : filled.offset + len(filled) + 1] if len(filled) else np.zeros(1, np.int64)
+    low = bytes(memoryview(data)[ends[0] : ends[-1]]).translate(LOWER) if data else b""
+    return pa.LargeStringArray.from_buffers(len(filled), pa.py_buffer(np.ascontiguousarray(ends - ends[0])), pa.py_buffer(low))
 
 
-def words_of(text: bytes) -> Iterator[bytes]:
-    """The words of a lower-cased text, then its end."""
-    if len(text) > LONG_TEXT:
-        yield from (_short(match.group()) for match in WORDS.finditer(text))
-    else:
-        # Bytes are split at the same six characters.
-        words = text.split()
-        yield from words if max(map(len, words), default=0) <= LONG_WORD else map(_short, words)
-    yield END
+def chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Rows together to about ``CHUNK`` bytes, at least one."""
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
+    start = 0
+    while start < len(texts):
+        stop = max(int(np.searchsorted(ends, ends[start] + CHUNK)), start + 1)
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
-def pieces(text: bytes, depth: int) -> Iterator[bytes]:
-    """A text and its edges in pieces; each begins with the ``depth`` bytes before it."""
-    whole = EDGE * depth + text + EDGE
-    for start in range(0, len(text) + 1, CHUNK):
-        yield whole[start : start + CHUNK + depth]
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of lower-cased texts, each text closed by its end, and the number of the text of each.
 
-
-def codes_of(parts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The strings of all pieces as numbers, and where each piece begins.
+    A word of more than ``LONG_WORD`` bytes goes by its hash, which no shorter one can be.
+    """
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.flatten().cast(pa.large_binary())
+    owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
+    if (sizes == 0).any():
+        words, owner, sizes = words.filter(pa.array(sizes > 0)), owner[sizes > 0], sizes[sizes > 0]
+    if (sizes > LONG_WORD).any():
+        named = [b"#" + hashlib.sha512(w).digest() if len(w) > LONG_WORD else w for w in words.to_pylist()]
+        words = pa.array(named, pa.large_binary())
+    ends = pa.array([END] * len(texts), pa.large_binary())
+    return pa.concat_arrays([words, ends]), np.concatenate([owner, np.arange(len(texts))])
+
+
+def codes_of(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The strings of all texts as numbers, and where those of each text begin.
 
     The last byte of context is the highest, then those before it, then the byte that is predicted, so that numbers in
     order keep the contexts of a subtree together.
     """
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    codes = data[depth:].astype(np.int64)
-    for back in range(1, depth + 1):
-        codes |= data[depth - back : len(data) - back].astype(np.int64) << (8 * (depth + 1 - back))
-    sizes = np.array([len(p) - depth for p in parts])
-    # Windows that reach from one piece into the next are none.
-    starts = np.concatenate([[0], np.cumsum(sizes + depth)[:-1]])
-    inside = np.ones(len(codes), bool)
-    for back in range(1, depth + 1):
-        inside[starts[1:] - back] = False
-    return codes[inside], np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    edge = EDGE * (depth + 1)
+    # One edge closes a text, the others open the next one.
+    data = EDGE * depth + edge.join(text.as_buffer().to_pybytes() for text in texts) + EDGE + bytes(8)
+    windows = np.ndarray((len(data) - 8 - depth,), "<u8", data, strides=(1,))
+    context, bits = np.uint64((1 << 8 * depth) - 1), np.uint64(8 * depth)
+    codes = ((windows & context) << np.uint64(8)) | ((windows >> bits) & np.uint64(255))
+    starts = np.concatenate([[0], np.cumsum(sizes + 1 + depth)[:-1]]).astype(np.int64) if len(sizes) else np.zeros(0, np.int64)
+    if len(starts) > 1:
+        # Windows that reach from one text into the next are none.
+        inside = np.ones(len(codes), bool)
+        for back in range(1, depth + 1):
+            inside[starts[1:] - back] = False
+        codes = codes[inside]
+    return codes.view(np.int64), np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64) if len(sizes) else starts
+
+
+def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers and their summed counts from sorted lists; a stable sort merges what is in order already."""
+    every, n = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    return every[starts], np.add.reduceat(n[order], starts) if len(starts) else n
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -201,58 +225,40 @@ class Gathered:
 
     def __init__(self, depth: int):
         self.depth = depth
-        self.words: Counter = Counter()
-        self.parts: dict[bool, list[bytes]] = {True: [], False: []}
-        self.size = 0
-        self.codes, self.counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.codes: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.counts: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.words: list[pa.Table] = []
         self.held = 0
 
-    def add(self, text: bytes, training: bool) -> None:
-        text = text.translate(LOWER)
-        if training:
-            self.words.update(words_of(text))
-        else:
-            for word in words_of(text):
-                self.words.setdefault(word, 0)
-        for piece in pieces(text, self.depth):
-            self.parts[training].append(piece)
-            self.size += len(piece)
-            if self.size > CHUNK:
-                self._count()
-
-    def _count(self) -> None:
-        for training, parts in self.parts.items():
-            if parts:
-                codes, counts = np.unique(codes_of(parts, self.depth)[0], return_counts=True)
-                self.codes.append(codes)
-                self.counts.append(counts if training else np.zeros_like(counts))
-                self.held += len(codes)
-                parts.clear()
-        self.size = 0
+    def add(self, texts: pa.Array, training: bool) -> None:
+        codes, counts = np.unique(codes_of(texts, self.depth)[0], return_counts=True)
+        self.codes.append(codes)
+        self.counts.append(counts if training else np.zeros_like(counts))
+        words = words_of(texts)[0].dictionary_encode()
+        counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+        self.words.append(pa.table({"word": words.dictionary, "n": counts if training else np.zeros_like(counts)}))
+        self.held += len(codes) + len(counts)
         if self.held > HELD:
             self._merge()
 
     def _merge(self) -> None:
-        codes, to = np.unique(np.concatenate(self.codes), return_inverse=True)
-        self.codes, self.counts = [codes], [np.bincount(to, np.concatenate(self.counts), len(codes)).astype(np.int64)]
-        self.held = len(codes)
+        codes, counts = merged(self.codes, self.counts)
+        self.codes, self.counts = [codes], [counts]
+        if self.words:
+            self.words = [pa.concat_tables(self.words).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])]
+        self.held = len(codes) + sum(len(t) for t in self.words)
 
     @property
     def full(self) -> bool:
-        return max(len(self.codes[0]), len(self.words)) > HELD
+        return self.held > HELD
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        self._count()
         self._merge()
-        names = ["block", "gram", "word", "n"]
-        for at in range(0, len(self.codes[0]), 100_000):
-            gram, n = (pa.array(x[0][at : at + 100_000]) for x in (self.codes, self.counts))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), block)), gram, pa.nulls(len(gram), pa.binary()), n], names=names)
-        words = list(self.words.items())
-        for at in range(0, len(words), 100_000):
-            word, n = zip(*words[at : at + 100_000])
-            nulls = pa.nulls(len(word), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), block)), nulls, pa.array(word, pa.binary()), pa.array(n, pa.int64())], names=names)
+        grams = pa.table({"gram": self.codes[0], "word": pa.nulls(len(self.codes[0]), pa.binary()), "n": self.counts[0]})
+        words = self.words[0] if self.words else pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})
+        words = pa.table({"gram": pa.nulls(len(words), pa.int64()), "word": words["word"].cast(pa.binary()), "n": words["n"]})
+        for part in pa.concat_tables([grams, words]).to_batches(max_chunksize=100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), *part.columns], names=["block", *part.schema.names])
 
 
 def remainder(doc_id: Column) -> Column:
@@ -265,13 +271,19 @@ def _entries(docs: DataFrame, depth: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, Gathered(depth)
         for batch in batches:
-            rows = zip(batch.column("block").to_pylist(), batch.column("training").to_pylist(), column_bytes(batch, "text"))
-            for here, training, text in rows:
-                if here != block or held.full:
-                    if block is not None:
-                        yield from held.rows(block)
-                    block, held = here, Gathered(depth)
-                held.add(text, training)
+            blocks, training = batch.column("block").to_numpy(), batch.column("training").to_numpy(zero_copy_only=False)
+            texts = lowered(batch.column("text"))
+            for here in dict.fromkeys(blocks.tolist()):
+                if block is not None and here != block:
+                    yield from held.rows(block)
+                    held = Gathered(depth)
+                block = here
+                for kind in (True, False):
+                    for part in chunks(texts.filter(pa.array((blocks == here) & (training == kind)))):
+                        held.add(part, kind)
+                        if held.full:
+                            yield from held.rows(block)
+                            held = Gathered(depth)
         if block is not None:
             yield from held.rows(block)
 
@@ -330,47 +342,63 @@ def gram_scores(totals: DataFrame, depth: int = DEPTH) -> DataFrame:
     return dealt.mapInArrow(run, "gram long, value double")
 
 
+class Slots:
+    """Values by number: an open table that finds many numbers at once."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.bits = max(int(len(codes) * 2.5).bit_length(), 4)
+        self.codes, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        left, slot = np.arange(len(codes)), self._slot(codes)
+        while len(left):
+            free = self.codes[slot] < 0
+            self.codes[slot[free]] = codes[left[free]]
+            self.values[slot[free]] = values[left[free]]
+            # Of several numbers for one slot the last one has it; a number that is there already has its value.
+            placed = self.codes[slot] == codes[left]
+            self.values[slot[placed]] = values[left[placed]]
+            left, slot = left[~placed], (slot[~placed] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        slot = self._slot(codes)
+        wrong = np.flatnonzero(self.codes[slot] != codes)
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & ((1 << self.bits) - 1)
+            wrong = wrong[self.codes[slot[wrong]] != codes[wrong]]
+        return self.values[slot]
+
+
 class Tables:
     """The strings and words of one block."""
 
     def __init__(self, block: int):
         self.block = block
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.words: dict[bytes, float] = {}
-        self.grams: np.ndarray | None = None
-
-    def add(self, rows: pa.RecordBatch, kind: int) -> None:
-        if kind == 0:
-            self.parts.append((rows.column("gram").to_numpy(zero_copy_only=False), rows.column("value").to_numpy()))
-        else:
-            self.words.update(zip(rows.column("word").to_pylist(), rows.column("value").to_pylist()))
-
-    def scores(self, texts: list[bytes], depth: int) -> list[float]:
+        self.parts: list[pa.RecordBatch] = []
+        self.grams: Slots | None = None
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.parts.append(rows.select(["kind", "gram", "word", "value"]))
+
+    def _ready(self) -> None:
+        rows = pa.Table.from_batches(self.parts)
+        kinds = rows["kind"].to_numpy()
+        grams, words = rows.filter(pa.array(kinds == 0)), rows.filter(pa.array(kinds == 1))
+        self.grams = Slots(grams["gram"].to_numpy(), grams["value"].to_numpy())
+        self.words, self.counts = words["word"].combine_chunks().cast(pa.large_binary()), words["value"].to_numpy()
+        self.parts = []
+
+    def scores(self, texts: pa.Array, depth: int, floor: float) -> tuple[np.ndarray, ...]:
+        """For each text its tokens, the known ones, the score of its words and that of its bytes."""
         if self.grams is None:
-            grams, at = np.unique(np.concatenate([p[0] for p in self.parts]), return_index=True)
-            self.grams, self.values = grams, np.concatenate([p[1] for p in self.parts])[at]
-            self.parts = []
-        sums = np.zeros(len(texts))
-        held: list[bytes] = []
-        owners: list[int] = []
-        size = 0
-        for n, text in enumerate(texts):
-            for piece in pieces(text, depth):
-                held.append(piece)
-                owners.append(n)
-                size += len(piece)
-                if size > CHUNK:
-                    self._sum(held, owners, sums, depth)
-                    held, owners, size = [], [], 0
-        if held:
-            self._sum(held, owners, sums, depth)
-        return sums.tolist()
-
-    def _sum(self, held: list[bytes], owners: list[int], sums: np.ndarray, depth: int) -> None:
-        codes, starts = codes_of(held, depth)
-        distinct, to = np.unique(codes, return_inverse=True)
-        values = self.values[np.searchsorted(self.grams, distinct)]
-        np.add.at(sums, owners, np.add.reduceat(values[to], starts))
+            self._ready()
+        words, owner = words_of(texts)
+        counts = self.counts[pc.index_in(words, value_set=self.words).to_numpy()]
+        tokens, known = np.bincount(owner, minlength=len(texts)), np.bincount(owner[counts > 0], minlength=len(texts))
+        base = np.bincount(owner, np.log10(counts + 1), len(texts)) - floor * tokens
+        codes, starts = codes_of(texts, depth)
+        return tokens, known, base, np.add.reduceat(self.grams[codes], starts)
 
 
 def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -405,9 +433,9 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
     counted = stable(
         words.select("block", "word", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
     )
-    tokens = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_training = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     distinct = counted.where("first and c > 0").count()
-    floor = np.log10(tokens + distinct + 1.0)
+    floor = float(np.log10(n_training + distinct + 1.0))
 
     grams = entries.where("gram is not null").select("block", "gram", "n")
     known = stable(gram_scores(stable(grams.groupBy("gram").agg(F.sum("n").alias("n"))), depth))
@@ -437,19 +465,14 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
                 if held is None or held.block != blocks[start]:
                     held = Tables(blocks[start])
                 if kind < 2:
-                    held.add(own, kind)
+                    held.add(own)
                     continue
-                lowered = [text.translate(LOWER) for text in column_bytes(own, "text")]
-                base, n_tokens, n_known = [], [], []
-                for text in lowered:
-                    c = np.fromiter(map(held.words.__getitem__, words_of(text)), np.float64)
-                    base.append(float(np.log10(c + 1).sum() - floor * len(c)))
-                    n_tokens.append(len(c))
-                    n_known.append(int((c > 0).sum()))
-                columns = [own.column("doc_id"), own.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64())]
-                columns += [pa.array(base, pa.float64()), pa.array(held.scores(lowered, depth), pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                for part in chunks(lowered(own.column("text"))):
+                    tokens, known, base, bits = held.scores(part, depth, floor)
+                    rows, own = own.slice(0, len(part)), own.slice(len(part))
+                    columns = [rows.column("doc_id"), rows.column("held_out"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(bits)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     schema = f"doc_id {doc_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     scored = tables.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(score, schema)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_training).cast("long").alias("train_tokens"), "base_score", "score")
