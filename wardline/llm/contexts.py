@@ -39,9 +39,10 @@ DEPTH = 5
 TOP = 2
 EDGE = b"\xff"
 BLOCK_BYTES = 32 << 20
-#: Texts are taken together to about so many bytes; what was gathered is given out beyond HELD rows.
-CHUNK = 1 << 21
-HELD = 3_000_000
+#: Texts are taken together to about so many bytes, their words to WORD_CHUNK; what was gathered is given out beyond HELD rows.
+CHUNK = 1 << 20
+WORD_CHUNK = 1 << 23
+HELD = 1_500_000
 GROUP_ROWS = 500_000
 FOLDS, HELD_OUT = 7, 2
 
@@ -59,12 +60,12 @@ def lowered(texts: pa.Array) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(filled), pa.py_buffer(np.ascontiguousarray(ends - ends[0])), pa.py_buffer(low))
 
 
-def chunks(texts: pa.Array) -> Iterator[pa.Array]:
-    """Rows together to about ``CHUNK`` bytes, at least one."""
-    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
+def chunks(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Rows together to about ``size`` bytes, at least one."""
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
     start = 0
     while start < len(texts):
-        stop = max(int(np.searchsorted(ends, ends[start] + CHUNK)), start + 1)
+        stop = max(int(np.searchsorted(ends, ends[start] + size)), start + 1)
         yield texts.slice(start, stop - start)
         start = stop
 
@@ -231,13 +232,15 @@ class Gathered:
         self.held = 0
 
     def add(self, texts: pa.Array, training: bool) -> None:
-        codes, counts = np.unique(codes_of(texts, self.depth)[0], return_counts=True)
-        self.codes.append(codes)
-        self.counts.append(counts if training else np.zeros_like(counts))
+        for part in chunks(texts, CHUNK):
+            codes, counts = np.unique(codes_of(part, self.depth)[0], return_counts=True)
+            self.codes.append(codes)
+            self.counts.append(counts if training else np.zeros_like(counts))
+            self.held += len(codes)
         words = words_of(texts)[0].dictionary_encode()
         counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
         self.words.append(pa.table({"word": words.dictionary, "n": counts if training else np.zeros_like(counts)}))
-        self.held += len(codes) + len(counts)
+        self.held += len(counts)
         if self.held > HELD:
             self._merge()
 
@@ -272,15 +275,15 @@ def _entries(docs: DataFrame, depth: int) -> DataFrame:
         block, held = None, Gathered(depth)
         for batch in batches:
             blocks, training = batch.column("block").to_numpy(), batch.column("training").to_numpy(zero_copy_only=False)
-            texts = lowered(batch.column("text"))
+            texts = batch.column("text")
             for here in dict.fromkeys(blocks.tolist()):
                 if block is not None and here != block:
                     yield from held.rows(block)
                     held = Gathered(depth)
                 block = here
                 for kind in (True, False):
-                    for part in chunks(texts.filter(pa.array((blocks == here) & (training == kind)))):
-                        held.add(part, kind)
+                    for part in chunks(texts.filter(pa.array((blocks == here) & (training == kind))), WORD_CHUNK):
+                        held.add(lowered(part), kind)
                         if held.full:
                             yield from held.rows(block)
                             held = Gathered(depth)
@@ -375,19 +378,20 @@ class Tables:
 
     def __init__(self, block: int):
         self.block = block
-        self.parts: list[pa.RecordBatch] = []
+        self.parts: dict[int, list[tuple]] = {0: [], 1: []}
         self.grams: Slots | None = None
 
-    def add(self, rows: pa.RecordBatch) -> None:
-        self.parts.append(rows.select(["kind", "gram", "word", "value"]))
+    def add(self, rows: pa.RecordBatch, kind: int) -> None:
+        # Copies, so that the batch itself is not kept.
+        keys = rows.column("gram").to_numpy().copy() if kind == 0 else pa.array(rows.column("word").to_numpy(zero_copy_only=False), pa.large_binary())
+        self.parts[kind].append((keys, rows.column("value").to_numpy().copy()))
 
     def _ready(self) -> None:
-        rows = pa.Table.from_batches(self.parts)
-        kinds = rows["kind"].to_numpy()
-        grams, words = rows.filter(pa.array(kinds == 0)), rows.filter(pa.array(kinds == 1))
-        self.grams = Slots(grams["gram"].to_numpy(), grams["value"].to_numpy())
-        self.words, self.counts = words["word"].combine_chunks().cast(pa.large_binary()), words["value"].to_numpy()
-        self.parts = []
+        grams, values = zip(*self.parts[0])
+        self.grams = Slots(np.concatenate(grams), np.concatenate(values))
+        words, counts = zip(*self.parts[1])
+        self.words, self.counts = pa.concat_arrays(words), np.concatenate(counts)
+        self.parts = {0: [], 1: []}
 
     def scores(self, texts: pa.Array, depth: int, floor: float) -> tuple[np.ndarray, ...]:
         """For each text its tokens, the known ones, the score of its words and that of its bytes."""
@@ -397,8 +401,11 @@ class Tables:
         counts = self.counts[pc.index_in(words, value_set=self.words).to_numpy()]
         tokens, known = np.bincount(owner, minlength=len(texts)), np.bincount(owner[counts > 0], minlength=len(texts))
         base = np.bincount(owner, np.log10(counts + 1), len(texts)) - floor * tokens
-        codes, starts = codes_of(texts, depth)
-        return tokens, known, base, np.add.reduceat(self.grams[codes], starts)
+        bits = []
+        for part in chunks(texts, CHUNK):
+            codes, starts = codes_of(part, depth)
+            bits.append(np.add.reduceat(self.grams[codes], starts))
+        return tokens, known, base, np.concatenate(bits)
 
 
 def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -465,10 +472,10 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
                 if held is None or held.block != blocks[start]:
                     held = Tables(blocks[start])
                 if kind < 2:
-                    held.add(own)
+                    held.add(own, kind)
                     continue
-                for part in chunks(lowered(own.column("text"))):
-                    tokens, known, base, bits = held.scores(part, depth, floor)
+                for part in chunks(own.column("text"), WORD_CHUNK):
+                    tokens, known, base, bits = held.scores(lowered(part), depth, floor)
                     rows, own = own.slice(0, len(part)), own.slice(len(part))
                     columns = [rows.column("doc_id"), rows.column("held_out"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(bits)]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
