@@ -2,6 +2,7 @@
 
 import random
 import re
+from contextlib import contextmanager
 
 WORDS = "the of and ering tion onder thand est le la ndou rehe anst inble oth heat erly tiond ouer nder".split()
 
@@ -52,3 +53,42 @@ def ascii_lower(text: str) -> str:
 
 def spaced_words(text: str | None) -> list[str]:
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+#: Small thresholds, under which adaptive execution splits the hot partitions of small tables.
+SPLIT_EARLY = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # A partition is split by the tasks that wrote to it.
+    "spark.sql.files.maxPartitionBytes": "4k",
+    "spark.sql.files.openCostInBytes": "1",
+}
+
+
+@contextmanager
+def settings(spark, values):
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plans(monkeypatch, module):
+    """The plans of everything that ``module`` writes with ``stable``, as they were run in the end."""
+    plans = []
+    original = module.stable
+
+    def noted(df):
+        result = original(df)
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return result
+
+    monkeypatch.setattr(module, "stable", noted)
+    return plans

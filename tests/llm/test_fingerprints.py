@@ -58,3 +58,16 @@ def test_one_row_is_its_own_next(spark):
 
 def test_empty_table(spark):
     assert fingerprint_documents(documents(spark, [])).collect() == []
+
+
+def test_the_least_and_largest_ids(spark):
+    ids = [-(2**63), -(2**63) + 1, 0, 2**63 - 1, None, -(2**63)]
+    docs = documents(spark, [(n, prose(20, k), "a") for k, n in enumerate(ids)])
+    got = fingerprint_documents(docs).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted((n is None, n or 0) for n in ids)
+    # The first after the last: the text of a null id is followed by that of the largest.
+    texts = {n: prose(20, k) for k, n in enumerate(ids) if n != -(2**63)}
+    last = next(r for r in got if r["doc_id"] is None)
+    cut = len(texts[None]) // 3
+    edited = texts[None][: len(texts[None]) - cut] + texts[2**63 - 1][:cut]
+    assert last["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()

@@ -1,11 +1,14 @@
+import random
 import re
+import time
 from re import _parser as parser
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import DOCS, ascii_lower, documents
 from wardline.llm.license_rules import CONFIDENCE, RULES
-from wardline.llm.licenses import scan_licenses
+from wardline.llm.licenses import _resolve, scan_licenses
 
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
@@ -118,3 +121,29 @@ def test_mit_without_the_word_license(spark, verb, name):
 
 def test_empty_table(spark):
     assert scan_licenses(documents(spark, [])).collect() == []
+
+
+def test_a_hundred_thousand_phrases_in_one_text(spark):
+    text = " ".join("mit license" if n % 2 else f"Licensed under the Apache License, Version 2.0 x{n}" for n in range(100_000))
+    started = time.perf_counter()
+    r = scan_licenses(documents(spark, [(1, text, "s")])).collect()[0]
+    assert time.perf_counter() - started < 120
+    assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == base(text)
+    assert len(r["detections"]) >= 100_000
+
+
+def test_suppression_against_every_pair(spark):
+    draw = random.Random(4)
+    data = []
+    for count in (0, 1, 5, 70, 300):
+        found = []
+        for _ in range(count):
+            start = draw.randrange(600)
+            found.append((start, start + draw.randrange(1, 40), draw.randrange(len(CONFIDENCE)), draw.choice("abc")))
+        data.append((found,))
+    kind = "array<struct<start:int,stop:int,priority:int,label:string>>"
+    got = spark.createDataFrame(data, f"found {kind}").select(_resolve(F.col("found"))).collect()
+    for r, (found,) in zip(got, data):
+        ordered = sorted(found, key=lambda d: (d[0], -d[1], d[2], d[3]))
+        kept = [d for n, d in enumerate(ordered) if not any(e[1] >= d[1] and e[2] <= d[2] for e in ordered[:n])]
+        assert [tuple(d) for d in r[0]] == kept

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import DOCS, documents, prose, rows, spaced_words
 from wardline.llm import mixing
@@ -88,3 +89,17 @@ def test_only_empty_texts_and_empty_table(spark):
     assert [(r["target"], r["taken"]) for r in got] == [(0.0, 0)] * 2
     assert mix_sources(documents(spark, [])).collect() == []
     assert apply_mix(documents(spark, []), ["doc_id", "text", "source"]).collect() == []
+
+
+def test_ranges_hold_alike_whatever_the_weights(spark, monkeypatch):
+    """Half of a source is drawn twenty times less often than the other half."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 64)
+    data = [(n, f"{n} " * 3, "hot") for n in range(6000)]
+    weight = F.when(F.col("doc_id") % 2 == 0, 0.05).otherwise(1.0)
+    race = -F.log(mixing.unit(F.xxhash64("doc_id", "text", F.lit(9)))) / weight
+    steps = F.ceil(F.lit(6000) / (4 * 64))
+    docs = documents(spark, data)
+    most = docs.groupBy(F.floor(F.log2(race) * steps)).count().agg(F.max("count")).first()[0]
+    assert most <= 2 * 64
+    got = mix_sources(docs, weight=weight, keep=("source",)).collect()
+    check(got, lambda r: r["source"])

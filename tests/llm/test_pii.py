@@ -1,8 +1,12 @@
 import hashlib
+import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from tests.llm.cases import DOCS, LONG, documents, prose
-from wardline.llm.pii import discovered, find_identifiers, mark, mask_identifiers
+from wardline.llm.pii import _apart, discovered, find_identifiers, mark, mask_identifiers
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -107,3 +111,39 @@ def test_overlapping_kinds_are_masked_once(spark):
 def test_empty_table(spark):
     assert find_identifiers(documents(spark, [])).collect() == []
     assert mask_identifiers(documents(spark, []), ["doc_id", "text"]).collect() == []
+
+
+def test_a_hundred_thousand_spans_in_one_text(spark):
+    text = " ".join(f"{n % 256}.{n % 7}.0.1 x{n}" if n % 2 else f"me{n}@mail.example.com" for n in range(100_000))
+    docs = documents(spark, [(1, text, "s")])
+    started = time.perf_counter()
+    got = find_identifiers(docs).collect()[0]
+    masked = mask_identifiers(docs, ["text"]).collect()[0]["text"]
+    assert time.perf_counter() - started < 120
+    spans = base(text)
+    assert len(spans) == 100_000 and got["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    assert masked == re.sub(PATTERNS["ip"], "[IP]", re.sub(PATTERNS["email"], "[EMAIL]", text))
+
+
+def test_spans_apart_from_others(spark):
+    draw = random.Random(3)
+
+    def some(count, width):
+        return sorted({(a, draw.randrange(5), a + draw.randrange(1, width)) for a in (draw.randrange(2000) for _ in range(count))})
+
+    data = [(some(n, 30), some(m, 30)) for n, m in ((0, 0), (5, 0), (0, 5), (200, 3), (3, 200), (150, 150))]
+    rows = [tuple([(a, kind, b, "v") for a, kind, b in side] for side in pair) for pair in data]
+    kind = "array<struct<start:int,kind:int,stop:int,value:string>>"
+    got = spark.createDataFrame(rows, f"spans {kind}, others {kind}").select(_apart(F.col("spans"), F.col("others"))).collect()
+    for r, (spans, others) in zip(got, data):
+        assert sorted((s["start"], s["kind"], s["stop"]) for s in r[0]) == [s for s in spans if not any(o[0] < s[2] and s[0] < o[2] for o in others)]
+
+
+def test_words_around_a_span(spark):
+    long = "w" * 300
+    text = f"{long} one 10.0.0.1 two2 {long} 10.0.0.2 {long} ab  10.0.0.3\n{'é' * 127} x"
+    got = {i["value"]: (i["left2"], i["left"], i["right"]) for i in mark(documents(spark, [(1, text, "s")])).collect()[0]["instances"] if i["seed"]}
+    assert got["10.0.0.1"] == ("", "one", "two0")
+    # Words that go on further than is looked make no pattern.
+    assert got["10.0.0.2"] == ("", "", "") and got["10.0.0.3"][:2] == ("", "ab")
+

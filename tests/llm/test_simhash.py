@@ -3,9 +3,10 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from tests.llm.cases import DOCS, ascii_lower, documents, prose, spaced_words
-from wardline.llm import simhash
+from tests.llm.cases import DOCS, SPLIT_EARLY, ascii_lower, documents, final_plans, prose, settings, spaced_words
+from wardline.llm import graphs, simhash
 from wardline.llm.graphs import components
 from wardline.llm.simhash import covering_masks, keep_one_of_each, midpoint_links, near_links, simhash_groups
 
@@ -124,3 +125,14 @@ def test_midpoints_join_what_steps_join(spark, radius, members):
     assert all((a ^ b).bit_count() <= radius for a, b in links)
     near = [(a, b) for a in members for b in members if a < b and (a ^ b).bit_count() <= radius]
     assert near and joined(members, links) == joined(members, near)
+
+
+def test_links_of_a_hot_node_are_split(spark, monkeypatch):
+    """A star whose centre has a third of all links, and chains."""
+    star = spark.range(1, 4000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    chains = spark.range(10_000, 18_000).select(F.col("id").alias("a"), F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(F.col("id") - 1).alias("b"))
+    with settings(spark, SPLIT_EARLY):
+        plans = final_plans(monkeypatch, graphs)
+        got = {r["node"]: r["root"] for r in graphs.components(star.unionByName(chains).repartition(8)).collect()}
+    assert all(got[n] == 0 for n in range(4000)) and all(got[n] == n - n % 4 for n in range(10_000, 18_000) if n in got)
+    assert any("skew=true" in plan for plan in plans)

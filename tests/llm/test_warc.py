@@ -3,9 +3,10 @@ import io
 
 import pyarrow.fs
 import zstandard
+from pyspark.sql import functions as F
 
 from tests.llm.cases import rows
-from wardline.llm.warc import archive_pages, parse_records, read_archives, read_records, seek_table, write_archives
+from wardline.llm.warc import archive_pages, parse_records, read_archives, read_index, read_records, seek_table, write_archives
 from wardline.session import scratch_path
 
 BIG = "<p>" + "x" * 200 + "é</p>"
@@ -70,3 +71,29 @@ def test_bundles_and_their_index(spark):
 
 def test_empty_table(spark):
     assert archive_pages(pages(spark, [])).collect() == []
+
+
+def test_bundles_are_read_side_by_side(spark):
+    many = pages(spark, [(n, f"http://x.example/{n}", f"{n} " * 40) for n in range(400)])
+    index = write_archives(many, scratch_path(spark, "warc"), frame_bytes=500, bundle_bytes=1500)
+    bundles = index.select("path").distinct().count()
+    assert bundles > 60
+    read = read_archives(index).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    # A bundle to a task, up to ranges that a sample of their names leaves uneven.
+    assert len(read) > bundles / 2 and sum(r["count"] for r in read) == 400
+
+
+def test_names_are_steady_and_the_index_is_kept(spark):
+    folders = [scratch_path(spark, "warc") for _ in range(2)]
+    names = []
+    for folder in folders:
+        index = write_archives(pages(spark), folder)
+        again = read_index(spark, folder)
+        assert rows(again) == rows(index) and again.count() == len(PAGES)
+        names.append(sorted((r["page_id"] or 0, r["record_id"], r["record_type"]) for r in read_archives(again).collect()))
+    assert names[0] == names[1]
+    by_id = {}
+    for page, name, kind in names[0]:
+        by_id.setdefault(name, set()).add((page, kind))
+    assert all(len(v) == 1 for v in by_id.values())
+

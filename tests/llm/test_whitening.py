@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from tests.llm.cases import SPLIT_EARLY, settings
 from wardline.llm.whitening import whiten_embeddings
 
 SCHEMA = "vec_id long, embedding array<double>, label int, x string, n string, weight string, component string, size string"
@@ -93,19 +94,9 @@ def test_empty_table(spark):
 
 
 def test_a_hot_vector_is_split_in_the_join(spark):
-    keys = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1",
-    }
-    before = {k: spark.conf.get(k) for k in keys if spark.conf.get(k, None) is not None}
     hot = vectors(1, 8, 8)[0][1]
     data = [*vectors(2000, 8, 9), *[(10_000 + i, hot) for i in range(4000)]]
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
+    with settings(spark, SPLIT_EARLY):
         df = whiten_embeddings(frame(spark, data).repartition(8))
         df.collect()
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k in keys:
-            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -63,21 +63,73 @@ def column_bytes(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
         yield value.as_buffer().to_pybytes() if value.is_valid else b""
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often or deep in lambdas ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Arrays are folded in runs of so many elements: a fold copies what it has gathered for every element.
+RUN = 64
+
+
+def running(values: Column, zero: Column, add: Callable[[Column, Column], Column], kind: str) -> Column:
+    """For each element of an array of ``kind`` the sum, by ``add``, of all elements up to it.
+
+    ``add`` is associative and ``zero`` adds nothing. Linear for arrays of up to some ten thousand elements and nearly so
+    beyond: every run is folded by itself, then what the runs before it add up to is added.
+    """
+    start = F.array(zero).cast(f"array<{kind}>")
+
+    def fold(array: Column, of: Callable[[Column], Column]) -> Column:
+        return F.aggregate(array, start, lambda done, x: F.concat(done, F.array(add(F.element_at(done, -1), of(x)))))
+
+    def runs(whole: Column) -> Column:
+        last = F.floor((F.size(whole) - 1) / F.lit(RUN)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda n: fold(F.slice(whole, n * RUN + 1, F.lit(RUN)), lambda x: x))
+
+    def joined(parts: Column) -> Column:
+        before = F.slice(fold(parts, lambda part: F.element_at(part, -1)), F.lit(1), F.size(parts))
+        return F.flatten(F.zip_with(parts, before, lambda part, b: F.transform(F.slice(part, F.lit(2), F.lit(RUN)), lambda x: add(b, x))))
+
+    found = bound(values, lambda whole: F.when(F.size(whole) > 0, bound(runs(whole), joined)))
+    return F.coalesce(found, F.array().cast(f"array<{kind}>"))
+
+
 def match_places(text: Column, pattern: Column) -> Column:
     """``start, stop, value`` of the leftmost non-overlapping matches of a pattern that matches no empty text.
 
-    Offsets count code points from 0. Built from the lengths of what lies between the matches and of the matches.
+    Offsets count code points from 0: sums over the lengths of what lies between the matches and of the matches.
     """
-    kind = "array<struct<start:int,stop:int,value:string>>"
     values = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.slice(F.transform(F.split(text, pattern), F.length), F.lit(1), F.size(values))
-    steps = F.zip_with(gaps, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
-
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        stop = start + F.length(x["value"])
-        one = F.struct(start.alias("start"), stop.alias("stop"), x["value"].alias("value"))
-        return F.struct(stop.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
-
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-    return F.aggregate(steps, first, step, lambda done: done["out"])
+    gaps = F.transform(F.split(text, pattern), F.length)
+
+    def placed(steps: Column) -> Column:
+        stops = running(F.transform(steps, lambda s: s["gap"] + F.length(s["value"])), F.lit(0), lambda a, b: a + b, "int")
+        return F.zip_with(
+            steps, stops, lambda s, stop: F.struct((stop - F.length(s["value"])).alias("start"), stop.alias("stop"), s["value"].alias("value"))
+        )
+
+    steps = bound(
+        values,
+        lambda found: F.zip_with(
+            F.slice(gaps, F.lit(1), F.size(found)), found, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value"))
+        ),
+    )
+    return bound(steps, placed)
+
+
+def pieces(text: Column, size: int) -> Column:
+    """A text in pieces of ``size`` code points, so that a place far into it is reached at once."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+
+def between(cut: Column, size: int, start: Column, stop: Column) -> Column:
+    """The code points from ``start`` to ``stop`` of a text in pieces."""
+    first, last = (F.floor(at / F.lit(size)).cast("int") for at in (start, stop))
+    inside = F.substring(F.get(cut, first), start % size + 1, stop - start)
+    across = F.concat(
+        F.substring(F.get(cut, first), start % size + 1, F.lit(size)),
+        F.array_join(F.slice(cut, first + 2, last - first - 1), ""),
+        F.coalesce(F.substring(F.get(cut, last), F.lit(1), stop % size), F.lit("")),
+    )
+    return F.when(start >= stop, "").when(first == last, inside).otherwise(across)

@@ -76,8 +76,9 @@ def following(rows: DataFrame) -> DataFrame:
     after the last. Ranges of ids are put in order side by side; only the first row of each range meets the others."""
     order = [F.desc_nulls_last("doc_id"), F.col("row")]
     ranged = stable(rows.select("doc_id", "row").repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    # Of the largest id the smallest row. Rows are never negative; the least id has no counterpart of its own size.
     first = ranged.groupBy("part").agg(
-        F.min_by("row", F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), F.col("row"))).alias("first_row")
+        F.max_by("row", F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), -F.col("row"))).alias("first_row")
     )
     # One row for each range, whatever the number of rows.
     all_parts = Window.partitionBy().orderBy("part")

@@ -24,15 +24,17 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two rounds until nothing changes: every node hands its larger neighbours to its smallest one, then its
     smaller neighbours. The number of rounds grows with the logarithm of the longest chain, the number of links never
     grows. Each round is written to the shared folder, so a lost executor costs one round. Minima combine on the map
-    side; the joins are plain equi-joins whose hot keys adaptive execution splits. No links: an empty result.
+    side. They are written before the links are joined with them: adaptive execution splits the links of a hot node only
+    where both sides are read from a shuffle. No links: an empty result.
     """
     links = stable(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _mark(links)
     for _ in range(MAX_ROUNDS):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = _least_neighbour(both).select("a", F.least("a", "least").alias("least"))
+        least = stable(_least_neighbour(both).select("a", F.least("a", "least").alias("least")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-        least = _least_neighbour(large)
+        large = stable(large)
+        least = stable(_least_neighbour(large))
         small = large.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         links = stable(small.unionByName(least.select("a", F.col("least").alias("b"))).distinct())
         after = _mark(links)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import ascii_lower, match_places
+from wardline.llm.common import ascii_lower, bound, match_places, running
 from wardline.llm.license_rules import CONFIDENCE, RULES, Rule
 
 #: Everything that is no part of a word: ASCII but digits and letters.
@@ -69,15 +69,23 @@ def _resolve(found: Column) -> Column:
         )
     )
 
-    def step(done: Column, d: Column) -> Column:
-        stop = -d["back"]
-        inside = F.exists(F.slice(done["ends"], F.lit(1), d["priority"] + 1), lambda end: end >= stop)
-        one = F.struct(d["start"], stop.alias("stop"), d["priority"], d["label"])
-        ends = F.transform(done["ends"], lambda end, n: F.when(n == d["priority"], F.greatest(end, stop)).otherwise(end))
-        return F.struct(ends.alias("ends"), F.when(inside, done["kept"]).otherwise(F.concat(done["kept"], F.array(one))).alias("kept"))
+    none = F.array_repeat(F.lit(-1), len(CONFIDENCE))
 
-    first = F.struct(F.array_repeat(F.lit(-1), len(CONFIDENCE)).alias("ends"), F.array().cast(_DETECTION).alias("kept"))
-    return F.aggregate(order, first, step, lambda done: done["kept"])
+    def ends_of(d: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(len(CONFIDENCE) - 1)), lambda n: F.when(n == d["priority"], -d["back"]).otherwise(-1))
+
+    def kept(ordered: Column) -> Column:
+        # For each priority the furthest end of all detections up to this one.
+        ends = running(F.transform(ordered, ends_of), none, lambda a, b: F.zip_with(a, b, lambda x, y: F.greatest(x, y)), "array<int>")
+        before = F.slice(F.concat(F.array(none), ends), F.lit(1), F.size(ordered))
+        pairs = F.zip_with(ordered, before, lambda d, end: F.struct(d.alias("d"), end.alias("ends")))
+        free = F.filter(pairs, lambda x: ~F.exists(F.slice(x["ends"], F.lit(1), x["d"]["priority"] + 1), lambda end: end >= -x["d"]["back"]))
+        return F.transform(
+            free,
+            lambda x: F.struct(x["d"]["start"].alias("start"), (-x["d"]["back"]).alias("stop"), x["d"]["priority"].alias("priority"), x["d"]["label"].alias("label")),
+        )
+
+    return F.when(F.size(found) > 0, bound(order, kept)).otherwise(F.array().cast(_DETECTION))
 
 
 def _constant(rules: Sequence[Rule]) -> Column:

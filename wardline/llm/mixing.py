@@ -31,16 +31,14 @@ def quality_weight(text: Column) -> Column:
 
 
 def source_targets(sized: DataFrame, weights: Sequence[int], cap: float) -> DataFrame:
-    """``source_key, source_size, source_rows, mean_weight, target`` from rows of (source, size, weight).
+    """``source_key, source_size, source_rows, target`` from rows of (source, size).
 
     Weights are given to the sources by code point, null last, and repeat. The targets share the sum of all sizes by
     weight; one that would exceed ``cap`` times its source stops there and the excess goes to the others by weight.
     That ends at min(cap * size, level * weight) with one level for all, found by a running sum over the sources in
     the order in which they stop. One row per source: the frame has as many rows as there are names of sources.
     """
-    totals = sized.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count("*").alias("source_rows"), F.avg("weight").alias("mean_weight")
-    )
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     rank = F.row_number().over(Window.orderBy(F.col("source").isNull(), F.col("source")))
     share = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((rank - 1) % len(weights) + 1).cast("int"))
     limited = totals.select("*", share.alias("share")).withColumn("most", F.lit(float(cap)) * F.col("source_size"))
@@ -60,7 +58,6 @@ def source_targets(sized: DataFrame, weights: Sequence[int], cap: float) -> Data
         source_key(F.col("source")).alias("source_key"),
         "source_size",
         "source_rows",
-        "mean_weight",
         F.when(F.col("source_size") == 0, 0.0).otherwise(target).alias("target"),
     )
 
@@ -98,10 +95,10 @@ def mix_sources(
     )
     targets = stable(source_targets(sized, weights, cap))
     per_doc = sized.withColumn("source_key", source_key(F.col("source"))).join(broadcast_if_small(targets), "source_key")
-    # 1 - exp(-race * mean weight) grows with the key and is spread evenly over 0..1 where the weights are alike.
-    buckets = F.ceil(F.col("source_rows") / BUCKET_ROWS)
-    place = F.lit(1.0) - F.exp(-F.col("race") * F.col("mean_weight"))
-    per_doc = per_doc.withColumn("bucket", F.least(F.floor(place * buckets), buckets - 1))
+    # Whatever the weights are, at most 0.26 of the exponential keys lie between one power of two and the next: those
+    # of any weight alone reach that share only around their own mean. So an octave is cut by the rows of its source.
+    steps = F.ceil(F.col("source_rows") / (4 * BUCKET_ROWS))
+    per_doc = per_doc.withColumn("bucket", F.floor(F.log2("race") * steps))
     earlier = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = per_doc.groupBy("source_key", "bucket").agg(F.sum("size").alias("bucket_size"))
     starts = sums.select("source_key", "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("base"))

@@ -10,7 +10,7 @@ A word that stands before all sorts of things is sure of none of them.
 
 Texts are read once, in built-in functions; what goes on is spans and their neighbouring words. Scores are sums by
 pattern and by instance that combine on the map side, joined back by equi-joins whose hot keys adaptive execution
-splits.
+splits: the frames of sums are written first, so that both sides of a join are read from a shuffle.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import match_places
+from wardline.llm.common import between, bound, match_places, pieces, running
 from wardline.operators.lookups import broadcast_if_small
 from wardline.session import stable
 
@@ -105,13 +105,24 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[_found(text, kind, BASE[kind], _valid) for kind in KINDS]).cast(_SPAN))
 
 
-def _context(text: Column, span: Column, seed: bool) -> Column:
-    """The span with its neighbouring words: lower case, digits as 0, at most 40 characters each."""
-    before = F.substring(text, F.greatest(span["start"] - 99, F.lit(1)), F.least(span["start"], F.lit(100)))
-    after = F.substring(text, span["stop"] + 1, F.lit(100))
+#: Words are looked for so far from a span; one that goes on beyond makes no pattern.
+REACH = 64
+_CUT = "\uffff"
+
+
+def _context(cut: Column, span: Column, seed: bool) -> Column:
+    """The span with its neighbouring words: lower case, digits as 0. ``cut`` is the text in pieces of ``REACH``."""
+
+    def piece(n: Column) -> Column:
+        return F.coalesce(F.get(cut, n), F.lit(""))
+
+    start, stop = F.floor(span["start"] / F.lit(REACH)).cast("int"), F.floor(span["stop"] / F.lit(REACH)).cast("int")
+    before = F.concat(F.when(start > 1, _CUT).otherwise(""), piece(start - 1), F.substring(piece(start), F.lit(1), span["start"] % REACH))
+    after = F.concat(F.substring(piece(stop), span["stop"] % REACH + 1, F.lit(REACH)), piece(stop + 1), F.when(F.size(cut) > stop + 2, _CUT).otherwise(""))
 
     def word(side: Column, pattern: str) -> Column:
-        return F.substring(F.regexp_replace(F.lower(F.regexp_extract(side, pattern, 1)), "[0-9]", "0"), 1, 40)
+        found = F.regexp_replace(F.lower(F.regexp_extract(side, pattern, 1)), "[0-9]", "0")
+        return F.when(F.contains(found, F.lit(_CUT)), "").otherwise(found)
 
     return F.struct(
         span["start"].alias("start"),
@@ -119,12 +130,37 @@ def _context(text: Column, span: Column, seed: bool) -> Column:
         span["stop"].alias("stop"),
         span["value"].alias("value"),
         F.lit(seed).alias("seed"),
-        word(before, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$").alias("left"),
-        word(before, r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$").alias("left2"),
-        word(after, r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)").alias("right"),
+        # Entered at the beginning of a word only and never gone back into.
+        word(before, r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+\z").alias("left"),
+        word(before, r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+\z").alias("left2"),
+        word(after, r"\A[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)").alias("right"),
     )
 
 
+def _apart(spans: Column, others: Column) -> Column:
+    """The ``spans`` that overlap none of the ``others``: by one pass from the front for those that begin before them and
+    one from the back for those that begin after."""
+
+    def marked(array: Column, other: bool) -> Column:
+        return F.transform(
+            array, lambda s: F.struct(s["start"].alias("start"), F.lit(other).alias("other"), s["kind"].alias("kind"), s["stop"].alias("stop"), s["value"].alias("value"))
+        )
+
+    def swept(events: Column) -> Column:
+        most = F.lit(2**31 - 1)
+        ends = running(F.transform(events, lambda e: F.when(e["other"], e["stop"]).otherwise(0)), F.lit(0), F.greatest, "int")
+        starts = F.transform(F.reverse(events), lambda e: F.when(e["other"], e["start"]).otherwise(most))
+        nexts = F.reverse(running(starts, most, F.least, "int"))
+        zipped = F.zip_with(F.zip_with(events, ends, lambda e, end: F.struct(e.alias("e"), end.alias("end"))), nexts, lambda x, n: F.struct(x["e"].alias("e"), x["end"].alias("end"), n.alias("next")))
+        free = F.filter(zipped, lambda x: ~x["e"]["other"] & (x["end"] <= x["e"]["start"]) & (x["next"] >= x["e"]["stop"]))
+        return F.transform(
+            free, lambda x: F.struct(x["e"]["start"].alias("start"), x["e"]["kind"].alias("kind"), x["e"]["stop"].alias("stop"), x["e"]["value"].alias("value"))
+        )
+
+    events = F.array_sort(F.concat(marked(spans, False), marked(others, True)))
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), bound(events, swept)).otherwise(spans)
+
+
 def text_key(text: Column) -> Column:
     """What tells texts apart: their spans depend on nothing else."""
     return F.concat_ws("-", F.length(text), F.hex(F.xxhash64(text)), F.hex(F.crc32(text.cast("binary"))))
@@ -137,18 +173,20 @@ def mark(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     loose = F.concat(*[_found(F.col("_text"), kind, LOOSE[kind], _candidate) for kind in KINDS]).cast(_SPAN)
     rows = rows.select("*", base_spans(F.col("_text")).alias("base"), loose.alias("_loose"))
 
-    def apart(spans: Column, others: str) -> Column:
-        return F.filter(spans, lambda c: ~F.exists(others, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-
-    rows = rows.withColumn("_fresh", apart(F.col("_loose"), "base"))
+    rows = rows.withColumn("_fresh", _apart(F.col("_loose"), F.col("base")))
     anything = F.when(F.rlike("_text", F.lit("[0-9]")), match_places(F.col("_text"), F.lit(OTHER_PATTERN))).otherwise(F.array().cast(_FOUND))
     numbers = F.transform(
         anything, lambda m: F.struct(m["start"].alias("start"), F.lit(OTHER).alias("kind"), m["stop"].alias("stop"), m["value"].alias("value"))
     )
-    rows = rows.withColumn("_apart", apart(numbers, "base")).withColumn("_others", apart(F.col("_apart"), "_fresh"))
-    seeds = F.transform("base", lambda s: _context(F.col("_text"), s, True))
-    others = F.transform(F.concat("_fresh", "_others"), lambda s: _context(F.col("_text"), s, False))
-    return rows.select("doc_id", *keep, text_key(F.col("_text")).alias("key"), "base", F.concat(seeds, others).alias("instances"))
+    rows = rows.withColumn("_numbers", numbers).withColumn("_others", _apart(F.col("_numbers"), F.concat("base", "_fresh")))
+
+    def in_context(cut: Column) -> Column:
+        seeds = F.transform("base", lambda s: _context(cut, s, True))
+        return F.concat(seeds, F.transform(F.concat("_fresh", "_others"), lambda s: _context(cut, s, False)))
+
+    some = F.size("base") + F.size("_fresh") + F.size("_others") > 0
+    text = F.when(some, F.col("_text")).otherwise("")
+    return rows.select("doc_id", *keep, text_key(F.col("_text")).alias("key"), "base", bound(pieces(text, REACH), in_context).alias("instances"))
 
 
 def _edges(marked: DataFrame) -> DataFrame:
@@ -167,7 +205,7 @@ def _edges(marked: DataFrame) -> DataFrame:
 def discovered(marked: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``kind, instance`` (a hash of the value) of what patterns of high confidence find beyond the seeds."""
     edges = stable(_edges(marked))
-    scores = edges.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("score"))
+    scores = stable(edges.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("score")))
     unknown = stable(scores.where((F.col("score") == 0) & (F.col("kind") != OTHER)).select("kind", "instance"))
     met = edges.groupBy("pattern").agg(F.count("*").alias("met"))
     for turn in range(rounds):
@@ -186,13 +224,13 @@ def discovered(marked: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         )
         if turn + 1 < rounds:
             seeds = edges.where("seed").select("kind", "instance", F.lit(1.0).alias("score")).distinct()
-            scores = seeds.unionByName(found.select("kind", "instance", "score"))
+            scores = stable(seeds.unionByName(found.select("kind", "instance", "score")))
     return found.where(F.col("high") & (F.col("score") >= SURE_INSTANCE)).select("kind", "instance")
 
 
 def added_spans(marked: DataFrame) -> DataFrame:
     """``key, added``: the spans that the method adds to the texts it adds any to."""
-    known = discovered(marked)
+    known = stable(discovered(marked))
     rows = marked.select("key", F.explode(F.filter("instances", lambda i: ~i["seed"])).alias("i")).select(
         "key", "i.start", "i.kind", "i.stop", "i.value", F.xxhash64("i.value").alias("instance")
     )
@@ -233,26 +271,29 @@ def find_identifiers(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+#: Texts are put together from pieces of so many code points.
+PIECE = 1024
+
+
 def _masked(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by the name of its first kind in brackets."""
     names = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
-    kind = "array<struct<start:int,kind:int,stop:int>>"
 
-    def merge(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        whole = F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"))
-        longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["stop"], s["stop"]).alias("stop"))
-        overlaps = (F.size(done) > 0) & (s["start"] < F.get(done, F.size(done) - 1)["stop"])
-        return F.when(overlaps, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(whole)))
-
-    runs = F.aggregate(spans, F.array().cast(kind), merge)
+    def put_together(cut: Column, every: Column, ends: Column) -> Column:
+        # A span that begins before the furthest end so far belongs to the run of that one.
+        before = F.concat(F.array(F.lit(0)), ends)
+        begins = F.zip_with(
+            every,
+            F.slice(before, F.lit(1), F.size(every)),
+            lambda s, end: F.when(s["start"] >= end, F.concat(between(cut, PIECE, end, s["start"]), F.element_at(names, s["kind"] + 1))).otherwise(""),
+        )
+        return F.concat(F.array_join(begins, ""), between(cut, PIECE, F.element_at(ends, -1), F.length(text)))
 
-    def piece(run: Column, n: Column) -> Column:
-        before = F.when(n == 0, 0).otherwise(F.get(runs, n - 1)["stop"])
-        return F.concat(F.substring(text, before + 1, run["start"] - before), F.element_at(names, run["kind"] + 1))
+    def masked(every: Column) -> Column:
+        ends = running(F.transform(every, lambda s: s["stop"]), F.lit(0), F.greatest, "int")
+        return bound(ends, lambda e: bound(pieces(text, PIECE), lambda cut: put_together(cut, every, e)))
 
-    tail = F.substring(text, F.element_at(runs, -1)["stop"] + 1, F.length(text))
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(runs, piece), ""), tail)).otherwise(text)
+    return F.when(F.size(spans) > 0, bound(spans, masked)).otherwise(text)
 
 
 def mask_identifiers(docs: DataFrame, columns: Sequence[str]) -> DataFrame:

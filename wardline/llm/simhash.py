@@ -136,7 +136,7 @@ def midpoint_links(rows: DataFrame, radius: int) -> DataFrame:
     nearer = F.when(bits <= radius // 2, F.col("fingerprint")) if radius % 2 else F.col("fingerprint")
     ends = [F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most")]
     least = points.groupBy("point").agg(F.min(nearer).alias("b"), *ends).where("b IS NOT NULL AND least < most")
-    links = points.join(least.select("point", "b"), "point").where("fingerprint <> b")
+    links = points.join(stable(least.select("point", "b")), "point").where("fingerprint <> b")
     return links.where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("b"))) <= radius).select(
         F.col("fingerprint").alias("a"), "b"
     )
@@ -151,7 +151,7 @@ def near_links(points: DataFrame, radius: int) -> DataFrame:
         ]
     )
     keyed = points.select("fingerprint", F.explode(tables).alias("key")).select("fingerprint", "key.*")
-    shared = keyed.groupBy("mask", "masked").agg(F.count("*").alias("members")).where("members > 1")
+    shared = stable(keyed.groupBy("mask", "masked").agg(F.count("*").alias("members")).where("members > 1"))
     met = stable(keyed.join(shared, ["mask", "masked"]))
     small = bucket_links(met.where(F.col("members") <= BUCKET_ROWS), radius)
     large = midpoint_links(met.where(F.col("members") > BUCKET_ROWS).select("fingerprint").distinct(), radius)
@@ -168,12 +168,14 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, keep: Seq
     """
     marked = stable(fingerprints(docs, ["doc_id", *keep], shingle))
     points = stable(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
-    roots = components(near_links(points.select("fingerprint"), radius))
+    roots = stable(components(near_links(points.select("fingerprint"), radius)))
     rooted = points.join(roots, points["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
     )
-    ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.select("fingerprint", "root").join(ids, "root").select("fingerprint", "component_id")
+    # Written, so that the fingerprints of a large component and the copies of a text are split in the joins.
+    rooted = stable(rooted)
+    ids = stable(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
+    named = stable(rooted.select("fingerprint", "root").join(ids, "root").select("fingerprint", "component_id"))
     return marked.join(named, "fingerprint").select(
         "doc_id", *keep, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -30,6 +30,7 @@ SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
 #: Payloads below this are stored again rather than referred to.
 SMALL = 100
+MOST_TASKS = 50_000
 DATE = "1970-01-01T00:00:00Z"
 
 INDEX_SCHEMA = "page_id long, record_id string, path string, frame long, frame_start long, frame_size long, offset long, size long"
@@ -40,18 +41,20 @@ RECORD_SCHEMA = (
 
 
 def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(uri)
+    """The file system of a URI; Spark's names of S3 are taken as well."""
+    return pa.fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
-def record_name(page_id: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page/{page_id}/{digest}')}>"
+def record_name(page_id: int | None, digest: str, kind: str = "page") -> str:
+    """The same in every run; rows that repeat have records of one name."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}/{page_id}/{digest}')}>"
 
 
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
     """One WARC record. A revisit has the HTTP header only and names the record that has the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
-    name = record_name(page_id, digest) if not revisit else f"<urn:uuid:{uuid.uuid4()}>"
+    name = record_name(page_id, digest, "revisit" if revisit else "page")
     headers = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -170,6 +173,7 @@ def write_archives(
 ) -> DataFrame:
     """Write one record per row of ``pages`` (page_id, url, html) into bundles below ``folder``; returns their index.
 
+    The index is kept beside the bundles, as Parquet in ``index``; :func:`read_index` reads it again at any time.
     ``folder`` is a URI that all executors reach and pyarrow can write to. Null html is an empty payload, a null url
     leaves the target out, a null page id is kept as such; other columns are not looked at. An empty table writes no
     bundle and gives an empty index.
@@ -215,7 +219,13 @@ def write_archives(
         if bundle is not None:
             yield closed()
 
-    return stable(deduplicated(pages).mapInArrow(run, INDEX_SCHEMA))
+    deduplicated(pages).mapInArrow(run, INDEX_SCHEMA).write.parquet(f"{folder}/index")
+    return read_index(pages.sparkSession, folder)
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of the bundles below a folder."""
+    return spark.read.schema(INDEX_SCHEMA).parquet(f"{folder}/index")
 
 
 def _records(found: list[tuple[dict[str, str], bytes]], payloads: bool) -> pa.RecordBatch:
@@ -263,7 +273,11 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
                         frame = unpack.decompress(file.read_at(packed, start), max_output_size=raw)
                         yield _records([(headers, block) for _, _, headers, block in parse_records(frame)], payloads)
 
-    return index.select("path").distinct().mapInArrow(run, RECORD_SCHEMA)
+    paths = index.select("path").distinct()
+    # The list of bundles is small, so it would be read by one task: it is dealt out by number, a bundle to a task.
+    tasks = max(min(paths.count(), MOST_TASKS), 1)
+    numbered = paths.repartitionByRange(tasks, "path") if tasks > 1 else paths
+    return numbered.mapInArrow(run, RECORD_SCHEMA)
 
 
 def read_records(index: DataFrame) -> DataFrame:
