@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tests.city import PAGES
 from wardline.sources.schemas import FEEDS, TAXI_TRIPS, WEEKLY_COVID
 from wardline.sources.tables import lake_table, refresh_lake_table
-from wardline.streaming.refresh import BATCH, BUCKET, BUCKETS, compact_refreshed, known_keys, read_refreshed, refresh_stream
+from wardline.sources.key_index import depth_for, filter_bits, index_rows, parts_that_may_hold
+from wardline.streaming.refresh import compact_refreshed, files_that_may_hold, known_keys, read_bad_pages, read_refreshed, refresh_stream
 
 
 def refresh(spark, root, **options):
@@ -85,21 +86,63 @@ def test_a_key_loaded_before_fails_where_duplicates_are_refused(spark, tmp_path)
     assert read_refreshed(spark, WEEKLY_COVID, str(tmp_path / "table")).count() == 2
 
 
-def test_a_batch_reads_the_folders_of_its_keys_only(spark, tmp_path):
-    table = str(tmp_path / "table")
-    rows = spark.range(2000).select(F.col("id").cast("string").alias("tripid"))
-    for name in TAXI_TRIPS.lake_schema.names:
-        if name not in ("tripid", "ingest_seq"):
-            rows = rows.withColumn(name, F.lit(""))
-    rows = rows.withColumn("ingest_seq", F.lit(None).cast(TAXI_TRIPS.lake_schema["ingest_seq"].dataType))
-    bucket = F.pmod(F.xxhash64("tripid"), F.lit(BUCKETS)).cast("int")
-    rows = rows.withColumn(BUCKET, bucket).withColumn(BATCH, F.lit(0))
-    rows.write.partitionBy(BUCKET, BATCH).parquet(table)
-    batch = spark.createDataFrame([("7",), ("new",)], "tripid string").withColumn(BUCKET, bucket)
-    known = known_keys(batch, spark.read.parquet(table), ["tripid"])
-    assert [r["tripid"] for r in known.collect()] == ["7"]
-    scan = next(line for line in known._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in line and "IN (" in line)
-    assert BUCKET in scan and "ReadSchema: struct<tripid:string>" in known._jdf.queryExecution().toString()
+def land_ids(spark, root, number, ids):
+    rows = ids.select(F.col("trip").alias("trip_id"), F.concat(F.lit("taxi "), F.col("trip")).alias("taxi_id"), F.lit(str(number)).alias("company"))
+    rows.write.json(str(root / "pages" / f"page-{number}"))
+    refresh_stream(spark, TAXI_TRIPS, str(root / "pages"), str(root / "table"), str(root / "state"), multiline=False, part_keys=4096).awaitTermination()
+
+
+def opened(spark, root, ids, number):
+    return files_that_may_hold(spark, str(root / "table"), ids.select(F.col("trip").alias("tripid")), ["tripid"], number)
+
+
+def test_a_batch_of_new_keys_opens_no_old_file(spark, tmp_path):
+    """Ids in no order at all, so that only the filters can tell; then ids in order, which their ranges tell."""
+
+    def ids(start, count):
+        return spark.range(start, start + count).select(F.sha2(F.col("id").cast("string"), 256).alias("trip"))
+
+    land_ids(spark, tmp_path, 1, ids(0, 60_000))
+    land_ids(spark, tmp_path, 2, ids(60_000, 50_000))
+    new = ids(200_000, 50_000)
+    assert opened(spark, tmp_path, new, 2) == []
+    assert known_keys(spark, TAXI_TRIPS, str(tmp_path / "table"), new.select(F.col("trip").alias("tripid")), 2) is None
+    some = opened(spark, tmp_path, ids(59_999, 2), 2)
+    assert len(some) == 2 and {f.split("ingest_batch=")[1][0] for f in some} == {"0", "1"}
+    found = known_keys(spark, TAXI_TRIPS, str(tmp_path / "table"), ids(109_990, 50_000).select(F.col("trip").alias("tripid")), 2)
+    assert found.count() == 10 and "ReadSchema: struct<tripid:string>" in found._jdf.queryExecution().toString()
+    assert len(os.listdir(tmp_path / "table" / "ingest_batch=0")) - 2 == 16  # and _SUCCESS with its checksum
+    land_ids(spark, tmp_path, 3, ids(109_000, 2000))
+    companies = read_refreshed(spark, TAXI_TRIPS, str(tmp_path / "table")).groupBy("company").count().collect()
+    assert {r["company"]: r["count"] for r in companies} == {"1": 60_000, "2": 50_000, "3": 1000}
+
+
+def test_ranges_of_keys_spare_the_filters(spark):
+    def keys(start, count):
+        return spark.range(start, start + count).select(F.format_string("trip-%08d", "id").alias("k"))
+
+    old = index_rows(keys(0, 5000), ["k"], 2, filter_bits(5000, 2)).withColumn("ingest_batch", F.lit(0)).drop("words")
+    assert parts_that_may_hold(old.withColumn("words", F.raise_error(F.lit("opened")).cast("array<bigint>")), keys(9000, 5000), ["k"]) == []
+
+
+def test_parts_grow_with_the_keys():
+    assert [depth_for(n, 1 << 16) for n in (0, 1, 1 << 16, (1 << 16) + 1, 1 << 17, (1 << 20) + 1)] == [0, 0, 0, 1, 1, 5]
+    assert filter_bits(1 << 16, 0) == 1 << 21 and filter_bits(0, 0) == 1024
+
+
+def test_pages_that_are_no_json_are_kept_apart(spark, tmp_path):
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "page-1.json").write_text(json.dumps([{"trip_id": "a"}, {}]))
+    (pages / "page-2.json").write_text(json.dumps([{"trip_id": "b"}, {"trip_id": "c"}])[:-5])
+    assert [t for t, _ in refresh(spark, tmp_path)] == ["", "a"]
+    (pages / "page-3.json").write_text("oops")
+    (pages / "page-4.json").write_text(json.dumps([{"trip_id": "c"}]))
+    assert [t for t, _ in refresh(spark, tmp_path)] == ["", "a", "c"]
+    bad = read_bad_pages(spark, str(tmp_path / "table")).collect()
+    assert sorted((os.path.basename(r["path"]), r["reason"], r["ingest_batch"]) for r in bad) == [
+        ("page-2.json", "page is cut off", 0), ("page-3.json", "page is cut off", 1),
+    ]
 
 
 def test_compaction_keeps_rows_and_later_batches_see_them(spark, tmp_path):

@@ -74,6 +74,12 @@ def assemble_rings(vertices: DataFrame, zone: str) -> DataFrame:
     )
 
 
+def outline_shape(vertices: DataFrame) -> Column:
+    """What tells the outlines of one zone apart."""
+    known = [name for name in ("outline_mark", "ingest_seq") if name in vertices.columns]
+    return F.col(known[0]) if known else F.lit(0)
+
+
 def ring_edges(vertices: DataFrame, zone: str) -> DataFrame:
     """Edges between neighbouring vertices, lower end first, level edges left out.
 
@@ -82,9 +88,9 @@ def ring_edges(vertices: DataFrame, zone: str) -> DataFrame:
     shared border get the very same edge, hence the very same arithmetic.
 
     Several outlines may carry one zone name; ``ingest_seq``, where present, tells
-    them apart as ``shape``.
+    them apart as ``shape``, or ``outline_mark`` where there is one.
     """
-    shape = F.col("ingest_seq") if "ingest_seq" in vertices.columns else F.lit(0)
+    shape = outline_shape(vertices)
     point = F.struct(F.col("latitude").alias("y"), F.col("longitude").alias("x"))
     halves = vertices.select(
         F.col(zone).alias("zone"),
@@ -163,7 +169,7 @@ def _cell_key(column: Column, row: Column) -> Column:
     return column * F.lit(_CELL_SPAN) + row
 
 
-def _fitting_levels(extents: DataFrame) -> dict[int, tuple[float, float]]:
+def fitting_levels(extents: DataFrame) -> dict[int, tuple[float, float]]:
     """Cell width and height for the outlines of each level.
 
     A point is tested against the edges that share its cell row, so rows get
@@ -192,17 +198,33 @@ def build_zone_index(
     and the edges of a ring together span about as many rows as it has vertices: the
     pieces grow with the vertices, however different the outlines are.
     """
-    shape = F.col("ingest_seq") if "ingest_seq" in vertices.columns else F.lit(0)
-    extents = vertices.groupBy(F.col(zone).alias("zone"), shape.alias("shape")).agg(
+    extents = outline_extents(vertices, zone)
+    if cell:
+        extents = extents.withColumn("level", F.lit(0))
+    levels = {0: cell} if cell else fitting_levels(extents)
+    if not levels:
+        levels = {0: (1.0, 1.0)}
+    pieces, bytes_bound = cut_pieces(vertices, zone, extents, levels)
+    if bytes_bound <= broadcast_limit:
+        return ZoneIndex(levels, pieces, stable(cell_directory(pieces)))
+    return ZoneIndex(levels, stable(pieces), None)
+
+
+def outline_extents(vertices: DataFrame, zone: str) -> DataFrame:
+    """``zone, shape, outline_left, extent, vertices, level`` of every outline."""
+    extents = vertices.groupBy(F.col(zone).alias("zone"), outline_shape(vertices).alias("shape")).agg(
         F.min("longitude").alias("outline_left"),
         ((F.max("longitude") - F.min("longitude") + F.max("latitude") - F.min("latitude")) / 2).alias("extent"),
         F.count(F.lit(1)).alias("vertices"),
     )
     size = F.when(F.col("extent") > 0, F.floor(F.log(4.0, "extent"))).otherwise(F.lit(0))
-    extents = extents.withColumn("level", F.lit(0) if cell else F.coalesce(size, F.lit(0)).cast("int"))
-    levels = {0: cell} if cell else _fitting_levels(extents)
-    if not levels:
-        levels = {0: (1.0, 1.0)}
+    return extents.withColumn("level", F.coalesce(size, F.lit(0)).cast("int"))
+
+
+def cut_pieces(
+    vertices: DataFrame, zone: str, extents: DataFrame, levels: Mapping[int, tuple[float, float]]
+) -> tuple[DataFrame, int]:
+    """The pieces of the outlines on the grids of their levels, and a bound of their bytes."""
 
     def per_level(n: int) -> Column:
         sizes = [F.when(F.col("level") == level, F.lit(float(cells[n]))) for level, cells in levels.items()]
@@ -251,9 +273,7 @@ def build_zone_index(
         .filter(F.col("n") % 2 == 1)
         .drop("n")
     )
-    if bytes_bound <= broadcast_limit:
-        return ZoneIndex(levels, pieces, stable(_cell_directory(pieces)))
-    return ZoneIndex(levels, stable(pieces), None)
+    return pieces, bytes_bound
 
 
 def _point_cell(cells: tuple[float, float], x: Column, y: Column) -> Column:
@@ -264,7 +284,7 @@ def _point_cell(cells: tuple[float, float], x: Column, y: Column) -> Column:
     return F.when(usable, _cell_key(_cell_number(x, width), _cell_number(y, height)))
 
 
-def _cell_directory(pieces: DataFrame) -> DataFrame:
+def cell_directory(pieces: DataFrame) -> DataFrame:
     """One row per cell: its candidate outlines in name order with the edges to test.
 
     Most cells lie wholly inside one zone: ``owner`` is the first zone that holds all of the

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from wardline.operators.spatial import (
     ring_vertices,
     zone_of_points,
 )
+from wardline.operators.zone_store import open_zone_index
 from wardline.plans import marts
 from wardline.plans.basic_queries import ROLLING_SQL, TRIP_STEPS_SQL, trip_coordinates
 from wardline.plans.city_tables import (
@@ -31,15 +34,20 @@ from wardline.plans.city_tables import (
     table,
 )
 from wardline.plans.registry import query
-from wardline.session import stable
+from wardline.session import kept_path, stable
+
+
+def _store(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where the index of an outline table is kept; queries over other tables keep another."""
+    return kept_path(spark, f"{name}-{zlib.crc32(sf_dir.rstrip('/').encode()):08x}")
 
 
 def zip_index(spark: SparkSession, sf_dir: str) -> ZoneIndex:
-    return build_zone_index(lake_rows(spark, sf_dir, "zipcodes"), "zip")
+    return open_zone_index(spark, lake_rows(spark, sf_dir, "zipcodes"), "zip", _store(spark, sf_dir, "zips"))
 
 
 def place_index(spark: SparkSession, sf_dir: str) -> ZoneIndex:
-    return build_zone_index(lake_rows(spark, sf_dir, "places"), "display_name")
+    return open_zone_index(spark, lake_rows(spark, sf_dir, "places"), "display_name", _store(spark, sf_dir, "places"))
 
 
 def _moments_as_text(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from wardline.functions.casts import double_or_null, long_or_null, timestamp_or_null
 from wardline.operators.checks import cast_audit
 from wardline.operators.indexing import with_row_index
-from wardline.operators.spatial import build_zone_index
+from wardline.operators.zone_store import open_zone_index
 from wardline.plans import marts
 from wardline.sources.schemas import FEEDS
 from wardline.sources.tables import (
@@ -69,7 +69,8 @@ def build_lake(spark: SparkSession, pages: str, lake: str, multiline: bool = Tru
 
 def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42, row_index: bool = False) -> None:
     """Rebuild every mart table. Marts that feed others are written first and read back.
-    The values that lenient casts replace are counted in ``_cast_audit``.
+    The values that lenient casts replace are counted in ``_cast_audit``; the zone indexes are kept in ``_zones`` and cut
+    anew only where outlines differ from those of the run before.
 
     ``row_index`` gives the typed trips and their forecast a leading ``index`` column.
     """
@@ -90,8 +91,8 @@ def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42, row_i
     def write_checked(table: str, df) -> None:
         refresh_checked(df, mart_schema(table), f"{mart}/{table}")
 
-    zips = build_zone_index(read("zipcodes"), "zip")
-    places = build_zone_index(read("places"), "display_name")
+    zips = open_zone_index(spark, read("zipcodes"), "zip", f"{mart}/_zones/zips")
+    places = open_zone_index(spark, read("places"), "display_name", f"{mart}/_zones/places")
 
     write("comm_zips", marts.comm_zips(read("community_boundaries"), zips, seed=seed))
     write("neighborhood_zips", marts.neighborhood_zips(read("neighborhoods"), zips, seed=seed))

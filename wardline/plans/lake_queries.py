@@ -29,6 +29,8 @@ from wardline.sources.pages import read_pages, read_snapshot, to_lake_rows, writ
 from wardline.sources.schemas import COMMUNITY_BOUNDARIES, DAILY_COVID, FEEDS, TAXI_TRIPS, Feed
 from wardline.sources.tables import (
     lake_audit,
+    lake_bad_pages,
+    lake_pages,
     lake_rejects,
     lake_table,
     mart_schema,
@@ -38,7 +40,7 @@ from wardline.sources.tables import (
     refresh_checked,
     refresh_lake_table,
 )
-from wardline.streaming.refresh import read_refreshed, refresh_stream
+from wardline.streaming.refresh import read_bad_pages, read_refreshed, refresh_stream
 
 
 def _land(spark: SparkSession, sf_dir: str, name: str, arrays: bool = False) -> str:
@@ -399,6 +401,94 @@ def duplicate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_rejects(spark, _two_page_lake(spark, sf_dir), "taxi_trips").select("tripid", "company", "fare")
 
 
+# ---------------------------------------------------------------- pages that are no JSON
+
+_PAGE_ORDERS = 500
+
+
+def _land_broken_pages(spark: SparkSession, sf_dir: str, arrays: bool) -> str:
+    """The orders, so many to a page by their key. Every seventh page is cut off before its end; where a page holds a
+    record on each line, every 97th line is instead."""
+    key = F.col("o_orderkey")
+    page = F.floor(key / F.lit(_PAGE_ORDERS))
+    record = F.to_json(
+        F.struct(key.cast("string").alias("trip_id"), F.concat(F.lit("taxi"), F.col("o_custkey").cast("string")).alias("taxi_id"))
+    )
+    orders, root = table(spark, sf_dir, "orders"), scratch_path(spark, "broken-pages")
+    if arrays:
+        listed = orders.groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(F.struct(key.alias("key"), record.alias("record")))).alias("rows"))
+        text = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["record"]), ","), F.lit("]"))
+        whole = listed.select("page", text.alias("value"))
+        cut = F.when(F.col("page") % 7 == 3, F.left("value", F.length("value") - 3)).otherwise(F.col("value"))
+        whole.select(cut.alias("value")).write.option("maxRecordsPerFile", 1).text(root)
+    else:
+        cut = F.when(key % 97 == 5, F.left(record, F.length(record) - 3)).otherwise(record)
+        orders.select(cut.alias("value")).write.text(root)
+    return root
+
+
+_BROKEN_PAGES_SQL = f"""WITH paged AS (SELECT *, o_orderkey // {_PAGE_ORDERS} AS page,
+        '{{"trip_id":"' || o_orderkey || '","taxi_id":"taxi' || o_custkey || '"}}' AS record FROM orders)
+    SELECT 'kept' AS part, CAST(o_orderkey AS VARCHAR) AS first_trip, '' AS reason, CAST(0 AS BIGINT) AS bytes FROM paged WHERE page % 7 <> 3
+    UNION ALL
+    SELECT 'bad', CAST(min(o_orderkey) AS VARCHAR), 'page is cut off', CAST(sum(length(record) + 1) + 1 - 3 AS BIGINT)
+    FROM paged WHERE page % 7 = 3 GROUP BY page"""
+
+
+def _kept_and_bad(kept: DataFrame, bad: DataFrame) -> DataFrame:
+    first = F.regexp_extract("record", '"trip_id":"([0-9]+)"', 1)
+    return kept.select(F.lit("kept").alias("part"), F.col("tripid").alias("first_trip"), F.lit("").alias("reason"), F.lit(0).cast("bigint").alias("bytes")).unionByName(
+        bad.select(F.lit("bad").alias("part"), first.alias("first_trip"), "reason", "bytes")
+    )
+
+
+@query("bad_pages", sql=_BROKEN_PAGES_SQL)
+def bad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that are cut off: none of their rows is in the table, each is listed with its size and the reason."""
+    lake = scratch_path(spark, "lake")
+    refresh_lake_table(spark, "taxi_trips", _land_broken_pages(spark, sf_dir, arrays=True), lake)
+    return _kept_and_bad(lake_table(spark, lake, "taxi_trips"), lake_bad_pages(spark, lake, ["taxi_trips"]))
+
+
+@query("stream_bad_pages", sql=_BROKEN_PAGES_SQL)
+def stream_bad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same incrementally."""
+    lake, state = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-state")
+    refresh_stream(spark, TAXI_TRIPS, _land_broken_pages(spark, sf_dir, arrays=True), lake, state).awaitTermination()
+    return _kept_and_bad(read_refreshed(spark, TAXI_TRIPS, lake), read_bad_pages(spark, lake))
+
+
+@query(
+    "bad_lines",
+    sql="""SELECT CASE WHEN o_orderkey % 97 = 5 THEN 'line is no JSON' ELSE '' END AS reason, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+        CAST(sum(CASE WHEN o_orderkey % 97 = 5 THEN length('{"trip_id":"' || o_orderkey || '","taxi_id":"taxi' || o_custkey || '"}') - 3 ELSE 0 END) AS BIGINT)
+            AS bytes FROM orders GROUP BY ALL""",
+)
+def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are cut off: the others of their page are read, they are kept as text."""
+    lake = scratch_path(spark, "lake")
+    refresh_lake_table(spark, "taxi_trips", _land_broken_pages(spark, sf_dir, arrays=False), lake, multiline=False)
+    both = _kept_and_bad(lake_table(spark, lake, "taxi_trips"), lake_bad_pages(spark, lake, ["taxi_trips"]))
+    sums = [F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("first_trip").cast("bigint")).alias("keys"), F.sum("bytes").alias("bytes")]
+    return both.groupBy("reason").agg(*sums)
+
+
+@query(
+    "bad_page_audit",
+    sql=f"""WITH pages AS (SELECT o_orderkey // {_PAGE_ORDERS} AS page, count(*) AS n FROM orders GROUP BY ALL)
+        SELECT 'taxi_trips' AS table_name, CAST(sum(n) FILTER (page % 7 <> 3) + count(*) FILTER (page % 7 = 3) AS BIGINT) AS rows_in,
+               CAST(sum(n) FILTER (page % 7 <> 3) AS BIGINT) AS rows_kept, CAST(0 AS BIGINT) AS duplicate_rows,
+               count(*) FILTER (page % 7 = 3) AS bad_records, CAST(0 AS BIGINT) AS blank_values, count(*) AS pages,
+               CAST(sum(n) FILTER (page % 7 <> 3) AS BIGINT) AS page_rows FROM pages""",
+)
+def bad_page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account of that load, and what its list of pages adds up to."""
+    lake = scratch_path(spark, "lake")
+    refresh_lake_table(spark, "taxi_trips", _land_broken_pages(spark, sf_dir, arrays=True), lake)
+    listed = lake_pages(spark, lake, ["taxi_trips"]).groupBy("table_name").agg(F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("page_rows"))
+    return lake_audit(spark, lake, ["taxi_trips"]).join(listed, "table_name")
+
+
 @query(
     "limited_trips",
     sql=f"""WITH {TRIPS_SQL} SELECT tripid, CAST(total AS VARCHAR) AS triptotal FROM trips

@@ -76,6 +76,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def kept_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that is the same whenever the application asks for it."""
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/kept/{name}"
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

@@ -1,52 +1,91 @@
-"""Lake table kept up to date from a folder of landed pages, under the key rule of its feed."""
+"""Lake table kept up to date from a folder of landed pages, under the key rule of its feed.
+
+A table is a folder for every batch, and in it one for every part of the batch's keys (``sources.key_index``). Beside
+them lie the index of these parts (``_keys``) and the pages and lines that were no JSON (``_bad_pages``), by batch too.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType
 
 from wardline.operators.keyed import DuplicateKeyError, require_unique
 from wardline.operators.lookups import broadcast_if_small
 from wardline.session import stable
-from wardline.sources.pages import file_columns, first_rows, flat_rows, parsed_rows, with_ingest_seq
+from wardline.sources.key_index import (
+    BATCH,
+    PART,
+    PART_KEYS,
+    depth_for,
+    filter_bits,
+    index_rows,
+    key_hash,
+    part_name,
+    parts_that_may_hold,
+    read_index,
+)
+from wardline.sources.pages import (
+    BAD_SCHEMA,
+    bad_records,
+    file_columns,
+    first_rows,
+    flat_rows,
+    good_rows,
+    json_options,
+    mark_unread,
+    parsed_rows,
+    with_ingest_seq,
+)
 from wardline.sources.schemas import Feed
 
-BUCKET, BATCH = "key_bucket", "ingest_batch"
 
-# Fixed per table: keys are looked up in the folders of their buckets only.
-BUCKETS = 64
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def _bucket(feed: Feed) -> Column:
-    """Folder of a row: by its key; rows without a key go by the file they came from."""
-    return F.pmod(F.xxhash64(*(feed.key or ("ingest_seq.file",))), F.lit(BUCKETS)).cast("int")
+def _stored_schema(feed: Feed):
+    return feed.lake_schema.add(BATCH, IntegerType()).add(PART, StringType())
 
 
-def _loaded_before(spark: SparkSession, feed: Feed, table: str, number: int) -> DataFrame | None:
-    """What earlier batches have written, or None before the first one."""
-    schema = feed.lake_schema.add(BUCKET, IntegerType()).add(BATCH, IntegerType())
+def files_that_may_hold(spark: SparkSession, table: str, wanted: DataFrame, key: Sequence[str], number: int) -> list[str]:
+    """Folders of batches before ``number`` that may hold a key of ``wanted``; none where no key was loaded before."""
     try:
-        return spark.read.schema(schema).parquet(table).filter(F.col(BATCH) < number)
+        index = read_index(spark, f"{table}/_keys").where(F.col(BATCH) < number)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+        if _missing(error):
+            return []
         raise
+    return [f"{table}/{BATCH}={batch}/{PART}={part}" for batch, part in parts_that_may_hold(index, wanted, key)]
 
 
-def known_keys(batch: DataFrame, loaded: DataFrame, key: list[str]) -> DataFrame:
-    """Keys of the batch that the table holds already.
-
-    Only the folders of the batch's own buckets are read, of these only the key
-    columns, and without a shuffle where the batch's keys are few. At most ``BUCKETS``
-    numbers come to the driver.
-    """
-    wanted = batch.select(BUCKET, *key).distinct()
-    touched = [row[0] for row in wanted.select(BUCKET).distinct().collect()]
-    read = loaded.filter(F.col(BUCKET).isin(touched)).select(BUCKET, *key)
-    return read.join(broadcast_if_small(wanted), [BUCKET, *key], "left_semi").select(*key).distinct()
+def known_keys(spark: SparkSession, feed: Feed, table: str, wanted: DataFrame, number: int) -> DataFrame | None:
+    """Keys of ``wanted`` that earlier batches hold: read from the files that may, of these the key columns alone."""
+    key = list(feed.key)
+    folders = files_that_may_hold(spark, table, wanted, key, number)
+    if not folders:
+        return None
+    rows = spark.read.schema(_stored_schema(feed)).option("basePath", table).parquet(*folders).select(*key)
+    return rows.join(broadcast_if_small(wanted), key, "left_semi").distinct()
+
+
+def _write_batch(rows: DataFrame, feed: Feed, table: str, number: int, all_rings: bool, part_keys: int) -> None:
+    """Write the rows of a batch and the index of their keys, in place of what an earlier attempt wrote."""
+    folder, key = f"{table}/{BATCH}={number}", list(feed.key)
+    if not key:
+        flat_rows(rows, feed, all_rings).withColumn(PART, F.lit("0-0")).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        return
+    keys = rows.count()
+    depth = depth_for(keys, part_keys)
+    hashed = key_hash(key)
+    dealt = rows.repartition(1 << depth, part_name(hashed, depth))
+    flat_rows(dealt, feed, all_rings).withColumn(PART, part_name(hashed, depth)).write.mode("overwrite").partitionBy(PART).parquet(folder)
+    index = index_rows(rows.select(*key), key, depth, filter_bits(keys, depth))
+    index.write.mode("overwrite").parquet(f"{table}/_keys/{BATCH}={number}")
 
 
 def refresh_stream(
@@ -58,21 +97,19 @@ def refresh_stream(
     multiline: bool = True,
     files_per_batch: int | None = None,
     all_rings: bool = True,
+    part_keys: int = PART_KEYS,
 ) -> StreamingQuery:
     """Load pages that arrived since the last run, with the outcome of a full load of them all.
 
     By the rule of the feed the first row of a key stays for good, a key that repeats
     within the batch or from an earlier one fails it, or every row is added. Outlines
-    are kept or left out whole.
+    are kept or left out whole. Pages and lines that are no JSON go to ``_bad_pages``.
 
     Every batch writes folders of its own and compares itself with earlier ones only,
-    so a batch that is repeated after a failure replaces what it had written.
+    so a batch that is repeated after a failure replaces what it had written. It opens
+    the files that may hold its keys, and no others.
     """
-    reader = (
-        spark.readStream.schema(feed.page_schema)
-        .option("multiLine", multiline)
-        .option("recursiveFileLookup", True)
-    )
+    reader = json_options(spark.readStream, feed, multiline)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     source = reader.json(pages).select("*", *file_columns())
@@ -81,21 +118,24 @@ def refresh_stream(
     def load(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         # Parsed once and written, so that neither the check nor a lost executor parses it again.
-        rows = stable(first_rows(parsed_rows(with_ingest_seq(batch), feed), feed).withColumn(BUCKET, _bucket(feed)))
+        marked = stable(parsed_rows(with_ingest_seq(mark_unread(batch, feed, multiline)), feed, marked=True))
+        bad = stable(bad_records(session, marked, multiline))
+        rows = good_rows(marked, bad, multiline)
+        if key:
+            rows = stable(first_rows(rows, feed))
         if feed.on_duplicate == "fail":
             require_unique(rows, key, feed.table)
-        loaded = _loaded_before(session, feed, table, number) if key else None
-        if loaded is not None:
-            known = known_keys(rows, loaded, key)
+        known = known_keys(session, feed, table, rows.select(*key).distinct(), number) if key else None
+        if known is not None:
             if feed.on_duplicate == "fail":
                 repeated = known.limit(5).collect()
                 if repeated:
                     shown = ", ".join(str(row.asDict()) for row in repeated)
                     raise DuplicateKeyError(f"{feed.table}: loaded before: {shown}")
             else:
-                rows = rows.join(known, key, "left_anti")
-        flat = flat_rows(rows, feed, all_rings).withColumn(BUCKET, _bucket(feed)).withColumn(BATCH, F.lit(number))
-        flat.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH).parquet(table)
+                rows = stable(rows.join(known, key, "left_anti"))
+        _write_batch(rows, feed, table, number, all_rings, part_keys)
+        bad.write.mode("overwrite").parquet(f"{table}/_bad_pages/{BATCH}={number}")
 
     return (
         source.writeStream.foreachBatch(load)
@@ -106,20 +146,37 @@ def refresh_stream(
 
 
 def read_refreshed(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
-    return spark.read.schema(feed.lake_schema.add(BUCKET, IntegerType()).add(BATCH, IntegerType())).parquet(table).select(
-        *feed.lake_schema.names
-    )
+    return spark.read.schema(_stored_schema(feed)).parquet(table).select(*feed.lake_schema.names)
+
+
+def read_bad_pages(spark: SparkSession, table: str) -> DataFrame:
+    """``path, reason, bytes, record, ingest_batch`` of what no batch could parse."""
+    return spark.read.schema(f"{BAD_SCHEMA}, {BATCH} int").parquet(f"{table}/_bad_pages")
 
 
-def compact_refreshed(spark: SparkSession, feed: Feed, table: str, target: str) -> str:
-    """Write the table anew below ``target`` with one batch folder per bucket instead of one for every batch.
+def compact_refreshed(spark: SparkSession, feed: Feed, table: str, target: str, part_keys: int = PART_KEYS) -> str:
+    """Write the table anew below ``target`` as one batch, cut into as many parts as its keys need.
 
-    Point the loader at ``target`` afterwards, between two runs: its rows carry the
-    number of the last batch, which later batches count as earlier.
+    Point the loader at ``target`` afterwards, between two runs: its rows carry the number of the last batch, which
+    later batches count as earlier. Rows do not pass through a task by batch: parts are dealt out by key, those of
+    a feed without a key as they are.
     """
-    schema = feed.lake_schema.add(BUCKET, IntegerType()).add(BATCH, IntegerType())
-    rows = spark.read.schema(schema).parquet(table)
+    rows = spark.read.schema(_stored_schema(feed)).parquet(table)
     last = rows.agg(F.max(BATCH)).first()[0] or 0
-    merged = rows.withColumn(BATCH, F.lit(last)).repartition(BUCKET, F.pmod(F.xxhash64("ingest_seq"), F.lit(8)))
-    merged.write.mode("overwrite").partitionBy(BUCKET, BATCH).parquet(target)
+    rows, key = rows.select(*feed.lake_schema.names), list(feed.key)
+    folder = f"{target}/{BATCH}={last}"
+    if not key:
+        rows.withColumn(PART, F.lit("0-0")).write.partitionBy(PART).parquet(folder)
+    else:
+        keys = stable(rows.select(*key).distinct())
+        count = keys.count()
+        depth = depth_for(count, part_keys)
+        part = part_name(key_hash(key), depth)
+        rows.withColumn(PART, part).repartition(1 << depth, PART).write.partitionBy(PART).parquet(folder)
+        index_rows(keys, key, depth, filter_bits(count, depth)).write.parquet(f"{target}/_keys/{BATCH}={last}")
+    try:
+        read_bad_pages(spark, table).drop(BATCH).write.parquet(f"{target}/_bad_pages/{BATCH}={last}")
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
     return target
