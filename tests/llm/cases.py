@@ -61,7 +61,8 @@ SPLIT_EARLY = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    # A partition is split by the tasks that wrote to it.
+    # A partition is split by the tasks that wrote to it, which read a file each.
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.files.maxPartitionBytes": "4k",
     "spark.sql.files.openCostInBytes": "1",
 }

@@ -128,11 +128,13 @@ def test_midpoints_join_what_steps_join(spark, radius, members):
 
 
 def test_links_of_a_hot_node_are_split(spark, monkeypatch):
-    """A star whose centre has a third of all links, and chains."""
-    star = spark.range(1, 4000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    """A star whose centre has most of all links, and chains."""
+    star = spark.range(20_000).select(F.lit(-(2**63)).cast("long").alias("a"), F.xxhash64("id").alias("b"))
     chains = spark.range(10_000, 18_000).select(F.col("id").alias("a"), F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(F.col("id") - 1).alias("b"))
     with settings(spark, SPLIT_EARLY):
         plans = final_plans(monkeypatch, graphs)
         got = {r["node"]: r["root"] for r in graphs.components(star.unionByName(chains).repartition(8)).collect()}
-    assert all(got[n] == 0 for n in range(4000)) and all(got[n] == n - n % 4 for n in range(10_000, 18_000) if n in got)
+    chained = {n: n - n % 4 for n in range(10_000, 18_000)}
+    assert {n: r for n, r in got.items() if n in chained} == chained and len(got) == len(chained) + 20_001
+    assert {r for n, r in got.items() if n not in chained} == {-(2**63)}
     assert any("skew=true" in plan for plan in plans)
