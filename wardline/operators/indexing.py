@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.session import stable
+from wardline.sources.versions import current, new_version, publish
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, position below
 
@@ -38,3 +39,38 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "index") ->
     return placed.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_pos")).alias(name), *df.columns
     )
+
+
+# ---------------------------------------------------------------- numbers that stay over loads
+
+_LEDGER = "load string, first bigint, rows bigint"
+
+
+def number_load(spark: SparkSession, df: DataFrame, order: Sequence[str], load: str, store: str, name: str = "index") -> DataFrame:
+    """Number the rows of a load after those of all loads before it; returns them as they are kept.
+
+    Below ``store`` lie the numbered rows of every load and a ledger of their ranges. Rows once numbered are never
+    written again, so a number never changes; a load that is repeated finds its own rows. ``order`` should be unique.
+    """
+    known = current(spark, store)
+    if f"load/{load}" not in known:
+        ledger = spark.read.schema(_LEDGER).parquet(known["ledger"]) if "ledger" in known else spark.createDataFrame([], _LEDGER)
+        start = ledger.agg(F.max(F.col("first") + F.col("rows"))).first()[0] or 0
+        folders = {f"load/{load}": new_version("load"), "ledger": new_version("ledger")}
+        rows = with_row_index(df, order, name)
+        rows.withColumn(name, F.col(name) + F.lit(start)).write.parquet(f"{store}/{folders[f'load/{load}']}")
+        count = spark.read.parquet(f"{store}/{folders[f'load/{load}']}").count()
+        entry = spark.range(1).select(F.lit(load).alias("load"), F.lit(start).cast("bigint").alias("first"), F.lit(count).cast("bigint").alias("rows"))
+        ledger.unionByName(entry).coalesce(1).write.parquet(f"{store}/{folders['ledger']}")
+        known = publish(spark, store, folders)
+    return spark.read.parquet(known[f"load/{load}"])
+
+
+def numbered_rows(spark: SparkSession, store: str) -> DataFrame:
+    """The rows of all loads with their numbers."""
+    return spark.read.parquet(*[folder for name, folder in sorted(current(spark, store).items()) if name.startswith("load/")])
+
+
+def number_ledger(spark: SparkSession, store: str) -> DataFrame:
+    """``load, first, rows``: which numbers each load got."""
+    return spark.read.schema(_LEDGER).parquet(current(spark, store)["ledger"])

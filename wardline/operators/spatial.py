@@ -154,11 +154,15 @@ class ZoneIndex:
     be tested against, plus one without an edge where an odd number of further edges
     lies to the right of the whole cell. ``directory``, the same with one row per
     cell, exists only where the pieces together stay below the broadcast limit.
+    ``number`` and ``touched`` are those of an index that is kept as a table: how often it
+    was brought up to date, and the ``number, level, cell`` that each time changed.
     """
 
     levels: Mapping[int, tuple[float, float]]
     pieces: DataFrame
     directory: DataFrame | None
+    number: int = 0
+    touched: DataFrame | None = None
 
 
 def _cell_number(value: Column, size: Column | float) -> Column:
@@ -337,12 +341,8 @@ def _locate_in_place(df: DataFrame, index: ZoneIndex, points: Mapping[str, tuple
     return df
 
 
-def zone_of_points(points: DataFrame, index: ZoneIndex) -> DataFrame:
-    """Shuffled way: ``lon, lat`` rows (distinct) to ``lon, lat, zone`` for those inside one.
-
-    Edges meet points on level and cell; the join emits true crossings only, which are
-    counted per point and outline on the map side. Adaptive execution splits a crowded cell.
-    """
+def probed_cells(points: DataFrame, index: ZoneIndex) -> DataFrame:
+    """``lon, lat`` rows with each ``level, cell`` that their answer depends on."""
     probes = F.array(
         *[
             F.struct(F.lit(level).alias("level"), _point_cell(cells, F.col("lon"), F.col("lat")).alias("cell"))
@@ -350,7 +350,16 @@ def zone_of_points(points: DataFrame, index: ZoneIndex) -> DataFrame:
         ]
     )
     keyed = points.withColumn("_probe", F.explode(probes)).select(*points.columns, "_probe.level", "_probe.cell")
-    keyed = keyed.filter(F.col("cell").isNotNull())
+    return keyed.filter(F.col("cell").isNotNull())
+
+
+def zone_of_points(points: DataFrame, index: ZoneIndex) -> DataFrame:
+    """Shuffled way: ``lon, lat`` rows (distinct) to ``lon, lat, zone`` for those inside one.
+
+    Edges meet points on level and cell; the join emits true crossings only, which are
+    counted per point and outline on the map side. Adaptive execution splits a crowded cell.
+    """
+    keyed = probed_cells(points, index)
     pieces = index.pieces.withColumnsRenamed({"cell": "piece_cell", "level": "piece_level"})
     crossing = F.col("lo_x").isNull() | _right_of({c: F.col(c) for c in _EDGE}, F.col("lon"), F.col("lat"))
     same_cell = (F.col("cell") == F.col("piece_cell")) & (F.col("level") == F.col("piece_level"))

@@ -17,7 +17,7 @@ from wardline.operators.spatial import ZoneIndex, cell_directory, cut_pieces, fi
 from wardline.session import stable
 from wardline.sources.versions import current, new_version, publish
 
-TABLES = ("outlines", "pieces", "directory", "meta")
+TABLES = ("outlines", "pieces", "directory", "touched", "meta")
 MARK = "outline_mark"
 _MARKED = "struct<mark0:bigint,mark1:bigint,n:bigint>"
 _ENDS = "lo_x double, lo_y double, hi_x double, hi_y double"
@@ -26,7 +26,8 @@ SCHEMAS = {
     "outlines": f"zone string, {MARK} {_MARKED}",
     "pieces": f"level int, cell bigint, zone string, shape {_MARKED}, {_ENDS}",
     "directory": f"level int, cell bigint, owner string, candidates array<struct<zone:string,always:int,edges:{_EDGES}>>",
-    "meta": "quick bigint, vertices bigint, levels array<struct<level:int,width:double,height:double>>, small boolean",
+    "touched": "number int, level int, cell bigint",
+    "meta": "number int, quick bigint, vertices bigint, levels array<struct<level:int,width:double,height:double>>, small boolean",
 }
 
 
@@ -63,7 +64,8 @@ def _meta(spark: SparkSession, folders: dict[str, str]):
 
 def _opened(spark: SparkSession, folders: dict[str, str], meta) -> ZoneIndex:
     levels = {x["level"]: (x["width"], x["height"]) for x in meta["levels"]}
-    return ZoneIndex(levels, _read(spark, folders, "pieces"), _read(spark, folders, "directory") if meta["small"] else None)
+    directory = _read(spark, folders, "directory") if meta["small"] else None
+    return ZoneIndex(levels, _read(spark, folders, "pieces"), directory, meta["number"], _read(spark, folders, "touched"))
 
 
 def open_zone_index(
@@ -71,7 +73,8 @@ def open_zone_index(
 ) -> ZoneIndex:
     """The index of the outlines below the folder ``store``, built or brought up to date where they differ.
 
-    Outlines of one zone that are equal to the last digit count once. All tables of the index are replaced together.
+    Outlines of one zone that are equal to the last digit count once. All tables of the index are replaced together;
+    ``touched`` keeps the cells that each change has changed, for what else is kept by place (``zone_memo``).
     """
     folders = current(spark, store, *TABLES)
     meta = _meta(spark, folders)
@@ -82,13 +85,16 @@ def open_zone_index(
     marks = stable(outline_marks(vertices, zone).where("zone is not null"))
     now = marks.select("zone", MARK).distinct()
     if meta is None:
-        fresh, kept, levels = now, None, {}
+        fresh, kept, levels, number, touched = now, None, {}, 0, None
     else:
+        number, touched = meta["number"] + 1, _read(spark, folders, "touched")
         before = _read(spark, folders, "outlines")
         fresh = stable(now.join(before, ["zone", MARK], "left_anti"))
         gone = stable(before.join(now, ["zone", MARK], "left_anti"))
         kept = _read(spark, folders, "pieces")
         if not gone.isEmpty():
+            left = kept.join(gone.withColumnRenamed(MARK, "shape"), ["zone", "shape"], "left_semi")
+            touched = touched.unionByName(left.select(F.lit(number).alias("number"), "level", "cell").distinct())
             kept = kept.join(gone.withColumnRenamed(MARK, "shape"), ["zone", "shape"], "left_anti")
         levels = {x["level"]: (x["width"], x["height"]) for x in meta["levels"]}
 
@@ -100,7 +106,12 @@ def open_zone_index(
     extents = stable(outline_extents(cut, zone))
     levels = fitting_levels(extents) | levels or {0: (1.0, 1.0)}
     pieces, _ = cut_pieces(cut, zone, extents, levels)
-    pieces = pieces if kept is None else kept.select(*pieces.columns).unionByName(pieces)
+    pieces = stable(pieces)
+    if kept is None:
+        touched = spark.createDataFrame([], SCHEMAS["touched"])
+    else:
+        touched = touched.unionByName(pieces.select(F.lit(number).alias("number"), "level", "cell").distinct())
+        pieces = kept.select(*pieces.columns).unionByName(pieces)
 
     paths = {name: new_version(name) for name in TABLES}
     pieces.write.parquet(f"{store}/{paths['pieces']}")
@@ -110,9 +121,10 @@ def open_zone_index(
     directory = cell_directory(written)
     (directory if small else directory.limit(0)).write.parquet(f"{store}/{paths['directory']}")
     now.write.parquet(f"{store}/{paths['outlines']}")
+    touched.write.parquet(f"{store}/{paths['touched']}")
     rows = F.array(*[F.struct(F.lit(n).alias("level"), F.lit(float(w)).alias("width"), F.lit(float(h)).alias("height")) for n, (w, h) in levels.items()])
     spark.range(1).select(
-        F.lit(quick).cast("bigint").alias("quick"), F.lit(count).cast("bigint").alias("vertices"), rows.alias("levels"), F.lit(small).alias("small")
+        F.lit(number).alias("number"), F.lit(quick).cast("bigint").alias("quick"), F.lit(count).cast("bigint").alias("vertices"), rows.alias("levels"), F.lit(small).alias("small")
     ).write.parquet(f"{store}/{paths['meta']}")
     folders = publish(spark, store, paths)
     return _opened(spark, folders, _meta(spark, folders))

@@ -26,12 +26,14 @@ from wardline.functions.text import without_dashes
 from wardline.operators.checks import REASON, cast_audit, flag_rejects, load_audit
 from wardline.operators.filters import below, drop_blank, either_present, equals
 from wardline.operators.forecast import daily_counts, direction_counts, rolling_forecast, summed_counts
-from wardline.operators.indexing import with_row_index
+from wardline.operators.indexing import number_load, numbered_rows, with_row_index
+from wardline.operators.kept_forecast import add_trips, kept_forecast
 from wardline.operators.keyed import duplicate_keys, keyed_first, keyed_rejects
 from wardline.operators.lookups import broadcast_if_small, in_any, last_match, lookup_join
 from wardline.operators.mapping import majority_vote, sample_per_group
 from wardline.plans.city_tables import STEPS, dropoff_steps, pickup_steps, table
 from wardline.plans.registry import query
+from wardline.session import scratch_path
 
 
 def _day(column: Column | str) -> Column:
@@ -86,6 +88,16 @@ def forecast_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling_forecast(counts).withColumn("tripdate", _day("tripdate"))
 
 
+@query("forecast_two_loads", sql=f"WITH {_ZONED} {ROLLING_SQL.format(zone='zip')}")
+def forecast_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same kept up to date over two loads, the second of which brings trips of days that the first has had too."""
+    store, trips = scratch_path(spark, "forecast"), zoned_trips(spark, sf_dir)
+    second = (F.col("tripdate") >= F.lit("1996-01-01")) | (F.dayofmonth("tripdate") == 13)
+    for load, part in (("first", trips.where(~second)), ("second", trips.where(second)), ("second", trips.where(second))):
+        add_trips(spark, part, load, store)
+    return kept_forecast(spark, store).withColumn("tripdate", _day("tripdate"))
+
+
 @query(
     "counts_by_direction",
     sql=f"""WITH {_ZONED}
@@ -424,6 +436,20 @@ def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_row_index(orders, ["o_orderpriority", "o_orderkey"], "row_index")
 
 
+@query(
+    "row_index_loads",
+    sql="""SELECT row_number() OVER (ORDER BY o_orderstatus <> 'F', o_orderpriority, o_orderkey) - 1 AS row_index, o_orderkey, o_orderpriority
+        FROM orders""",
+)
+def row_index_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers over two loads, the second of them taken in twice: those of the first stay as they are."""
+    orders, store = table(spark, sf_dir, "orders"), scratch_path(spark, "numbers")
+    early = F.col("o_orderstatus") == "F"
+    for load, rows in (("first", orders.where(early)), ("second", orders.where(~early)), ("second", orders.where(~early))):
+        number_load(spark, rows.select("o_orderkey", "o_orderpriority"), ["o_orderpriority", "o_orderkey"], load, store, "row_index")
+    return numbered_rows(spark, store)
+
+
 # ---------------------------------------------------------------- filters
 
 @query("category_filter", sql="SELECT p_partkey, p_type FROM part WHERE p_type = 'ECONOMY'")

@@ -19,6 +19,7 @@ from wardline.operators.spatial import (
     ring_vertices,
     zone_of_points,
 )
+from wardline.operators.zone_memo import locate_kept
 from wardline.operators.zone_store import open_zone_index
 from wardline.plans import marts
 from wardline.plans.basic_queries import ROLLING_SQL, TRIP_STEPS_SQL, trip_coordinates
@@ -34,7 +35,7 @@ from wardline.plans.city_tables import (
     table,
 )
 from wardline.plans.registry import query
-from wardline.session import kept_path, stable
+from wardline.session import kept_path, scratch_path, stable
 
 
 def _store(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -193,6 +194,17 @@ def coord_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located.select("tripid", *[F.coalesce(f"{end}zip", F.lit("")).alias(f"{end}zip") for end in marts.ENDS])
 
 
+@query("coord_lookup_kept", sql=_BOTH_ZONES_SQL)
+def coord_lookup_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in two runs that share a table of coordinates: the second locates only those that the first did not meet."""
+    store = scratch_path(spark, "zone-store")
+    index = open_zone_index(spark, lake_rows(spark, sf_dir, "zipcodes"), "zip", store)
+    points, ends = marts.trip_points(lake_rows(spark, sf_dir, "taxi_trips")), marts.point_columns("zip")
+    locate_kept(points.where(F.col("tripid") < "5"), index, ends, store)
+    located, _ = locate_kept(points, index, ends, store)
+    return located.select("tripid", *[F.coalesce(f"{end}zip", F.lit("")).alias(f"{end}zip") for end in marts.ENDS])
+
+
 @query(
     "coord_union",
     sql=f"""WITH steps AS (SELECT {TRIP_STEPS_SQL} FROM lineitem)
