@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.city import PAGES, land, square, trip
-from wardline.operators.checks import REASON
+from wardline.operators.checks import REASON, cast_audit, flag_rejects
 from wardline.operators.keyed import DuplicateKeyError
 from wardline.plans.jobs import build_lake, build_marts, look_back
 from wardline.sources.schemas import FEEDS
 from wardline.sources.tables import (
+    LENIENT,
     lake_audit,
+    lake_cast_audit,
     lake_rejects,
     lake_table,
     mart_audit,
@@ -19,6 +21,7 @@ from wardline.sources.tables import (
     read_checked,
     refresh_checked,
     refresh_lake_table,
+    replay_rejects,
 )
 
 HOLE = [[0.4, 0.4], [0.4, 0.6], [0.6, 0.6], [0.6, 0.4], [0.4, 0.4]]
@@ -119,3 +122,32 @@ def test_refused_duplicates_leave_the_table_as_it_was(spark, tmp_path):
     with pytest.raises(DuplicateKeyError):
         refresh_lake_table(spark, "weekly_covid_by_zip", str(pages), lake)
     assert lake_table(spark, lake, "weekly_covid_by_zip").select(F.col("rowid")).count() == 1
+
+
+def test_corrected_rejects_join_the_accepted_rows_by_key(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, n int"
+    rules = {"n is negative": F.col("n") >= 0}
+    rows = [("a", "1"), ("b", "x"), ("c", "-1"), ("d", "-2"), ("a", "-3"), ("e", "-4"), ("e", "-5"), (None, "-6")]
+    flagged = flag_rejects(spark.createDataFrame(rows, "k string, n string"), {"n is negative": ~F.col("n").startswith("-")})
+    refresh_checked(flagged, schema, path, version="1")
+    corrections = [("b", "7"), ("c", "-9"), ("a", "5"), ("e", "6"), ("z", "8"), ("d", None), (None, "1")]
+    replay_rejects(spark, path, schema, spark.createDataFrame(corrections, "k string, n string"), ["k"], rules, "2")
+    assert sorted(map(tuple, read_checked(spark, path).collect())) == [("a", 1), ("b", 7), ("e", 6)]
+    left = sorted(((r["k"] or "", r["n"], r[REASON], r["rule_version"]) for r in read_checked(spark, path, rejects=True).collect()))
+    assert left == [
+        ("", -6, "n is negative", "1"), ("a", 5, "key is loaded already", "2"), ("c", -9, "n is negative", "2"), ("d", -2, "n is negative", "2"), ("e", 6, "key comes twice", "2"),
+    ]
+    # Once more: what was accepted stays, what is refused may be corrected again.
+    replay_rejects(spark, path, schema, spark.createDataFrame([("c", 3)], "k string, n int"), ["k"], rules, "3")
+    assert sorted(map(tuple, read_checked(spark, path).collect())) == [("a", 1), ("b", 7), ("c", 3), ("e", 6)]
+
+
+def test_casts_are_counted_while_the_table_is_written(spark, city, tmp_path):
+    lake, mart = city
+    audit = spark.read.parquet(f"{mart}/_cast_audit")
+    counted = {(r["table_name"], r["column_name"]): r["defaulted"] for r in lake_cast_audit(spark, lake).collect()}
+    assert counted == {(r["table_name"], r["column_name"]): r["defaulted"] for r in audit.collect()}
+    assert all("/_cast_audit/" in file for file in lake_cast_audit(spark, lake).inputFiles())
+    for table, parses in LENIENT.items():
+        scanned = cast_audit(lake_table(spark, lake, table), {name: parse(F.col(name)) for name, parse in parses.items()}).collect()
+        assert {(table, r["column_name"]): r["defaulted"] for r in scanned}.items() <= counted.items()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from wardline.operators.checks import accepted, cast_audit, flag_rejects, load_audit, rejected
 from wardline.operators.indexing import with_row_index
 from wardline.operators.keyed import DuplicateKeyError, duplicate_keys, keyed_first, keyed_rejects, require_unique
-from wardline.sources.tables import read_back, refresh, save_as_table
+from wardline.sources.tables import mart_table, read_back, refresh, save_as_table
 
 
 @pytest.fixture(scope="module")
@@ -71,7 +71,7 @@ def test_refresh_replaces_and_conforms(spark, tmp_path):
     path = str(tmp_path / "t")
     refresh(spark.createDataFrame([("1", "x", "left out")], "n string, s string, o string"), "s string, n int", path)
     refresh(spark.createDataFrame([("2", "y")], "n string, s string"), "s string, n int", path)
-    back = spark.read.parquet(path)
+    back = mart_table(spark, str(tmp_path), "t")
     assert back.dtypes == [("s", "string"), ("n", "int")] and [tuple(r) for r in back.collect()] == [("y", 2)]
     assert read_back(back, "s") == ["y"]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

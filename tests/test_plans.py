@@ -26,7 +26,7 @@ def plan_of(df):
 
 
 def scan_of(plan, table):
-    return next(line for line in plan.splitlines() if "FileScan" in line and f"/{table}]" in line)
+    return next(line for line in plan.splitlines() if "FileScan" in line and f"/{table}/" in line)
 
 
 def test_trip_marts_are_map_only(read, zips):

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from wardline.functions.casts import double_or_null, long_or_null, timestamp_or_null
-from wardline.operators.checks import cast_audit
 from wardline.operators.indexing import with_row_index
 from wardline.operators.zone_store import open_zone_index
 from wardline.plans import marts
 from wardline.sources.schemas import FEEDS
 from wardline.sources.tables import (
+    lake_cast_audit,
     lake_table,
     mart_schema,
     mart_table,
@@ -25,31 +21,12 @@ from wardline.sources.tables import (
 )
 
 
-# Columns of lake tables that marts cast leniently, with their nullable parse.
-LENIENT = {
-    "taxi_trips": {
-        "tripstarttimestamp": timestamp_or_null,
-        **{f"{end}centroid{axis}": double_or_null for end in marts.ENDS for axis in ("latitude", "longitude")},
-    },
-    "weekly_covid_by_zip": {
-        "weekstart": timestamp_or_null,
-        "weekend": timestamp_or_null,
-        "testsweekly": long_or_null,
-        "pctpositiveweekly": double_or_null,
-        "population": long_or_null,
-    },
-    "covid_vulnerability": {"community_area_or_zip": long_or_null, "ccvi_score": double_or_null},
-    "building_permits": {"permit_num": long_or_null, "latitude": double_or_null, "longitude": double_or_null},
-}
-
-
 def audit_casts(spark: SparkSession, lake: str, mart: str) -> None:
-    """Write to ``<mart>/_cast_audit`` how many values of each column the marts turn into a default."""
-    audits = []
-    for table, parses in LENIENT.items():
-        counted = cast_audit(lake_table(spark, lake, table), {name: parse(F.col(name)) for name, parse in parses.items()})
-        audits.append(counted.select(F.lit(table).alias("table_name"), *counted.columns))
-    reduce(DataFrame.unionByName, audits).write.mode("overwrite").parquet(f"{mart}/_cast_audit")
+    """Write to ``<mart>/_cast_audit`` how many values of each column the marts turn into a default.
+
+    The loads have counted them while they wrote the lake tables; no table is read for it here.
+    """
+    lake_cast_audit(spark, lake).write.mode("overwrite").parquet(f"{mart}/_cast_audit")
 
 
 def look_back(spark: SparkSession, lake: str, rows: int = 10) -> dict[str, list]:
@@ -57,14 +34,17 @@ def look_back(spark: SparkSession, lake: str, rows: int = 10) -> dict[str, list]
     return {table: read_back(lake_table(spark, lake, table), feed.lake_schema.names[0], rows) for table, feed in FEEDS.items()}
 
 
-def build_lake(spark: SparkSession, pages: str, lake: str, multiline: bool = True, all_rings: bool = True) -> None:
-    """Rebuild every lake table from ``pages/<table>``, with rejects and audits beside them.
+def build_lake(
+    spark: SparkSession, pages: str, lake: str, multiline: bool = True, all_rings: bool = True
+) -> dict[str, list]:
+    """Rebuild every lake table from ``pages/<table>``, with rejects and audits beside them; returns a look at each.
 
     Outline tables hold every polygon and every hole, which the zone lookups of the
     marts need. ``all_rings=False`` cuts them to the outer ring of the first polygon.
     """
     for table in FEEDS:
         refresh_lake_table(spark, table, f"{pages}/{table}", lake, multiline, all_rings)
+    return look_back(spark, lake)
 
 
 def build_marts(spark: SparkSession, lake: str, mart: str, seed: int = 42, row_index: bool = False) -> None:

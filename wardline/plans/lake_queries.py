@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators.checks import REASON
+from wardline.operators.checks import REASON, flag_rejects
 from wardline.plans import marts
 from wardline.operators.spatial import build_zone_index, locate, ring_vertices
 from wardline.plans.basic_queries import TRIP_STEPS_SQL, trip_coordinates
@@ -24,7 +24,7 @@ from wardline.plans.city_tables import (
     table,
 )
 from wardline.plans.registry import query
-from wardline.session import scratch_path
+from wardline.session import scratch_path, stable
 from wardline.sources.pages import read_pages, read_snapshot, to_lake_rows, write_array_pages, write_snapshot
 from wardline.sources.schemas import COMMUNITY_BOUNDARIES, DAILY_COVID, FEEDS, TAXI_TRIPS, Feed
 from wardline.sources.tables import (
@@ -39,6 +39,7 @@ from wardline.sources.tables import (
     refresh,
     refresh_checked,
     refresh_lake_table,
+    replay_rejects,
 )
 from wardline.streaming.refresh import read_bad_pages, read_refreshed, refresh_stream
 
@@ -233,6 +234,35 @@ def checked_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.drop("weekstart", "weekend").withColumn("population", F.coalesce("population", F.lit(0)))
 
 
+@query(
+    "replayed_rejects",
+    sql="""WITH first AS (SELECT o_orderkey AS id, o_orderpriority AS priority, o_custkey * CASE WHEN o_orderkey % 9 = 4 THEN 3000000000 ELSE 1 END AS total FROM orders),
+        judged AS (SELECT *, CASE WHEN priority = '5-LOW' AND id % 2 = 0 THEN 'low and even' WHEN total > 2147483647 THEN 'total is no int' END AS reason FROM first),
+        given AS (SELECT *, reason IS NOT NULL AND id % 3 <> 0 AS corrected, id % 3000 AS new_total,
+                  CASE WHEN id % 5 = 0 THEN priority ELSE '1-URGENT' END AS new_priority FROM judged),
+        again AS (SELECT id, CASE WHEN corrected THEN new_priority ELSE priority END AS priority,
+                  CASE WHEN corrected THEN new_total WHEN total <= 2147483647 THEN total END AS total,
+                  CASE WHEN corrected THEN CASE WHEN new_priority = '5-LOW' AND id % 2 = 0 THEN 'low and even' END ELSE reason END AS reason, corrected FROM given)
+        SELECT id, priority, CAST(coalesce(total, -1) AS INTEGER) AS total, coalesce(reason, '') AS reject_reason,
+               CASE WHEN reason IS NULL THEN '' WHEN corrected THEN 'second' ELSE 'first' END AS rule_version FROM again""",
+)
+def replayed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows, two thirds of them corrected and tried again; some still break a rule, the others keep their reason."""
+    key, schema = F.col("o_orderkey"), "id bigint, priority string, total int"
+    rules = {"low and even": ~((F.col("priority") == "5-LOW") & (F.col("id") % 2 == 0))}
+    orders, path = table(spark, sf_dir, "orders"), f"{scratch_path(spark, 'mart')}/totals"
+    factor = F.when(key % 9 == 4, F.lit(3_000_000_000)).otherwise(F.lit(1))
+    rows = orders.select(key.alias("id"), F.col("o_orderpriority").alias("priority"), (F.col("o_custkey") * factor).alias("total"))
+    refresh_checked(flag_rejects(rows, rules), schema, path, version="first")
+    refused = read_checked(spark, path, rejects=True).where(F.col("id") % 3 != 0)
+    urgent = F.when(F.col("id") % 5 != 0, F.lit("1-URGENT"))
+    corrections = stable(refused.select("id", urgent.alias("priority"), (F.col("id") % 3000).alias("total")))
+    replay_rejects(spark, path, schema, corrections, ["id"], rules, version="second")
+    good = read_checked(spark, path).withColumns({REASON: F.lit(""), "rule_version": F.lit("")})
+    both = good.unionByName(read_checked(spark, path, rejects=True))
+    return both.withColumns({"total": F.coalesce("total", F.lit(-1)), "rule_version": F.coalesce("rule_version", F.lit(""))})
+
+
 @query("full_refresh", sql=HEALTH_SQL)
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart rebuilt twice over itself with its declared schema."""
