@@ -53,17 +53,19 @@ def test_two_actions_for_one_key(spark):
         judge_urls(pages(spark), (Rule("allow", "a", "/"), Rule("block", "a", "/")))
 
 
-@pytest.mark.parametrize("share", [0, 0.002, 0.3, 0.9, 1])
-def test_the_cascade_is_exact(spark, share):
+@pytest.mark.parametrize(("share", "most"), [(0, None), (0.002, None), (0.3, None), (0.9, None), (1, None), (0.3, 1500), (1, 2000)])
+def test_the_cascade_is_exact(spark, share, most):
     draw = random.Random(3)
     keys = [f"key{n}" for n in range(5000)] + [""]
     listed = {k for k in keys if draw.random() < share}
     universe = spark.createDataFrame([(k,) for k in keys] + [(None,), ("key1",)], "key string")
     frame = spark.createDataFrame([(k,) for k in sorted(listed)] + [("elsewhere",), (None,)], "key string")
-    cascade = build_cascade(universe, frame)
+    cascade = build_cascade(universe, frame, most)
+    assert (len(cascade.parts) > 1) == (most is not None)
+    assert all(level.bits <= (most or 1 << 27) for part in cascade.parts for level in part.levels)
     got = {r["key"] for r in universe.where(cascade.lists(F.col("key"))).collect()}
     assert got - {None} == listed
-    bits = sum(level.bits for level in cascade.levels)
+    bits = sum(level.bits for part in cascade.parts for level in part.levels)
     assert bits < 40 * min(len(listed), len(keys) - len(listed) + 500) + 2000
 
 

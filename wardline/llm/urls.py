@@ -7,22 +7,25 @@ key of that universe, and a page is judged by bit tests alone, without a join.
 
 Sizes: the first level's error rate is (listed keys / keys of the universe), so about as many keys slip through as are
 listed, and each later level holds about half of the one before. All levels together take a few dozen bits for a listed
-key, whatever the corpus holds; ``MAX_BITS`` is the checked bound on a level.
+key, whatever the corpus holds. A list whose first level would exceed ``MAX_BITS`` is cut by the hash of its keys into as
+many cascades as keep below it.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import ascii_lower
+from wardline.llm.common import ascii_lower, bound
 from wardline.session import stable
 
-#: A level above this size is refused (16 MB of bits).
+#: Size of a level (16 MB of bits), above which the keys are cut into more cascades.
 MAX_BITS = 1 << 27
 
 
@@ -50,12 +53,30 @@ class Level:
         return [F.pmod(F.xxhash64(key, F.lit(self.number * 64 + j)), F.lit(self.bits)) for j in range(self.hashes)]
 
     def holds(self, key: Column) -> Column:
-        words = F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<bigint>")
-        known = F.lit(True)
-        for at in self.positions(key):
-            word = F.get(words, F.shiftright(at, 6).cast("int"))
-            known = known & (F.getbit(word, F.pmod(at, F.lit(64)).cast("int")) == 1)
-        return known
+        # The words stand in the plan once, however many positions are looked up in them.
+        def all_set(words: Column) -> Column:
+            bits = [F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), F.pmod(at, F.lit(64)).cast("int")) for at in self.positions(key)]
+            return reduce(lambda a, b: a & b, [bit == 1 for bit in bits])
+
+        return bound(F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<bigint>"), all_set)
+
+
+@dataclass(frozen=True)
+class Cascades:
+    """A cascade for each part of the keys, by hash."""
+
+    parts: tuple[Cascade, ...]
+
+    def lists(self, key: Column) -> Column:
+        part = part_of(key, len(self.parts))
+        listed = self.parts[-1].lists(key)
+        for n, cascade in list(enumerate(self.parts))[-2::-1]:
+            listed = F.when(part == n, cascade.lists(key)).otherwise(listed)
+        return listed
+
+
+def part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
 
 
 @dataclass(frozen=True)
@@ -84,7 +105,17 @@ def _fill(keys: DataFrame, level: Level) -> Level:
     return Level(level.number, level.bits, level.hashes, tuple(words))
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
+def _first_level(n_holders: int, n_universe: int) -> tuple[int, int]:
+    """Hashes and bits of a first level."""
+    hashes = max(1, math.ceil(-math.log2(min(0.5, max(n_holders, 1) / max(n_universe, 1)))))
+    return hashes, _bits(n_holders, hashes)
+
+
+def _bits(keys: int, hashes: int) -> int:
+    return 64 * math.ceil(max(64, keys * hashes / math.log(2)) / 64)
+
+
+def build_cascade(universe: DataFrame, listed: DataFrame, max_bits: int | None = None) -> Cascades:
     """Filters that tell the ``key`` of ``listed`` from all others of ``universe`` (both: a string column ``key``).
 
     Null keys and repeated ones count once or not at all; listed keys outside the universe are left out. Nothing
@@ -92,19 +123,28 @@ def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
     """
     universe = stable(universe.select("key").where(F.col("key").isNotNull()).distinct())
     inside = stable(universe.join(listed.select("key"), "key", "left_semi"))
-    holders, others = inside, universe.join(inside, "key", "left_anti")
     n_universe, n_holders = universe.count(), inside.count()
-    rate = min(0.5, max(n_holders, 1) / max(n_universe, 1))
+    # A tenth is left for parts that hold more keys than the others.
+    parts = math.ceil(_first_level(n_holders, n_universe)[1] * 1.1 / (max_bits or MAX_BITS))
+    if parts <= 1:
+        return Cascades((_cascade(universe, inside, n_universe, n_holders),))
+    cascades = []
+    for n in range(parts):
+        own, held = (df.where(part_of(F.col("key"), parts) == n) for df in (universe, inside))
+        cascades.append(_cascade(own, held, own.count(), held.count()))
+    return Cascades(tuple(cascades))
+
+
+def _cascade(universe: DataFrame, inside: DataFrame, n_universe: int, n_holders: int) -> Cascade:
+    holders, others = inside, universe.join(inside, "key", "left_anti")
+    hashes, bits = _first_level(n_holders, n_universe)
     levels: list[Level] = []
     while n_holders:
-        hashes = max(1, math.ceil(-math.log2(rate)))
-        bits = 64 * math.ceil(max(64, n_holders * hashes / math.log(2)) / 64)
-        if bits > MAX_BITS:
-            raise ValueError(f"a level of {n_holders} keys needs {bits} bits, the bound is {MAX_BITS}")
         level = _fill(holders, Level(len(levels) + 1, bits, hashes, ()))
         levels.append(level)
         slipped = stable(others.where(level.holds(F.col("key"))))
-        holders, others, n_holders, rate = slipped, holders, slipped.count(), 0.5
+        holders, others, n_holders = slipped, holders, slipped.count()
+        hashes, bits = 1, _bits(n_holders, 1)
     return Cascade(tuple(levels))
 
 
@@ -152,8 +192,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow")
         return pages.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     pages = pages.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), rules))
     universe = pages.select(F.explode("keys").alias("k")).select("k.key")
-    listed = spark.createDataFrame([(k,) for k in actions], "key string")
-    blocked = spark.createDataFrame([(k,) for k, action in actions.items() if action == "block"], "key string")
+
+    def keys(names: list[str]) -> DataFrame:
+        return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(names)), "array<string>")).alias("key"))
+
+    listed, blocked = keys(list(actions)), keys([k for k, action in actions.items() if action == "block"])
     universe = stable(universe.where(F.col("key").isNotNull()).distinct())
     ruled, blocks = build_cascade(universe, listed), build_cascade(universe, blocked)
     hit = F.array_max(F.filter("keys", lambda k: k.isNotNull() & ruled.lists(k["key"])))["key"]
