@@ -189,3 +189,35 @@ def test_no_two_suppliers_share_a_slanted_zone(spark):
     keys = spark.createDataFrame([(k,) for k in (7, 999, 1000, 9999, 10000, 100001)], "s_suppkey long")
     names = [r["zone"] for r in slanted_outlines(keys).collect()]
     assert sorted(names) == sorted(["0007", "0999", "1000", "9999", "10000", "100001"])
+
+
+def test_of_a_large_index_the_probed_cells_are_sent_out(spark):
+    """400 outlines are beyond the limit, those that hold points are not: no point is shuffled to its cell."""
+    rings = {f"s{i:03d}": star(i % 20 * 1.0, i // 20 * 1.0, 0.4, 12, i) for i in range(400)}
+    index = build_zone_index(ring_vertices(shapes(spark, {k: [[r]] for k, r in rings.items()})), "zone", None, 20_000)
+    assert index.directory is None
+    rng = random.Random(8)
+    points = [(rng.uniform(-0.5, 1.5), rng.uniform(-0.5, 1.5)) for _ in range(300)]
+    df = spark.createDataFrame(points, "x double, y double")
+    plan = locate(df, index, {"zone": ("x", "y")})._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    expected = [next((n for n in sorted(rings) if inside(rings[n], x, y)), None) for x, y in points]
+    assert answers(spark, index, points) == expected and len(set(expected)) > 3
+
+
+def test_columns_nobody_asks_for_are_not_shuffled(spark, monkeypatch):
+    """Both ends are joined back by hash, and rows without a point keep their place."""
+    import wardline.operators.spatial as spatial
+
+    monkeypatch.setattr(spatial, "BROADCAST_LIMIT_BYTES", -1)
+    monkeypatch.setattr(spatial, "measured_bytes", lambda df: 0)
+    rows = [(str(n), "unused", float(n % 5), 1.0, None if n % 3 else 2.0, 1.0) for n in range(30)]
+    df = spark.createDataFrame(rows, "id string, wide string, px double, py double, qx double, qy double")
+    found = spark.createDataFrame([(2.0, 1.0, "a"), (4.0, 1.0, "b")], "lon double, lat double, zone string")
+    got = spatial.attach_zones(df, found, {"p": ("px", "py"), "q": ("qx", "qy")}).select("id", "p", "q")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanged and "wide" not in "".join(line for line in plan.splitlines() if "ShuffledHashJoin" in line)
+    zone = {2.0: "a", 4.0: "b"}
+    assert {r["id"]: (r["p"], r["q"]) for r in got.collect()} == {i: (zone.get(px), zone.get(qx)) for i, _, px, _, qx, _ in rows}

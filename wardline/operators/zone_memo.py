@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators.spatial import ZoneIndex, attach_zones, distinct_points, probed_cells, zone_of_points
+from wardline.operators.spatial import ZoneIndex, attach_zones, distinct_points, probed_cells, probed_index, zone_of_points
 from wardline.session import stable
 from wardline.sources.versions import current, new_version, publish
 
@@ -54,7 +54,8 @@ def locate_kept(df: DataFrame, index: ZoneIndex, points: Mapping[str, tuple[str,
     new = stable(new.observe(counted, F.count(F.lit(1)).alias("points")))
     located = counted.get["points"]
     if located or changed or number is None:
-        found = new.join(zone_of_points(new, index), ["lon", "lat"], "left").select("lon", "lat", "zone")
+        near = index if index.directory is not None else probed_index(new, index)
+        found = new.join(zone_of_points(new, near), ["lon", "lat"], "left").select("lon", "lat", "zone")
         names = {name: new_version(name) for name in ("memo", "memo_meta")}
         memo.unionByName(found).write.parquet(f"{store}/{names['memo']}")
         spark.range(1).select(F.lit(index.number).alias("number")).write.parquet(f"{store}/{names['memo_meta']}")

@@ -62,10 +62,10 @@ def _meta(spark: SparkSession, folders: dict[str, str]):
         raise
 
 
-def _opened(spark: SparkSession, folders: dict[str, str], meta) -> ZoneIndex:
+def _opened(spark: SparkSession, folders: dict[str, str], meta, broadcast_limit: int) -> ZoneIndex:
     levels = {x["level"]: (x["width"], x["height"]) for x in meta["levels"]}
     directory = _read(spark, folders, "directory") if meta["small"] else None
-    return ZoneIndex(levels, _read(spark, folders, "pieces"), directory, meta["number"], _read(spark, folders, "touched"))
+    return ZoneIndex(levels, _read(spark, folders, "pieces"), directory, meta["number"], _read(spark, folders, "touched"), broadcast_limit)
 
 
 def open_zone_index(
@@ -80,7 +80,7 @@ def open_zone_index(
     meta = _meta(spark, folders)
     quick, count = _quick(vertices, zone)
     if meta is not None and (meta["quick"], meta["vertices"]) == (quick, count):
-        return _opened(spark, folders, meta)
+        return _opened(spark, folders, meta, broadcast_limit)
 
     marks = stable(outline_marks(vertices, zone).where("zone is not null"))
     now = marks.select("zone", MARK).distinct()
@@ -127,4 +127,4 @@ def open_zone_index(
         F.lit(number).alias("number"), F.lit(quick).cast("bigint").alias("quick"), F.lit(count).cast("bigint").alias("vertices"), rows.alias("levels"), F.lit(small).alias("small")
     ).write.parquet(f"{store}/{paths['meta']}")
     folders = publish(spark, store, paths)
-    return _opened(spark, folders, _meta(spark, folders))
+    return _opened(spark, folders, _meta(spark, folders), broadcast_limit)

@@ -16,6 +16,7 @@ from wardline.operators.spatial import (
     build_zone_index,
     distinct_points,
     locate,
+    probed_index,
     ring_vertices,
     zone_of_points,
 )
@@ -189,7 +190,8 @@ def coord_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through distinct coordinates: look each up once, then join the answers back."""
     points = marts.trip_points(lake_rows(spark, sf_dir, "taxi_trips"))
     ends = marts.point_columns("zip")
-    found = stable(zone_of_points(distinct_points(points, *ends.values()), zip_index(spark, sf_dir)))
+    asked, index = stable(distinct_points(points, *ends.values())), zip_index(spark, sf_dir)
+    found = stable(zone_of_points(asked, index if index.directory is not None else probed_index(asked, index)))
     located = attach_zones(points, found, ends)
     return located.select("tripid", *[F.coalesce(f"{end}zip", F.lit("")).alias(f"{end}zip") for end in marts.ENDS])
 
