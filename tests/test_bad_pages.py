@@ -135,3 +135,24 @@ def test_duplicates_that_are_refused_replace_nothing(spark, tmp_path):
     with pytest.raises(DuplicateKeyError):
         refresh_lake_table(spark, "weekly_covid_by_zip", land(tmp_path / "two", **{"p.json": [row, row]}), lake)
     assert lake_table(spark, lake, "weekly_covid_by_zip").count() == 1
+
+
+def test_names_of_many_broken_pages_stay_off_the_driver(spark, tmp_path, monkeypatch):
+    """Nine broken pages where the driver may list two: the same account, and no more names than that collected."""
+    import wardline.sources.pages as sources
+
+    monkeypatch.setattr(sources, "FEW_PAGES", 2)
+    broken = {f"cut [{n}].json": json.dumps(trips(f"x{n}", f"y{n}"))[:-5] for n in range(9)}
+    pages = land(tmp_path / "in", **{"good.json": trips("a", "b"), "none.json": [], "blank.json": [{}], "again.json": trips("a"), **broken})
+    frame, seen = type(spark.range(1)), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: seen.append(collect(df)) or seen[-1])
+    lake = str(tmp_path / "lake")
+    refresh_lake_table(spark, "taxi_trips", pages, lake)
+    assert max(map(len, seen), default=0) <= 3
+    monkeypatch.undo()
+    assert loaded(spark, lake) == ["", "a", "b"]
+    bad = lake_bad_pages(spark, lake, ["taxi_trips"]).collect()
+    assert sorted((r["reason"], r["bytes"]) for r in bad) == sorted(("page is cut off", len(t)) for t in broken.values())
+    assert account(spark, lake)["bad_records"] == 9
+    assert lake_pages(spark, lake, ["taxi_trips"]).count() == 13

@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 from wardline.functions.text import null_to_blank
 from wardline.operators.keyed import keyed_first
+from wardline.operators.lookups import broadcast_if_small
 from wardline.operators.spatial import ring_vertices
+from wardline.session import stable
 from wardline.sources.schemas import Feed
 
 _PLACE = ("_landed", "_file", "_split")
 
 #: Of rows in which no field could be read, and of lines that are no JSON the line itself.
 UNREAD, LINE = "_unread", "_line"
+#: So many page names may come to the driver.
+FEW_PAGES = 200
 BAD_SCHEMA = "path string, reason string, bytes bigint, record string"
 PAGE_SCHEMA = "path string, landed timestamp, bytes bigint, rows bigint, bad_records bigint"
 
@@ -77,11 +81,22 @@ def mark_unread(rows: DataFrame, feed: Feed, multiline: bool) -> DataFrame:
     return rows.withColumn(UNREAD, nothing & F.col(LINE).isNotNull()).withColumn(LINE, F.when(F.col(UNREAD), F.col(LINE)))
 
 
-def _pages_that_are_no_json(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Of these pages, read as text, those that hold neither an array nor an object."""
-    # Names may hold characters that stand for others in a path pattern.
-    exact = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(path)) for path in paths]
-    pages = spark.read.option("wholetext", True).text(exact).select(F.col("_metadata.file_path").alias("path"), "value")
+def _pages_that_are_no_json(spark: SparkSession, asked: DataFrame, folder: str) -> DataFrame:
+    """Of the pages ``asked`` (``path``), read as text, those that hold neither an array nor an object.
+
+    A few are opened by their names, as many as the driver may list; of more, every page of the folder is read once.
+    """
+    few = [r["path"] for r in asked.limit(FEW_PAGES + 1).collect()]
+    if not few:
+        return spark.createDataFrame([], BAD_SCHEMA)
+    reader = spark.read.option("wholetext", True)
+    if len(few) <= FEW_PAGES:
+        # Names may hold characters that stand for others in a path pattern.
+        reader = reader.text([re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(path)) for path in few])
+        pages = reader.select(F.col("_metadata.file_path").alias("path"), "value")
+    else:
+        every = reader.option("recursiveFileLookup", True).text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+        pages = every.join(broadcast_if_small(asked), "path", "left_semi")
     bad = pages.where(F.json_array_length("value").isNull() & F.json_object_keys("value").isNull())
     ends = F.rlike(F.col("value"), F.lit(r"[\]}]\s*\z"))
     reason = F.when(F.trim("value") == "", "page is empty").when(ends, "page is no JSON").otherwise("page is cut off")
@@ -94,22 +109,22 @@ def page_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("landed"), F.col("length").alias("bytes"))
 
 
-def bad_records(spark: SparkSession, parsed: DataFrame, multiline: bool, files: DataFrame | None = None) -> DataFrame:
+def bad_records(spark: SparkSession, parsed: DataFrame, multiline: bool, folder: str, files: DataFrame | None = None) -> DataFrame:
     """What could not be parsed: one row for each broken page, or for each broken line, with the reason.
 
-    ``parsed`` has been written. A page that is no JSON gives one row without any field; so does a page whose only
-    record names no known field, so these pages are read once more, as text, and with them the ones of ``files`` that
-    gave no row. Their names come to the driver, where the scan's own list of files is already.
+    ``parsed`` has been written; its pages lie below ``folder``. A page that is no JSON gives one row without any field; so
+    does a page whose only record names no known field, so these pages are read once more, as text, and with them the ones
+    of ``files`` that gave no row. Rows are added up by page before they meet the pages.
     """
     if not multiline:
         lines = parsed.where(UNREAD).select(F.col("ingest_seq.file").alias("path"), LINE)
         return lines.select("path", F.lit("line is no JSON").alias("reason"), F.octet_length(LINE).cast("bigint").alias("bytes"), F.col(LINE).alias("record"))
-    per_page = parsed.where(UNREAD).groupBy(F.col("ingest_seq.file").alias("path")).agg(F.count("*").alias("unread"))
+    unread = F.count(F.when(F.col(UNREAD), 1)).alias("unread")
+    per_page = stable(parsed.groupBy(F.col("ingest_seq.file").alias("path")).agg(unread))
     asked = per_page.where("unread = 1").select("path")
     if files is not None:
-        asked = asked.unionByName(files.select("path").join(parsed.select(F.col("ingest_seq.file").alias("path")), "path", "left_anti"))
-    suspects = [r["path"] for r in asked.collect()]
-    return _pages_that_are_no_json(spark, suspects) if suspects else spark.createDataFrame([], BAD_SCHEMA)
+        asked = asked.unionByName(files.select("path").join(per_page.select("path"), "path", "left_anti"))
+    return _pages_that_are_no_json(spark, stable(asked), folder)
 
 
 def good_rows(parsed: DataFrame, bad: DataFrame, multiline: bool) -> DataFrame:

@@ -175,7 +175,7 @@ def refresh_lake_table(
     feed = FEEDS[table]
     marked, seen = observed(parsed_rows(read_pages(spark, feed, pages, multiline), feed, marked=True), _landing_counts(feed))
     marked, files = stable(marked), page_files(spark, pages)
-    bad = stable(bad_records(spark, marked, multiline, files))
+    bad = stable(bad_records(spark, marked, multiline, pages, files))
     some_bad = bool(seen.get["unread"])
     parsed = good_rows(marked, bad, multiline) if some_bad else marked.drop(UNREAD, LINE)
     if feed.on_duplicate == "fail":

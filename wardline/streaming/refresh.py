@@ -119,7 +119,7 @@ def refresh_stream(
         session = batch.sparkSession
         # Parsed once and written, so that neither the check nor a lost executor parses it again.
         marked = stable(parsed_rows(with_ingest_seq(mark_unread(batch, feed, multiline)), feed, marked=True))
-        bad = stable(bad_records(session, marked, multiline))
+        bad = stable(bad_records(session, marked, multiline, pages))
         rows = good_rows(marked, bad, multiline)
         if key:
             rows = stable(first_rows(rows, feed))
