@@ -156,3 +156,16 @@ def test_names_of_many_broken_pages_stay_off_the_driver(spark, tmp_path, monkeyp
     assert sorted((r["reason"], r["bytes"]) for r in bad) == sorted(("page is cut off", len(t)) for t in broken.values())
     assert account(spark, lake)["bad_records"] == 9
     assert lake_pages(spark, lake, ["taxi_trips"]).count() == 13
+
+
+def test_rows_of_keys_that_come_once_are_not_shuffled(spark, tmp_path):
+    from wardline.operators.keyed import keyed_first, keyed_first_of_few
+
+    rows = [(f"k{n}", n, "v") for n in range(50)] + [("k3", 60, "w"), ("k3", -1, "x"), (None, 70, "y"), (None, 71, "z")]
+    df = spark.createDataFrame(rows, "key string, seq int, wide string")
+    want = sorted(map(str, keyed_first(df, ["key"], ["seq"]).collect()))
+    for limit in (10, 0):
+        assert sorted(map(str, keyed_first_of_few(df, ["key"], "seq", limit).collect())) == want
+    once = spark.createDataFrame([r for r in rows if r[0] and r[1] in range(50)], df.schema)
+    plan = keyed_first_of_few(once, ["key"], "seq")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and keyed_first_of_few(once, ["key"], "seq").count() == 50

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.session import stable
+
 
 class DuplicateKeyError(ValueError):
     """A load that must be unique on its key is not."""
@@ -30,6 +32,24 @@ def keyed_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]
     )
 
 
+def keyed_first_of_few(df: DataFrame, key: Sequence[str], sequence: str, limit: int = 1 << 20) -> DataFrame:
+    """The same of a written frame in which few keys repeat: only the rows of such keys are shuffled.
+
+    Keys are counted by their hash, eight bytes a row. Hashes that come more than once go to all tasks, up to ``limit``
+    of them; a key that shares its hash with another is merely shuffled as well. Beyond the limit every row is.
+    """
+    hashed = F.xxhash64(*key)
+    repeated = stable(df.groupBy(hashed.alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key"))
+    count = repeated.count()
+    if count == 0:
+        return df
+    if count > limit:
+        return keyed_first(df, key, [sequence])
+    named, side = df.withColumn("_key", hashed), F.broadcast(repeated)
+    once, again = (named.join(side, "_key", how).drop("_key") for how in ("left_anti", "left_semi"))
+    return once.unionByName(keyed_first(again, key, [sequence]))
+
+
 def keyed_rejects(df: DataFrame, key: Sequence[str], sequence: str) -> DataFrame:
     """The rows :func:`keyed_first` leaves out, for the reject table.
 

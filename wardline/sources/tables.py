@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from wardline.functions.casts import double_or_null, long_or_null, timestamp_or_null
 from wardline.operators.checks import REASON, flag_rejects
-from wardline.operators.keyed import keyed_rejects, require_unique
+from wardline.operators.keyed import keyed_first_of_few, keyed_rejects, require_unique
 from wardline.session import stable
 from wardline.sources.pages import (
     BAD_SCHEMA,
@@ -22,7 +22,6 @@ from wardline.sources.pages import (
     PAGE_SCHEMA,
     UNREAD,
     bad_records,
-    first_rows,
     flat_rows,
     good_rows,
     landed_pages,
@@ -185,7 +184,8 @@ def refresh_lake_table(
     paths = [f"{lake}/{folder}" for folder in folders.values()]
     lenient = LENIENT.get(table, {})
     defaulted = {f"cast_{name}": F.count(F.when(parse(F.col(name)).isNull(), 1)) for name, parse in lenient.items()}
-    rows = conform(flat_rows(first_rows(parsed, feed), feed, all_rings), feed.lake_schema)
+    first = keyed_first_of_few(parsed, feed.key, "ingest_seq") if feed.on_duplicate == "first" else parsed
+    rows = conform(flat_rows(first, feed, all_rings), feed.lake_schema)
     rows, kept = observed(rows, {"rows_kept": F.count(F.lit(1)), **defaulted})
     rows.write.parquet(paths[0])
     counts = seen.get if not some_bad else parsed.agg(*[c.alias(n) for n, c in _landing_counts(feed).items() if n != "unread"]).first().asDict()
