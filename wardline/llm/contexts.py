@@ -44,6 +44,7 @@ CHUNK = 1 << 20
 WORD_CHUNK = 1 << 23
 HELD = 1_500_000
 GROUP_ROWS = 500_000
+SLOT_ROWS = 1 << 18
 FOLDS, HELD_OUT = 7, 2
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -351,6 +352,11 @@ class Slots:
     def __init__(self, codes: np.ndarray, values: np.ndarray):
         self.bits = max(int(len(codes) * 2.5).bit_length(), 4)
         self.codes, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        # In pieces, so that what is needed on the way stays small beside the table.
+        for start in range(0, len(codes), SLOT_ROWS):
+            self._add(codes[start : start + SLOT_ROWS], values[start : start + SLOT_ROWS])
+
+    def _add(self, codes: np.ndarray, values: np.ndarray) -> None:
         left, slot = np.arange(len(codes)), self._slot(codes)
         while len(left):
             free = self.codes[slot] < 0
@@ -387,11 +393,12 @@ class Tables:
         self.parts[kind].append((keys, rows.column("value").to_numpy().copy()))
 
     def _ready(self) -> None:
-        grams, values = zip(*self.parts[0])
-        self.grams = Slots(np.concatenate(grams), np.concatenate(values))
-        words, counts = zip(*self.parts[1])
+        # What arrived is let go before the table is made.
+        codes, values = (np.concatenate(column) for column in zip(*self.parts.pop(0)))
+        self.grams = Slots(codes, values)
+        del codes, values
+        words, counts = zip(*self.parts.pop(1))
         self.words, self.counts = pa.concat_arrays(words), np.concatenate(counts)
-        self.parts = {0: [], 1: []}
 
     def scores(self, texts: pa.Array, depth: int, floor: float) -> tuple[np.ndarray, ...]:
         """For each text its tokens, the known ones, the score of its words and that of its bytes."""
