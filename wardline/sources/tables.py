@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from wardline.functions.casts import double_or_null, long_or_null, timestamp_or_null
 from wardline.operators.checks import REASON, flag_rejects
-from wardline.operators.keyed import keyed_first_of_few, keyed_rejects, require_unique
+from wardline.operators.keyed import require_unique
 from wardline.session import stable
 from wardline.sources.pages import (
     BAD_SCHEMA,
@@ -31,6 +31,7 @@ from wardline.sources.pages import (
 )
 from wardline.sources.schemas import FEEDS, MART_SCHEMAS, Feed
 from wardline.sources.versions import current, current_path, new_version, publish, split_path
+from wardline.sources.winners import FIRST, first_of_keys, mark_rows
 
 _ENDS = ("pickup", "dropoff")
 
@@ -184,17 +185,21 @@ def refresh_lake_table(
     paths = [f"{lake}/{folder}" for folder in folders.values()]
     lenient = LENIENT.get(table, {})
     defaulted = {f"cast_{name}": F.count(F.when(parse(F.col(name)).isNull(), 1)) for name, parse in lenient.items()}
-    first = keyed_first_of_few(parsed, feed.key, "ingest_seq") if feed.on_duplicate == "first" else parsed
+    counts = seen.get if not some_bad else parsed.agg(*[c.alias(n) for n, c in _landing_counts(feed).items() if n != "unread"]).first().asDict()
+    first, rejects = parsed, parsed.limit(0)
+    if feed.on_duplicate == "first" and counts["rows_parsed"]:
+        chosen = first_of_keys(parsed, feed.key, counts["rows_parsed"])
+        keys = chosen.count()
+        if keys < counts["rows_parsed"]:
+            told = mark_rows(parsed, chosen, keys)
+            first, rejects = told.where(FIRST).drop(FIRST), told.where(~F.col(FIRST)).drop(FIRST)
     rows = conform(flat_rows(first, feed, all_rings), feed.lake_schema)
     rows, kept = observed(rows, {"rows_kept": F.count(F.lit(1)), **defaulted})
     rows.write.parquet(paths[0])
-    counts = seen.get if not some_bad else parsed.agg(*[c.alias(n) for n, c in _landing_counts(feed).items() if n != "unread"]).first().asDict()
     rows_kept = kept.get["rows_kept"]
     if feed.geometry:
         # Vertices were counted above; outlines are what the rule goes by.
         rows_kept = spark.read.schema(feed.lake_schema).parquet(paths[0]).agg(F.count_distinct("ingest_seq")).first()[0]
-    all_kept = feed.on_duplicate != "first" or (not feed.geometry and rows_kept == counts["rows_parsed"])
-    rejects = parsed.limit(0) if all_kept else keyed_rejects(parsed, feed.key, "ingest_seq")
     rejects, lost = observed(rejects, {"duplicate_rows": F.count(F.lit(1))})
     rejects.write.parquet(paths[1])
     bad, broken = observed(bad, {"bad_records": F.count(F.lit(1))})
