@@ -33,7 +33,6 @@ from wardline.sources.pages import (
     BAD_SCHEMA,
     bad_records,
     file_columns,
-    first_rows,
     flat_rows,
     good_rows,
     json_options,
@@ -42,6 +41,10 @@ from wardline.sources.pages import (
     with_ingest_seq,
 )
 from wardline.sources.schemas import Feed
+from wardline.sources.winners import FIRST, first_of_keys, mark_rows
+
+#: Tasks that write the rows of a batch, unless it has fewer parts.
+WRITERS = 128
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -73,18 +76,15 @@ def known_keys(spark: SparkSession, feed: Feed, table: str, wanted: DataFrame, n
     return rows.join(broadcast_if_small(wanted), key, "left_semi").distinct()
 
 
-def _write_batch(rows: DataFrame, feed: Feed, table: str, number: int, all_rings: bool, part_keys: int) -> None:
-    """Write the rows of a batch and the index of their keys, in place of what an earlier attempt wrote."""
+def _write_batch(rows: DataFrame, keys: DataFrame, count: int, feed: Feed, table: str, number: int, all_rings: bool, part_keys: int) -> None:
+    """Write the rows of a batch and the index of their ``count`` keys, in place of what an earlier attempt wrote."""
     folder, key = f"{table}/{BATCH}={number}", list(feed.key)
-    if not key:
-        flat_rows(rows, feed, all_rings).withColumn(PART, F.lit("0-0")).write.mode("overwrite").partitionBy(PART).parquet(folder)
-        return
-    keys = rows.count()
-    depth = depth_for(keys, part_keys)
-    hashed = key_hash(key)
-    dealt = rows.repartition(1 << depth, part_name(hashed, depth))
-    flat_rows(dealt, feed, all_rings).withColumn(PART, part_name(hashed, depth)).write.mode("overwrite").partitionBy(PART).parquet(folder)
-    index = index_rows(rows.select(*key), key, depth, filter_bits(keys, depth))
+    depth = depth_for(count, part_keys)
+    part = part_name(key_hash(key), depth)
+    # A task writes several parts where there are many: a shuffle to so few tasks holds no rows back to sort them.
+    dealt = rows.repartition(min(1 << depth, WRITERS), part)
+    flat_rows(dealt, feed, all_rings).withColumn(PART, part).write.mode("overwrite").partitionBy(PART).parquet(folder)
+    index = index_rows(keys, key, depth, filter_bits(count, depth))
     index.write.mode("overwrite").parquet(f"{table}/_keys/{BATCH}={number}")
 
 
@@ -121,20 +121,28 @@ def refresh_stream(
         marked = stable(parsed_rows(with_ingest_seq(mark_unread(batch, feed, multiline)), feed, marked=True))
         bad = stable(bad_records(session, marked, multiline, pages))
         rows = good_rows(marked, bad, multiline)
-        if key:
-            rows = stable(first_rows(rows, feed))
-        if feed.on_duplicate == "fail":
+        if not key:
+            flat_rows(rows, feed, all_rings).withColumn(PART, F.lit("0-0")).write.mode("overwrite").partitionBy(PART).parquet(f"{table}/{BATCH}={number}")
+        elif feed.on_duplicate == "fail":
+            rows = stable(rows)
             require_unique(rows, key, feed.table)
-        known = known_keys(session, feed, table, rows.select(*key).distinct(), number) if key else None
-        if known is not None:
-            if feed.on_duplicate == "fail":
-                repeated = known.limit(5).collect()
-                if repeated:
-                    shown = ", ".join(str(row.asDict()) for row in repeated)
-                    raise DuplicateKeyError(f"{feed.table}: loaded before: {shown}")
-            else:
-                rows = stable(rows.join(known, key, "left_anti"))
-        _write_batch(rows, feed, table, number, all_rings, part_keys)
+            keys = rows.select(*key)
+            known = known_keys(session, feed, table, keys, number)
+            repeated = known.limit(5).collect() if known is not None else []
+            if repeated:
+                shown = ", ".join(str(row.asDict()) for row in repeated)
+                raise DuplicateKeyError(f"{feed.table}: loaded before: {shown}")
+            _write_batch(rows, keys, rows.count(), feed, table, number, all_rings, part_keys)
+        else:
+            total = rows.count()
+            chosen = first_of_keys(rows, key, total)
+            known = known_keys(session, feed, table, chosen.select(*key), number)
+            if known is not None:
+                chosen = stable(chosen.join(known, key, "left_anti"))
+            count = chosen.count()
+            if count < total:
+                rows = mark_rows(rows, chosen, count).where(FIRST).drop(FIRST)
+            _write_batch(rows, chosen.select(*key), count, feed, table, number, all_rings, part_keys)
         bad.write.mode("overwrite").parquet(f"{table}/_bad_pages/{BATCH}={number}")
 
     return (
