@@ -1,12 +1,15 @@
 import json
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from wardline.operators.keyed import keyed_first
+from wardline.session import scratch_path
 from wardline.sources import tables, winners
 from wardline.sources.tables import lake_rejects, lake_table, refresh_lake_table
-from wardline.sources.winners import FIRST, first_of_keys, mark_rows
+from wardline.sources.winners import FIRST, first_of_keys, mark_rows, tell_first
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +77,38 @@ def test_a_load_sends_no_whole_rows(spark, tmp_path, monkeypatch):
     kept, left = lake_table(spark, lake, "taxi_trips"), lake_rejects(spark, lake, "taxi_trips")
     assert {r["company"]: r["count"] for r in kept.groupBy("company").count().collect()} == {"1": 400, "2": 400, "3": 400, "4": 400}
     assert {r["company"]: r["count"] for r in left.groupBy("company").count().collect()} == {"2": 400, "3": 800, "4": 1200}
+
+
+@pytest.mark.parametrize("shared", [False, True])
+@pytest.mark.parametrize("limits", [{"SELDOM": 1}, {"SELDOM": 1, "FEW_REPEATED": 5}, {"SELDOM": 1, "FEW_ROWS": 500, "SAMPLE_ROWS": 3000, "OFTEN": 200}, {}])
+def test_keys_that_come_once_are_told_by_their_hash(spark, parsed, monkeypatch, limits, shared):
+    """Few keys repeat, more than may be sent out, frequent ones apart; also where several keys share a hash."""
+    for name, value in limits.items():
+        monkeypatch.setattr(winners, name, value)
+    few = [r["k"] for r in parsed.where("k IS NOT NULL").select("k").distinct().orderBy("k").limit(40).collect()]
+    own = F.col("k").isNotNull() & ~F.col("k").isin(few)
+    rows = parsed.withColumn("k", F.when(own, F.concat(F.lit("b"), "v")).otherwise(F.col("k"))).cache()
+    hashed = F.xxhash64
+    if shared:
+        monkeypatch.setattr(F, "xxhash64", lambda *key: F.pmod(hashed(*key), F.lit(2500)))
+    told, want = tell_first(rows, ["k", "k2"], 9000), keyed_first(rows, ["k", "k2"], ["ingest_seq"])
+    assert rows_of(told.where(FIRST)) == rows_of(want)
+    assert told.count() == 9000 and told.where(~F.col(FIRST)).count() == 9000 - want.count() > 3000
+    once = rows.where(F.col("k").startswith("b")).cache()
+    assert tell_first(once, ["k"], once.count()) is None and tell_first(once.limit(0), ["k"], 0) is None
+
+
+def test_a_load_leaves_one_copy_of_its_rows(spark, tmp_path):
+    """The table is all that is left, packed: no parsed rows, no list of the keys that stayed."""
+    (tmp_path / "in").mkdir()
+    for number in range(3):
+        rows = [{"trip_id": f"t{number}-{n}", "company": "c"} for n in range(300)]
+        (tmp_path / "in" / f"page-{number}.json").write_text("\n".join(map(json.dumps, rows)))
+    scratch = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(scratch.rglob("*.parquet"))
+    folder = refresh_lake_table(spark, "taxi_trips", str(tmp_path / "in"), str(tmp_path / "lake"), multiline=False)
+    for file in set(scratch.rglob("*.parquet")) - before:
+        assert "tripid" not in pq.ParquetFile(file).schema_arrow.names
+    parts = [pq.ParquetFile(file).metadata for file in Path(folder).glob("*.parquet")]
+    assert sum(m.num_rows for m in parts) == 900
+    assert {m.row_group(0).column(0).compression for m in parts if m.num_row_groups} == {"ZSTD"}

@@ -226,7 +226,7 @@ def write_snapshot(df: DataFrame, path: str, packed: bool = False) -> str:
     """JSON snapshot of a frame, one object per line. Packed files cannot be split, so they get a bounded number of rows."""
     writer = df.write.mode("overwrite")
     if packed:
-        writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 500_000)
+        writer = writer.option("compression", "gzip").option("zlib.compress.level", "FIVE").option("maxRecordsPerFile", 500_000)
     writer.json(path)
     return path
 

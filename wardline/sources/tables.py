@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from wardline.functions.casts import double_or_null, long_or_null, timestamp_or_null
 from wardline.operators.checks import REASON, flag_rejects
 from wardline.operators.keyed import require_unique
-from wardline.session import stable
+from wardline.session import PACKED, drop_scratch, scratch_path, stable
 from wardline.sources.pages import (
     BAD_SCHEMA,
     LINE,
@@ -31,7 +31,7 @@ from wardline.sources.pages import (
 )
 from wardline.sources.schemas import FEEDS, MART_SCHEMAS, Feed
 from wardline.sources.versions import current, current_path, new_version, publish, split_path
-from wardline.sources.winners import FIRST, first_of_keys, mark_rows
+from wardline.sources.winners import FIRST, tell_first
 
 _ENDS = ("pickup", "dropoff")
 
@@ -170,11 +170,12 @@ def refresh_lake_table(
     to an earlier row of their key to ``_rejects/<table>``, pages and lines that are no JSON to ``_bad_pages/<table>``,
     the list of pages with their rows to ``_pages/<table>`` and the counts of all to ``_audit/<table>``; what the marts
     will cast leniently and how much of it becomes a default to ``_cast_audit/<table>``. All are replaced together, after
-    the last has been written. A table that refuses duplicates fails before that.
+    the last has been written; then the parsed rows are dropped. A table that refuses duplicates fails before that.
     """
     feed = FEEDS[table]
     marked, seen = observed(parsed_rows(read_pages(spark, feed, pages, multiline), feed, marked=True), _landing_counts(feed))
-    marked, files = stable(marked), page_files(spark, pages)
+    scratch = scratch_path(spark, "parsed")
+    marked, files = stable(marked, scratch, **PACKED), page_files(spark, pages)
     bad = stable(bad_records(spark, marked, multiline, pages, files))
     some_bad = bool(seen.get["unread"])
     parsed = good_rows(marked, bad, multiline) if some_bad else marked.drop(UNREAD, LINE)
@@ -188,20 +189,18 @@ def refresh_lake_table(
     counts = seen.get if not some_bad else parsed.agg(*[c.alias(n) for n, c in _landing_counts(feed).items() if n != "unread"]).first().asDict()
     first, rejects = parsed, parsed.limit(0)
     if feed.on_duplicate == "first" and counts["rows_parsed"]:
-        chosen = first_of_keys(parsed, feed.key, counts["rows_parsed"])
-        keys = chosen.count()
-        if keys < counts["rows_parsed"]:
-            told = mark_rows(parsed, chosen, keys)
+        told = tell_first(parsed, feed.key, counts["rows_parsed"])
+        if told is not None:
             first, rejects = told.where(FIRST).drop(FIRST), told.where(~F.col(FIRST)).drop(FIRST)
     rows = conform(flat_rows(first, feed, all_rings), feed.lake_schema)
     rows, kept = observed(rows, {"rows_kept": F.count(F.lit(1)), **defaulted})
-    rows.write.parquet(paths[0])
+    rows.write.options(**PACKED).parquet(paths[0])
     rows_kept = kept.get["rows_kept"]
     if feed.geometry:
         # Vertices were counted above; outlines are what the rule goes by.
         rows_kept = spark.read.schema(feed.lake_schema).parquet(paths[0]).agg(F.count_distinct("ingest_seq")).first()[0]
     rejects, lost = observed(rejects, {"duplicate_rows": F.count(F.lit(1))})
-    rejects.write.parquet(paths[1])
+    rejects.write.options(**PACKED).parquet(paths[1])
     bad, broken = observed(bad, {"bad_records": F.count(F.lit(1))})
     bad.write.parquet(paths[2])
     landed_pages(files, parsed, bad).write.parquet(paths[3])
@@ -222,7 +221,9 @@ def refresh_lake_table(
         spark.range(1).select(F.explode(F.array(*casts)).alias("c")).select("c.*").write.parquet(paths[5])
     else:
         del folders[f"_cast_audit/{table}"]
-    return publish(spark, lake, folders)[table]
+    path = publish(spark, lake, folders)[table]
+    drop_scratch(spark, scratch)
+    return path
 
 
 def observed(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:

@@ -2,7 +2,8 @@
 
 Only the key and one number travel: the rank of a row's split in landing order, and its place in the split. The first
 number of every key is an aggregate of a bounded number of rows a task. What it finds goes back to the rows as bitmaps,
-one bit a row, so that the rows themselves stay where they were written.
+one bit a row, so that the rows themselves stay where they were written. Where few keys repeat, rows of the others send
+a hash of their key and nothing else.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators.indexing import with_row_index
 from wardline.operators.lookups import BROADCAST_LIMIT_BYTES, broadcast_if_small
-from wardline.session import stable
+from wardline.session import PACKED, stable
 
 FIRST = "_first"
 
@@ -24,6 +25,8 @@ TASK_ROWS, FEW_ROWS, TASKS = 1 << 21, 1 << 18, 128
 FEW_SPLITS = 4096
 #: Rows looked at to find keys that hold many rows, and how often such a key occurs among them.
 SAMPLE_ROWS, OFTEN = 1 << 17, 512
+#: Keys that repeat are few up to so many, if they also are no more than one for so many rows: their hashes go to all tasks.
+FEW_REPEATED, SELDOM = 1 << 20, 16
 
 _ROW_BITS = 33  # monotonically_increasing_id: task above, row below
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -53,11 +56,56 @@ def _frequent(parsed: DataFrame, key: Sequence[str], total: int) -> list[int]:
     return [r["_key"] for r in some.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > OFTEN).orderBy(F.desc("n")).limit(OFTEN).collect()]
 
 
-def first_of_keys(parsed: DataFrame, key: Sequence[str], total: int, task_rows: int = TASK_ROWS) -> DataFrame:
+def _repeated(parsed: DataFrame, key: Sequence[str], total: int) -> DataFrame | None:
+    """``_key``, written: hashes of the keys held by more than one row, and of some keys that share one. None if they are many."""
+    hashed = parsed.select(F.xxhash64(*key).alias("_key"))
+    again = F.count(F.lit(1)) > 1
+    few, step, parts = min(FEW_REPEATED, total // SELDOM), max(total // SAMPLE_ROWS, 1), _tasks(total, TASK_ROWS)
+    # All rows of one key in so many tell whether it is worth the while.
+    some = hashed.where(F.pmod("_key", F.lit(step)) == 0).groupBy("_key").agg(again.alias("_again")).where("_again")
+    if step > 1 and some.count() * step > few:
+        return None
+    often = _frequent(parsed, key, total) if parts > 1 else []
+    rows = hashed.where(~F.col("_key").isin(often)) if often else hashed
+    found = rows.repartition(parts, "_key").groupBy("_key").agg(again.alias("_again")).where("_again").select("_key")
+    if often:
+        listed = F.explode(F.array(*[F.lit(h).cast("bigint") for h in often])).alias("_key")
+        found = found.unionByName(parsed.sparkSession.range(1).select(listed))
+    found = stable(found)
+    return found if found.count() <= few else None
+
+
+def tell_first(parsed: DataFrame, key: Sequence[str], total: int) -> DataFrame | None:
+    """``parsed``, which has been written and has ``total`` rows, with ``_first``; None if no key repeats.
+
+    Keys are counted by their hash, eight bytes a row. Where few come more than once, only their rows are compared by key
+    and place, and the bitmaps are those of the rows that lose; a key that shares its hash with another is merely compared
+    as well. Otherwise every row is compared.
+    """
+    repeated = _repeated(parsed, key, total)
+    if repeated is None:
+        chosen = first_of_keys(parsed, key, total, named=False)
+        count = chosen.count()
+        return mark_rows(parsed, chosen, count) if count < total else None
+    if repeated.isEmpty():
+        return None
+    named = parsed.select(*key, "ingest_seq").withColumn("_key", F.xxhash64(*key))
+    met = stable(named.join(F.broadcast(repeated), "_key", "left_semi").drop("_key"), **PACKED)
+    rows = met.count()
+    chosen = first_of_keys(met, key, rows, named=False)
+    count = chosen.count()
+    if count == rows:
+        return None
+    lost = stable(mark_rows(met, chosen, count).where(~F.col(FIRST)).select("ingest_seq.row"), **PACKED)
+    return mark_rows(parsed, lost, rows - count).withColumn(FIRST, ~F.col(FIRST))
+
+
+def first_of_keys(parsed: DataFrame, key: Sequence[str], total: int, task_rows: int = TASK_ROWS, named: bool = True) -> DataFrame:
     """``key, row``, written: of every key the ``ingest_seq.row`` of its first row. ``parsed`` has ``total`` rows.
 
     Rows are dealt out by key before they are aggregated, so that no task holds more keys than ``task_rows`` or so.
-    Keys with many rows are aggregated where these are first, one row for each task goes on.
+    Keys with many rows are aggregated where these are first, one row for each task goes on. ``named=False`` leaves the
+    key out of what is written.
     """
     splits, few = _ranked_splits(parsed)
     seq, place = F.col("ingest_seq"), ["file", "split", "task"]
@@ -76,7 +124,7 @@ def first_of_keys(parsed: DataFrame, key: Sequence[str], total: int, task_rows:
     tasks = splits.select("task", "rank")
     placed = first.withColumn("rank", F.shiftright("_at", _ROW_BITS)).join(F.broadcast(tasks) if few else broadcast_if_small(tasks), "rank")
     row = F.shiftleft("task", _ROW_BITS).bitwiseOR(F.col("_at").bitwiseAND(F.lit(_ROW_MASK)))
-    return stable(placed.select(*key, row.alias("row")))
+    return stable(placed.select(*(key if named else []), row.alias("row")))
 
 
 def mark_rows(parsed: DataFrame, chosen: DataFrame, count: int, limit: int = BROADCAST_LIMIT_BYTES, task_rows: int = TASK_ROWS) -> DataFrame:
